@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, line_dedup, secret_scan, simhash
+from . import bpe, decontaminate, language_id, line_dedup, secret_scan, simhash
 from ._common import crc_mod
 
 
@@ -36,6 +37,20 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """The file of a public tokenizer; TOKENIZER_DIR overrides the installed folder."""
+    if folder := os.environ.get("TOKENIZER_DIR"):
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.encode_decode(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return out.select("doc_id", F.floor(F.octet_length("ids_le") / 4).cast("long").alias("n_tokens"), F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
@@ -53,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secret_scan": op1_secret_scan,
         "op2_decontaminate": op2_decontaminate,
         "op3_simhash": op3_simhash,
+        "op4_bpe": op4_bpe,
         "op5_line_dedup": op5_line_dedup,
         "op7_language_id": op7_language_id,
     }
