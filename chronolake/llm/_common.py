@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +24,9 @@ def workers_import(spark: SparkSession) -> None:
     spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage in the shared folder of ``spark.checkpoint.dir``; a temporary one only on a local master."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share; a temporary one only on a local master."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = sc.getConf().get("spark.checkpoint.dir")
         if not shared:
@@ -33,9 +34,22 @@ def checkpoint(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             shared = tempfile.mkdtemp(prefix="chronolake-checkpoint-")
         sc.setCheckpointDir(shared)
+    return sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Compute now and cut lineage, in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Compute now, as Parquet in the shared folder, and read it back."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def crc_mod(id_col: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; null for a null id."""
     return F.crc32(id_col.cast("string").cast("binary")) % n
@@ -125,7 +139,3 @@ def hash_windows(words: np.ndarray, size: int) -> np.ndarray:
     for k in range(size):
         out = out * np.uint64(0xD6E8FEB86659FD93) + words[k : k + n]
     return mix(out)
-
-
-def join_sorted(items: Column) -> Column:
-    return F.array_join(items, ",")

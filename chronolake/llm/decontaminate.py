@@ -88,7 +88,7 @@ class WindowSet:
 
 
 def _scan(blocks_windows, id_type: str):
-    """A mapInArrow function over (id, rid, text): word count, hit word ranges, items, and the ranges' code points."""
+    """A mapInArrow function over (id, text_hash, text): word count, hit ranges and items."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = WindowSet(blocks_windows.value)
@@ -116,10 +116,10 @@ def _scan(blocks_windows, id_type: str):
                     ranges[r].append({"first": a, "last": b, "start": int(points[s]) - 1, "end": int(points[e - 1])})
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(np.bincount(row, minlength=n)[:n], pa.int64()), pa.array(ranges, _RANGES), pa.array([sorted(items.get(r, ())) for r in range(n)], pa.list_(pa.string()))],
-                ["id", "rid", "n_words", "ranges", "items"],
+                ["id", "text_hash", "n_words", "ranges", "items"],
             )
 
-    return scan, f"id {id_type}, rid long, n_words long, ranges array<struct<first:long,last:long,start:long,end:long>>, items array<string>"
+    return scan, f"id {id_type}, text_hash long, n_words long, ranges array<struct<first:long,last:long,start:long,end:long>>, items array<string>"
 
 
 _RANGES = pa.list_(pa.struct([(k, pa.int64()) for k in ("first", "last", "start", "end")]))
@@ -141,10 +141,9 @@ def _merged(ranges):
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = SIZE, block_bytes: int = BLOCK_BYTES, share: int = SHARE) -> DataFrame:
-    """(id, rid, n_words, n_hit, items, ranges, contaminated) for each row of ``docs``.
+    """(id, text_hash, n_words, n_hit, items, ranges, contaminated) for each row of ``docs``.
 
-    ``ranges`` holds the hit runs as word positions [first, last) and code points [start, end);
-    ``rid`` tells repeated rows apart.
+    ``ranges`` holds the hit runs as word positions [first, last) and code points [start, end).
     """
     workers_import(docs.sparkSession)
     spark = docs.sparkSession
@@ -152,7 +151,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     weight = windows.agg(F.sum(F.octet_length("window") + F.coalesce(F.aggregate("items", F.lit(0), lambda a, x: a + F.octet_length(x) + 8), F.lit(0)))).first()[0] or 0
     blocks = max(1, -(-int(weight) // block_bytes))
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("rid"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
     found = None
     for b in range(blocks):
         part = windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b)
@@ -161,13 +160,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         found = one if found is None else found.unionAll(one)
     if blocks > 1:
         merge = F.udf(lambda x: _merged([x])[0], "array<struct<first:long,last:long,start:long,end:long>>")
-        found = found.groupBy("id", "rid").agg(
+        # equal rows of an id have equal hits, and come back as often as they went in
+        found = found.groupBy("id", "text_hash").agg(
             F.max("n_words").alias("n_words"),
-            merge(F.flatten(F.collect_list("ranges"))).alias("ranges"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+            merge(F.flatten(F.collect_set("ranges"))).alias("ranges"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+            F.count(F.lit(1)).alias("copies"),
         )
+        found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.expr(f"copies div {blocks}"))))
     n_hit = F.aggregate("ranges", F.lit(0).cast("long"), lambda a, r: a + r["last"] - r["first"])
-    return found.select(F.col("id").alias(id_col), "rid", "n_words", n_hit.alias("n_hit"), "items", "ranges").withColumn(
+    return found.select(F.col("id").alias(id_col), "text_hash", "n_words", n_hit.alias("n_hit"), "items", "ranges").withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.lit(share) * F.col("n_hit") >= F.col("n_words"))
     )
 
@@ -179,10 +181,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, how: str = "documents",
     """
     if how not in ("documents", "spans"):
         raise ValueError("how is 'documents' or 'spans'")
-    keyed = docs.withColumn("_rid", F.monotonically_increasing_id())
-    bad = contamination(docs, benchmark, id_col, text_col, **params).where("contaminated").select(F.col("rid").alias("_rid"), F.col("ranges").alias("_ranges"))
+    bad = contamination(docs, benchmark, id_col, text_col, **params).where("contaminated").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_text_hash"), F.col("ranges").alias("_ranges"))
+    bad = bad.dropDuplicates(["_id", "_text_hash"])
+    same = docs[id_col].eqNullSafe(bad["_id"]) & (F.xxhash64(docs[text_col].cast("string")) == bad["_text_hash"])
     if how == "documents":
-        return keyed.join(bad, "_rid", "left_anti").drop("_rid")
+        return docs.join(bad, same, "left_anti")
 
     @F.pandas_udf("string")
     def cut(text, ranges):
@@ -197,5 +200,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, how: str = "documents",
             out.append(t)
         return type(text)(out, dtype=object)
 
-    joined = keyed.join(bad, "_rid", "left")
-    return joined.withColumn(text_col, cut(text_col, "_ranges")).select(*docs.columns)
+    return docs.join(bad, same, "left").withColumn(text_col, cut(text_col, "_ranges")).select(*docs.columns)

@@ -33,6 +33,8 @@ PER_LANGUAGE = 2000
 GRAMS = 6000
 SLOTS = 1 << 18
 HASHES = 3
+#: A text of a known language has this share of grams of it at least.
+LEAST_SCORE = 0.3
 #: Code points worked on at a time.
 CHUNK = 1 << 20
 
@@ -165,3 +167,18 @@ def predict(docs: DataFrame, filters: LanguageFilters, id_col: str = "doc_id", t
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     out = rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double")
     return out.select(F.col("id").alias(id_col), "lang_pred", "score")
+
+
+def keep_known(docs: DataFrame, filters: LanguageFilters, text_col: str = "text", least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of at least ``least``, as they are."""
+    workers_import(docs.sparkSession)
+    held = docs.sparkSession.sparkContext.broadcast(filters)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = held.value
+        for batch in sliced(batches, text_col):
+            found = [model.predict(x) for x in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

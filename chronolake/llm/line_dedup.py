@@ -148,7 +148,7 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with its text cut by the bitmaps, and (n_lines, n_dropped) as further columns; a null text stays null where it loses nothing."""
+    """``docs`` with its text cut by the bitmaps, and (n_lines, n_dropped) as further columns, in place of any of these names; a null text stays null."""
     workers_import(docs.sparkSession)
     bits = bitmaps.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_text_hash"), F.col("bitmap").alias("_bitmap"))
     joined = docs.join(bits, docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("_text_hash")), "left")
@@ -171,7 +171,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
         return pd.DataFrame({"kept": pd.Series(kept, dtype=object), "n_lines": n_lines, "n_dropped": n_dropped})
 
     out = joined.withColumn("_cut", cut(F.col(text_col).cast("string"), "_bitmap"))
-    return out.select(*[F.col("_cut.kept").alias(c) if c == text_col else F.col(c) for c in docs.columns], F.col("_cut.n_lines").alias("n_lines"), F.col("_cut.n_dropped").alias("n_dropped"))
+    return out.select(*[F.col("_cut.kept").alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped")], F.col("_cut.n_lines").alias("n_lines"), F.col("_cut.n_dropped").alias("n_dropped"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:

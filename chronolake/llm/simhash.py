@@ -210,7 +210,7 @@ def fingerprint_hex(fp):
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest id. Rows without id stay once for each fingerprint."""
+    """``docs`` with one row of each component: the one with the smallest id. Of rows that repeat an id one stays; rows without id stay once for each text."""
     found = near_duplicates(docs, id_col, text_col, shingle)
     kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_id")).distinct()
     named = docs.join(kept, docs[id_col] == kept["_id"], "left_semi").dropDuplicates([id_col])
