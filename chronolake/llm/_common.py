@@ -50,6 +50,11 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_rows(df: DataFrame) -> DataFrame:
+    """Each row as one column ``row``, so that no name of it can clash."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
 def crc_mod(id_col: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; null for a null id."""
     return F.crc32(id_col.cast("string").cast("binary")) % n

@@ -115,12 +115,15 @@ class Merges:
     def _reach(self) -> int | None:
         """None if the ranks do not ascend from parts to wholes: then a word's end may matter anywhere."""
         made: dict[int, int] = {}
+        for r, whole in self.rank.values():
+            if whole in made:
+                return None
+            made[whole] = r
         inner: dict[int, int] = {}  # reach of what can break a token's right edge before the token is whole
         outer: dict[int, int] = {}  # reach of the merges so far that have the token on their left
         for (a, b), (r, whole) in sorted(self.rank.items(), key=lambda x: x[1]):
-            if whole in made or made.get(a, -1) >= r or made.get(b, -1) >= r:
+            if max(made.get(a, -1), made.get(b, -1)) >= r:
                 return None
-            made[whole] = r
             behind = max(inner.get(b, 0), outer.get(b, 0))
             inner[whole] = behind
             outer[a] = max(outer.get(a, 0), self.length[b] + behind)

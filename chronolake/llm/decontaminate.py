@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import ALNUM, LOWER, hash_windows, hash_words, sliced, text_buffer, words_of, workers_import
+from ._common import ALNUM, LOWER, hash_windows, hash_words, sliced, text_buffer, whole_rows, words_of, workers_import
 
 SIZE = 13
 #: Bytes of window texts and item ids in one broadcast.
@@ -125,18 +125,15 @@ def _scan(blocks_windows, id_type: str):
 _RANGES = pa.list_(pa.struct([(k, pa.int64()) for k in ("first", "last", "start", "end")]))
 
 
-def _merged(ranges):
+def _merged(ranges) -> list[dict]:
     """Union of ranges of one document from several blocks, in order; they may overlap or touch."""
-    out = []
-    for rows in ranges:
-        own: list[dict] = []
-        for r in sorted(rows, key=lambda r: r["first"]):
-            if own and r["first"] <= own[-1]["last"]:
-                if r["last"] > own[-1]["last"]:
-                    own[-1] |= {"last": r["last"], "end": r["end"]}
-            else:
-                own.append(dict(r))
-        out.append(own)
+    out: list[dict] = []
+    for r in sorted(ranges, key=lambda r: r["first"]):
+        if out and r["first"] <= out[-1]["last"]:
+            if r["last"] > out[-1]["last"]:
+                out[-1] |= {"last": r["last"], "end": r["end"]}
+        else:
+            out.append({k: r[k] for k in ("first", "last", "start", "end")})
     return out
 
 
@@ -159,7 +156,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         one = rows.mapInArrow(*_scan(held, id_type))
         found = one if found is None else found.unionAll(one)
     if blocks > 1:
-        merge = F.udf(lambda x: _merged([x])[0], "array<struct<first:long,last:long,start:long,end:long>>")
+        merge = F.udf(_merged, "array<struct<first:long,last:long,start:long,end:long>>")
         # equal rows of an id have equal hits, and come back as often as they went in
         found = found.groupBy("id", "text_hash").agg(
             F.max("n_words").alias("n_words"),
@@ -181,11 +178,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, how: str = "documents",
     """
     if how not in ("documents", "spans"):
         raise ValueError("how is 'documents' or 'spans'")
-    bad = contamination(docs, benchmark, id_col, text_col, **params).where("contaminated").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_text_hash"), F.col("ranges").alias("_ranges"))
-    bad = bad.dropDuplicates(["_id", "_text_hash"])
-    same = docs[id_col].eqNullSafe(bad["_id"]) & (F.xxhash64(docs[text_col].cast("string")) == bad["_text_hash"])
+    bad = contamination(docs, benchmark, id_col, text_col, **params).where("contaminated").groupBy(F.col(id_col).alias("id"), "text_hash").agg(F.first("ranges").alias("ranges"))
+    bad = bad.select(F.struct("id", "text_hash", "ranges").alias("bad"))
+    rows = whole_rows(docs)
+    same = F.col(f"row.{id_col}").eqNullSafe(F.col("bad.id")) & (F.xxhash64(F.col(f"row.{text_col}").cast("string")) == F.col("bad.text_hash"))
     if how == "documents":
-        return docs.join(bad, same, "left_anti")
+        return rows.join(bad, same, "left_anti").select("row.*")
 
     @F.pandas_udf("string")
     def cut(text, ranges):
@@ -200,4 +198,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, how: str = "documents",
             out.append(t)
         return type(text)(out, dtype=object)
 
-    return docs.join(bad, same, "left").withColumn(text_col, cut(text_col, "_ranges")).select(*docs.columns)
+    joined = rows.join(bad, same, "left").withColumn("cut", cut(F.col("row")[text_col], "bad.ranges"))
+    return joined.select(*[F.col("cut").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import checkpoint, sliced, workers_import
+from ._common import checkpoint, sliced, whole_rows, workers_import
 
 LEAST_CHARS, LEAST_DOCS = 40, 5
 _SPACE = " \t\n\x0b\x0c\r"
@@ -150,8 +150,9 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with its text cut by the bitmaps, and (n_lines, n_dropped) as further columns, in place of any of these names; a null text stays null."""
     workers_import(docs.sparkSession)
-    bits = bitmaps.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_text_hash"), F.col("bitmap").alias("_bitmap"))
-    joined = docs.join(bits, docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("_text_hash")), "left")
+    bits = bitmaps.select(F.struct(F.col(id_col).alias("id"), "text_hash", "bitmap").alias("bits"))
+    rows = whole_rows(docs)
+    joined = rows.join(bits, F.col(f"row.{id_col}").eqNullSafe(F.col("bits.id")) & (F.xxhash64(F.col(f"row.{text_col}").cast("string")) == F.col("bits.text_hash")), "left")
 
     @F.pandas_udf("kept string, n_lines long, n_dropped long")
     def cut(text, bitmap):
@@ -170,8 +171,9 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
             kept.append("\n".join([x for x, k in zip(lines, keep.tolist(), strict=True) if k]))
         return pd.DataFrame({"kept": pd.Series(kept, dtype=object), "n_lines": n_lines, "n_dropped": n_dropped})
 
-    out = joined.withColumn("_cut", cut(F.col(text_col).cast("string"), "_bitmap"))
-    return out.select(*[F.col("_cut.kept").alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped")], F.col("_cut.n_lines").alias("n_lines"), F.col("_cut.n_dropped").alias("n_dropped"))
+    out = joined.withColumn("cut", cut(F.col(f"row.{text_col}").cast("string"), "bits.bitmap"))
+    own = [F.col("cut.kept").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return out.select(*own, F.col("cut.n_lines").alias("n_lines"), F.col("cut.n_dropped").alias("n_dropped"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import checkpoint, sliced, workers_import
+from ._common import checkpoint, sliced, whole_rows, workers_import
 
 BYTES, BITS, SHARED = 8, 3, 5
 #: Positions of each kind of list, and the mask of the bits that its members share.
@@ -212,6 +212,7 @@ def fingerprint_hex(fp):
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id. Of rows that repeat an id one stays; rows without id stay once for each text."""
     found = near_duplicates(docs, id_col, text_col, shingle)
-    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_id")).distinct()
-    named = docs.join(kept, docs[id_col] == kept["_id"], "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()).dropDuplicates([text_col]))
+    kept = found.where(F.col(id_col) == F.col("component_id")).select(F.struct(F.col(id_col).alias("id")).alias("kept")).distinct()
+    rows = whole_rows(docs)
+    named = rows.join(kept, F.col(f"row.{id_col}") == F.col("kept.id"), "left_semi").groupBy(F.col(f"row.{id_col}").alias("id")).agg(F.first("row").alias("row"))
+    return named.select("row.*").unionByName(docs.where(F.col(id_col).isNull()).dropDuplicates([text_col]))
