@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ._common import sliced, workers_import
 
 #: Words that a worker remembers, at most.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Tokens that a transducer's window holds beyond its lookahead.
 AHEAD = 256
 
@@ -65,13 +65,22 @@ _LOWER = {c: c + step for a, b, step in LATER_LOWER for c in range(a, b + 1)} |
 _TO_LOWER = re.compile("[" + "".join(map(chr, _LOWER)) + "]")
 
 
+#: Texts within the first planes are split with classes cut to those: a class of many ranges is slow to leave.
+PLANES = (0x7F, 0xFFFF, sys.maxunicode)
+
+
+def plane(text: str) -> int:
+    return 0x7F if text.isascii() else 0xFFFF if len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text) else sys.maxunicode
+
+
 @cache
-def _class(kind: str) -> str:
-    """Ranges of a regular expression's class for code points of general category L or N."""
+def _class(kind: str, top: int) -> str:
+    """Ranges of a regular expression's class for code points of general category L or N up to ``top``."""
     later = LATER_LETTERS if kind == "L" else LATER_NUMBERS
-    inside = [unicodedata.category(chr(c))[0] == kind for c in range(sys.maxunicode + 1)]
+    inside = [unicodedata.category(chr(c))[0] == kind for c in range(top + 1)]
     for a, b in later:
-        inside[a : b + 1] = [True] * (b - a + 1)
+        if a <= top:
+            inside[a : b + 1] = [True] * (min(b, top) - a + 1)
     out, start = [], None
     for c, x in enumerate([*inside, False]):
         if x and start is None:
@@ -87,9 +96,9 @@ _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 
 
 @cache
-def _expression(pattern: str) -> re.Pattern:
-    """A splitting expression with its Unicode classes spelt out."""
-    ranges, inside = {"\\p{L}": _class("L"), "\\p{N}": _class("N"), "\\s": _SPACE}, False
+def _expression(pattern: str, top: int = sys.maxunicode) -> re.Pattern:
+    """A splitting expression with its Unicode classes spelt out, for texts of code points up to ``top``."""
+    ranges, inside = {"\\p{L}": _class("L", top), "\\p{N}": _class("N", top), "\\s": _SPACE}, False
 
     def spell(m: re.Match) -> str:
         nonlocal inside
@@ -101,6 +110,9 @@ def _expression(pattern: str) -> re.Pattern:
     return re.compile(re.sub(r"\\p\{[LN]\}|\\.|[\[\]]", spell, pattern))
 
 
+_LAST = 1 << 63
+
+
 class Merges:
     """The merge list over token ids: ranks, results, and the sufficient lookahead in symbols."""
 
@@ -108,6 +120,7 @@ class Merges:
         self.rank: dict[tuple[int, int], tuple[int, int]] = {}
         for r, (a, b) in enumerate(merges):
             self.rank.setdefault((vocab[a], vocab[b]), (r, vocab[a + b]))
+        self.order = {p: r << 32 | whole for p, (r, whole) in self.rank.items()}
         self.length = {i: len(t.removesuffix(suffix) if suffix else t) for t, i in vocab.items()}
         self.longest = max(self.length.values(), default=1)
         self.lookahead = self._reach()
@@ -131,18 +144,19 @@ class Merges:
 
     def apply(self, ids: list[int]) -> list[int]:
         """All merges of a run of symbols: lowest rank first, then leftmost."""
-        rank = self.rank
         if len(ids) > 48:
             return self._apply_long(ids)
-        ids = list(ids)
-        while len(ids) > 1:
-            best = min((x for x in map(rank.get, zip(ids, ids[1:], strict=False)) if x is not None), default=None)
-            if best is None:
-                break
-            for i in range(len(ids) - 1):
-                if rank.get((ids[i], ids[i + 1])) == best:
-                    ids[i : i + 2] = [best[1]]
-                    break
+        get, ids = self.order.get, list(ids)
+        ranks = [get(p, _LAST) for p in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) != _LAST:
+            i = ranks.index(best)
+            whole = best & 0xFFFFFFFF
+            ids[i : i + 2] = [whole]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((ids[i - 1], whole), _LAST)
+            if i < len(ranks):
+                ranks[i] = get((whole, ids[i + 1]), _LAST)
         return ids
 
     def _apply_long(self, ids: list[int]) -> list[int]:
@@ -221,6 +235,28 @@ class Decoder:
         return self._bytes(b"", True)
 
 
+class _Known(dict):
+    """Words and the bytes of their ids; long words are streamed each time and not kept."""
+
+    def __init__(self, merges: Merges, inner: list[int], final: list[int]) -> None:
+        self.merges, self.inner, self.final = merges, inner, final
+
+    def __missing__(self, word: str) -> bytes:
+        data = word.encode("utf-8", "surrogatepass")
+        if len(data) > AHEAD:
+            symbols = (self.inner[b] for b in memoryview(data)[:-1])
+            return array("I", self.merges.stream(_then(symbols, self.final[data[-1]]))).tobytes()
+        symbols = [self.inner[b] for b in data]
+        symbols[-1] = self.final[data[-1]]
+        self[word] = ids = array("I", self.merges.apply(symbols)).tobytes()
+        return ids
+
+    def trim(self) -> None:
+        """Forget everything once there is too much; between texts, so a text adds its own words at most."""
+        if len(self) > REMEMBERED:
+            self.clear()
+
+
 class Tokenizer:
     """What a tokenizer's JSON says, as plain values that can be broadcast."""
 
@@ -263,7 +299,7 @@ class Tokenizer:
             final = [self.vocab[s + self.suffix] for s in symbols]
             added = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
             tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.added.items()}
-            self._prepared = inner, final, added, tokens, _expression(self.expression), {}
+            self._prepared = added, tokens, _Known(self.merges, inner, final)
         return self._prepared
 
     def normalize(self, text: str) -> str:
@@ -271,42 +307,28 @@ class Tokenizer:
             if kind == "NFC":
                 text = unicodedata.normalize("NFC", text)
             elif kind == "Lowercase":
-                if _TO_LOWER.search(text):  # letter by letter: no final sigma
+                if not text.isascii() and _TO_LOWER.search(text):  # letter by letter: no final sigma
                     text = text.translate(_LOWER)
                 text = text.lower()
             else:
-                text = _expression(args[0]).sub(lambda _: args[1], text)
+                text = _expression(args[0]).sub(args[1].replace("\\", r"\\"), text)
         return text
 
-    def _word(self, word: str) -> Iterable[int]:
-        inner, final, *_, known = self.prepare()
-        ids = known.get(word)
-        if ids is None:
-            data = word.encode("utf-8", "surrogatepass")
-            symbols = [inner[b] for b in data[:-1]] if len(data) <= AHEAD else (inner[b] for b in memoryview(data)[:-1])
-            if len(data) > AHEAD:
-                return self.merges.stream(_then(symbols, final[data[-1]]))
-            ids = self.merges.apply([*symbols, final[data[-1]]])
-            if len(known) >= REMEMBERED:
-                known.clear()
-            known[word] = ids
-        return ids
-
     def encode(self, text: str) -> array:
         """Ids as unsigned 32-bit integers."""
-        *_, added, _, expression, known = self.prepare()
+        added, _, known = self.prepare()
         out, at = array("I"), 0
         for found in [*(added.finditer(text) if added else ()), None]:
-            for word in expression.findall(self.normalize(text[at : found.start() if found else len(text)])):
-                ids = known.get(word)
-                out.extend(self._word(word) if ids is None else ids)
+            part = self.normalize(text[at : found.start() if found else len(text)])
+            known.trim()
+            out.frombytes(b"".join(map(known.__getitem__, _expression(self.expression, plane(part)).findall(part))))
             if found:
                 out.append(self.added[found[0]])
                 at = found.end()
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
-        tokens = self.prepare()[3]
+        tokens = self.prepare()[1]
         machine = Decoder(tokens, self.byte_level, frozenset(self.added.values()))
         ids, out = array("I", ids), []
         for at in range(0, len(ids), 4096):
