@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CONSTANT = "const"
 
@@ -40,7 +41,7 @@ def _t_tail(t: float, dof: float) -> float:
     return front * fraction(a, b, x) / a if x < (a + 1) / (a + b + 2) else 1 - front * fraction(b, a, 1 - x) / b
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def p_value(stat: pd.Series, dof: pd.Series) -> pd.Series:
     """Two-sided; by the normal distribution where ``dof`` is null."""
     return pd.Series([None if s is None or math.isnan(s) else math.erfc(abs(s) / math.sqrt(2)) if d is None or math.isnan(d) else _t_tail(s, d) for s, d in zip(stat, dof, strict=True)], dtype="float64")
