@@ -608,7 +608,9 @@ def _parsed(df: DataFrame, *more: str) -> DataFrame:
 
 
 _PARSED = "SELECT series_id, period, round(value, 2) AS value FROM mon"
-_TEXT = F.col("value").cast("decimal(18,2)").cast("string")
+def _text():
+    return F.col("value").cast("decimal(18,2)").cast("string")
+
 
 
 @query(_with(A.OBS) + "SELECT series_id, period, round(value, 2) AS value, realtime_start, realtime_end FROM obs")
@@ -622,19 +624,19 @@ def parse_fred(spark, d):
 
 @query(_with(A.MON) + _PARSED)
 def parse_sgs(spark, d):
-    item = F.struct(F.date_format("period", "dd/MM/yyyy").alias("data"), F.replace(_TEXT, F.lit("."), F.lit(",")).alias("valor"))
+    item = F.struct(F.date_format("period", "dd/MM/yyyy").alias("data"), F.replace(_text(), F.lit("."), F.lit(",")).alias("valor"))
     return _parsed(payloads.parse_sgs(_bodies(A.monthly(spark, d), item).select("series_id", F.to_json("items").alias("body"))))
 
 
 @query(_with(A.MON) + _PARSED)
 def parse_focus(spark, d):
-    item = F.struct(F.col("period").cast("string").alias("Data"), _TEXT.alias("Mediana"), F.lit("1").alias("Media"))
+    item = F.struct(F.col("period").cast("string").alias("Data"), _text().alias("Mediana"), F.lit("1").alias("Media"))
     return _parsed(payloads.parse_focus(_bodies(A.monthly(spark, d), item).select("series_id", F.to_json(F.struct(F.col("items").alias("value"))).alias("body"))))
 
 
 @query(_with(A.MON) + _PARSED)
 def parse_sidra(spark, d):
-    item = F.struct(F.lit("1").alias("D1C"), F.date_format("period", "yyyyMM").alias("D3C"), _TEXT.alias("V"))
+    item = F.struct(F.lit("1").alias("D1C"), F.date_format("period", "yyyyMM").alias("D3C"), _text().alias("V"))
     head = F.struct(F.lit("Brasil (Código)").alias("D1C"), F.lit("Mês (Código)").alias("D3C"), F.lit("Valor").alias("V"))
     raw = _bodies(A.monthly(spark, d), item).select("series_id", F.to_json(F.concat(F.array(head), "items")).alias("body"), F.lit("M").alias("freq"))
     return _parsed(payloads.parse_sidra(raw))
@@ -656,7 +658,7 @@ def parse_dbnomics(spark, d):
 
 @query(_with(A.MON) + _PARSED)
 def parse_csv(spark, d):
-    item = F.concat_ws(",", F.lit("x"), F.date_format(F.last_day("period"), "MM/dd/yyyy"), _TEXT)
+    item = F.concat_ws(",", F.lit("x"), F.date_format(F.last_day("period"), "MM/dd/yyyy"), _text())
     body = F.concat(F.lit("banner\n\nname,date,value\n"), F.array_join("items", "\n"))
     return _parsed(payloads.parse_csv(_bodies(A.monthly(spark, d), item).select("series_id", body.alias("body")), "date", "value", 1, "MM/dd/yyyy", True))
 
