@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,73 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _op1_sql() -> str:
+    """Spans of every rule: matches and the pieces between them give the positions."""
+    parts = []
+    for k, rule in enumerate(secret_scan.RULES):
+        pattern = re.sub(r"\(\?i:(.*?)\)", lambda m: "(?:" + re.sub("[a-z]", lambda c: f"[{c[0]}{c[0].upper()}]", m[1]) + ")", rule.pattern).replace("'", "''")
+        parts.append(f"SELECT doc_id, {k} AS k, '{rule.kind}' AS kind, {str(rule.base).lower()} AS base, {rule.at_least} AS least, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS found, regexp_extract_all(t, '{pattern}', {rule.group}) AS grp FROM docs")
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+matches AS ({" UNION ALL ".join(parts)}),
+spans AS (
+  SELECT doc_id, k, kind, base, starts, starts + length(found[i]) AS ends FROM (
+    SELECT *, CAST(list_sum([length(x) FOR x IN gaps[1:i]]) + coalesce(list_sum([length(x) FOR x IN found[1:i - 1]]), 0) AS BIGINT) AS starts
+    FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM matches)
+  ) WHERE length(grp[i]) >= least
+)
+SELECT docs.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(kind || ':' || starts || ':' || ends, ',' ORDER BY starts, k) FILTER (base), '')) AS base_sha256,
+  coalesce(string_agg(kind || ':' || starts || ':' || ends, ',' ORDER BY starts, k), '') AS spans
+FROM docs LEFT JOIN spans USING (doc_id) GROUP BY docs.doc_id"""
+
+
+OP2_SQL = f"""
+WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS x FROM (SELECT *, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS x FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw))),
+hit AS (SELECT doc_id, i, dw.n, item FROM dw JOIN bw ON dw.x = bw.x AND dw.n = bw.n),
+words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, count(DISTINCT item) AS n_items, sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS items_sha256 FROM hit GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+OP5_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place FROM documents
+),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+often AS (SELECT key, max(doc_id) AS home FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT keyed.*, home IS NOT NULL AND home <> doc_id AS falls FROM keyed LEFT JOIN often USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (falls) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT falls), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+
+def _op9_sql() -> str:
+    phrases = ", ".join(f"('{p}', '{label}')" for p, label in license_scan.PHRASES)
+    templates = ", ".join(f"({k}, '{label}', '{text}')" for k, (label, text) in enumerate(license_scan.TEMPLATES))
+    return f"""
+WITH d AS (SELECT doc_id, {_LOWER} AS t, {_WORDS} AS w FROM documents),
+p AS (SELECT string_split(phrase, ' ') AS x, label FROM (VALUES {phrases}) v(phrase, label)),
+places AS (SELECT doc_id, i - 1 AS place, label FROM (SELECT doc_id, w, x, label, unnest(range(1, len(w) - len(x) + 2)) AS i FROM d, p) WHERE w[i:i + len(x) - 1] = x),
+base AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY 1),
+tm AS (SELECT k, label, list_distinct({_WORDS}) AS x FROM (VALUES {templates}) v(k, label, text)),
+blocks AS (SELECT DISTINCT doc_id, text FROM (SELECT doc_id, unnest(string_split(t, chr(10)) || string_split(t, chr(10) || chr(10))) AS text FROM d)),
+found AS (SELECT doc_id, label, CAST(len(list_intersect(b.x, tm.x)) AS DOUBLE) / len(tm.x) AS share FROM (SELECT doc_id, list_distinct({_WORDS}) AS x FROM blocks) b, tm WHERE len(list_intersect(b.x, tm.x)) >= {license_scan.THRESHOLD} * len(tm.x)),
+every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM found) GROUP BY 1),
+best AS (SELECT doc_id, max(share) AS share FROM found GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  CAST(CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END AS DOUBLE) AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -125,4 +193,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_format": OP8_SQL}
+    return {
+        "op1_secret_scan": _op1_sql(),
+        "op2_decontaminate": OP2_SQL,
+        "op5_line_dedup": OP5_SQL,
+        "op8_chat_format": OP8_SQL,
+        "op9_license_scan": _op9_sql(),
+    }
