@@ -49,18 +49,17 @@ def _jumps(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     found = nodes.join(parents, nodes["conv"].eqNullSafe(parents["p_conv"]) & (nodes["parent"] == parents["p_node"]), "left")
     state = checkpoint(found.select("conv", "node", F.col("p_node").alias("up"), F.lit(1).cast("long").alias("depth"), F.col("score").alias("total"), F.col("node").alias("root")))
     most = state.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
-    tables = []
-    while state.where("up IS NOT NULL").limit(1).count():
-        tables.append(state.select("conv", "node", "up").where("up IS NOT NULL"))
+    # messages that have reached their root take no further part but as targets
+    done, climbing, tables = state.where("up IS NULL"), state.where("up IS NOT NULL"), []
+    while climbing.limit(1).count():
+        tables.append(climbing.select("conv", "node", "up"))
         if 2 ** (len(tables) - 1) > most:  # longer than any branch: what is left goes round
             break
-        above = state.select(*[F.col(c).alias(f"a_{c}") for c in state.columns])
-        both = state.join(above, state["conv"].eqNullSafe(above["a_conv"]) & (state["up"] == above["a_node"]), "left")
-        state = checkpoint(both.select(
-            "conv", "node", F.col("a_up").alias("up"), (F.col("depth") + F.coalesce("a_depth", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("a_total", F.lit(0.0))).alias("total"), F.coalesce("a_root", "root").alias("root"),
-        ))
-    return state.where("up IS NULL").drop("up"), tables
+        above = done.unionAll(climbing).select(*[F.col(c).alias(f"a_{c}") for c in state.columns])
+        both = climbing.join(above, F.col("conv").eqNullSafe(F.col("a_conv")) & (F.col("up") == F.col("a_node")))
+        moved = checkpoint(both.select("conv", "node", F.col("a_up").alias("up"), (F.col("depth") + F.col("a_depth")).alias("depth"), (F.col("total") + F.col("a_total")).alias("total"), F.col("a_root").alias("root")))
+        done, climbing = done.unionAll(moved.where("up IS NULL")), moved.where("up IS NOT NULL")
+    return done.drop("up"), tables
 
 
 def branches(nodes: DataFrame, most: int = 1) -> DataFrame:
