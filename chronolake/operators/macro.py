@@ -101,7 +101,10 @@ def taylor_rule(panel: DataFrame, params: DataFrame, group: Sequence[str] = ("en
 
 
 def taylor_diagnostics(rule: DataFrame, group: Sequence[str] = ("entity",)) -> DataFrame:
-    return rule.groupBy(*group).agg(F.corr("rate", "prescribed").alias("correlation"), F.avg(F.abs("deviation")).alias("mean_abs_deviation"), F.count(F.lit(1)).alias("n"))
+    varies = (F.min("rate") < F.max("rate")) & (F.min("prescribed") < F.max("prescribed"))
+    pair = lambda a, b: F.avg(F.col(a) * F.col(b)) - F.avg(a) * F.avg(b)
+    correlation = F.when(varies, F.try_divide(pair("rate", "prescribed"), F.sqrt(F.greatest(pair("rate", "rate") * pair("prescribed", "prescribed"), F.lit(0.0)))))
+    return rule.groupBy(*group).agg(correlation.alias("correlation"), F.avg(F.abs("deviation")).alias("mean_abs_deviation"), F.count(F.lit(1)).alias("n"))
 
 
 def taylor_estimate(rule: DataFrame, group: Sequence[str] = ("entity",)) -> DataFrame:
