@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A batch of texts is worked on in slices of about this many bytes, so a task's memory follows the slice, not the batch.
@@ -60,6 +60,21 @@ def crc_mod(id_col: Column, n: int) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % n
 
 
+def smallest_hashes(df: DataFrame, key: Column, n: int, by: str | None = None) -> DataFrame:
+    """At most ``n`` rows of each ``by`` (of all, without it): those with the smallest hash of ``key``.
+
+    Rows are counted first and only hashes in a range that holds about 4 n rows are ranked, so what is sorted
+    does not grow with the table. Few rows are all kept.
+    """
+    part = by or "_part"
+    rows = (df if by else df.withColumn(part, F.lit(0))).withColumn("_hash", F.xxhash64(key))
+    counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
+    share = F.pmod("_hash", F.lit(1 << 32)) / F.lit(float(1 << 32))
+    near = rows.join(counts, part).where(share * F.col("_rows") < 4 * n + 100)
+    ranked = near.withColumn("_k", F.row_number().over(Window.partitionBy(part).orderBy(share, "_hash", key)))
+    return ranked.where(F.col("_k") <= n).select(*df.columns)
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets (length rows + 1) of a string column; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import checkpoint, mix, sliced, workers_import
+from ._common import checkpoint, mix, sliced, smallest_hashes, workers_import
 
 UNKNOWN = "und"
 SIZES = (2, 3, 4)
@@ -120,10 +120,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Filters from labelled rows; rows without text or label teach nothing."""
     workers_import(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"))
-    # the sample is drawn on ids: a bounded number for each salt of a language, then of the language
-    ranked = rows.withColumn("h", F.xxhash64("id")).withColumn("salt", F.pmod("h", F.lit(64)))
-    part = ranked.withColumn("k", F.row_number().over(Window.partitionBy("lang", "salt").orderBy("h", "id"))).where(F.col("k") <= per_language)
-    sample = part.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))).where(F.col("k") <= per_language).select("id", "lang")
+    sample = smallest_hashes(rows, F.col("id"), per_language, "lang")
     texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     chosen = texts.join(F.broadcast(sample.distinct()), ["id", "lang"], "left_semi")  # at most per_language ids a language
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import NONSPACE, hash_words, mix, sliced, text_buffer, words_of, workers_import
+from ._common import NONSPACE, hash_words, mix, sliced, smallest_hashes, text_buffer, words_of, workers_import
 
 BUCKETS = 1 << 16
 DIMENSIONS = 8
@@ -97,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Train on the documents whose id ``labels`` has."""
     workers_import(docs.sparkSession)
     one = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("label"))
-    chosen = one.orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(sample)  # ids and labels only
+    chosen = smallest_hashes(one, F.col("id").cast("string"), sample)  # ids and labels only
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
