@@ -82,6 +82,7 @@ def test_snapshot(obs, snap):
     cur = obs(BASE + [("c", "2024-01-01", 7.0, "2024-02-01", None)])
     inc = snap([("a", "2024-01-01", 2.0 + 1e-13), ("a", "2024-02-01", 3.0), ("a", "2024-03-01", None), ("b", "2024-01-01", 6.0)])
     after, errors = scd.apply_snapshot(cur, inc, "2024-04-01")
+    after = after.checkpoint()
     assert errors.count() == 0
     assert rows_of(after) == sorted([
         ("a", "2024-01-01", 1.0, "2024-02-01", "2024-03-01"), ("a", "2024-01-01", 2.0, "2024-03-01", ""), ("a", "2024-02-01", None, "2024-03-01", "2024-04-01"), ("a", "2024-02-01", 3.0, "2024-04-01", ""),
@@ -92,6 +93,7 @@ def test_snapshot(obs, snap):
     assert counts == {"a": (3, 1, 1, 1), "b": (1, 0, 1, 1)}
     # the same day again replaces, and leaves no closed row of that day
     again, _ = scd.apply_snapshot(after, snap([("a", "2024-01-01", 2.0), ("a", "2024-02-01", 4.0), ("a", "2024-03-01", None), ("b", "2024-01-01", 6.0)]), "2024-04-01")
+    again = again.checkpoint()
     assert again.count() == 8 and again.where("value = 3").count() == 0 and again.where("value = 4 AND realtime_end IS NULL").count() == 1
     # and an equal snapshot changes nothing
     same, _ = scd.apply_snapshot(again, vintages.latest(again).select("series_id", "period", "value"), "2024-05-01")
