@@ -216,9 +216,11 @@ def yoy(spark, d):
     return _r(transforms.transform(A.monthly(spark, d), "yoy", "M"))
 
 
-@query(_with(A.MON) + "SELECT series_id, period, round((pow(1 + r / 100, 12.0) - 1) * 100, 4) AS value FROM (SELECT series_id, period, (value / lag(value) OVER (PARTITION BY series_id ORDER BY period) - 1) * 100 AS r FROM mon)")
+@query(_with(A.MON) + "SELECT series_id, period, round(ln(1.001 + v / 100), 4) AS value FROM (SELECT series_id, period, (pow(1 + r / 100, 12.0) - 1) * 100 AS v FROM (SELECT series_id, period, (value / lag(value) OVER (PARTITION BY series_id ORDER BY period) - 1) * 100 AS r FROM mon))")
 def mom_ann(spark, d):
-    return _r(transforms.transform(A.monthly(spark, d), "mom_ann", "M"), 4)
+    """Annualised monthly rates, as logs of a bit more than their factor: the rates span many orders of magnitude."""
+    rows = transforms.transform(A.monthly(spark, d), "mom_ann", "M")
+    return _r(rows.withColumn("value", F.ln(1.001 + F.col("value") / 100)), 4)
 
 
 @query(_window_sql("(ln(value) - ln(lag(value) OVER w)) * 100"))
