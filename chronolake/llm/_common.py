@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 #: A batch of texts is worked on in slices of about this many bytes, so a task's memory follows the slice, not the batch.
 SLICE_BYTES = 4 << 20
 
+#: Groups whose counts are broadcast, at most.
+FEW = 10_000
+
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -70,6 +73,8 @@ def smallest_hashes(df: DataFrame, key: Column, n: int, by: str | None = None) -
     rows = (df if by else df.withColumn(part, F.lit(0))).withColumn("_hash", F.xxhash64(key))
     counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
     share = F.pmod("_hash", F.lit(1 << 32)) / F.lit(float(1 << 32))
+    if counts.limit(FEW + 1).count() <= FEW:  # else both sides are shuffled
+        counts = F.broadcast(counts)
     near = rows.join(counts, part).where(share * F.col("_rows") < 4 * n + 100)
     ranked = near.withColumn("_k", F.row_number().over(Window.partitionBy(part).orderBy(share, "_hash", key)))
     return ranked.where(F.col("_k") <= n).select(*df.columns)
