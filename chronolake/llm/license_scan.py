@@ -30,14 +30,12 @@ from ._common import ALNUM, LOWER, hash_windows, hash_words, sliced, text_buffer
 THRESHOLD = 0.8
 #: Phrases whose places are counted, and their labels.
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
-#: (label, text) of notices that are in wide use.
+#: (label, text) of notices that are in wide use. A text of at most four words must be met whole at the threshold; one of
+#: five to ten is left out, since the one word that may be missing is the one that names the license.
 TEMPLATES = (
-    ("mit", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0."),
     ("apache-2", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("cc-by-nc", "Creative Commons Attribution-NonCommercial"),
     ("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),

@@ -109,7 +109,7 @@ def test_span_positions(spark, docs):
     assert [(x["first"], x["last"], x["start"], x["end"]) for x in row.ranges] == [(1, 4, 3, 17)]
 
 
-NOTICE = license_scan.TEMPLATES[1][1]
+NOTICE = next(text for label, text in license_scan.TEMPLATES if label == "mit")
 
 
 def test_licenses(spark, docs):
@@ -141,5 +141,14 @@ def test_licenses(spark, docs):
     assert license_scan.license_labels(docs([])).count() == 0
 
 
+def test_kindred_notices_name_only_their_own_license(spark, docs):
+    rows = [
+        (0, "Released under the Apache License", None), (1, "Licensed under CC BY 4.0.", None), (2, "This work is licensed under a Creative Commons Attribution 4.0 International License.", None),
+        (3, "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", None), (4, "Released under the MIT License.", None),
+    ]
+    got = {g.doc_id: list(g.labels) for g in license_scan.license_labels(docs(rows)).collect()}
+    assert got == {0: [], 1: [], 2: [], 3: ["cc-by-nc"], 4: ["mit"]}
+
+
 def test_digest_of_no_spans():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
