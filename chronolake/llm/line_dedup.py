@@ -147,8 +147,12 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return fallen.groupBy("id", "text_hash").agg(bitmap(F.collect_set("lines")).alias("bitmap")).select(F.col("id").alias(id_col), "text_hash", "bitmap")
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with its text cut by the bitmaps, and (n_lines, n_dropped) as further columns, in place of any of these names; a null text stays null."""
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
+    """``docs`` with its text cut by the bitmaps; a null text stays null.
+
+    With ``counts`` there are (n_lines, n_dropped) as further columns, in place of any of these names; without,
+    the columns are those of ``docs``.
+    """
     workers_import(docs.sparkSession)
     bits = bitmaps.select(F.struct(F.col(id_col).alias("id"), "text_hash", "bitmap").alias("bits"))
     rows = whole_rows(docs)
@@ -172,9 +176,10 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
         return pd.DataFrame({"kept": pd.Series(kept, dtype=object), "n_lines": n_lines, "n_dropped": n_dropped})
 
     out = joined.withColumn("cut", cut(F.col(f"row.{text_col}").cast("string"), "bits.bitmap"))
-    own = [F.col("cut.kept").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    return out.select(*own, F.col("cut.n_lines").alias("n_lines"), F.col("cut.n_dropped").alias("n_dropped"))
+    more = ("n_lines", "n_dropped") if counts else ()
+    own = [F.col("cut.kept").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns if c not in more]
+    return out.select(*own, *[F.col("cut")[c].alias(c) for c in more])
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:
-    return apply_bitmaps(docs, keep_bitmaps(docs, id_col, text_col, least_chars, least_docs), id_col, text_col)
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, counts: bool = True) -> DataFrame:
+    return apply_bitmaps(docs, keep_bitmaps(docs, id_col, text_col, least_chars, least_docs), id_col, text_col, counts)
