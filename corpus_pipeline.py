@@ -21,7 +21,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: long lines of many documents stay in one; n_chars follows the text, and stays where that is null."""
-    out = line_dedup.line_dedup(docs)
+    out = line_dedup.line_dedup(docs, counts=False)
     return out.select(*[F.coalesce(F.char_length("text").cast(docs.schema[c].dataType), c).alias(c) if c == "n_chars" else c for c in docs.columns])
 
 
