@@ -163,6 +163,21 @@ def test_quality_rules(spark, docs, prose):
     assert quality_rules.quality(docs([(1, prose("en", 1), None)])).first().kept is not None
 
 
+def test_quality_of_rare_languages(spark, docs, monkeypatch):
+    def spoken(lang, seed, n=120):
+        r = random.Random(f"{lang}{seed}")
+        return " ".join(r.choices([f"{lang}{'abcdefghijklmnopqrstuvwxyz'[k]}x" for k in range(26)], k=n))
+
+    rows = [(i, spoken("big", i), "big") for i in range(11_000)] + [(20_000 + i, spoken("rare", i), "rare") for i in range(10)] + [(30_000, spoken("lone", 1), "lone"), (30_001, spoken("lone", 2), None), (30_002, spoken("rare", 99), None), (30_003, spoken("lone", 3), "big")]
+    frame = docs(rows).repartition(8).cache()
+    for size in (quality_rules.BLOCK, 1):  # one block, and a block for each language
+        monkeypatch.setattr(quality_rules.References.__init__, "__defaults__", (size,))
+        got = {g.doc_id: g for g in quality_rules.quality(frame.where("doc_id % 11 = 0 or doc_id >= 20000") if size == 1 else frame).collect()}
+        assert all(got[20_000 + i].kept for i in range(10)) and got[30_002].kept
+        assert got[30_000].kept and got[30_000].word_distance is None  # too few words for a reference of its own
+        assert not got[30_001].kept and not got[30_003].kept  # foreign to all references
+
+
 def test_divergence():
     assert quality_rules.js_distance(np.array([1e9, 0.0]), np.array([0.0, 5.0])) == pytest.approx(1)
     assert quality_rules.js_distance(np.array([2.0, 6.0]) * 1e9, np.array([1.0, 3.0])) == pytest.approx(0)
