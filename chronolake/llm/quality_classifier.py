@@ -10,8 +10,9 @@ driver. Scoring is one pass over whole texts without a shuffle: the mean of vect
 mean of one number per bucket, so that a table of ``buckets`` floats is all that a task needs.
 
 Defined cases: a null or empty text has no features and gets the layer's bias alone; labels that are null
-are not read, of several labels of an id the smallest counts; without labels every score is 0.5;
-repeated documents are scored one by one; other columns are ignored.
+are not read, of several labels of an id the smallest counts; of several rows of an id training reads
+one, the text with the smallest hash, a null only where there is no text; without labels every score is
+0.5; repeated documents are scored one by one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -99,6 +100,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     one = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("label"))
     chosen = smallest_hashes(one, F.col("id").cast("string"), sample)  # ids and labels only
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id")
+    texts = texts.groupBy("id", "label").agg(F.min_by("text", F.struct(F.col("text").isNull(), F.xxhash64("text"), "text")).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
@@ -111,7 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = texts.select("label", "text").mapInArrow(count, "label int, bucket binary, n binary")
     examples = [(int(r[0] > 0), np.frombuffer(r[1], "<i4"), np.frombuffer(r[2], "<i4")) for r in rows.toLocalIterator()]
     examples.sort(key=lambda e: (e[0], len(e[1]), e[1].tobytes(), e[2].tobytes()))  # the same order however tasks end
-    return train(examples[: 2 * sample], buckets)
+    return train(examples, buckets)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -198,6 +198,22 @@ def test_quality_classifier(spark, docs, prose):
     assert {g.score for g in quality_classifier.score(docs(rows), quality_classifier.fit(docs(rows), labels.limit(0))).collect()} == {0.5}
 
 
+def test_quality_classifier_reads_one_row_of_an_id(spark, docs, prose, monkeypatch):
+    rows = [(i, prose("en", i, 60) if i % 3 else prose("en", i, 60).upper().replace(" ", "$ "), None) for i in range(90)]
+    labels = spark.createDataFrame([(i, 1 if i % 3 else 0) for i in range(90)], "doc_id long, quality int")
+    read, train = [], quality_classifier.train
+    monkeypatch.setattr(quality_classifier, "train", lambda examples, buckets: read.append([(e[0], e[1].tobytes(), e[2].tobytes()) for e in examples]) or train(examples, buckets))
+    quality_classifier.fit(docs(rows), labels, sample=90)
+    hot = docs(rows).unionAll(docs([(0, rows[0][1], None)] * 400)).unionAll(docs([(0, None, None), (1, None, None)]))
+    model = quality_classifier.fit(hot, labels, sample=90)
+    assert read[0] == read[1] and len(read[1]) == 90 and {e[0] for e in read[1]} == {0, 1}
+    held = [(g.score >= 0.5) == bool(g.doc_id % 3) for g in quality_classifier.score(docs(rows), model).collect()]
+    assert sum(held) >= 87
+    quality_classifier.fit(docs([(1, "a b", None), (1, "c d", None), (2, None, None)]), labels)
+    quality_classifier.fit(docs([(2, None, None), (1, "c d", None), (1, "a b", None)]).repartition(3), labels)
+    assert read[2] == read[3] and len(read[2]) == 2
+
+
 CHATS = "conv_id long, turn long, role string, text string, conv string, node string"
 
 
