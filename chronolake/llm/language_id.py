@@ -6,11 +6,12 @@ hold it, in one lookup. A text's grams give each language a popcount; the count
 the filter's measured false-positive rate is taken off, and the largest corrected share decides.
 
 The fit reads a bounded sample: at most ``per_language`` labelled documents of each language, those with
-the smallest hash of their id. What it collects is bounded too: ``slots`` masks. Prediction is one pass
+the smallest hash of their id. Of several rows of an id and language it reads one, the text with the
+smallest hash; without an id each different text is a document. What it collects is bounded too: ``slots`` masks. Prediction is one pass
 over whole texts without a shuffle.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every text when
-nothing could be learned; ties go to the first language in alphabetical order; repeated rows are judged
+nothing could be learned (``keep_known`` then keeps texts with letters); ties go to the first language in alphabetical order; repeated rows are judged
 one by one; other columns are ignored.
 """
 
@@ -119,10 +120,11 @@ class LanguageFilters:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, grams: int = GRAMS, slots: int = SLOTS, hashes: int = HASHES) -> LanguageFilters:
     """Filters from labelled rows; rows without text or label teach nothing."""
     workers_import(docs.sparkSession)
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"))
-    sample = smallest_hashes(rows, F.col("id"), per_language, "lang")
-    texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    chosen = texts.join(F.broadcast(sample.distinct()), ["id", "lang"], "left_semi")  # at most per_language ids a language
+    texts = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    texts = texts.withColumn("hash", F.xxhash64("text")).select(F.coalesce("id", F.concat(F.lit("\0"), F.hex("hash"))).alias("id"), "lang", "hash", "text")
+    distinct = checkpoint(texts.groupBy("lang", "id").agg(F.min("hash").alias("hash")))
+    sample = smallest_hashes(distinct, F.col("id"), per_language, "lang")  # at most per_language ids a language
+    chosen = texts.join(F.broadcast(sample), ["lang", "id", "hash"], "left_semi").groupBy("lang", "id").agg(F.min("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
@@ -167,7 +169,10 @@ def predict(docs: DataFrame, filters: LanguageFilters, id_col: str = "doc_id", t
 
 
 def keep_known(docs: DataFrame, filters: LanguageFilters, text_col: str = "text", least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score of at least ``least``, as they are."""
+    """The rows of ``docs`` whose language is known with a score of at least ``least``, as they are.
+
+    Without any language learned, the rows whose text has letters.
+    """
     workers_import(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(filters)
     at = docs.columns.index(text_col)
@@ -175,7 +180,11 @@ def keep_known(docs: DataFrame, filters: LanguageFilters, text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
         for batch in sliced(batches, text_col):
-            found = [model.predict(x) for x in batch.column(at).to_pylist()]
+            texts = batch.column(at).to_pylist()
+            if not model.languages:
+                yield batch.filter(pa.array([any(map(str.isalpha, x or "")) for x in texts], pa.bool_()))
+                continue
+            found = [model.predict(x) for x in texts]
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

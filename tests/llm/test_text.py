@@ -122,6 +122,25 @@ def test_language_id(spark, docs, prose):
     assert {x.lang_pred for x in language_id.predict(docs(new), nothing).collect()} == {"und"}
 
 
+def test_language_sample_is_of_documents(spark, docs, prose):
+    named = [(i, prose(lang, i), lang) for i, lang in enumerate(["en", "de", "fr"] * 20)]
+    junk = "zq xj qz " * 5
+    plain = language_id.fit(docs(named), per_language=20)
+    # rows without id of one text, and rows of one id, take one place each
+    crowd = [(None, junk, "en")] * 60 + [(i, junk, lang) for i, lang in ((900, "de"), (901, "fr")) for _ in range(60)]
+    crowded = language_id.fit(docs(named + crowd), per_language=21)
+    assert (plain.masks == crowded.masks).all()
+    # different texts without ids are documents, beside named ones and alone
+    for given in ([(i if lang == "en" else None, t, lang) for i, t, lang in named], [(None, t, lang) for _, t, lang in named]):
+        filters = language_id.fit(docs(given), per_language=20)
+        assert filters.languages == ["de", "en", "fr"] and (filters.masks == plain.masks).all()
+    # of a repeated id the same row is read in any order
+    several = named + [(0, prose("en", 500 + k), "en") for k in range(5)]
+    assert (language_id.fit(docs(several)).masks == language_id.fit(docs(several[::-1])).masks).all()
+    unlabelled = [(1, "some words", None), (None, "\u0434\u0430", None), (2, "12 !", None), (3, "", None), (4, None, None)]
+    assert sorted(x.text for x in language_id.keep_known(docs(unlabelled), language_id.fit(docs(unlabelled))).collect()) == ["some words", "\u0434\u0430"]
+
+
 def test_bloom_filters_hold_what_was_learned():
     r = np.random.default_rng(1)
     grams = [r.integers(0, 2**63, 500).astype(np.uint64) for _ in range(70)]  # more languages than a mask word has bits
