@@ -7,7 +7,8 @@ the filter's measured false-positive rate is taken off, and the largest correcte
 
 The fit reads a bounded sample: at most ``per_language`` labelled documents of each language, those with
 the smallest hash of their id. Of several rows of an id and language it reads one, the text with the
-smallest hash; without an id each different text is a document. What it collects is bounded too: ``slots`` masks. Prediction is one pass
+smallest hash; without an id each different text is a document. Grams of one document only are left out,
+except where a language has no others, as with a single document. What it collects is bounded too: ``slots`` masks. Prediction is one pass
 over whole texts without a shuffle.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every text when
@@ -137,8 +138,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 gram, n = np.unique(np.concatenate(arrays), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(n, pa.int64())], ["lang", "gram", "n"])
 
-    counts = chosen.select("lang", "text").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = counts.where("n > 1")
+    counts = checkpoint(chosen.select("lang", "text").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    most = counts.groupBy("lang").agg(F.max("n").alias("most"))
+    counts = counts.join(most, "lang").where("n > 1 or most = 1").drop("most")
     salted = counts.withColumn("salt", F.pmod("gram", F.lit(64)))
     order = (F.col("n").desc(), F.col("gram"))
     top = salted.withColumn("k", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("k") <= grams)

@@ -141,6 +141,15 @@ def test_language_sample_is_of_documents(spark, docs, prose):
     assert sorted(x.text for x in language_id.keep_known(docs(unlabelled), language_id.fit(docs(unlabelled))).collect()) == ["some words", "\u0434\u0430"]
 
 
+def test_language_of_a_single_document(spark, docs, prose):
+    rows = [(i, prose(lang, i), lang) for i, lang in enumerate(["en", "de"] * 20)] + [(100, prose("fr", 100), "fr")]
+    filters = language_id.fit(docs(rows))
+    assert filters.languages == ["de", "en", "fr"]
+    new = [(1000 + i, prose("fr", 1000 + i), None) for i in range(10)]
+    assert {x.lang_pred for x in language_id.predict(docs(new), filters).collect()} == {"fr"}
+    assert language_id.keep_known(docs(rows + new), filters).count() == len(rows + new)
+
+
 def test_bloom_filters_hold_what_was_learned():
     r = np.random.default_rng(1)
     grams = [r.integers(0, 2**63, 500).astype(np.uint64) for _ in range(70)]  # more languages than a mask word has bits
