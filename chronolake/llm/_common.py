@@ -1,16 +1,13 @@
-"""Helpers shared by the training-data operators: checkpoints, Arrow text buffers, word hashing."""
+"""Helpers shared by the training-data operators: samples, Arrow text buffers, word hashing."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A batch of texts is worked on in slices of about this many bytes, so a task's memory follows the slice, not the batch.
@@ -19,40 +16,6 @@ SLICE_BYTES = 4 << 20
 #: Groups whose counts are broadcast, at most.
 FEW = 10_000
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def workers_import(spark: SparkSession) -> None:
-    """Let Python workers that do not start in this repository import the package."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which all executors share; a temporary one only on a local master."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = sc.getConf().get("spark.checkpoint.dir")
-        if not shared:
-            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            shared = tempfile.mkdtemp(prefix="chronolake-checkpoint-")
-        sc.setCheckpointDir(shared)
-    return sc.getCheckpointDir()
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Compute now and cut lineage, in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def written(df: DataFrame) -> DataFrame:
-    """Compute now, as Parquet in the shared folder, and read it back."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def whole_rows(df: DataFrame) -> DataFrame:
     """Each row as one column ``row``, so that no name of it can clash."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))

@@ -34,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import sliced, workers_import
+from .._spark import ship
+from ._common import sliced
 
 #: Words that a worker remembers, at most.
 REMEMBERED = 400_000
@@ -358,7 +359,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     The driver reads the file at ``path`` and broadcasts what it says, a few MB for any input.
     """
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(Tokenizer.from_file(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,7 +382,7 @@ def _little(ids: array) -> bytes:
 
 def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids_le") -> DataFrame:
     """(id, decoded) from the ids that ``encode_decode`` returns; null decodes to the empty text."""
-    workers_import(tokens.sparkSession)
+    ship(tokens.sparkSession)
     held = tokens.sparkSession.sparkContext.broadcast(Tokenizer.from_file(path))
 
     def one(data: bytes | None) -> str:

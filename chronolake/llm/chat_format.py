@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import checkpoint
+from .._spark import checkpoint
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 

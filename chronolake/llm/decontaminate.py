@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import ALNUM, LOWER, hash_windows, hash_words, sliced, text_buffer, whole_rows, words_of, workers_import
+from .._spark import ship
+from ._common import ALNUM, LOWER, hash_windows, hash_words, sliced, text_buffer, whole_rows, words_of
 
 SIZE = 13
 #: Bytes of window texts and item ids in one broadcast.
@@ -35,7 +36,7 @@ SHARE = 20
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
     """(window, items): each distinct window, its words joined by spaces, and the sorted ids of its items."""
-    workers_import(benchmark.sparkSession)
+    ship(benchmark.sparkSession)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
@@ -142,7 +143,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     ``ranges`` holds the hit runs as word positions [first, last) and code points [start, end).
     """
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
     spark = docs.sparkSession
     windows = benchmark_windows(benchmark, item_col, item_text_col, size)
     weight = windows.agg(F.sum(F.octet_length("window") + F.coalesce(F.aggregate("items", F.lit(0), lambda a, x: a + F.octet_length(x) + 8), F.lit(0)))).first()[0] or 0

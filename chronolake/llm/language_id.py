@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import checkpoint, mix, sliced, smallest_hashes, workers_import
+from .._spark import checkpoint, ship
+from ._common import mix, sliced, smallest_hashes
 
 UNKNOWN = "und"
 SIZES = (2, 3, 4)
@@ -120,7 +121,7 @@ class LanguageFilters:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, grams: int = GRAMS, slots: int = SLOTS, hashes: int = HASHES) -> LanguageFilters:
     """Filters from labelled rows; rows without text or label teach nothing."""
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
     texts = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     texts = texts.withColumn("hash", F.xxhash64("text")).select(F.coalesce("id", F.concat(F.lit("\0"), F.hex("hash"))).alias("id"), "lang", "hash", "text")
     distinct = checkpoint(texts.groupBy("lang", "id").agg(F.min("hash").alias("hash")))
@@ -156,7 +157,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 def predict(docs: DataFrame, filters: LanguageFilters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) for each row."""
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(filters)  # slots x languages / 8 bytes, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +176,7 @@ def keep_known(docs: DataFrame, filters: LanguageFilters, text_col: str = "text"
 
     Without any language learned, the rows whose text has letters.
     """
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(filters)
     at = docs.columns.index(text_col)
 

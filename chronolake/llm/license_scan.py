@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import ALNUM, LOWER, hash_windows, hash_words, sliced, text_buffer, words_of, workers_import
+from .._spark import ship
+from ._common import ALNUM, LOWER, hash_windows, hash_words, sliced, text_buffer, words_of
 
 THRESHOLD = 0.8
 #: Phrases whose places are counted, and their labels.
@@ -51,7 +52,7 @@ def word_set(text: str) -> frozenset[bytes]:
 
 def corpus_counts(docs: DataFrame, vocabulary: frozenset[bytes], text_col: str = "text") -> dict[bytes, int]:
     """How often each word of the templates stands in the corpus, over all rows."""
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
     words = sorted(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +119,7 @@ def license_labels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ``matches`` lists (label, containment, first word, end word) of every block that meets a template.
     """
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
     counts = corpus_counts(docs, frozenset().union(*(word_set(t) for _, t in templates)), text_col) if templates else {}
     index = TemplateIndex(templates, counts, threshold)
 

@@ -27,7 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import checkpoint, sliced, whole_rows, workers_import
+from .._spark import checkpoint, ship
+from ._common import sliced, whole_rows
 
 LEAST_CHARS, LEAST_DOCS = 40, 5
 _SPACE = " \t\n\x0b\x0c\r"
@@ -128,7 +129,7 @@ def unpack(bitmap: bytes, n: int) -> np.ndarray:
 
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:
     """(id, text_hash, bitmap) of the rows that lose lines."""
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     order = ("h1", "h2", F.col("id").desc_nulls_last())
     lines = checkpoint(_line_rows(docs, id_col, text_col, least_chars))
@@ -153,7 +154,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
     With ``counts`` there are (n_lines, n_dropped) as further columns, in place of any of these names; without,
     the columns are those of ``docs``.
     """
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
     bits = bitmaps.select(F.struct(F.col(id_col).alias("id"), "text_hash", "bitmap").alias("bits"))
     rows = whole_rows(docs)
     joined = rows.join(bits, F.col(f"row.{id_col}").eqNullSafe(F.col("bits.id")) & (F.xxhash64(F.col(f"row.{text_col}").cast("string")) == F.col("bits.text_hash")), "left")

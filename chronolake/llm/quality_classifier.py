@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import NONSPACE, hash_words, mix, sliced, smallest_hashes, text_buffer, words_of, workers_import
+from .._spark import ship
+from ._common import NONSPACE, hash_words, mix, sliced, smallest_hashes, text_buffer, words_of
 
 BUCKETS = 1 << 16
 DIMENSIONS = 8
@@ -96,7 +97,7 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], buckets: int = BUC
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, buckets: int = BUCKETS) -> tuple[np.ndarray, float]:
     """Train on the documents whose id ``labels`` has."""
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
     one = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("label"))
     chosen = smallest_hashes(one, F.col("id").cast("string"), sample)  # ids and labels only
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id")
@@ -118,7 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score): the chance of label 1 for each row."""
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast((model[0].astype(np.float32), model[1]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import checkpoint, sliced, workers_import
+from .._spark import checkpoint, ship
+from ._common import sliced
 
 #: Bytes of each character class; a character beyond ASCII counts by its first byte, its other bytes not at all.
 CLASSES = {
@@ -120,7 +121,7 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     Where the language has too few characters or words, these are zeros or nothing.
     """
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", 32 << 20):

@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import LOWER, sliced, text_buffer, workers_import
+from .._spark import ship
+from ._common import LOWER, sliced, text_buffer
 
 SPANS = "array<struct<kind:string,start:long,end:long>>"
 
@@ -210,7 +211,7 @@ class TrigramIndex:
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(id, spans): all secrets of each row, as code-point spans by start and then by the order of the rules."""
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
     id_type = docs.schema[id_col].dataType
     kinds = [r.kind for r in rules]
 
@@ -235,7 +236,7 @@ def spans_text(spans: Column) -> Column:
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """(id, text): the texts with every span, overlapping ones as one, replaced by ``mark``; null stays null."""
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
     id_type = docs.schema[id_col].dataType
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

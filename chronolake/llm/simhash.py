@@ -1,16 +1,21 @@
 """SimHash near-duplicates by a byte-position inverted index with count filtering.
 
 Two 64-bit fingerprints within ``BITS`` = 3 bits differ in at most 3 of their 8 bytes, so they share at
-least 5 positional bytes: that is the guaranteed minimum. Posting lists of single (position, byte) pairs
-would hold 1/256 of all fingerprints each, and tallying them is quadratic. The index is therefore kept
-on the tally's outcome: a list for each choice of 5 positions and their bytes. A pair that shares m
-positional bytes meets in C(m, 5) lists, a pair below the minimum in none. In a list the shared bytes of
-each pair are tallied, the pair is kept where the list is its first one, and verified by its differing bits.
+least ``SHARED`` = 5 positional bytes: that is the guaranteed minimum. A posting list of a single (position,
+byte) would hold 1/256 of all fingerprints, so the index posts three positions at a time: the triples within
+the first and within the second half. Of 5 shared positions 3 lie in one half, hence every pair that reaches
+the minimum meets in one of these 8 lists at least. In each list the shared positional bytes of every pair are
+tallied, pairs below the minimum are dropped, and what is left is verified by its differing bits.
+
+Every list is tallied whole, and none is long: a list beyond ``LIST`` members is dealt to four narrower ones
+that fix one more of four disjoint parts of the free bits each, one more byte as long as a byte is left to be
+shared. 3 differing bits can't touch all four parts, so every near pair meets again in one of the four. At
+most six rounds later the free bits leave a list no more members than that. Sizes are counted by Spark with
+partial sums, so no task ever meets a long list.
 
 Copies are folded first (one entry for each distinct fingerprint), and a list returns the components of
-its links, never the pairs. A list's members differ in 24 bits only, which bounds it; long lists look up
-the neighbours of each member instead of comparing pairs. Components over all lists come from
-alternating large-star and small-star steps on distributed edges.
+its links, never the pairs. Components over all lists come from alternating large-star and small-star steps
+on distributed edges.
 
 Defined cases: a null or empty text, or one of white space, has fingerprint 0 and is linked like any
 other; a null id takes part but never names a component (a component of null ids only has a null one);
@@ -28,20 +33,36 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import checkpoint, sliced, whole_rows, workers_import
+from .._spark import checkpoint, new_path, remove, ship, written
+from ._common import FEW, sliced, whole_rows
 
 BYTES, BITS, SHARED = 8, 3, 5
-#: Positions of each kind of list, and the mask of the bits that its members share.
-LISTS = list(combinations(range(BYTES), SHARED))
-MASKS = np.array([sum(0xFF << (8 * p) for p in c) for c in LISTS], np.uint64)
-#: From the bit set of shared positions to a pair's first list, -1 below the minimum.
-_FIRST = np.full(256, -1, np.int64)
-for _code in range(256):
-    _shared = [p for p in range(BYTES) if _code >> p & 1]
-    if len(_shared) >= SHARED:
-        _FIRST[_code] = LISTS.index(tuple(_shared[:SHARED]))
-#: Lists beyond this length look neighbours up.
-LONG_LIST = 4096
+#: Positions that the lists fix to begin with.
+TRIPLES = [*combinations(range(4), 3), *combinations(range(4, 8), 3)]
+#: Members of a list beyond which it is dealt to narrower ones.
+LIST = 1024
+#: Pairs that are tallied at a time, unless one list has more.
+PAIRS = 1 << 20
+_ALL = (1 << 64) - 1
+
+
+def _of_bytes(positions) -> int:
+    return sum(0xFF << (8 * p) for p in positions)
+
+
+def narrower(mask: int) -> list[int]:
+    """Four masks that fix one more part of the free bits each; the parts are disjoint."""
+    free = [p for p in range(BYTES) if not mask >> (8 * p) & 0xFF]
+    if len(free) >= 4:
+        parts = [0xFF << (8 * p) for p in free[:4]]
+    else:
+        bits = [b for b in range(64) if not mask >> b & 1]
+        parts = [sum(1 << b for b in own.tolist()) for own in np.array_split(bits, 4)]
+    return [mask | part for part in parts]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
 def simhash(text: str | None, shingle: int = 3) -> int:
@@ -60,7 +81,7 @@ def simhash(text: str | None, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(id, fp) for each row; fp is the bit pattern as a long."""
-    workers_import(docs.sparkSession)
+    ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
@@ -84,98 +105,101 @@ def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _pairs(members: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a list by tallying the shared bytes of all its pairs, a block of rows at a time."""
+def _list_links(of: np.ndarray, fps: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of whole lists, one after the other in ``fps``: positions of both ends. ``of`` is each member's list."""
     left, right = [], []
-    for at in range(0, len(members), 256):
-        x = members[at : at + 256, None] ^ members[None, :]
-        tally = np.packbits(x.view(np.uint8).reshape(*x.shape, 8) == 0, axis=-1, bitorder="little")[..., 0]
-        i, j = np.nonzero((_FIRST[tally] == kind) & (np.bitwise_count(x) <= BITS))
-        keep = i + at < j
-        left.append(i[keep] + at)
-        right.append(j[keep])
-    return np.concatenate(left), np.concatenate(right)
-
-
-def _neighbours(members: np.ndarray, kind: int) -> np.ndarray:
-    """Component labels of a long list: every member looks up what differs from it in up to 3 of the free bits."""
-    free = [8 * p + k for p in range(BYTES) if p not in LISTS[kind] for k in range(8)]
-    packed = np.zeros(len(members), np.int64)
-    for k, bit in enumerate(free):
-        packed |= ((members >> np.uint64(bit)) & np.uint64(1)).astype(np.int64) << k
-    where = np.full(1 << len(free), -1, np.int32)
-    where[packed] = np.arange(len(members))
-    label = np.arange(len(members))
-    flips = [sum(1 << k for k in c) for n in range(1, BITS + 1) for c in combinations(range(len(free)), n)]
-    while True:
-        before = label.copy()
-        for flip in flips:
-            other = where[packed ^ flip]
-            a = np.flatnonzero(other >= 0)
-            low = np.minimum(label[a], label[other[a]])
-            np.minimum.at(label, a, low)
-            np.minimum.at(label, before[a], low)
-        label = label[label]
-        if np.array_equal(before, label):
-            return label
+    last = np.cumsum(sizes)[of]  # end of each member's list
+    at = np.arange(len(fps))
+    for step in range(1, int(sizes.max(initial=0))):
+        at = at[at + step < last[at]]
+        x = fps[at] ^ fps[at + step]
+        shared = np.count_nonzero(x.view(np.uint8).reshape(-1, BYTES) == 0, axis=1)  # the tally
+        enough = np.flatnonzero(shared >= SHARED)
+        near = at[enough[np.bitwise_count(x[enough]) <= BITS]]
+        left.append(near)
+        right.append(near + step)
+    return np.concatenate(left or [at[:0]]), np.concatenate(right or [at[:0]])
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (a, b) from each member of a list to the first one of its component. Rows come sorted by list."""
-    kinds, fps = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    """Edges (a, b) from each linked member of a list to the first one of its component. Rows come sorted by list."""
+    keys, fps = np.zeros((0, 2), np.int64), np.zeros(0, np.uint64)
 
-    def edges(kinds: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
-        key = fps & MASKS[kinds]
-        cut = np.flatnonzero((kinds[1:] != kinds[:-1]) | (key[1:] != key[:-1])) + 1
-        starts = np.concatenate([[0], cut])
+    def edges(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1])
         sizes = np.diff(np.concatenate([starts, [len(fps)]]))
-        two = starts[sizes == 2]
-        x = fps[two] ^ fps[two + 1]
-        two = two[np.bitwise_count(x) <= BITS]
-        a, b = [fps[two]], [fps[two + 1]]
-        for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-            own, kind = fps[s : s + n], int(kinds[s])
-            label = _neighbours(own, kind) if n > LONG_LIST else _labels(n, *_pairs(own, kind))
-            linked = np.flatnonzero(label != np.arange(n))
-            a.append(own[linked])
-            b.append(own[label[linked]])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(v).view(np.int64)) for v in (a, b)], ["a", "b"])
+        pairs = np.cumsum(sizes * (sizes - 1) // 2)
+        at = 0
+        while at < len(sizes):  # runs of lists of about so many pairs
+            to = max(at + 1, int(np.searchsorted(pairs, (pairs[at - 1] if at else 0) + PAIRS, "right")))
+            own = fps[starts[at] : starts[to - 1] + sizes[to - 1]]
+            a, b = _list_links(np.repeat(np.arange(to - at), sizes[at:to]), own, sizes[at:to])
+            label = _labels(len(own), a, b)
+            linked = np.flatnonzero(label != np.arange(len(own)))
+            if len(linked):
+                yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)) for v in (own[linked], own[label[linked]])], ["a", "b"])
+            at = to
 
     for batch in batches:
-        kinds = np.concatenate([kinds, batch.column(0).to_numpy().astype(np.int64)])
-        fps = np.concatenate([fps, batch.column(1).to_numpy().view(np.uint64)])
-        if len(fps):
-            last = (kinds == kinds[-1]) & (fps & MASKS[kinds[-1]] == fps[-1] & MASKS[kinds[-1]])
-            cut = int(np.argmax(last))  # the last list may go on in the next batch
-            if cut:
-                yield edges(kinds[:cut], fps[:cut])
-                kinds, fps = kinds[cut:], fps[cut:]
+        if not batch.num_rows:
+            continue
+        keys = np.concatenate([keys, np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], 1)])
+        fps = np.concatenate([fps, batch.column(2).to_numpy().view(np.uint64)])
+        cut = int(np.argmax((keys == keys[-1]).all(1)))  # the last list may go on in the next batch
+        if cut:
+            yield from edges(keys[:cut], fps[:cut])
+            keys, fps = keys[cut:], fps[cut:]
     if len(fps):
-        yield edges(kinds, fps)
+        yield from edges(keys, fps)
 
 
-def links(distinct: DataFrame) -> DataFrame:
+def _posted(rows: DataFrame, masks: DataFrame) -> DataFrame:
+    """(mask, key, fp): ``rows`` in each list of their ``masks``."""
+    return rows.join(F.broadcast(masks), "was").select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")  # at most 8 x 4^6 masks
+
+
+def links(distinct: DataFrame, longest: int = LIST) -> DataFrame:
     """Edges (a, b) that connect exactly the fingerprints that links within 3 bits connect. ``distinct`` has a column fp without repeats."""
-    workers_import(distinct.sparkSession)
-    lists = F.array(*[F.lit(k).cast("short") for k in range(len(LISTS))])
-    mask = F.element_at(F.array(*[F.lit(int(m)) for m in MASKS.view(np.int64)]), F.col("kind") + 1)
-    rows = distinct.select(F.explode(lists).alias("kind"), "fp")
-    key = F.col("fp").bitwiseAND(mask)
-    return rows.repartition("kind", key).sortWithinPartitions("kind", key).mapInArrow(_links, "a long, b long")
+    spark = distinct.sparkSession
+    ship(spark)
+    step = {0: [_of_bytes(t) for t in TRIPLES]}
+    rows, found = distinct.select(F.lit(0).cast("long").alias("was"), "fp"), None
+    while True:
+        masks = spark.createDataFrame([(_signed(was), _signed(m)) for was, own in step.items() for m in own], "was long, mask long")
+        posted = _posted(rows, masks)
+        # lists that are too long, found by partial counts: no task sees their members together
+        long = checkpoint(posted.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > longest).select("mask", "key"))
+        n_long = long.limit(FEW + 1).count()
+        if n_long:
+            side = F.broadcast(long) if n_long <= FEW else long
+            short, again = posted.join(side, ["mask", "key"], "left_anti"), posted.join(side, ["mask", "key"], "left_semi")
+        else:
+            short = posted
+        own = short.repartition("mask", "key").sortWithinPartitions("mask", "key").mapInArrow(_links, "a long, b long")
+        found = own if found is None else found.unionAll(own)
+        if not n_long:
+            return found
+        step = {m: narrower(m) for m in sorted({x for own in step.values() for x in own}) if m != _ALL}
+        rows = checkpoint(again.select(F.col("mask").alias("was"), "fp"))
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node that each linked node can reach; alternating star contraction.
 
     Rows are edges (a, b) of longs. Every step keeps the components; rounds grow with the logarithm of
-    the nodes, and the loop ends when a round changes nothing.
+    the nodes, and the loop ends when a round changes nothing. Each round's edges are written, and those of
+    the round before removed.
     """
+    spark = edges.sparkSession
 
     def print_of(e: DataFrame):
         return e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first()
 
-    # kept as a > b
-    edges = checkpoint(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    def kept(e: DataFrame) -> tuple[DataFrame, str]:
+        path = new_path(spark, ".parquet")
+        return written(e.distinct(), path), path
+
+    edges, path = kept(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))  # kept as a > b
     was = print_of(edges)
     for _ in range(most_rounds):
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -185,7 +209,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         # small star: smaller neighbours, and the node itself, hang on the smallest one
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")).unionAll(low.select("a", F.col("low").alias("b")))
-        edges = checkpoint(small.distinct())
+        (edges, path), before = kept(small), path
+        remove(spark, before)
         now = print_of(edges)
         if now == was:
             break
@@ -195,13 +220,17 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def _roots(prints: DataFrame) -> DataFrame:
+    """(fp, root) of each distinct fingerprint; the root is one of its component's."""
+    reps = checkpoint(prints.select("fp").distinct())
+    return reps.join(components(links(reps)).withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(id, fp, component_id) for each row; the component is named by its smallest id."""
     prints = checkpoint(fingerprints(docs, id_col, text_col, shingle))
-    reps = checkpoint(prints.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = components(links(reps.select("fp")))
-    members = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = members.join(members.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    least = prints.groupBy("fp").agg(F.min("id").alias("least")).join(_roots(prints), "fp")
+    named = least.join(least.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     return prints.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
@@ -210,9 +239,18 @@ def fingerprint_hex(fp):
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest id. Of rows that repeat an id one stays; rows without id stay once for each text."""
-    found = near_duplicates(docs, id_col, text_col, shingle)
-    kept = found.where(F.col(id_col) == F.col("component_id")).select(F.struct(F.col(id_col).alias("id")).alias("kept")).distinct()
-    rows = whole_rows(docs)
-    named = rows.join(kept, F.col(f"row.{id_col}") == F.col("kept.id"), "left_semi").groupBy(F.col(f"row.{id_col}").alias("id")).agg(F.first("row").alias("row"))
-    return named.select("row.*").unionByName(docs.where(F.col(id_col).isNull()).dropDuplicates([text_col]))
+    """``docs`` with one row of each component: the smallest id, nulls last, then the smallest hash of the text and of the row.
+
+    Rows that share an id but not their component all stay; rows without id are folded like any other.
+    """
+    ship(docs.sparkSession)
+    text = F.col(f"`{text_col}`").cast("string")
+    name = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("\0"))  # no null, so that it is a plain key
+    own = F.struct(name.alias("name"), F.xxhash64(text).alias("text"))
+    prints = checkpoint(fingerprints(docs.select(F.struct(F.col(f"`{id_col}`").alias("id"), own.alias("own")).alias("id"), text.alias("text")), "id", "text", shingle))
+    order = F.struct(F.col("id.id").isNull(), F.col("id.id"), F.col("id.own.text"))
+    kept = prints.join(_roots(prints), "fp").groupBy("root").agg(F.min_by("id", order).alias("id")).select(F.col("id.own.name").alias("_name"), F.col("id.own.text").alias("_text")).distinct()
+    rows = whole_rows(docs).select("row", F.coalesce(F.col(f"row.{id_col}").cast("string"), F.lit("\0")).alias("_name"), F.xxhash64(F.col(f"row.{text_col}").cast("string")).alias("_text"))
+    others = [F.col(f"row.{c}").alias(c) for c in docs.columns if c != text_col]
+    found = rows.join(kept, ["_name", "_text"], "left_semi").groupBy("_name", "_text").agg(F.min_by("row", F.to_json(F.struct(*others))).alias("row"))
+    return found.select("row.*")

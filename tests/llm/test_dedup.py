@@ -54,9 +54,8 @@ def test_fingerprints_and_components(spark, docs):
     assert simhash.near_duplicates(docs([])).count() == 0
 
 
-@pytest.mark.parametrize("long_list", [4096, 8])
-def test_links_connect_all_near_fingerprints(spark, monkeypatch, long_list):
-    r = random.Random(long_list)
+def near_prints(seed):
+    r = random.Random(seed)
     seeds = [r.getrandbits(64) for _ in range(6)] + [0, (1 << 64) - 1]
     prints = set(seeds)
     for s in seeds:  # dense clusters, and chains of 3-bit steps through all bytes
@@ -69,22 +68,64 @@ def test_links_connect_all_near_fingerprints(spark, monkeypatch, long_list):
             for bit in r.sample(range(64), 3):
                 s ^= 1 << bit
             prints.add(s)
-    prints = sorted(prints)
-    if long_list == 8:  # the long-list path, in this process
-        monkeypatch.setattr(simhash, "LONG_LIST", 8)
-        rows = [(k, p) for k, m in enumerate(simhash.MASKS.tolist()) for p in sorted(prints, key=lambda p: p & m)]
-        a, b = pa.array([x[0] for x in rows], pa.int16()), pa.array(np.array([x[1] for x in rows], np.uint64).view(np.int64))
-        cut = [0, 7, 1000, len(rows)]
-        out = list(simhash._links(pa.RecordBatch.from_arrays([a[i:j], b[i:j]], ["kind", "fp"]) for i, j in zip(cut, cut[1:], strict=False)))
-        edges = [(x % 2**64, y % 2**64) for o in out for x, y in zip(*(c.to_pylist() for c in o.columns), strict=True)]
-    else:
-        frame = spark.createDataFrame([(p - 2**64 if p >= 2**63 else p,) for p in prints], "fp long")
-        edges = [(e.a % 2**64, e.b % 2**64) for e in simhash.links(frame).collect()]
+    return sorted(prints)
+
+
+@pytest.mark.parametrize("longest", [1024, 60, 20])  # no list is too long; some are; most are, for several rounds
+def test_links_connect_all_near_fingerprints(spark, longest):
+    prints = near_prints(longest)
+    frame = spark.createDataFrame([(p - 2**64 if p >= 2**63 else p,) for p in prints], "fp long")
+    edges = [(e.a % 2**64, e.b % 2**64) for e in simhash.links(frame, longest).collect()]
     at = {p: i for i, p in enumerate(prints)}
     label = simhash._labels(len(prints), np.array([at[a] for a, _ in edges]), np.array([at[b] for _, b in edges]))
     assert label.tolist() == grouped(prints)
 
 
+def test_near_pairs_meet_in_the_lists():
+    r = random.Random(8)
+    masks = [simhash._of_bytes(t) for t in simhash.TRIPLES]
+    for _ in range(6):
+        for _ in range(300):
+            x = sum(1 << b for b in r.sample(range(64), 3))
+            assert any(x & m == 0 for m in masks)  # what differs lies outside of what a list fixes
+        masks = [n for m in masks for n in simhash.narrower(m)]
+    assert min(m.bit_count() for m in masks) >= 54  # what is free leaves a list 1,024 members at most
+    for m in (simhash._of_bytes(t) for t in simhash.TRIPLES):
+        parts = [n & ~m for n in simhash.narrower(m)]
+        assert all(a & b == 0 for a, b in combinations(parts, 2))
+
+
+def test_lists_are_tallied_whole_across_batches():
+    prints = np.array(near_prints(3), np.uint64)
+    mask = np.uint64(simhash._of_bytes((0, 1, 2)))
+    order = np.argsort(prints & mask, kind="stable")
+    fps = prints[order].view(np.int64)
+    columns = [pa.array(np.full(len(fps), 7)), pa.array((prints[order] & mask).view(np.int64)), pa.array(fps)]
+    want = {tuple(sorted((a, b))) for a, b in combinations(prints.tolist(), 2) if (a ^ b) & int(mask) == 0 and (a ^ b).bit_count() <= 3}
+    for cuts in ([0, len(fps)], [0, 1, 2, 50, 50, 51, 300, len(fps)]):
+        out = list(simhash._links(pa.RecordBatch.from_arrays([c[i:j] for c in columns], ["mask", "key", "fp"]) for i, j in zip(cuts, cuts[1:], strict=False)))
+        got = [(a % 2**64, b % 2**64) for o in out for a, b in zip(*(c.to_pylist() for c in o.columns), strict=True)]
+        at = {p: i for i, p in enumerate(prints.tolist())}
+        both = [simhash._labels(len(prints), *(np.array([at[p[k]] for p in e], int) for k in (0, 1))).tolist() for e in (got, sorted(want))]
+        assert both[0] == both[1]
+
+
+def test_one_row_of_each_component_stays(spark, docs):
+    long = " ".join(f"w{k}" for k in range(300))
+    rows = [(1, "alpha beta gamma delta", "a"), (1, "quite another text than that", "a"), (2, long, "b"), (2, long, "b"), (2, long, "a"), (7, long + " end", "c"), (None, long, "d"), (None, long.upper(), "e"), (None, "only here without a name", "f"), (None, None, "g"), (9, "", "h"), (8, " ", "i")]
+    prints = [fingerprint(t) for _, t, _ in rows]
+    want = {}
+    for i, k in enumerate(grouped(prints)):
+        want.setdefault(k, []).append(rows[i])
+    for frame in (docs(rows), docs(rows[::-1]).repartition(5)):
+        got = sorted(map(repr, [(x.doc_id, x.text, x.lang) for x in simhash.drop_near_duplicates(frame).collect()]))
+        assert len(got) == len(want)
+        for own in want.values():  # the smallest id's, of its rows the smallest one
+            first = [r for r in own if r[0] == min((r[0] for r in own if r[0] is not None), default=None)]
+            assert any(repr(r) in got for r in first)
+        assert repr((2, long, "a")) in got and repr((1, "quite another text than that", "a")) in got
+
+
 def test_components_of_chains_and_stars(spark):
     r = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 200)] + [(1000, 1000 + k) for k in range(1, 60)] + [(5000 + r.randrange(300), 5000 + r.randrange(300)) for _ in range(150)] + [(7, 7), (3, 2)]
