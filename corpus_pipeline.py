@@ -1,7 +1,16 @@
 """From raw documents to tokens: language, repeated lines, near copies, benchmark passages, token ids.
 
 ``STAGES`` are applied in order; each stage's result is written as Parquet and read again as the next
-one's documents. All but the last return the columns of ``documents``.
+one's documents, and removed once that one's own is written. All but the last return the columns of
+``documents``.
+
+Defined cases: a null or empty text, or one without letters, has no known language and goes in the first
+stage, so later ones meet none but what the lines' stage empties (an empty text stays, near-duplicate of any
+other empty one, never contaminated, with no tokens); a null id is a document like any other, and names a
+kept row last; rows that share an id but not their text are judged one by one, and repeated rows are near
+copies, of which one stays; very long texts are read whole; ties go to the smallest id and then to the
+smallest hash; an empty table gives an empty result, and an empty benchmark drops nothing; other columns,
+whatever their names, come through unchanged, but for ``n_chars``, which follows the text.
 """
 
 from __future__ import annotations
@@ -9,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronolake._spark import new_path, remove, written
 from chronolake.llm import bpe, decontaminate, language_id, line_dedup, simhash
-from chronolake.llm._common import written
 from chronolake.llm.queries import tokenizer_path
 
 
@@ -26,7 +35,10 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: one document of each group stays, the one with the smallest id."""
+    """Operator 3: one document of each group stays, the one with the smallest id.
+
+    Its parameters are the operator's own, three words and three bits: a copy that differs by more bits stays.
+    """
     return simhash.drop_near_duplicates(docs)
 
 
@@ -57,9 +69,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = written(docs)
-    return docs
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES[:-1]:
+        path = new_path(spark, ".parquet")
+        docs = written(stage(spark, docs, sf_dir), path)
+        if before:
+            remove(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)
