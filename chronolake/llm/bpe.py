@@ -4,16 +4,22 @@ The merge list decides how far a symbol can feel what follows it. A token ending
 the merges that can take a part of it away first, each of a lower rank than the merge it prevents; such
 a chain has falling ranks, so its longest reach can be summed rank by rank. That reach is the merge
 list's sufficient lookahead. A transducer then keeps a window of lookahead and a few tokens: it merges
-the window, emits every token that ends a lookahead before the window's end, and goes on behind it. Its
-memory is constant however long a word is; short words, the usual case, fit the window and are cached.
+the window, emits every token that ends a lookahead before the window's end, and goes on behind it. Every
+word goes through it, symbol by symbol, and the end of a word empties the window; what came out for words of
+up to ``SHORT`` bytes is remembered, at most ``REMEMBERED`` of them.
 
-Decoding is a state machine that takes ids one by one and holds the bytes of an unfinished character at
-most: for a byte-level decoder it turns bytes into text, replacing ill-formed ones; for a file without a
+A text streams as well: it is cut before runs of white space into pieces of ``PIECE`` characters or more,
+each is normalised and matched word by word, and ids leave in runs of ``RUN``. So beside the text itself and
+its results, memory is constant however long a text or a word is (a piece without white space is normalised
+whole).
+
+Decoding is a state machine that takes ids as they are emitted and holds the bytes of an unfinished character
+at most: for a byte-level decoder it turns bytes into text, replacing ill-formed ones; for a file without a
 decoder it joins the tokens by single spaces.
 
 What the file may hold: a normalizer of NFC, white-space replacement and lower-casing, a splitting
-expression whose matches are kept, byte-level symbols, an end-of-word suffix, and added tokens that are
-found in the raw text. Anything else is refused.
+expression whose matches are kept and never go on from other characters into white space, byte-level symbols,
+an end-of-word suffix, and added tokens that are found in the raw text. Anything else is refused.
 
 Defined cases: null counts as the empty text, which has no tokens and decodes to the empty text;
 repeated rows are encoded one by one; other columns are ignored; an empty table gives an empty result.
@@ -29,6 +35,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,8 +44,10 @@ from pyspark.sql import functions as F
 from .._spark import ship
 from ._common import sliced
 
-#: Words that a worker remembers, at most.
-REMEMBERED = 400_000
+#: Words that a worker remembers at most, and their bytes.
+REMEMBERED, SHORT = 400_000, 256
+#: Characters of a piece of text, and ids that are emitted at a time.
+PIECE, RUN = 1 << 16, 4096
 #: Tokens that a transducer's window holds beyond its lookahead.
 AHEAD = 256
 
@@ -96,6 +105,12 @@ def _class(kind: str, top: int) -> str:
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
+#: Where a text may be cut: before white space that follows something else (at the character before).
+_SPACES = re.compile(r"[^\s][\t-\r ]")
+_INTO_SPACE = re.compile(r"\S\s")
+_PROBE = "".join(f"{x}{gap}" for gap in ("", " ", "  ", "\n", "\t\n ") for x in ("ab", "1", "23", "!", "?!", "it's", "'s", "\u00e9", "\u0636", "\u2014", "a'"))
+
+
 @cache
 def _expression(pattern: str, top: int = sys.maxunicode) -> re.Pattern:
     """A splitting expression with its Unicode classes spelt out, for texts of code points up to ``top``."""
@@ -237,26 +252,24 @@ class Decoder:
 
 
 class _Known(dict):
-    """Words and the bytes of their ids; long words are streamed each time and not kept."""
+    """Words and the bytes of the ids that the transducer emits for them."""
 
     def __init__(self, merges: Merges, inner: list[int], final: list[int]) -> None:
         self.merges, self.inner, self.final = merges, inner, final
 
+    def symbols(self, data: bytes) -> Iterator[int]:
+        yield from map(self.inner.__getitem__, memoryview(data)[:-1])
+        yield self.final[data[-1]]
+
     def __missing__(self, word: str) -> bytes:
         data = word.encode("utf-8", "surrogatepass")
-        if len(data) > AHEAD:
-            symbols = (self.inner[b] for b in memoryview(data)[:-1])
-            return array("I", self.merges.stream(_then(symbols, self.final[data[-1]]))).tobytes()
-        symbols = [self.inner[b] for b in data]
-        symbols[-1] = self.final[data[-1]]
-        self[word] = ids = array("I", self.merges.apply(symbols)).tobytes()
+        ids = array("I", self.merges.stream(self.symbols(data))).tobytes()
+        if len(data) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = ids
         return ids
 
-    def trim(self) -> None:
-        """Forget everything once there is too much; between texts, so a text adds its own words at most."""
-        if len(self) > REMEMBERED:
-            self.clear()
-
 
 class Tokenizer:
     """What a tokenizer's JSON says, as plain values that can be broadcast."""
@@ -280,6 +293,8 @@ class Tokenizer:
                 raise ValueError(f"{x['type']} pre-tokenizer is not supported as it stands")
         if self.expression is None:
             raise ValueError("a splitting expression is needed")
+        if any(_INTO_SPACE.search(m[0]) for m in _expression(self.expression).finditer(_PROBE)):
+            raise ValueError("words that go on into white space are not supported")
         if spec["decoder"] is not None and spec["decoder"]["type"] != "ByteLevel":
             raise ValueError("only byte-level decoders, or none, are supported")
         self.byte_level = spec["decoder"] is not None
@@ -315,31 +330,50 @@ class Tokenizer:
                 text = _expression(args[0]).sub(args[1].replace("\\", r"\\"), text)
         return text
 
-    def encode(self, text: str) -> array:
-        """Ids as unsigned 32-bit integers."""
+    def words(self, text: str) -> Iterator[list[str]]:
+        """Runs of words of a text without added tokens, piece by piece."""
+        at = 0
+        while at < len(text):
+            cut = _SPACES.search(text, at + PIECE) if len(text) - at > PIECE else None
+            piece = self.normalize(text[at : cut.start() + 1] if cut else text[at:])
+            at = cut.start() + 1 if cut else len(text)
+            found = _expression(self.expression, plane(piece)).finditer(piece)
+            while run := [m[0] for m in islice(found, RUN)]:
+                yield run
+
+    def stream(self, text: str) -> Iterator[array]:
+        """Ids as unsigned 32-bit integers, in runs."""
         added, _, known = self.prepare()
-        out, at = array("I"), 0
-        for found in [*(added.finditer(text) if added else ()), None]:
-            part = self.normalize(text[at : found.start() if found else len(text)])
-            known.trim()
-            out.frombytes(b"".join(map(known.__getitem__, _expression(self.expression, plane(part)).findall(part))))
+        at = 0
+        for found in chain(added.finditer(text) if added else (), (None,)):
+            for run in self.words(text[at : found.start()] if found else text[at:] if at else text):
+                yield array("I", b"".join(map(known.__getitem__, run)))
             if found:
-                out.append(self.added[found[0]])
+                yield array("I", (self.added[found[0]],))
                 at = found.end()
+
+    def encode(self, text: str) -> array:
+        out = array("I")
+        for run in self.stream(text):
+            out += run
         return out
 
-    def decode(self, ids: Iterable[int]) -> str:
-        tokens = self.prepare()[1]
-        machine = Decoder(tokens, self.byte_level, frozenset(self.added.values()))
-        ids, out = array("I", ids), []
-        for at in range(0, len(ids), 4096):
-            out.append(machine.feed(ids[at : at + 4096]))
-        return "".join([*out, machine.finish()])
+    def decoder(self) -> Decoder:
+        return Decoder(self.prepare()[1], self.byte_level, frozenset(self.added.values()))
 
+    def encode_decode(self, text: str) -> tuple[array, str]:
+        """The ids, and the text that a decoder makes of them as they come."""
+        ids, machine, out = array("I"), self.decoder(), []
+        for run in self.stream(text):
+            ids += run
+            out.append(machine.feed(run))
+        return ids, "".join([*out, machine.finish()])
 
-def _then(symbols: Iterable[int], last: int) -> Iterator[int]:
-    yield from symbols
-    yield last
+    def decode(self, ids: Iterable[int]) -> str:
+        machine, ids, out = self.decoder(), array("I", ids), []
+        for at in range(0, len(ids), RUN):
+            out.append(machine.feed(ids[at : at + RUN]))
+        return "".join([*out, machine.finish()])
 
 
 def _parts(x: dict | None, name: str) -> list[dict]:
@@ -365,8 +399,8 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = held.value
         for batch in sliced(batches, "text"):
-            ids = [tokenizer.encode(x.as_py() or "") for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(_little, ids), pa.binary()), pa.array([tokenizer.decode(x) for x in ids], pa.string())], ["id", "ids_le", "decoded"])
+            both = [tokenizer.encode_decode(x.as_py() or "") for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_little(x[0]) for x in both], pa.binary()), pa.array([x[1] for x in both], pa.string())], ["id", "ids_le", "decoded"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     out = rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, ids_le binary, decoded string")
@@ -398,5 +432,3 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     rows = tokens.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
     out = rows.mapInArrow(run, f"id {tokens.schema[id_col].dataType.simpleString()}, decoded string")
     return out.select(F.col("id").alias(id_col), "decoded")
-
-

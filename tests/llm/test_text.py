@@ -41,6 +41,33 @@ def test_tokens_equal_the_library(spark, docs, both):
     assert bpe.encode_decode(docs([]), tokenizer_path()).count() == 0
 
 
+def test_pieces_of_a_text_change_nothing(both, monkeypatch):
+    library, own = both
+    r = random.Random(6)
+    texts = ["".join(r.choice(["th", "ing ", "\u0301", " \u0301", "e\u0301", "\n\n", "\t ", "\u00a0", "\u3000 ", "12", "!?", "it's ", "<|endoftext|>", "\u03a3 ", "\u1100\u1161 "]) for _ in range(400)) for _ in range(40)]
+    monkeypatch.setattr(bpe, "PIECE", 5)
+    monkeypatch.setattr(bpe, "RUN", 3)
+    for t in texts:
+        ids = library.encode(t, add_special_tokens=False).ids
+        assert list(own.encode(t)) == ids
+        assert own.encode_decode(t) == (array("I", ids), library.decode(ids, skip_special_tokens=False))
+
+
+def test_memory_does_not_follow_the_text(both):
+    import tracemalloc
+
+    _, own = both
+    words = ["".join(random.Random(k).choices("etaoin", k=k % 9 + 1)) for k in range(2000)]
+    peaks = []
+    for text in (" ".join(words) * 10, " ".join(words) * 200, "ab" * 1_000_000):
+        own.encode("a")
+        tracemalloc.start()
+        assert sum(map(len, own.stream(text))) > 0
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert max(peaks) < 16 << 20, peaks
+
+
 def random_merges(r, letters="abcd", n=60):
     """A merge list whose parts are older than their wholes, as training makes them."""
     tokens, merges = list(letters), []
@@ -93,7 +120,7 @@ def test_byte_level_decoding_in_any_pieces(both):
 
 def test_unsupported_files_are_refused():
     spec = json.load(open(tokenizer_path(), encoding="utf-8"))
-    for path, value in ((("model", "dropout"), 0.1), (("normalizer",), {"type": "Precompiled"}), (("decoder",), {"type": "Metaspace"})):
+    for path, value in ((("model", "dropout"), 0.1), (("pre_tokenizer", "pretokenizers", 0, "pattern", "Regex"), r"\p{L}+\s|\p{L}+"), (("normalizer",), {"type": "Precompiled"}), (("decoder",), {"type": "Metaspace"})):
         bad = json.loads(json.dumps(spec))
         at = bad
         for p in path[:-1]:
