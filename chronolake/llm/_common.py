@@ -86,12 +86,11 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end (exclusive) byte of each word, and the row it is in. Words never cross rows."""
-    n = len(data)
+def runs_of(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end (exclusive) of each run of places that are ``inside``, and the row it is in. Runs never cross rows."""
+    n = len(inside)
     if n == 0:
         return (np.zeros(0, np.int64),) * 3
-    inside = table[data]
     before, after = np.zeros(n, bool), np.zeros(n, bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]
     cuts = offsets[(offsets > 0) & (offsets < n)]
@@ -100,6 +99,11 @@ def words_of(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def words_of(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end (exclusive) byte of each word, and the row it is in. Words never cross rows."""
+    return runs_of(table[data], offsets)
+
+
 def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit polynomial hash of each word; equal words have equal hashes, users verify the rest."""
     if len(starts) == 0:

@@ -7,13 +7,16 @@ the filter's measured false-positive rate is taken off, and the largest correcte
 
 The fit reads a bounded sample: at most ``per_language`` labelled documents of each language, those with
 the smallest hash of their id. Of several rows of an id and language it reads one, the text with the
-smallest hash; without an id each different text is a document. Grams of one document only are left out,
-except where a language has no others, as with a single document. What it collects is bounded too: ``slots`` masks. Prediction is one pass
-over whole texts without a shuffle.
+smallest hash; without an id each different text is a document. A language's profile is what stands in the
+most of its documents: up to ``grams`` n-grams, those of one document only left out unless there are no
+others, as with a single document. The profile's size is a parameter of the model, like the sizes of the
+n-grams, and bounds the filters: ``slots`` masks. Prediction is one pass over whole texts without a shuffle.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every text when
-nothing could be learned (``keep_known`` then keeps texts with letters); ties go to the first language in alphabetical order; repeated rows are judged
-one by one; other columns are ignored.
+nothing could be learned (``keep_known`` then keeps texts with letters); null ids neither take places of
+the sample nor are left out of it, they are told apart by their texts; ties go to the first language in
+alphabetical order; repeated rows are judged one by one; very long texts are read whole, in chunks; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ UNKNOWN = "und"
 SIZES = (2, 3, 4)
 #: Labelled documents of a language that the fit reads at most.
 PER_LANGUAGE = 2000
-#: Grams of a language that its filter holds at most: those in most documents.
+#: Size of a language's profile: its grams in most documents.
 GRAMS = 6000
 SLOTS = 1 << 18
 HASHES = 3
@@ -43,27 +46,30 @@ CHUNK = 1 << 20
 
 
 def gram_hashes(text: str, sizes: tuple[int, ...] = SIZES) -> Iterator[np.ndarray]:
-    """Hashes of the n-grams within words of letters, a space standing at both ends of a word; chunk by chunk."""
-    longest = max(sizes)
-    for at in range(0, len(text), CHUNK):
-        part = text[max(0, at - longest) : at + CHUNK].lower()
-        points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
+    """Hashes of the n-grams within words of letters, a space standing at both ends of a word; chunk by chunk.
+
+    A chunk begins with the last characters of the one before, and yields the grams that end behind those: what
+    it is cut into changes nothing.
+    """
+    low, before = text.lower(), np.full(1, 32, np.uint64)
+    for at in range(0, len(low), CHUNK):
+        points = np.frombuffer(low[at : at + CHUNK].encode("utf-32-le", "surrogatepass"), np.uint32)
         points = np.where(_letters(points), points, 32).astype(np.uint64)
-        points = np.concatenate([np.full(1, 32, np.uint64), points, np.full(1, 32, np.uint64)])
+        points = np.concatenate([before, points] + ([np.full(1, 32, np.uint64)] if at + CHUNK >= len(low) else []))
         space = points == 32
         for n in sizes:
-            m = len(points) - n + 1
+            first = max(0, len(before) - n + 1)
+            own, gap, m = points[first:], space[first:], len(points) - first - n + 1
             if m <= 0:
                 continue
             h = np.full(m, n, np.uint64)
             for k in range(n):
-                h = h * np.uint64(0x100000001B3) + points[k : k + m]
-            ok = ~(space[:m] & space[n - 1 : n - 1 + m]) if n == 2 else np.ones(m, bool)
+                h = h * np.uint64(0x100000001B3) + own[k : k + m]
+            ok = ~(gap[:m] & gap[n - 1 : n - 1 + m]) if n <= 3 else np.ones(m, bool)  # with a letter at least
             for k in range(1, n - 1):  # a space only at the ends
-                ok &= ~space[k : k + m]
-            if n > 2:
-                ok &= ~(space[:m] & space[n - 1 : n - 1 + m] & (n == 3))
+                ok &= ~gap[k : k + m]
             yield mix(h[ok])
+        before = points[1 - max(sizes) :]
 
 
 _LETTER = np.zeros(0, bool)

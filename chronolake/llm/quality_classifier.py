@@ -1,6 +1,6 @@
 """Quality classifier: supervised subword embeddings.
 
-Words and the byte n-grams within words are hashed to buckets, each with a learned vector; a text is the
+Words and the character n-grams within words are hashed to buckets, each with a learned vector; a text is the
 mean of its features' vectors, and a softmax layer turns it into the chance of each label. Vectors and
 layer are trained together by stochastic gradient descent in numpy.
 
@@ -11,8 +11,10 @@ mean of one number per bucket, so that a table of ``buckets`` floats is all that
 
 Defined cases: a null or empty text has no features and gets the layer's bias alone; labels that are null
 are not read, of several labels of an id the smallest counts; of several rows of an id training reads
-one, the text with the smallest hash, a null only where there is no text; without labels every score is
-0.5; repeated documents are scored one by one; other columns are ignored.
+one, the text with the smallest hash, a null only where there is no text, so repeated documents weigh no
+more than others; null ids have no label and teach nothing; labels of one kind only give every text the
+same score near it, without labels every score is 0.5; repeated documents are scored one by one; an empty
+table gives an empty result; very long texts are read whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .._spark import ship
-from ._common import NONSPACE, hash_words, mix, sliced, smallest_hashes, text_buffer, words_of
+from ._common import NONSPACE, hash_words, mix, runs_of, sliced, smallest_hashes, text_buffer
 
 BUCKETS = 1 << 16
 DIMENSIONS = 8
@@ -39,21 +41,31 @@ SEED = 7
 CUT = 0.3
 
 
-def features(column: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and row of every feature of a slice: each word, and each n-gram of bytes without white space."""
+def characters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Code points and row offsets (length rows + 1) of a string column; nulls are empty."""
     data, offsets = text_buffer(column)
-    starts, ends, row = words_of(data, offsets, NONSPACE)
-    found = [hash_words(data, starts, ends)]
+    if not len(data) or data.max() < 0x80:
+        return data.astype(np.uint32), offsets
+    ends = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # characters before each byte
+    return np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32), ends[offsets]
+
+
+def features(column: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and row of every feature of a slice: each word, and each n-gram of characters without white space."""
+    points, offsets = characters(column)
+    inside = NONSPACE[np.minimum(points, 0xFF)]
+    starts, ends, row = runs_of(inside, offsets)
+    found = [hash_words(points, starts, ends)]
     rows = [row]
-    inside, wide = NONSPACE[data], data.astype(np.uint64)
-    row_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)) if len(data) else np.zeros(0, np.int64)
+    wide = points.astype(np.uint64)
+    row_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)) if len(points) else np.zeros(0, np.int64)
     for n in GRAMS:
-        m = len(data) - n + 1
+        m = len(points) - n + 1
         if m <= 0:
             continue
         h, ok = np.full(m, n, np.uint64), row_of[:m] == row_of[n - 1 :]
         for k in range(n):
-            h = (h << np.uint64(8)) | wide[k : k + m]
+            h = h * np.uint64(0x100000001B3) + wide[k : k + m]
             ok &= inside[k : k + m]
         found.append(mix(h[ok]))
         rows.append(row_of[:m][ok])
@@ -91,7 +103,8 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], buckets: int = BUC
             back = error @ layer.T
             layer -= rate * (hidden.T @ error)
             bias -= rate * error.sum(0)
-            np.subtract.at(vectors, index, rate * weight[:, None] * back[which] * len(batch))
+            for d in range(DIMENSIONS):
+                vectors[:, d] -= rate * np.bincount(index, weight * back[which, d] * len(batch), buckets).astype(np.float32)
     return vectors @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0])
 
 

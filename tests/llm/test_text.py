@@ -149,6 +149,26 @@ def test_language_id(spark, docs, prose):
     assert {x.lang_pred for x in language_id.predict(docs(new), nothing).collect()} == {"und"}
 
 
+def test_chunks_of_a_text_change_nothing(prose, monkeypatch):
+    text = prose("fr", 1, 120) + " 12 \u0436\u0436\u0449 " + "x" * 90 + " a"
+    whole = np.sort(np.concatenate(list(language_id.gram_hashes(text))))
+    points = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+    n = sum(" " not in g[1:-1] and not (len(g) < 4 and g[0] == g[-1] == " ") for k in (2, 3, 4) for at in range(len(points) - k + 1) if (g := points[at : at + k]))
+    assert len(whole) == n
+    for chunk in (1, 2, 3, 7, 100, len(text)):
+        monkeypatch.setattr(language_id, "CHUNK", chunk)
+        assert np.array_equal(np.sort(np.concatenate(list(language_id.gram_hashes(text)))), whole)
+
+
+def test_null_ids_do_not_crowd_out_a_sample(spark, docs, prose):
+    named = [(i, prose(lang, i), lang) for i, lang in enumerate(["en", "de", "fr"] * 5)]
+    nameless = [(None, prose(lang, 100 + i), lang) for i, lang in enumerate(["en", "de", "fr"] * 40)]
+    filters = language_id.fit(docs(named + nameless), per_language=4)
+    assert filters.languages == ["de", "en", "fr"]
+    new = [(1000 + i, prose(lang, 1000 + i), lang) for i, lang in enumerate(["en", "de", "fr"] * 5)]
+    assert all(r.lang_pred == ("en", "de", "fr")[r.doc_id % 3 - 1] for r in language_id.predict(docs(new), filters).collect())
+
+
 def test_language_sample_is_of_documents(spark, docs, prose):
     named = [(i, prose(lang, i), lang) for i, lang in enumerate(["en", "de", "fr"] * 20)]
     junk = "zq xj qz " * 5
@@ -253,6 +273,19 @@ def test_quality_classifier(spark, docs, prose):
     assert {g.score for g in quality_classifier.score(docs(rows), quality_classifier.fit(docs(rows), labels.limit(0))).collect()} == {0.5}
 
 
+def test_features_are_of_characters():
+    import pyarrow as pa
+
+    texts = ["\u00e9t\u00e9 ab", None, "", " \t", "\U0001f600x \u0436", "ab"]
+    bucket, row = quality_classifier.features(pa.array(texts))
+    for i, t in enumerate(texts):
+        words = (t or "").split()
+        grams = [w[k : k + n] for w in words for n in (2, 3, 4) for k in range(len(w) - n + 1)]
+        assert np.count_nonzero(row == i) == len(words) + len(grams)
+    # the same word has the same features wherever it stands, beside ASCII or not
+    assert set(bucket[row == 5]) <= set(bucket[row == 0])
+
+
 def test_quality_classifier_reads_one_row_of_an_id(spark, docs, prose, monkeypatch):
     rows = [(i, prose("en", i, 60) if i % 3 else prose("en", i, 60).upper().replace(" ", "$ "), None) for i in range(90)]
     labels = spark.createDataFrame([(i, 1 if i % 3 else 0) for i in range(90)], "doc_id long, quality int")
