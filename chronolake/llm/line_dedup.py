@@ -7,13 +7,16 @@ but those of the document with the largest id.
 Every document sends one row for each of its keys: a 128-bit hash, its id and the lines' positions. The
 rows are range-partitioned by (hash, id descending), so a key that is everywhere is dealt over several
 partitions, and sorted within them. One stream over a partition then meets the staying document of a key
-first and needs to hold the rows of at most ``least_docs`` - 1 others. Only the first and the last key of
-a partition can go on in another one; their document counts, two rows a partition at most, are summed
-beforehand and broadcast. The result is a compressed keep bitmap for each document that loses a line.
+first. Until ``least_docs`` documents are counted a key's rows wait, up to ``HELD`` of them; beyond, as when
+one id has very many rows, they go out as open ones, and meet their key's verdict in a join afterwards. Only
+the first and the last key of a partition can go on in another one; their document counts, two rows a
+partition at most, are summed beforehand. The result is a compressed keep bitmap for each document that loses
+a line.
 
 Defined cases: null and empty texts are one empty line; rows without id count as one document that is
 smaller than any other; repeated rows of an id count as one document and, where their text is the same,
-lose the same lines; equal lines of a document fall and stay together; other columns are ignored.
+lose the same lines; equal lines of a document fall and stay together; very long texts and lines are read
+whole; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +25,9 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +36,8 @@ from .._spark import checkpoint, ship
 from ._common import sliced, whole_rows
 
 LEAST_CHARS, LEAST_DOCS = 40, 5
+#: Rows of a key that wait in a task until its documents are counted.
+HELD = 20_000
 _SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -63,57 +70,110 @@ def _line_rows(docs: DataFrame, id_col: str, text_col: str, least_chars: int) ->
 _NONE = object()
 
 
+class _Runs:
+    """Sorted rows as runs of one key, each row with its document's number in the run.
+
+    ``before`` is the key that rows seen earlier ended with, their documents and the last one's id.
+    """
+
+    def __init__(self, rows: pa.RecordBatch | pa.Table, before: tuple | None) -> None:
+        h = np.stack([rows.column(k).to_numpy() for k in (0, 1)], 1)
+        ids = rows.column(2)
+        ids = (ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids).dictionary_encode()
+        code = pc.fill_null(ids.indices, -1).to_numpy(zero_copy_only=False)
+        n = len(h)
+        starts = np.ones(n, bool)
+        starts[1:] = (h[1:] != h[:-1]).any(1)
+        fresh = starts.copy()
+        fresh[1:] |= code[1:] != code[:-1]
+        carried = 0
+        if before is not None and before[0] == (int(h[0, 0]), int(h[0, 1])):
+            carried = before[1]
+            fresh[0] = ids[0].as_py() != before[2]
+        count = np.cumsum(fresh)
+        self.starts = np.flatnonzero(starts)
+        self.sizes = np.diff(np.concatenate([self.starts, [n]]))
+        base = (count - fresh)[self.starts]
+        base[0] -= carried
+        self.number = count - np.repeat(base, self.sizes)  # 1 for the rows of a key's first document
+        self.docs = self.number[self.starts + self.sizes - 1]
+        self.keys = h[self.starts]
+        self.last = ((int(h[-1, 0]), int(h[-1, 1])), int(self.docs[-1]), ids[n - 1].as_py())
+
+
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of the first and of the last key of a partition."""
-    first, key, last_id, n, part = None, None, _NONE, 0, -1
+    first, before, part = None, None, -1
     for batch in batches:
-        part = batch.column(3)[0].as_py() if batch.num_rows else part
-        for h1, h2, i in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-            if (h1, h2) != key:
-                first = first or (key and (*key, n))
-                key, n, last_id = (h1, h2), 0, _NONE
-            if last_id is _NONE or i != last_id:
-                n, last_id = n + 1, i
-    if key is not None:
-        rows = [first, (*key, n)] if first else [(*key, n)]
+        if not batch.num_rows:
+            continue
+        runs, part = _Runs(batch, before), batch.column(3)[0].as_py()
+        if first is None:  # the first key's count is final once another one follows
+            head = (tuple(map(int, runs.keys[0])), int(runs.docs[0])) if before is None or before[0] == tuple(runs.keys[0].tolist()) else (before[0], before[1])
+            if len(runs.docs) > 1 or head[0] != runs.last[0]:
+                first = head
+        before = runs.last
+    if before is not None:
+        rows = [(*first[0], first[1])] if first else []
+        rows.append((*before[0], before[1]))
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)] + [pa.array([part] * len(rows), pa.int32())], ["h1", "h2", "n", "part"])
 
 
-def _fallen(shared: dict[tuple[int, int], tuple[int, int]], least_docs: int):
-    """A mapInArrow function over sorted rows: (id, text_hash, lines) that fall.
+#: What a row of the stream says: lines that fall; lines that fall if their key does; a key that falls.
+FALLEN, OPEN, VERDICT = range(3)
+
+
+def _fallen(shared: dict[tuple[int, int], tuple[int, int]], least_docs: int, most: int):
+    """A mapInArrow function over sorted rows: (kind, h1, h2, id, text_hash, lines).
 
     ``shared`` has the documents of each key of several partitions, and the first of those partitions.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, last_id, docs, stays_here, falls, held = None, _NONE, 0, True, False, []
+        before, waiting, opened = None, None, False  # the last key so far, its rows that wait, whether some are out
+
+        def out(rows, kind: int):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(rows.num_rows, kind, np.int32)), *(c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in rows.columns[:5])], ["kind", "h1", "h2", "id", "text_hash", "lines"])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            out, part = [], batch.column(5)[0].as_py()
-            for h1, h2, i, text_hash, lines in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                if (h1, h2) != key:
-                    key, last_id, docs, held = (h1, h2), _NONE, 0, []
-                    total, home = shared.get(key, (None, part))
-                    stays_here, falls = home == part, None if total is None else total >= least_docs
-                if last_id is _NONE or i != last_id:
-                    docs, last_id = docs + 1, i
-                if docs == 1 and stays_here or falls is False:
-                    continue
-                if falls is None:
-                    held.append((i, text_hash, lines))
-                    if docs >= least_docs:
-                        out += held
-                        held, falls = [], True
+            part = batch.column(5)[0].as_py()
+            rows = batch if waiting is None else pa.Table.from_batches([*waiting, batch]).combine_chunks().to_batches()[0]
+            runs = _Runs(rows, before)
+            goes_on = before is not None and before[0] == tuple(runs.keys[0].tolist())
+            falls = runs.docs >= least_docs
+            settled = np.ones(len(falls), bool)
+            settled[-1] = falls[-1]  # the last key may go on
+            settled[-1] |= rows.column(2)[rows.num_rows - 1].as_py() is None  # rows without id are a key's last document
+            stays = np.ones(len(falls), bool)
+            for k in {0, len(falls) - 1}:  # others have no row outside
+                total, home = shared.get(tuple(runs.keys[k].tolist()), (None, part))
+                if total is not None:
+                    falls[k], settled[k], stays[k] = total >= least_docs, True, home == part
+            per_row = np.repeat(falls & settled, runs.sizes) & ~((runs.number == 1) & np.repeat(stays, runs.sizes))
+            if per_row.any():
+                yield out(rows.filter(pa.array(per_row)), FALLEN)
+            if opened and (not goes_on or settled[0]):
+                if goes_on and falls[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array([VERDICT], pa.int32()), *(pa.array([x], pa.int64()) for x in before[0]), pa.nulls(1, batch.column(2).type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int32()))], ["kind", "h1", "h2", "id", "text_hash", "lines"])
+                opened = False
+            waiting, kept = None, None
+            if not settled[-1]:
+                tail = rows.slice(int(runs.starts[-1]))
+                own = runs.number[runs.starts[-1] :] > 1  # the first document stays whatever comes
+                if len(own) > most:
+                    if own.any():
+                        yield out(tail.filter(pa.array(own)), OPEN)
+                        opened = True
                 else:
-                    out.append((i, text_hash, lines))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], batch.column(2).type), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.list_(pa.int32()))], ["id", "text_hash", "lines"])
+                    waiting, kept = [tail], before if len(falls) == 1 else None
+            before = kept if waiting else runs.last
 
     return run
 
 
-def pack(dropped: list[int]) -> bytes:
+def pack(dropped: np.ndarray | list[int]) -> bytes:
     """The compressed bitmap with a 0 for each dropped line; lines beyond its end are kept."""
     keep = np.ones(8 * (max(dropped) // 8 + 1), bool)
     keep[dropped] = False
@@ -127,7 +187,7 @@ def unpack(bitmap: bytes, n: int) -> np.ndarray:
     return keep
 
 
-def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:
+def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, held: int = HELD) -> DataFrame:
     """(id, text_hash, bitmap) of the rows that lose lines."""
     ship(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -139,13 +199,16 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     for h1, h2, n, part in ends:
         seen.setdefault((h1, h2), []).append((part, n))
     shared = {k: (sum(n for _, n in v), min(p for p, _ in v)) for k, v in seen.items() if len(v) > 1}
-    fallen = rows.mapInArrow(_fallen(shared, least_docs), f"id {id_type}, text_hash long, lines array<int>")
+    said = checkpoint(rows.mapInArrow(_fallen(shared, least_docs, held), f"kind int, h1 long, h2 long, id {id_type}, text_hash long, lines array<int>"))
+    verdicts = said.where(F.col("kind") == VERDICT).select("h1", "h2")
+    fallen = said.where(F.col("kind") == FALLEN).unionByName(said.where(F.col("kind") == OPEN).join(verdicts, ["h1", "h2"], "left_semi"))
 
-    @F.udf("binary")
-    def bitmap(lines):
-        return pack([k for x in lines for k in x])
+    @F.pandas_udf("binary")
+    def bitmap(lines: pd.Series) -> pd.Series:
+        return lines.map(pack)
 
-    return fallen.groupBy("id", "text_hash").agg(bitmap(F.collect_set("lines")).alias("bitmap")).select(F.col("id").alias(id_col), "text_hash", "bitmap")
+    # a document's lines: equal rows of an id say the same, so each list counts once
+    return fallen.groupBy("id", "text_hash").agg(bitmap(F.flatten(F.collect_set("lines"))).alias("bitmap")).select(F.col("id").alias(id_col), "text_hash", "bitmap")
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
@@ -160,9 +223,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
     joined = rows.join(bits, F.col(f"row.{id_col}").eqNullSafe(F.col("bits.id")) & (F.xxhash64(F.col(f"row.{text_col}").cast("string")) == F.col("bits.text_hash")), "left")
 
     @F.pandas_udf("kept string, n_lines long, n_dropped long")
-    def cut(text, bitmap):
-        import pandas as pd
-
+    def cut(text: pd.Series, bitmap: pd.Series) -> pd.DataFrame:
         kept, n_lines, n_dropped = [], [], []
         for t, b in zip(text, bitmap, strict=True):
             lines = (t or "").split("\n") if b is not None else ()

@@ -162,16 +162,49 @@ def test_lines(spark, docs, partitions):
         expected.append((i, len(own), len(own) - len(kept), "\n".join(kept)))
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7 if partitions == 3 else 10_000)
     try:
-        got = line_dedup.line_dedup(docs(rows)).select("doc_id", "n_lines", "n_dropped", F.coalesce("text", F.lit(""))).collect()
+        frame = docs(rows)
+        kept = line_dedup.apply_bitmaps(frame, line_dedup.keep_bitmaps(frame, held=1 if partitions < 9 else 20_000))
+        got = kept.select("doc_id", "n_lines", "n_dropped", F.coalesce("text", F.lit(""))).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", 4)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected))
     assert sum(e[2] for e in expected) > 50
     assert line_dedup.line_dedup(docs([])).count() == 0
 
 
+def test_rows_that_wait_are_bounded():
+    """The stream over sorted rows, in batches of any size, with ids that have very many rows."""
+    r = random.Random(11)
+    keys, rows = [(1, 5), (1, 9), (4, 0), (7, 7)], []
+    for key in keys:
+        ids = r.sample(range(50), r.choice([1, 3, 4, 5, 9]))
+        for i in sorted(ids, reverse=True):
+            rows += [(*key, i, 1000 * i + k, [k]) for k in range(r.choice([1, 1, 2, 60]))]
+        if r.random() < 0.8:
+            rows += [(*key, None, k, [k]) for k in range(80)]
+    want = set()
+    for key in keys:
+        own = [x for x in rows if x[:2] == key]
+        if len({x[2] for x in own}) >= 5:
+            want |= {x[:4] for x in own if x[2] != max(x[2] for x in own if x[2] is not None)}
+    columns = list(zip(*rows, strict=True))
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
+    whole = pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, types, strict=True)), pa.array([0] * len(rows), pa.int32())], ["h1", "h2", "id", "text_hash", "lines", "part"])
+    for size in (1, 2, 13, 100, len(rows)):
+        for most in (0, 1, 5, 10_000):
+            out = list(line_dedup._fallen({}, 5, most)(whole.slice(k, size) for k in range(0, len(rows), size)))
+            said = [x for o in out for x in zip(*(c.to_pylist() for c in o.columns), strict=True)]
+            falls = {x[1:3] for x in said if x[0] == line_dedup.VERDICT}
+            got = [x[1:5] for x in said if x[0] == line_dedup.FALLEN or x[0] == line_dedup.OPEN and x[1:3] in falls]
+            assert set(got) == want and len(got) == len(want), (size, most)
+        ends = [x for o in line_dedup._edges(whole.select(["h1", "h2", "id", "part"]).slice(k, size) for k in range(0, len(rows), size)) for x in zip(*(c.to_pylist() for c in o.columns), strict=True)]
+        assert ends == [(*k, len({x[2] for x in rows if x[:2] == k}), 0) for k in (keys[0], keys[-1])]
+
+
 def test_bitmaps():
     for dropped in ([0], [7], [8], [3, 900], list(range(50))):
         bits = line_dedup.unpack(line_dedup.pack(dropped), 1000)
