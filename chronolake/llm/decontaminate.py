@@ -5,14 +5,16 @@ Words are runs of digits, a-z and characters beyond ASCII, after A-Z are lower-c
 The windows' hashes are broadcast, every task hashes the windows of its documents, looks them up and
 verifies each hit on the words themselves.
 
-The benchmark is not trusted to be small: its windows are counted first and dealt into blocks of at
-most ``block_bytes`` (``blocks`` by hash of the window). One block is the usual case and needs no
-shuffle; with more, each block is broadcast in a scan of its own and the hits of a document are merged
-by one shuffle of hit ranges. No window is ever dropped.
+The benchmark is not trusted to be small: its windows are computed once, weighed, and dealt into blocks of
+about ``block_bytes`` by hash of the window. One block is the usual case: documents are judged, dropped or cut
+in the scan itself, and nothing is shuffled. With more, each block is broadcast in a scan of its own, whose
+hits are written before the next one takes its place; then the hits of a document are merged by one shuffle of
+hit ranges. No window is ever dropped. A window names all its items, as the result has to.
 
 Defined cases: a null or empty text has no words and is clean; a null item id counts as the empty id;
 repeated documents are judged one by one, repeated items count once; an empty benchmark leaves every
-document clean; other columns are ignored.
+document clean; very long texts are scanned whole; an empty table gives an empty result; other columns are
+ignored, and kept where documents are returned.
 """
 
 from __future__ import annotations
@@ -20,11 +22,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .._spark import ship
+from .._spark import checkpoint, ship, written
 from ._common import ALNUM, LOWER, hash_windows, hash_words, sliced, text_buffer, whole_rows, words_of
 
 SIZE = 13
@@ -88,37 +91,40 @@ class WindowSet:
                     yield i, size, items
 
 
-def _scan(blocks_windows, id_type: str):
+def _judge(index: WindowSet, column: pa.Array) -> tuple[np.ndarray, list[list[dict]], list[list[str]]]:
+    """Words, hit ranges and items of each text of a slice."""
+    data, offsets = text_buffer(column)
+    low = LOWER[data].tobytes()
+    starts, ends, row = words_of(np.frombuffer(low, np.uint8), offsets, ALNUM)
+    n = len(column)
+    edge = np.zeros(len(starts) + 1, np.int64)
+    items: dict[int, set[str]] = {}
+    for i, size, found in index.hits(low, starts, ends, row):
+        edge[i] += 1
+        edge[i + size] -= 1
+        items.setdefault(int(row[i]), set()).update(found)
+    hit = np.cumsum(edge[:-1]) > 0
+    first = np.searchsorted(row, np.arange(n + 1))
+    ranges: list[list[dict]] = [[] for _ in range(n)]
+    for r in items:
+        own = np.flatnonzero(np.diff(np.concatenate([[False], hit[first[r] : first[r + 1]], [False]]).astype(np.int8)))
+        text = data[offsets[r] : offsets[r + 1]]
+        points = np.cumsum((text & 0xC0) != 0x80)  # code points up to and with a byte
+        for a, b in own.reshape(-1, 2).tolist():
+            s, e = int(starts[first[r] + a] - offsets[r]), int(ends[first[r] + b - 1] - offsets[r])
+            ranges[r].append({"first": a, "last": b, "start": int(points[s]) - 1, "end": int(points[e - 1])})
+    return np.bincount(row, minlength=n)[:n], ranges, [sorted(items.get(r, ())) for r in range(n)]
+
+
+def _scan(windows, id_type: str, only_hits: bool = False):
     """A mapInArrow function over (id, text_hash, text): word count, hit ranges and items."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = WindowSet(blocks_windows.value)
+        index = WindowSet(windows.value)
         for batch in sliced(batches, "text"):
-            column = batch.column(2)
-            data, offsets = text_buffer(column)
-            low = LOWER[data].tobytes()
-            starts, ends, row = words_of(np.frombuffer(low, np.uint8), offsets, ALNUM)
-            n = batch.num_rows
-            edge = np.zeros(len(starts) + 1, np.int64)
-            items: dict[int, set[str]] = {}
-            for i, size, found in index.hits(low, starts, ends, row):
-                edge[i] += 1
-                edge[i + size] -= 1
-                items.setdefault(int(row[i]), set()).update(found)
-            hit = np.cumsum(edge[:-1]) > 0
-            first = np.searchsorted(row, np.arange(n + 1))
-            ranges: list[list[dict]] = [[] for _ in range(n)]
-            for r in items:
-                own = np.flatnonzero(np.diff(np.concatenate([[False], hit[first[r] : first[r + 1]], [False]]).astype(np.int8)))
-                text = data[offsets[r] : offsets[r + 1]]
-                points = np.cumsum((text & 0xC0) != 0x80)  # code points up to and with a byte
-                for a, b in own.reshape(-1, 2).tolist():
-                    s, e = int(starts[first[r] + a] - offsets[r]), int(ends[first[r] + b - 1] - offsets[r])
-                    ranges[r].append({"first": a, "last": b, "start": int(points[s]) - 1, "end": int(points[e - 1])})
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.bincount(row, minlength=n)[:n], pa.int64()), pa.array(ranges, _RANGES), pa.array([sorted(items.get(r, ())) for r in range(n)], pa.list_(pa.string()))],
-                ["id", "text_hash", "n_words", "ranges", "items"],
-            )
+            n_words, ranges, items = _judge(index, batch.column(2))
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(ranges, _RANGES), pa.array(items, pa.list_(pa.string()))], ["id", "text_hash", "n_words", "ranges", "items"])
+            yield out.filter(pa.array([bool(r) for r in ranges], pa.bool_())) if only_hits else out
 
     return scan, f"id {id_type}, text_hash long, n_words long, ranges array<struct<first:long,last:long,start:long,end:long>>, items array<string>"
 
@@ -138,48 +144,78 @@ def _merged(ranges) -> list[dict]:
     return out
 
 
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, size: int, block_bytes: int) -> list[DataFrame]:
+    """The benchmark's windows in blocks of about ``block_bytes``."""
+    windows = checkpoint(benchmark_windows(benchmark, item_col, item_text_col, size))
+    weight = windows.agg(F.sum(F.octet_length("window") + F.coalesce(F.aggregate("items", F.lit(0), lambda a, x: a + F.octet_length(x) + 8), F.lit(0)))).first()[0] or 0
+    n = max(1, -(-int(weight) // block_bytes))
+    return [windows] if n == 1 else [windows.where(F.pmod(F.xxhash64("window"), F.lit(n)) == b) for b in range(n)]
+
+
+def _held(block: DataFrame):
+    """A block's windows, broadcast: about ``block_bytes`` of them."""
+    return block.sparkSession.sparkContext.broadcast([(w, list(items)) for w, items in block.toLocalIterator()])
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = SIZE, block_bytes: int = BLOCK_BYTES, share: int = SHARE) -> DataFrame:
     """(id, text_hash, n_words, n_hit, items, ranges, contaminated) for each row of ``docs``.
 
     ``ranges`` holds the hit runs as word positions [first, last) and code points [start, end).
     """
+    return _contamination(docs, _blocks(benchmark, item_col, item_text_col, size, block_bytes), id_col, text_col, share)
+
+
+def _contamination(docs: DataFrame, blocks: list[DataFrame], id_col: str, text_col: str, share: int) -> DataFrame:
     ship(docs.sparkSession)
-    spark = docs.sparkSession
-    windows = benchmark_windows(benchmark, item_col, item_text_col, size)
-    weight = windows.agg(F.sum(F.octet_length("window") + F.coalesce(F.aggregate("items", F.lit(0), lambda a, x: a + F.octet_length(x) + 8), F.lit(0)))).first()[0] or 0
-    blocks = max(1, -(-int(weight) // block_bytes))
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
-    found = None
-    for b in range(blocks):
-        part = windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b)
-        held = spark.sparkContext.broadcast([(w, list(items)) for w, items in part.collect()])
-        one = rows.mapInArrow(*_scan(held, id_type))
-        found = one if found is None else found.unionAll(one)
-    if blocks > 1:
-        merge = F.udf(_merged, "array<struct<first:long,last:long,start:long,end:long>>")
+    if len(blocks) == 1:
+        found = rows.mapInArrow(*_scan(_held(blocks[0]), id_type))
+    else:
+        every = None
+        for k, block in enumerate(blocks):
+            held = _held(block)
+            one = written(rows.mapInArrow(*_scan(held, id_type, only_hits=k > 0)).withColumn("own", F.lit(k == 0).cast("int")))
+            held.destroy()
+            every = one if every is None else every.unionAll(one)
+
+        @F.pandas_udf("array<struct<first:long,last:long,start:long,end:long>>")
+        def merge(ranges: pd.Series) -> pd.Series:
+            return ranges.map(_merged)
+
         # equal rows of an id have equal hits, and come back as often as they went in
-        found = found.groupBy("id", "text_hash").agg(
+        found = every.groupBy("id", "text_hash").agg(
             F.max("n_words").alias("n_words"),
             merge(F.flatten(F.collect_set("ranges"))).alias("ranges"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-            F.count(F.lit(1)).alias("copies"),
+            F.sum("own").alias("copies"),
         )
-        found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.expr(f"copies div {blocks}"))))
+        found = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     n_hit = F.aggregate("ranges", F.lit(0).cast("long"), lambda a, r: a + r["last"] - r["first"])
     return found.select(F.col("id").alias(id_col), "text_hash", "n_words", n_hit.alias("n_hit"), "items", "ranges").withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.lit(share) * F.col("n_hit") >= F.col("n_words"))
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, how: str = "documents", id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+def _without(text: str, ranges: list[dict]) -> str:
+    parts, at = [], 0
+    for r in ranges:
+        parts.append(text[at : r["start"]])
+        at = r["end"]
+    return "".join([*parts, text[at:]])
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, how: str = "documents", id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = SIZE, block_bytes: int = BLOCK_BYTES, share: int = SHARE) -> DataFrame:
     """``docs`` without its contaminated rows (``how='documents'``) or without the hit runs of those (``'spans'``).
 
     Rows that are not contaminated stay as they are, columns and all.
     """
     if how not in ("documents", "spans"):
         raise ValueError("how is 'documents' or 'spans'")
-    bad = contamination(docs, benchmark, id_col, text_col, **params).where("contaminated").groupBy(F.col(id_col).alias("id"), "text_hash").agg(F.first("ranges").alias("ranges"))
+    blocks = _blocks(benchmark, item_col, item_text_col, size, block_bytes)
+    if len(blocks) == 1:
+        return _in_scan(docs, _held(blocks[0]), how, text_col, share)
+    bad = _contamination(docs, blocks, id_col, text_col, share).where("contaminated").groupBy(F.col(id_col).alias("id"), "text_hash").agg(F.first("ranges").alias("ranges"))
     bad = bad.select(F.struct("id", "text_hash", "ranges").alias("bad"))
     rows = whole_rows(docs)
     same = F.col(f"row.{id_col}").eqNullSafe(F.col("bad.id")) & (F.xxhash64(F.col(f"row.{text_col}").cast("string")) == F.col("bad.text_hash"))
@@ -187,17 +223,29 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, how: str = "documents",
         return rows.join(bad, same, "left_anti").select("row.*")
 
     @F.pandas_udf("string")
-    def cut(text, ranges):
-        out = []
-        for t, rs in zip(text, ranges, strict=True):
-            if rs is not None and t is not None:
-                parts, at = [], 0
-                for r in rs:
-                    parts.append(t[at : r["start"]])
-                    at = r["end"]
-                t = "".join([*parts, t[at:]])
-            out.append(t)
-        return type(text)(out, dtype=object)
+    def cut(text: pd.Series, ranges: pd.Series) -> pd.Series:
+        return pd.Series([t if rs is None or t is None else _without(t, rs) for t, rs in zip(text, ranges, strict=True)], dtype=object)
 
     joined = rows.join(bad, same, "left").withColumn("cut", cut(F.col("row")[text_col], "bad.ranges"))
     return joined.select(*[F.col("cut").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def _in_scan(docs: DataFrame, windows, how: str, text_col: str, share: int) -> DataFrame:
+    """Rows judged where they are read; ``docs`` has its text as strings."""
+    ship(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = WindowSet(windows.value)
+        for batch in sliced(batches, text_col):
+            n_words, ranges, _ = _judge(index, batch.column(at))
+            bad = [sum(r["last"] - r["first"] for r in own) * share >= n if own else False for own, n in zip(ranges, n_words.tolist(), strict=True)]
+            if how == "documents":
+                yield batch.filter(pa.array([not x for x in bad], pa.bool_()))
+                continue
+            if any(bad):
+                texts = [_without(t, own) if x else t for t, own, x in zip(batch.column(at).to_pylist(), ranges, bad, strict=True)]
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
