@@ -1,15 +1,16 @@
 """Secret scan by a trigram inverted index.
 
 Each rule is a regular expression. From its parsed form a Boolean trigram query is derived: an AND of
-groups, a group being an OR of literals, a literal an AND of its trigrams. Documents are indexed in
+groups, a group being an OR of literals, a literal an AND of its trigrams. An expression with more than
+literals, classes, groups, alternatives and repeats has no query and reads every row. Documents are indexed in
 shards, the slices of a task: a posting bitmap over the shard's rows for every trigram that some query
 names. A rule's postings are intersected and only the candidates are verified with the expression;
 a rule without a mandatory trigram (plain hexadecimal runs) reads every row. An index sharded like
 this needs no shuffle, so the scan is one pass at any size.
 
-Defined cases: a null or empty text has no spans; repeated rows are scanned one by one; any column
-besides the id and the text is ignored; an empty table gives an empty result; texts of any length are
-scanned whole.
+Defined cases: a null or empty text has no spans; a null id is passed through; repeated rows are scanned
+one by one; any column besides the id and the text is ignored; an empty table gives an empty result; texts
+of any length are scanned whole.
 """
 
 from __future__ import annotations
@@ -17,8 +18,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from re import _constants as C
-from re import _parser
 
 import numpy as np
 import pyarrow as pa
@@ -59,20 +58,108 @@ RULES = (
 MOST_ALTERNATIVES = 64
 
 
-def _fold(char: int) -> str:
-    return chr(char + 32) if 65 <= char <= 90 else chr(char)
+def _fold(char: str) -> str:
+    return char.lower() if "A" <= char <= "Z" else char
 
 
-def _class(items: list) -> set[str] | None:
-    out: set[str] = set()
-    for op, arg in items:
-        if op is C.LITERAL:
-            out.add(_fold(arg))
-        elif op is C.RANGE and arg[1] - arg[0] < 8:
-            out |= {_fold(c) for c in range(arg[0], arg[1] + 1)}
+class _Unknown(Exception):
+    """Syntax that the parser below does not read."""
+
+
+class _Parser:
+    """A small reader of expressions: nodes are ("chars", set or None), ("any of", ways) and ("repeat", least, most, nodes).
+
+    Chars of None stand for more characters than are worth multiplying out.
+    """
+
+    def __init__(self, pattern: str) -> None:
+        self.text, self.at = pattern, 0
+
+    def next(self, expected: str = "") -> str:
+        if self.at >= len(self.text) or expected and self.text[self.at] != expected:
+            raise _Unknown
+        self.at += 1
+        return self.text[self.at - 1]
+
+    def sees(self, text: str) -> bool:
+        if self.text.startswith(text, self.at):
+            self.at += len(text)
+            return True
+        return False
+
+    def ways(self) -> list[list]:
+        out: list[list] = [[]]
+        while self.at < len(self.text) and self.text[self.at] != ")":
+            if self.sees("|"):
+                out.append([])
+            else:
+                out[-1].append(self.repeated(self.one()))
+        return out
+
+    def one(self) -> tuple:
+        char = self.next()
+        if char == "(":
+            if self.text.startswith("?", self.at) and not (self.sees("?:") or self.sees("?i:")):
+                raise _Unknown
+            ways = self.ways()
+            self.next(")")
+            return "any of", ways
+        if char == "[":
+            return "chars", self.char_class()
+        if char == ".":
+            return "chars", None
+        if char in "^$*+?{":
+            raise _Unknown
+        return "chars", {_fold(self.escaped() if char == "\\" else char)}
+
+    def escaped(self) -> str:
+        char = self.next()
+        if char == "x":
+            return chr(int(self.next() + self.next(), 16))
+        if char.isalnum():
+            raise _Unknown
+        return char
+
+    def char_class(self) -> set[str] | None:
+        out, wide = set(), self.sees("^")
+        while not self.sees("]"):
+            char = self.next()
+            first = last = self.escaped() if char == "\\" else char
+            if self.text[self.at : self.at + 1] == "-" and self.text[self.at + 1 : self.at + 2] not in ("]", ""):
+                self.next()
+                char = self.next()
+                last = self.escaped() if char == "\\" else char
+            if ord(last) - ord(first) >= 8:
+                wide = True
+            else:
+                out |= {_fold(chr(c)) for c in range(ord(first), ord(last) + 1)}
+        return None if wide else out
+
+    def repeated(self, node: tuple) -> tuple:
+        if self.sees("*"):
+            node = ("repeat", 0, None, [node])
+        elif self.sees("+"):
+            node = ("repeat", 1, None, [node])
+        elif self.sees("?"):
+            node = ("repeat", 0, 1, [node])
+        elif m := re.compile(r"\{(\d+)(,?)(\d*)\}").match(self.text, self.at):
+            self.at = m.end()
+            node = ("repeat", int(m[1]), int(m[3]) if m[3] else None if m[2] else int(m[1]), [node])
         else:
-            return None
-    return out
+            return node
+        if self.text[self.at : self.at + 1] in ("?", "+"):  # lazy or possessive: the same literals
+            self.at += 1
+        return node
+
+
+def _parsed(pattern: str) -> list | None:
+    """Nodes of an expression, or None for what is not understood."""
+    parser = _Parser(pattern)
+    try:
+        ways = parser.ways()
+    except _Unknown:
+        return None
+    return None if parser.at < len(pattern) else [("any of", ways)]
 
 
 class _Query:
@@ -95,21 +182,20 @@ class _Query:
         self.current = {a + b for a in self.current for b in strings}
 
     def walk(self, nodes: list) -> None:
-        for op, arg in nodes:
-            if op is C.LITERAL:
-                self.times({_fold(arg)})
-            elif op is C.IN and (chars := _class(arg)):
-                self.times(chars)
-            elif op is C.SUBPATTERN:
-                self.walk(list(arg[3]))
-            elif op is C.BRANCH:
-                self.branch([list(x) for x in arg[1]])
-            elif op in (C.MAX_REPEAT, C.MIN_REPEAT, C.POSSESSIVE_REPEAT):
-                self.repeat(*arg)
-            elif op is not C.AT:
+        for kind, *args in nodes:
+            if kind == "chars" and args[0]:
+                self.times(args[0])
+            elif kind == "any of":
+                self.branch(args[0])
+            elif kind == "repeat":
+                self.repeat(*args)
+            else:
                 self.close()
 
     def branch(self, ways: list[list]) -> None:
+        if len(ways) == 1:
+            self.walk(ways[0])
+            return
         parts = [_literals(x) for x in ways]
         if all(x is not None for x in parts):
             self.times(set().union(*parts))
@@ -120,14 +206,14 @@ class _Query:
         if all(best):
             self.groups.append(frozenset().union(*best))
 
-    def repeat(self, least: int, most: int, body) -> None:
-        strings = _literals(list(body))
+    def repeat(self, least: int, most: int | None, body: list) -> None:
+        strings = _literals(body)
         if least == 0 and most == 1 and strings is not None:
             self.times(strings | {""})
             return
         for _ in range(min(least, 4)):
-            self.walk(list(body))
-        if not (least == most <= 4 and strings is not None):
+            self.walk(body)
+        if not (least == most and least <= 4 and strings is not None):
             self.close()
 
 
@@ -140,8 +226,11 @@ def _literals(nodes: list) -> set[str] | None:
 
 def trigram_groups(pattern: str | list) -> list[frozenset[str]]:
     """The mandatory literals of an expression: each match holds a string of every group. ASCII letters are folded."""
+    nodes = _parsed(pattern) if isinstance(pattern, str) else pattern
+    if nodes is None:
+        return []
     q = _Query()
-    q.walk(list(_parser.parse(pattern)) if isinstance(pattern, str) else pattern)
+    q.walk(nodes)
     q.close()
     return q.groups
 

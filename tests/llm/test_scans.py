@@ -55,6 +55,12 @@ def test_trigram_queries():
     assert secret_scan.trigram_groups("[0-9a-f]{16,}") == []
     assert secret_scan.trigram_groups("abc(?:de|fg)?hij") == [frozenset({"abchij", "abcdehij", "abcfghij"})]
     assert secret_scan.trigram_groups("(?:abc.*|x)") == []
+    assert secret_scan.trigram_groups("(?:abc.*|x[yz]q)") == [frozenset({"abc", "xyq", "xzq"})]
+    assert secret_scan.trigram_groups(r"AK\x49A\.[A-Z]{3,}tail") == [frozenset({"akia."}), frozenset({"tail"})]
+    for odd in (r"(?=abc)abc", r"abc\d", "abc$", "(abc", r"\babc"):  # no query: every row is read
+        assert secret_scan.trigram_groups(odd) == []
+    named = [r.kind for r in secret_scan.RULES if secret_scan.trigram_groups(r.pattern)]
+    assert named == [r.kind for r in secret_scan.RULES if r.kind != "hex"]
 
 
 def test_trigram_index_never_misses():
