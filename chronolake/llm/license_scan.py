@@ -5,13 +5,17 @@ A block is a line, or a run of lines between blank ones. It matches a template w
 ordered by their frequency in the whole corpus, rarest first. With a need of n of a template's m words,
 a matching block holds one of the first m - n + 1, so only these are indexed (prefix filter); the block
 needs n words at least (length filter); and if the first of the template's words that it holds is the
-i-th, from 0, at most m - i can be shared (positional filter). What is left is counted exactly.
+i-th, from 0, at most m - i can be shared (positional filter). What is left is counted exactly. One more
+exact check follows: the words that name the license, which tell kindred notices apart, must be among the
+shared ones.
 
-Templates are a parameter of known size and are broadcast. The corpus is read twice, for the frequencies
-(one count for each template word reaches the driver) and for the join; neither needs to move texts.
+Templates are a parameter, a tuple or a frame, of ``TEMPLATE_BYTES`` at most, and are broadcast. The corpus is
+read twice, for the frequencies (one count for each template word reaches the driver) and for the join;
+neither needs to move texts.
 
-Defined cases: a null or empty text has no words and no labels; repeated rows are scanned one by one;
-other columns are ignored; ties in frequency are ordered by the word; an empty table gives an empty result.
+Defined cases: a null or empty text has no words and no labels; a null id is passed through; repeated rows
+are scanned one by one; very long texts are scanned whole; other columns are ignored; ties in frequency are
+ordered by the word; templates without a word match nothing; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,16 +35,38 @@ from ._common import ALNUM, LOWER, hash_windows, hash_words, sliced, text_buffer
 THRESHOLD = 0.8
 #: Phrases whose places are counted, and their labels.
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
-#: (label, text) of notices that are in wide use. A text of at most four words must be met whole at the threshold; one of
-#: five to ten is left out, since the one word that may be missing is the one that names the license.
+# Label, text and naming words of notices that are in wide use. All naming words have to be met, one of those that | joins.
 TEMPLATES = (
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
-    ("cc-by-nc", "Creative Commons Attribution-NonCommercial"),
-    ("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("mit", "Released under the MIT License.", "mit"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so", ""),
+    ("apache-2", "Licensed under the Apache License, Version 2.0.", "apache 2"),
+    ("apache-2", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at", "apache"),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0.", "cc nc"),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "noncommercial"),
+    ("cc-by-nc", "Creative Commons Attribution-NonCommercial", "noncommercial"),
+    ("gpl-3", "This work is licensed under the GNU General Public License, version 3.", "gnu 3"),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation", "gnu"),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", ""),
 )
+#: Bytes of templates in one broadcast.
+TEMPLATE_BYTES = 32 << 20
+
+
+def naming_words(names: str | None) -> list[set[bytes]]:
+    return [{w.encode() for w in part.split("|")} for part in (names or "").split()]
+
+
+def checked_templates(templates: tuple | DataFrame) -> tuple[tuple[str, str, str], ...]:
+    """Templates as a tuple, once they are known to be small; a frame has label, text and names."""
+    if isinstance(templates, DataFrame):
+        size = F.octet_length("label") + F.octet_length("text")
+        if (templates.agg(F.sum(size)).first()[0] or 0) > TEMPLATE_BYTES:
+            raise ValueError("the templates are too large for one scan: join with parts of them")
+        rows = templates.where("label IS NOT NULL AND text IS NOT NULL").select("label", "text", F.coalesce("names", F.lit(""))).distinct().collect()
+        templates = tuple(sorted(map(tuple, rows)))
+    if sum(len(text.encode()) for _, text, _ in templates) > TEMPLATE_BYTES:
+        raise ValueError("the templates are too large for one scan: join with parts of them")
+    return tuple(t for t in templates if word_set(t[1]))
 
 
 def word_set(text: str) -> frozenset[bytes]:
@@ -92,8 +118,9 @@ def _vocabulary_words(column: pa.Array, words: list[bytes]) -> Iterator[tuple[in
 class TemplateIndex:
     """Templates in corpus order with their prefixes indexed."""
 
-    def __init__(self, templates: tuple[tuple[str, str], ...], counts: dict[bytes, int], threshold: float) -> None:
-        self.sets = [(label, sorted(word_set(text), key=lambda w: (counts.get(w, 0), w))) for label, text in templates]
+    def __init__(self, templates: tuple[tuple[str, str, str], ...], counts: dict[bytes, int], threshold: float) -> None:
+        self.sets = [(label, sorted(word_set(text), key=lambda w: (counts.get(w, 0), w))) for label, text, _ in templates]
+        self.names = [naming_words(names) for _, _, names in templates]
         self.need = [ceil(threshold * len(words) - 1e-9) for _, words in self.sets]
         self.prefix: dict[bytes, list[int]] = {}
         for k, (_, words) in enumerate(self.sets):
@@ -110,20 +137,22 @@ class TemplateIndex:
             first = next(i for i, w in enumerate(words) if w in block)
             if len(words) - first < self.need[k]:
                 continue
-            if (shared := sum(w in block for w in words)) >= self.need[k]:
+            if (shared := sum(w in block for w in words)) >= self.need[k] and all(block & any_of for any_of in self.names[k]):
                 yield label, shared / len(words)
 
 
-def license_labels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, phrases: tuple[tuple[str, str], ...] = PHRASES, threshold: float = THRESHOLD) -> DataFrame:
+def license_labels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: tuple[tuple[str, str, str], ...] | DataFrame = TEMPLATES, phrases: tuple[tuple[str, str], ...] = PHRASES, threshold: float = THRESHOLD) -> DataFrame:
     """(id, n_words, n_base, first_word, last_word, base_labels, labels, matches, score) for each row.
 
     ``matches`` lists (label, containment, first word, end word) of every block that meets a template.
     """
     ship(docs.sparkSession)
-    counts = corpus_counts(docs, frozenset().union(*(word_set(t) for _, t in templates)), text_col) if templates else {}
-    index = TemplateIndex(templates, counts, threshold)
+    templates = checked_templates(templates)
+    counts = corpus_counts(docs, frozenset().union(*(word_set(t) for _, t, _ in templates)), text_col) if templates else {}
+    held = docs.sparkSession.sparkContext.broadcast(TemplateIndex(templates, counts, threshold))  # TEMPLATE_BYTES at most
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = held.value
         for batch in sliced(batches, "text"):
             n = batch.num_rows
             data, offsets = text_buffer(batch.column(1))

@@ -115,7 +115,7 @@ def test_span_positions(spark, docs):
     assert [(x["first"], x["last"], x["start"], x["end"]) for x in row.ranges] == [(1, 4, 3, 17)]
 
 
-NOTICE = next(text for label, text in license_scan.TEMPLATES if label == "mit")
+NOTICE = max((t[1] for t in license_scan.TEMPLATES if t[0] == "mit"), key=len)
 
 
 def test_licenses(spark, docs):
@@ -134,9 +134,9 @@ def test_licenses(spark, docs):
         best = 1.0 if places else 0.0
         for block in {*(text or "").split("\n"), *re.split("\n\n", text or "")}:
             own = set(words(block))
-            for label, template in license_scan.TEMPLATES:
+            for label, template, names in license_scan.TEMPLATES:
                 t = set(words(template))
-                if (share := len(own & t) / len(t)) >= license_scan.THRESHOLD:
+                if (share := len(own & t) / len(t)) >= license_scan.THRESHOLD and all(own & set(n.split("|")) for n in names.split()):
                     labels.add(label)
                     best = max(best, share)
         return len(w), len(places), min((k for k, _ in places), default=None), max((k for k, _ in places), default=None), sorted({x for _, x in places}), sorted(labels), round(best, 9)
@@ -151,9 +151,21 @@ def test_kindred_notices_name_only_their_own_license(spark, docs):
     rows = [
         (0, "Released under the Apache License", None), (1, "Licensed under CC BY 4.0.", None), (2, "This work is licensed under a Creative Commons Attribution 4.0 International License.", None),
         (3, "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", None), (4, "Released under the MIT License.", None),
+        (5, "Released under MIT License", None), (6, "Licensed under the Apache License 2.0", None), (7, "Licensed under CC BY-NC 3.0", None), (8, "Licensed under the Apache License, Version 1.1", None),
+        (9, "Licensed under CC BY 4.0.", None), (10, "This work is licensed under the GNU General Public License, version 2.", None), (11, "Released under the BSD License.", None),
     ]
     got = {g.doc_id: list(g.labels) for g in license_scan.license_labels(docs(rows)).collect()}
-    assert got == {0: [], 1: [], 2: [], 3: ["cc-by-nc"], 4: ["mit"]}
+    assert got == {0: [], 1: [], 2: [], 3: ["cc-by-nc"], 4: ["mit"], 5: ["mit"], 6: ["apache-2"], 7: ["cc-by-nc"], 8: [], 9: [], 10: [], 11: []}
+
+
+def test_templates_of_a_frame(spark, docs, monkeypatch):
+    frame = spark.createDataFrame([("own", "One two three four five", "three"), ("own", "One two three four five", "three"), ("none", " -- ", None), (None, "x", ""), ("plain", "Nine ten", None)], "label string, text string, names string")
+    rows = [(1, "one two three four", None), (2, "one two four five", None), (3, "ten, nine", None), (None, None, None)]
+    got = {g.doc_id: list(g.labels) for g in license_scan.license_labels(docs(rows), templates=frame).collect()}
+    assert got == {1: ["own"], 2: [], 3: ["plain"], None: []}
+    monkeypatch.setattr(license_scan, "TEMPLATE_BYTES", 10)
+    with pytest.raises(ValueError):
+        license_scan.license_labels(docs(rows), templates=frame)
 
 
 def test_digest_of_no_spans():
