@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: From fine to coarse.
+# Frequencies from fine to coarse, and their periods and rows in a year.
 RANK = {"D": 0, "B": 1, "W": 2, "M": 3, "Q": 4, "A": 5}
 #: Periods of a frequency in a year.
 PER_YEAR = {"D": 365.25, "B": 252.0, "W": 52.0, "M": 12.0, "Q": 4.0, "A": 1.0}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,27 +28,39 @@ def no_nan(value: Column) -> Column:
 def to_number(text: Column) -> Column:
     """A number in agency notation; null for a missing marker and for what is no number (see ``bad_number``).
 
-    Decimal comma or point, grouped thousands, percent signs, blanks and negative parentheses. A single
-    separator with one group behind it is a decimal separator.
+    Decimal comma or point, grouped thousands, percent signs, blanks and negative parentheses. ``1,234`` has a
+    decimal comma, ``1,234,567`` has none.
     """
-    t = _bare(text)
-    negative = t.startswith("(") & t.endswith(")")
-    t = F.when(negative, t.substr(F.lit(2), F.length(t) - 2)).otherwise(t)
-    grouped = lambda sep: t.rlike(rf"^[+-]*[^{sep}]{{1,3}}({sep}\d{{3}}){{2,}}$")
-    dot, comma = t.contains("."), t.contains(",")
-    # the rightmost of two separators is the decimal one
-    comma_last = F.length(F.substring_index(t, ",", -1)) < F.length(F.substring_index(t, ".", -1))
-    drop_dots, drop_commas = F.replace(t, F.lit("."), F.lit("")), F.replace(t, F.lit(","), F.lit(""))
-    plain = (
-        F.when(dot & comma & comma_last, F.replace(drop_dots, F.lit(","), F.lit(".")))
-        .when(dot & comma, drop_commas)
-        .when(comma & grouped(","), drop_commas)
-        .when(comma, F.replace(t, F.lit(","), F.lit(".")))
-        .when(dot & grouped(r"\."), drop_dots)
-        .otherwise(t)
-    )
-    number = F.when(plain.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), plain.try_cast("double"))
-    return F.when(negative, -number).otherwise(number)
+
+    def signed(t: Column) -> Column:
+        negative = t.startswith("(") & t.endswith(")")
+        number = _let(F.when(negative, t.substr(F.lit(2), F.length(t) - 2)).otherwise(t), lambda u: _let(plain(u), number_of))
+        return F.when(negative, -number).otherwise(number)
+
+    def plain(t: Column) -> Column:
+        grouped = lambda sep: t.rlike(rf"^[+-]*[^{sep}]{{1,3}}({sep}\d{{3}}){{2,}}$")
+        dot, comma = t.contains("."), t.contains(",")
+        # with both, whichever comes last has the decimals behind it
+        comma_last = F.length(F.substring_index(t, ",", -1)) < F.length(F.substring_index(t, ".", -1))
+        drop_dots, drop_commas = F.replace(t, F.lit("."), F.lit("")), F.replace(t, F.lit(","), F.lit(""))
+        return (
+            F.when(dot & comma & comma_last, F.replace(drop_dots, F.lit(","), F.lit(".")))
+            .when(dot & comma, drop_commas)
+            .when(comma & grouped(","), drop_commas)
+            .when(comma, F.replace(t, F.lit(","), F.lit(".")))
+            .when(dot & grouped(r"\."), drop_dots)
+            .otherwise(t)
+        )
+
+    def number_of(t: Column) -> Column:
+        return F.when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), t.try_cast("double"))
+
+    return _let(_bare(text), signed)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def _bare(text: Column) -> Column:

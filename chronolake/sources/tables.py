@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .._spark import exists
+
 # Columns of the tables. A trailing ! marks a column without nulls.
 TABLES = {
     "observations": "series_id string!, period date!, value double, realtime_start date!, realtime_end date, observed_at timestamp!, run_id string!",
@@ -29,13 +31,29 @@ def schema(name: str) -> T.StructType:
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Exactly the table's columns in order and type; missing nullable ones are null, anything else is an error."""
+    """Exactly the table's columns in order and type; missing nullable ones are null, anything else is an error.
+
+    Columns are checked here. A value that does not fit its column, or a null where none may be, stops the job
+    that meets it, so a write leaves the table as it was; ``rejected`` lists such rows.
+    """
     want = schema(name)
     extra = set(df.columns) - set(want.names)
     lacking = [f.name for f in want if f.name not in df.columns and not f.nullable]
     if extra or lacking:
         raise ValueError(f"{name}: columns {sorted(extra)} are not known, {lacking} are missing")
-    return df.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in want])
+
+    def checked(f: T.StructField) -> Column:
+        if f.name not in df.columns:
+            return F.lit(None).cast(f.dataType)
+        given = F.col(f.name)
+        refuse = lambda why: F.raise_error(F.lit(f"{name}.{f.name}: {why}")).cast(f.dataType)
+        out = given
+        if df.schema[f.name].dataType != f.dataType:
+            cast = given.try_cast(f.dataType)
+            out = F.when(cast.isNull() & given.isNotNull(), refuse(f"not {f.dataType.simpleString()}")).otherwise(cast)
+        return out if f.nullable else F.when(given.isNull(), refuse("null")).otherwise(out)
+
+    return df.select(*[checked(f).alias(f.name) for f in want])
 
 
 def rejected(df: DataFrame, name: str) -> DataFrame:
@@ -55,8 +73,7 @@ def read_table(spark: SparkSession, root: str, name: str, source: str | None = N
     want = schema(name)
     by = PARTITIONED.get(name)
     path = f"{root}/{name}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    if not exists(spark, path):
         return spark.createDataFrame([], want)
     df = spark.read.schema(T.StructType([*want, T.StructField(by, T.StringType())]) if by else want).parquet(path)
     if source is not None and by:
