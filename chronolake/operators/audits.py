@@ -63,17 +63,22 @@ def gaps(obs: DataFrame, series: DataFrame) -> DataFrame:
 def spikes(obs: DataFrame) -> DataFrame:
     """(series_id, period, size, scale) of the largest move that came straight back, where it stands out.
 
-    The scale is the median of all moves but the two largest; with a scale of 0 any such move stands out.
+    The scale is the median of all moves but the two largest; with a scale of 0 any such move stands out. Moves are
+    sorted by size once per series, which spills, and the median is read at its place: no task holds a series.
     """
     w = Window.partitionBy("series_id").orderBy("period")
     values = _open(obs).where("value IS NOT NULL").select("series_id", "period", "value")
     moves = values.withColumn("d", F.col("value") - F.lag("value").over(w))
     moves = moves.withColumn("back", F.lead("d").over(w))
     size = F.when(F.signum("d") * F.signum("back") < 0, F.least(F.abs("d"), F.abs("back"))).otherwise(0.0)
-    worst = moves.where("d IS NOT NULL AND back IS NOT NULL").groupBy("series_id").agg(F.max(F.struct(size.alias("size"), (-F.unix_date("period")).alias("early"))).alias("w"))
-    ranked = moves.where("d IS NOT NULL").withColumn("k", F.row_number().over(Window.partitionBy("series_id").orderBy(F.abs("d").desc())))
-    scale = ranked.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.median(F.when(F.col("k") > 2, F.abs("d"))), F.median(F.abs("d"))).alias("scale"))
-    rows = worst.join(scale, "series_id").where(F.col("n") + 1 >= LEAST_FOR_SPIKE)
+    moves = moves.where("d IS NOT NULL").withColumns({"size": F.when(F.col("back").isNotNull(), size), "d": F.abs("d")})
+    both = moves.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("size").isNotNull(), F.struct("size", (-F.unix_date("period")).alias("early")))).alias("w"))
+    both = both.where(F.col("n") + 1 >= LEAST_FOR_SPIKE)  # so that moves are left without the two largest
+    k = F.row_number().over(Window.partitionBy("series_id").orderBy(F.col("d").desc()))
+    ranked = moves.select("series_id", "d", k.alias("k")).join(both, "series_id")
+    # of the moves numbered 3 to n, the middle one or the mean of the middle two
+    middle = (F.col("k") == F.floor((F.col("n") + 3) / 2)) | (F.col("k") == F.ceil((F.col("n") + 3) / 2))
+    rows = ranked.where(middle).groupBy("series_id").agg(F.avg("d").alias("scale"), F.first("w").alias("w"))
     rows = rows.select("series_id", F.date_from_unix_date((-F.col("w.early")).cast("int")).alias("period"), F.col("w.size").alias("size"), "scale")
     return rows.where(F.when(F.col("scale") > 0, F.col("size") > SPIKE_FACTOR * F.col("scale")).otherwise(F.col("size") > 0))
 
@@ -149,5 +154,5 @@ def recent_runs(runs: DataFrame, n: int = 10) -> DataFrame:
 def mask_restricted(points: DataFrame, series: DataFrame) -> DataFrame:
     """Values of series that may not be passed on are hidden, their other columns stay."""
     may = series.select("series_id", "redistributable")
-    rows = points.join(F.broadcast(may), "series_id", "left")
+    rows = points.join(may, "series_id", "left")
     return rows.withColumn("value", F.when(F.coalesce("redistributable", F.lit(True)), F.col("value"))).drop("redistributable")

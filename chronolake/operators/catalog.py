@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: the form of a series id.
 ID = r"^[a-z][a-z0-9_]*:[A-Za-z0-9][A-Za-z0-9_./\-]*$"
 
 
@@ -13,7 +14,7 @@ def resolve_alias(ids: DataFrame, series: DataFrame) -> DataFrame:
     own = series.select(F.col("series_id").alias("given"), F.lit(None).cast("string").alias("of"))
     alias = series.select(F.explode("aliases").alias("given"), F.col("series_id").alias("of"))
     names = own.unionByName(alias).groupBy("given").agg(F.bool_or(F.col("of").isNull()).alias("is_id"), F.min("of").alias("of"))
-    return ids.join(F.broadcast(names), ids["series_id"] == names["given"], "left").select(*[ids[c] for c in ids.columns], F.when(F.coalesce("is_id", F.lit(True)), ids["series_id"]).otherwise(F.col("of")).alias("canonical"))
+    return ids.join(names, ids["series_id"] == names["given"], "left").select(*[ids[c] for c in ids.columns], F.when(F.coalesce("is_id", F.lit(True)), ids["series_id"]).otherwise(F.col("of")).alias("canonical"))
 
 
 def resolve(keys: DataFrame, series: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -24,11 +25,11 @@ def resolve(keys: DataFrame, series: DataFrame) -> tuple[DataFrame, DataFrame]:
     keys = keys.select("entity_id", "key")
     by_concept = series.where("concept_id IS NOT NULL").select("entity_id", F.col("concept_id").alias("key"), "series_id")
     by_id = series.select(F.col("entity_id").alias("_entity"), F.col("series_id").alias("key"), F.col("series_id").alias("_id"))
-    rows = keys.join(F.broadcast(by_concept), ["entity_id", "key"], "left").join(F.broadcast(by_id), "key", "left")
+    rows = keys.join(by_concept, ["entity_id", "key"], "left").join(by_id, "key", "left")
     right = F.col("_id").isNotNull() & (F.col("entity_id").isNull() | (F.col("entity_id") == F.col("_entity")))
     rows = rows.withColumn("found", F.coalesce("series_id", F.when(right, F.col("_id"))))
     where = series.groupBy(F.col("concept_id").alias("key")).agg(F.array_join(F.array_sort(F.collect_set("entity_id")), ",").alias("entities"))
-    lost = rows.where("found IS NULL").join(F.broadcast(where), "key", "left")
+    lost = rows.where("found IS NULL").join(where, "key", "left")
     error = F.when(F.col("_id").isNotNull(), F.concat(F.lit("series belongs to "), F.col("_entity"))).when(F.col("entities").isNotNull(), F.concat(F.lit("concept is known for "), F.col("entities"))).otherwise("unknown key")
     return rows.where("found IS NOT NULL").select("entity_id", "key", F.col("found").alias("series_id")), lost.select("entity_id", "key", error.alias("error"))
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from .._spark import ship
 from . import regression as R
 
+# Smoothing of the two-sided filter, horizon and lags of the one-sided one, and the least rows of each fit.
 SMOOTHING = 1600.0
 HAMILTON = (8, 4)
 LEAST_TREND = 8
@@ -25,10 +27,14 @@ def _w(group: Sequence[str]) -> WindowSpec:
 
 
 def hp_trend(y: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
-    """Solve (I + s K'K) trend = y for the second-difference K: a banded elimination, linear in the length."""
-    n = len(y)
+    """Solve (I + s K'K) trend = y for the second-difference K: a banded elimination, linear in the length.
+
+    ``y`` is one series, or a row for each of several series of one length, which go through the steps together.
+    """
+    y = np.asarray(y, float)
+    n = y.shape[-1]
     if n < 4:
-        return y.astype(float).copy()
+        return y.copy()
     main, one, two = np.ones(n), np.zeros(n), np.zeros(n)
     for i in range(n - 2):
         for a, ka in enumerate((1.0, -2.0, 1.0)):
@@ -36,30 +42,43 @@ def hp_trend(y: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
             if a < 2:
                 one[i + a] += smoothing * ka * (-2.0 if a == 0 else 1.0)
         two[i] += smoothing
-    d, l1, l2, z = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
+    d, l1, l2, z = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros_like(y)
     for i in range(n):
         d[i] = main[i] - (l1[i - 1] ** 2 * d[i - 1] if i > 0 else 0) - (l2[i - 2] ** 2 * d[i - 2] if i > 1 else 0)
         l1[i] = (one[i] - (l1[i - 1] * l2[i - 1] * d[i - 1] if i > 0 else 0)) / d[i] if i + 1 < n else 0
         l2[i] = two[i] / d[i] if i + 2 < n else 0
-        z[i] = y[i] - (l1[i - 1] * z[i - 1] if i > 0 else 0) - (l2[i - 2] * z[i - 2] if i > 1 else 0)
+        z[..., i] = y[..., i] - (l1[i - 1] * z[..., i - 1] if i > 0 else 0) - (l2[i - 2] * z[..., i - 2] if i > 1 else 0)
     x = z / d
     for i in range(n - 2, -1, -1):
-        x[i] -= l1[i] * x[i + 1] + (l2[i] * x[i + 2] if i + 2 < n else 0)
+        x[..., i] -= l1[i] * x[..., i + 1] + (l2[i] * x[..., i + 2] if i + 2 < n else 0)
     return x
 
 
 def hp_filter(df: DataFrame, group: Sequence[str], smoothing: float = SMOOTHING) -> DataFrame:
-    """(group, period, value, trend, cycle): the two-sided filter of each group's values; too few values have no trend."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("period")
-        y = pdf["value"].to_numpy(float)
-        trend = hp_trend(y, smoothing) if len(y) >= LEAST_TREND else np.full(len(y), np.nan)
-        return pdf.assign(trend=trend, cycle=y - trend)
+    """(group, period, value, trend, cycle): the two-sided filter of each group's values; too few values have no trend.
 
-    rows = df.where("value IS NOT NULL").select(*group, "period", "value")
-    types = ", ".join(f"`{g}` {df.schema[g].dataType.simpleString()}" for g in group)
-    out = rows.groupBy(*group).applyInPandas(run, f"{types}, period date, value double, trend double, cycle double")
-    return out.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("trend", "cycle")})
+    Every trend depends on all values of its group, so a group is one row of arrays, and its length, not the table's,
+    has to fit a task. Groups of one length in a batch are solved together.
+    """
+    ship(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [np.asarray(v, float) for v in batch.column(batch.num_columns - 1).to_pylist()]
+            trends = [np.full(len(v), np.nan) for v in values]
+            for n in {len(v) for v in values if len(v) >= LEAST_TREND}:
+                own = [i for i, v in enumerate(values) if len(v) == n]
+                for i, trend in zip(own, hp_trend(np.stack([values[i] for i in own]), smoothing), strict=True):
+                    trends[i] = trend
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([t.tolist() for t in trends], pa.list_(pa.float64()))], [*batch.schema.names, "_trend"])
+
+    rows = df.where("value IS NOT NULL").groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("period", F.col("value").cast("double").alias("value")))).alias("_rows"))
+    rows = rows.select(*group, F.col("_rows.period").alias("_period"), F.col("_rows.value").alias("_value"))
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    found = rows.mapInArrow(run, f"{types}, _trend array<double>")
+    out = found.select(*group, F.explode(F.arrays_zip("_period", "_value", "_trend")).alias("_r"))
+    trend = F.when(~F.isnan("_r._trend"), F.col("_r._trend"))
+    return out.select(*group, F.col("_r._period").alias("period"), F.col("_r._value").alias("value"), trend.alias("trend"), (F.col("_r._value") - trend).alias("cycle"))
 
 
 def log_or_level(df: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -95,7 +114,7 @@ def taylor_rule(panel: DataFrame, params: DataFrame, group: Sequence[str] = ("en
     """
     gap = output_gap(panel.select(*group, "period", F.col("output").alias("value")), group, method)
     rows = panel.withColumn("inflation", (F.try_divide("price", F.lag("price", 4).over(_w(group))) - 1) * 100).join(gap, [*group, "period"])
-    rows = rows.where("inflation IS NOT NULL AND gap IS NOT NULL AND rate IS NOT NULL").join(F.broadcast(params), list(group))
+    rows = rows.where("inflation IS NOT NULL AND gap IS NOT NULL AND rate IS NOT NULL").join(params, list(group))
     rule = F.col("r_star") + F.col("inflation") + F.col("a_pi") * (F.col("inflation") - F.col("pi_star")) + F.col("a_y") * F.col("gap")
     return rows.select(*group, "period", "inflation", "gap", "rate", rule.alias("prescribed")).withColumn("deviation", F.col("rate") - F.col("prescribed"))
 
@@ -118,10 +137,10 @@ def parity_rows(panel: DataFrame, horizons: Sequence[int], group: Sequence[str]
     return long.select(*group, "period", "_m.horizon", "_m.change", (F.col("home") - F.col("abroad")).alias("differential"))
 
 
-def uip(panel: DataFrame, horizons: Sequence[int], group: Sequence[str] = ("pair",)) -> tuple[DataFrame, DataFrame]:
+def uip(panel: DataFrame, horizons: Sequence[int], group: Sequence[str] = ("pair",), least_rows: int = LEAST_PARITY) -> tuple[DataFrame, DataFrame]:
     """Coefficients of the change on the differential, Newey-West over the horizon; and the test of a slope of one."""
     by = [*group, "horizon"]
-    fitted = R.fit(parity_rows(panel, horizons, group), by, "change", ["differential"], order="period", lags="horizon", least_rows=LEAST_PARITY)
+    fitted = R.fit(parity_rows(panel, horizons, group), by, "change", ["differential"], order="period", lags="horizon", most_lags=max(horizons), least_rows=least_rows)
     return R.coefficients(fitted, by), R.wald(fitted, by, {"differential": 1.0}, 1.0)
 
 
@@ -132,7 +151,7 @@ def build_terms(long: DataFrame, terms: DataFrame, group: Sequence[str] = ("spec
     """
     others = [g for g in group if g != "spec"]
     w = Window.partitionBy("spec", "term", *others, "lag").orderBy("period")
-    rows = long.join(F.broadcast(terms), "source").withColumn("_at", F.row_number().over(w))
+    rows = long.join(terms, "source").withColumn("_at", F.row_number().over(w))
     shifted = rows.select("spec", "term", *others, "lag", (F.col("_at") + F.col("lag")).alias("_at"), "value")
     at = rows.select("spec", "term", *others, "lag", "_at", "period")
     joined = at.join(shifted, ["spec", "term", *others, "lag", "_at"], "left")
@@ -164,16 +183,22 @@ def phillips(rows: DataFrame, group: Sequence[str], over: Sequence[str], anchor:
 def expanding_oos(rows: DataFrame, cutoffs: DataFrame, group: Sequence[str], y: str, xs: Sequence[str], survey: str, prepare=None) -> tuple[DataFrame, DataFrame]:
     """One-step forecasts at every cut-off from the rows before it, and their errors against a survey and the last value.
 
-    ``cutoffs`` has the column ``cutoff``; ``prepare`` recomputes what depends on the sample, such as a filter, with
-    ``cutoff`` as one more group. Every cut-off is a group of one job.
+    ``cutoffs`` has the column ``cutoff``. Fits are running sums over the periods, so each cut-off costs a row of a
+    group. With ``prepare``, which recomputes what depends on the sample, such as a filter, with ``cutoff`` as one more
+    group, every cut-off is a group with its own copy of the rows before it: quadratic in the sample, as such
+    backtests are.
     """
     by = [*group, "cutoff"]
-    seen = rows.join(F.broadcast(cutoffs.select(F.col("cutoff").cast("date").alias("cutoff")).distinct()), F.col("period") <= F.col("cutoff"))
-    if prepare is not None:
-        seen = prepare(seen, by)
-    seen = seen.withColumn("_before", F.lag(y).over(_w(by)))
-    fitted = R.fit(seen.where("period < cutoff"), by, y, xs, least_rows=LEAST_PRICE)
-    now = seen.where("period = cutoff").dropna(subset=[*xs, y, survey, "_before"])
+    days = cutoffs.select(F.col("cutoff").cast("date").alias("cutoff")).distinct()
+    if prepare is None:
+        at = rows.withColumns({"cutoff": F.col("period"), "_before": F.lag(y).over(_w(group))})
+        fitted = R.fit_before(at, group, y, xs, "cutoff", days, LEAST_PRICE)
+        now = at.join(days, "cutoff", "left_semi")
+    else:
+        seen = prepare(rows.join(days, F.col("period") <= F.col("cutoff")), by).withColumn("_before", F.lag(y).over(_w(by)))
+        fitted = R.fit(seen.where("period < cutoff"), by, y, xs, least_rows=LEAST_PRICE)
+        now = seen.where("period = cutoff")
+    now = now.dropna(subset=[*xs, y, survey, "_before"])
     out = R.predict(now, fitted, by, xs, name="model").select(*by, F.col(y).alias("actual"), "model", F.col(survey).alias("survey"), F.col("_before").alias("random_walk"))
     rmse = out.groupBy(*group).agg(*[F.sqrt(F.avg(F.pow(F.col("actual") - F.col(c), 2))).alias(f"rmse_{c}") for c in ("model", "survey", "random_walk")], F.count(F.lit(1)).alias("n"))
     return out, rmse
@@ -191,7 +216,7 @@ def local_projections(panel: DataFrame, group: Sequence[str], responses: Sequenc
     long = rows.withColumn("_moved", moved).select(*group, "period", shock, *controls, F.explode("_moved").alias("_m"))
     long = long.select(*group, "period", shock, *controls, "_m.response", "_m.h", "_m.moved").withColumn("_lags", F.greatest("h", F.lit(1)))
     by = [*group, "response", "h"]
-    fitted = R.fit(long, by, "moved", [shock, *controls], order="period", lags="_lags", least_rows=LEAST_PROJECTION)
+    fitted = R.fit(long, by, "moved", [shock, *controls], order="period", lags="_lags", most_lags=max(horizon, 1), least_rows=LEAST_PROJECTION)
     own = R.coefficients(fitted, by).where(F.col("term") == shock)
     return own.select(*by, "coef", "se", (F.col("coef") - 1.96 * F.col("se")).alias("low"), (F.col("coef") + 1.96 * F.col("se")).alias("high"), "n")
 

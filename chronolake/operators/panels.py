@@ -11,6 +11,10 @@ from ..functions.calendar import period_start
 from . import catalog, transforms, vintages
 
 
+#: Columns of a panel at most.
+MOST_LABELS = 10_000
+
+
 def trim(df: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Periods from ``start`` to ``end``, both included."""
     if start is not None:
@@ -25,7 +29,7 @@ def get(obs: DataFrame, series: DataFrame, concepts: DataFrame, ids: Sequence[st
     if isinstance(ids, str):
         raise TypeError("ids is a list of series ids, not one of them")
     wanted = ids.select("series_id").distinct() if isinstance(ids, DataFrame) else obs.sparkSession.createDataFrame([(i,) for i in ids], "series_id string")
-    rows = obs.join(F.broadcast(wanted), "series_id", "left_semi")
+    rows = obs.join(wanted, "series_id", "left_semi")
     rows = vintages.read_as_of(rows, series, asof, kind if asof is not None else "latest").select("series_id", "period", "value")
     if freq is not None:
         if agg is None:
@@ -60,7 +64,7 @@ def label_rows(rows: DataFrame, keys: list[tuple[str | None, str, str]], series:
     frame = series.sparkSession.createDataFrame(keys, "entity_id string, key string, label string")
     found, _ = catalog.resolve(frame, series)
     named = found.join(frame.withColumnRenamed("entity_id", "_e").withColumnRenamed("key", "_k"), F.col("key").eqNullSafe(F.col("_k")) & F.col("entity_id").eqNullSafe(F.col("_e")))
-    return rows.join(F.broadcast(named.select("series_id", "label")), "series_id")
+    return rows.join(named.select("series_id", "label"), "series_id")
 
 
 def panel(rows: DataFrame, labels: Sequence[str], how: str = "outer", group: Sequence[str] = ()) -> DataFrame:
@@ -77,16 +81,23 @@ def panel(rows: DataFrame, labels: Sequence[str], how: str = "outer", group: Seq
 
 def panel_grid(obs: DataFrame, dates: DataFrame, labelled: DataFrame, labels: Sequence[str]) -> DataFrame:
     """The panel as of many days at once; ``labelled`` has (series_id, label)."""
-    rows = vintages.as_of_grid(obs, dates).join(F.broadcast(labelled), "series_id")
+    rows = vintages.as_of_grid(obs.join(labelled, "series_id"), dates)
     return panel(rows, labels, "outer", ["asof"])
 
 
 def missing_inputs(rows: DataFrame, requests: DataFrame, group: Sequence[str] = ()) -> DataFrame:
-    """Required labels of ``requests`` (label, required) that the panel, or one of its groups, does not have."""
+    """Required labels of ``requests`` (label, required) that the panel, or one of its groups, does not have.
+
+    The labels that are asked for are a list in each group's row, as they would be in an application's settings.
+    """
     need = requests.where(F.coalesce("required", F.lit(True))).select("label").distinct()
-    if group:
-        need = rows.select(*group).distinct().crossJoin(F.broadcast(need))  # groups x a few labels
-    return need.join(rows.select(*group, "label").distinct(), [*group, "label"], "left_anti")
+    if not group:
+        return need.join(rows.select("label").distinct(), "label", "left_anti")
+    asked = [r[0] for r in need.limit(MOST_LABELS + 1).collect()]
+    if len(asked) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels are no panel")
+    per = rows.groupBy(*group).agg(F.collect_set(F.when(F.col("label").isin(asked), F.col("label"))).alias("_has"))  # bounded by what is asked for
+    return per.select(*group, F.explode(F.array_except(F.array(*map(F.lit, asked)).cast("array<string>"), "_has")).alias("label"))
 
 
 def _step(freq: str) -> Column:

@@ -1,8 +1,8 @@
 """Least squares for every group of a frame at once.
 
 Spark sums the cross products of each group; what is left, a k x k solve with k of a dozen at most, runs
-over the summed rows. Newey-West terms are sums as well: each score meets the ones up to L rows before it in
-an equi-join on the position within the group.
+over the summed rows. Newey-West terms are sums as well: one window over the rows of a group has the scores of
+up to L rows before at hand, so rows are moved once, whatever L is. Fits on growing samples are running sums.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .._spark import ship
+
 CONSTANT = "const"
 
 
@@ -58,24 +60,60 @@ def _square(upper: Sequence[float], n: int) -> np.ndarray:
     return out
 
 
-def fit(df: DataFrame, group: Sequence[str], y: str, xs: Sequence[str], weight: str | None = None, order: str | None = None, lags: int | str | None = None, constant: bool = True, least_rows: int = 0) -> DataFrame:
+def _products(ins: list[Column], y: Column, w: Column) -> list[Column]:
+    """What is summed over rows: products of regressors with each other and with y, squares of y, y, weights, rows."""
+    return [*[w * ins[i] * ins[j] for i, j in _triangle(len(ins))], *[w * x * y for x in ins], w * y * y, w * y, w, F.lit(1).cast("long")]
+
+
+def _packed(sums: Sequence[Column], k: int) -> list[Column]:
+    """The sums of ``_products`` as the columns that ``_solved`` reads."""
+    m = k * (k + 1) // 2
+    return [F.array(*sums[:m]).alias("_xx"), F.array(*sums[m : m + k]).alias("_xy"), *[s.alias(n) for s, n in zip(sums[m + k :], ("_yy", "_y", "_w", "n"), strict=True)]]
+
+
+def fit(df: DataFrame, group: Sequence[str], y: str, xs: Sequence[str], weight: str | None = None, order: str | None = None, lags: int | str | None = None, constant: bool = True, least_rows: int = 0, most_lags: int | None = None) -> DataFrame:
     """One row per group: ``terms``, ``beta``, ``cov`` (row by row), ``n``, ``dof``, ``r2``, ``ssr``.
 
-    With ``lags`` (a number, or a column that is constant in a group) the covariance is Newey-West over rows in
-    the order of ``order``, and ``dof`` is null, which means normal p-values. Rows with a null are left out, and
-    groups of fewer than ``least_rows`` rows or with a singular design.
+    With ``lags`` (a number, or a column that is constant in a group, with ``most_lags`` at most) the covariance is
+    Newey-West over rows in the order of ``order``, and ``dof`` is null, which means normal p-values. Rows with a null
+    are left out, and groups of fewer than ``least_rows`` rows or with a singular design.
     """
     names = ([CONSTANT] if constant else []) + list(xs)
-    k, pairs = len(names), _triangle(len(names))
+    k = len(names)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     ins = [F.lit(1.0) if n == CONSTANT else F.col(n).cast("double") for n in names]
     keep = list(dict.fromkeys([*group, y, *xs, *([weight] if weight else []), *([order] if order else []), *([lags] if isinstance(lags, str) else [])]))
     rows = df.select(*keep).dropna(subset=[y, *xs, *([weight] if weight else [])])
     out_y = F.col(y).cast("double")
-    sums = rows.groupBy(*group).agg(
-        F.array(*[F.sum(w * ins[i] * ins[j]) for i, j in pairs]).alias("_xx"), F.array(*[F.sum(w * x * out_y) for x in ins]).alias("_xy"),
-        F.sum(w * out_y * out_y).alias("_yy"), F.sum(w * out_y).alias("_y"), F.sum(w).alias("_w"), F.count(F.lit(1)).alias("n"),
-    ).where(F.col("n") >= max(least_rows, k))
+    sums = rows.groupBy(*group).agg(*_packed([F.sum(p) for p in _products(ins, out_y, w)], k)).where(F.col("n") >= max(least_rows, k))
+    fitted = _solved(sums, group, k, constant)
+    if lags is not None:
+        if isinstance(lags, str) and most_lags is None:
+            most_lags = rows.agg(F.max(lags)).first()[0] or 0
+        fitted = _newey_west(rows, fitted, group, out_y, ins, w, order, lags, most_lags if isinstance(lags, str) else int(lags))
+    terms = F.array(*[F.lit(n) for n in names])
+    return fitted.withColumn("terms", terms).select(*group, "terms", "beta", "cov", "n", "dof", "r2", "ssr")
+
+
+def fit_before(df: DataFrame, group: Sequence[str], y: str, xs: Sequence[str], order: str, at: DataFrame, least_rows: int = 0) -> DataFrame:
+    """(group, order, beta, n) for each value of ``order`` in ``at``: the fit on a group's rows that come before it.
+
+    Cross products are summed for each (group, order) and then run up, so a value of ``order`` costs one row.
+    """
+    names = [CONSTANT, *xs]
+    ins = [F.lit(1.0) if n == CONSTANT else F.col(n).cast("double") for n in names]
+    rows = df.select(*dict.fromkeys([*group, order, y, *xs])).dropna(subset=[y, *xs])
+    products = [F.sum(p).alias(f"_s{i}") for i, p in enumerate(_products(ins, F.col(y).cast("double"), F.lit(1.0)))]
+    before = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*group, order).agg(*products)
+    sums = sums.select(*group, order, *_packed([F.sum(f"_s{i}").over(before) for i in range(len(products))], len(names)))
+    sums = sums.join(at.select(order).distinct(), order, "left_semi").where(F.col("n") >= max(least_rows, len(names)))
+    return _solved(sums, [*group, order], len(names), True).select(*group, order, "beta", "n")
+
+
+def _solved(sums: DataFrame, group: Sequence[str], k: int, constant: bool) -> DataFrame:
+    """(group, beta, cov, _inv, n, dof, r2, ssr) from packed sums; singular groups are left out."""
+    ship(sums.sparkSession)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -95,12 +133,8 @@ def fit(df: DataFrame, group: Sequence[str], y: str, xs: Sequence[str], weight:
                 out.append([*[r[g] for g in group], beta.tolist(), cov.ravel().tolist(), inv.ravel().tolist(), int(r["n"]), float(dof), 1 - ssr / total if total > 0 else None, ssr])
             yield pd.DataFrame(out, columns=[*group, "beta", "cov", "_inv", "n", "dof", "r2", "ssr"])
 
-    types = ", ".join(f"`{g}` {df.schema[g].dataType.simpleString()}" for g in group)
-    fitted = sums.mapInPandas(solve, f"{types}{', ' if types else ''}beta array<double>, cov array<double>, _inv array<double>, n long, dof double, r2 double, ssr double")
-    if lags is not None:
-        fitted = _newey_west(rows, fitted, group, out_y, ins, w, order, lags)
-    terms = F.array(*[F.lit(n) for n in names])
-    return fitted.withColumn("terms", terms).select(*group, "terms", "beta", "cov", "n", "dof", "r2", "ssr")
+    types = ", ".join(f"`{g}` {sums.schema[g].dataType.simpleString()}" for g in group)
+    return sums.mapInPandas(solve, f"{types}{', ' if types else ''}beta array<double>, cov array<double>, _inv array<double>, n long, dof double, r2 double, ssr double")
 
 
 def _same(group: Sequence[str], left: str, right: str) -> Column:
@@ -110,19 +144,25 @@ def _same(group: Sequence[str], left: str, right: str) -> Column:
     return out
 
 
-def _newey_west(rows: DataFrame, fitted: DataFrame, group: Sequence[str], y: Column, ins: list[Column], w: Column, order: str, lags: int | str) -> DataFrame:
-    """``fitted`` with the Bartlett-weighted covariance of the scores."""
+def _newey_west(rows: DataFrame, fitted: DataFrame, group: Sequence[str], y: Column, ins: list[Column], w: Column, order: str, lags: int | str, most: int) -> DataFrame:
+    """``fitted`` with the Bartlett-weighted covariance of the scores.
+
+    The window gives each score its ``most`` forerunners. Their weighted sum, with half of the score itself, times the
+    score is the row's share of the covariance's upper half.
+    """
     k = len(ins)
     residual = y - sum((F.col("beta")[i] * x for i, x in enumerate(ins)), F.lit(0.0))
-    at = F.row_number().over(Window.partitionBy(*group).orderBy(order)) if group else F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(order))
-    most = F.col(lags).cast("int") if isinstance(lags, str) else F.lit(int(lags))
     own = rows.alias("a").join(fitted.select(*group, "beta").alias("b"), _same(group, "a", "b")).select("a.*", "b.beta")
-    scores = own.select(*group, at.alias("_at"), most.alias("_most"), F.array(*[w * x * residual for x in ins]).alias("s"))
-    left = scores.withColumn("_l", F.explode(F.sequence(F.lit(0), F.col("_most")))).withColumn("_to", F.col("_at") - F.col("_l"))
-    both = left.alias("l").join(scores.select(*group, "_at", F.col("s").alias("s2")).alias("r"), _same(group, "l", "r") & (F.col("l._to") == F.col("r._at")))
-    kernel = 1 - F.col("_l") / (F.col("_most") + 1)
-    side = F.when(F.col("_l") == 0, 0.5).otherwise(1.0) * kernel
-    meat = both.groupBy(*[F.col(f"l.{g}").alias(g) for g in group]).agg(F.array(*[F.sum(side * (F.col("s")[i] * F.col("s2")[j] + F.col("s")[j] * F.col("s2")[i])) for i, j in _triangle(k)]).alias("_meat"))
+    depth = F.col(lags).cast("int") if isinstance(lags, str) else F.lit(most)
+    scores = own.select(*group, F.col(order).alias("_order"), depth.alias("_lags"), F.array(*[w * x * residual for x in ins]).alias("s"))
+    span = Window.partitionBy(*group).orderBy("_order").rowsBetween(-most, 0)
+    scores = scores.withColumn("_past", F.collect_list("s").over(span))  # most + 1 scores at the most
+    back = lambda i: F.size("_past") - 1 - i
+    weight = lambda i: F.when(back(i) == 0, 0.5).otherwise(F.greatest(1 - back(i) / (F.col("_lags") + 1), F.lit(0.0)))
+    weighted = F.transform("_past", lambda s, i: F.transform(s, lambda x: x * weight(i)))
+    summed = F.aggregate(weighted, F.array(*[F.lit(0.0)] * k), lambda a, s: F.zip_with(a, s, lambda p, q: p + q))
+    scores = scores.withColumn("_v", summed)
+    meat = scores.groupBy(*group).agg(F.array(*[F.sum(F.col("s")[i] * F.col("_v")[j] + F.col("s")[j] * F.col("_v")[i]) for i, j in _triangle(k)]).alias("_meat"))
     joined = fitted.alias("f").join(meat.alias("m"), _same(group, "f", "m")).select("f.*", "m._meat")
 
     def sandwich(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,6 +175,7 @@ def _newey_west(rows: DataFrame, fitted: DataFrame, group: Sequence[str], y: Col
 
 def coefficients(fitted: DataFrame, group: Sequence[str]) -> DataFrame:
     """(group, term, coef, se, stat, p_value, n, r2), a row for each term."""
+    ship(fitted.sparkSession)
     k = F.size("terms")
     rows = fitted.select(*group, "cov", "n", "dof", "r2", k.alias("_k"), F.posexplode(F.arrays_zip("terms", "beta")).alias("_i", "t"))
     se = F.sqrt(F.greatest(F.col("cov")[F.col("_i") * F.col("_k") + F.col("_i")], F.lit(0.0)))

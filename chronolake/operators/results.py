@@ -9,16 +9,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .._spark import checkpoint
 from ..sources.tables import append_table
 
 
 def melt(df: DataFrame, table: str, run_id: str, order: Sequence[str]) -> DataFrame:
     """(model_run_id, table_name, row_ix, column_name, value_num, value_txt): a cell per row and column.
 
-    Numbers stay numbers, booleans become true and false, dates ISO text; a missing value is null in both. Result
-    tables are small, so their rows are numbered in one order.
+    Numbers stay numbers, booleans become true and false, dates ISO text; a missing value is null in both. Rows are
+    numbered in ``order``: dealt by ranges of it, sorted and numbered within each, and moved on by the rows of the
+    ranges before, of which there is one count a range.
     """
-    numbered = df.withColumn("_ix", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)) - 1).cast("int"))
+    ranged = checkpoint(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("_at", 33)  # how these ids are made: the range in the upper bits, the place below
+    counts = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = F.broadcast(counts.select("_part", before.alias("_before")))  # a row for each partition
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = ranged.withColumn("_part", part).join(ranges, "_part").withColumn("_ix", (F.col("_before") + place).cast("int"))
     cells = []
     for f in df.schema:
         number = isinstance(f.dataType, T.NumericType)

@@ -1,8 +1,9 @@
 """Bitemporal writes: snapshots and published vintages into validity intervals.
 
-One full outer join on (series_id, period) classifies every stored and incoming value, so all series of a
-run are diffed in one shuffle and a long series is spread by its periods. Guards are aggregates of the
-classified rows; series that fail one keep their rows as they are.
+One full outer join on (series_id, period) meets every open stored value with its incoming one and gives the
+rows that stay, end and open, so all series of a run are diffed at once and a long series is spread by its
+periods; closed rows pass by. Guards come first: they are sums per series over a join of the same keys without
+the other columns, and series that fail one keep their rows as they are.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions.values import OPEN_END, no_nan, same_value
 
-#: Vanishing periods are refused beyond both a number and a share of a series.
+# Periods, and their share of a series, beyond both of which vanishing is refused; periods of a snapshot
+# that is refused without a single value.
 MOST_VANISHED, MOST_VANISHED_SHARE = 10, 0.5
-#: A snapshot of so many periods without a single value is refused.
 LEAST_ALL_MISSING = 12
 KEYS = ("series_id", "period")
 
@@ -86,18 +87,23 @@ def apply_snapshot(cur: DataFrame, inc: DataFrame, run_date: str | dt.date, run_
     day = _date(run_date)
     observed_at = observed_at if observed_at is not None else F.lit(None).cast("timestamp")
     errors = snapshot_guards(cur, inc, run_date, covers) if guarded else cur.sparkSession.createDataFrame([], "series_id string, error string")
-    taken = inc.join(errors, "series_id", "left_anti")
-    changes = classify(cur, taken, covers)
-    # what becomes of stored open rows: only those that change are named
-    fate = changes.where("class IN ('changed', 'vanished')").select(*KEYS, F.lit(True).alias("ends"))
-    stored = cur.join(fate, list(KEYS), "left")
-    closes = F.col("ends") & F.col("realtime_end").isNull()
-    stored = stored.where(~(F.coalesce(closes, F.lit(False)) & (F.col("realtime_start") == day)))
-    columns = {"realtime_end": F.when(closes, day).otherwise(F.col("realtime_end"))}
-    stored = stored.select(*[columns.get(c, F.col(c)).alias(c) for c in cur.columns])
-    fresh = {"value": F.col("new"), "realtime_start": day, "realtime_end": F.lit(None).cast("date"), "observed_at": observed_at, "run_id": F.lit(run_id)}
-    opened = changes.where("class IN ('changed', 'new')").select(*[fresh.get(c, F.col(c)).cast(cur.schema[c].dataType).alias(c) for c in cur.columns])
-    return stored.unionByName(opened), errors
+    taken = inc.select("series_id").distinct().join(errors.select("series_id"), "series_id", "left_anti")
+    taken = taken.join(covers.select("series_id", "covers_from"), "series_id", "left") if covers is not None else taken.withColumn("covers_from", F.lit(None).cast("date"))
+    # closed rows never change and take no part in the join
+    stored = cur.where("realtime_end IS NULL").withColumn("_stored", F.lit(True))
+    new = inc.select(*KEYS, F.col("value").alias("_value"), F.lit(True).alias("_new"))
+    both = stored.join(new, list(KEYS), "full_outer").join(taken.withColumn("_taken", F.lit(True)), "series_id", "left")
+    takes_part = F.col("_taken").isNotNull() & (F.col("covers_from").isNull() | (F.col("period") >= F.col("covers_from")))
+    same = F.col("_stored").isNotNull() & F.col("_new").isNotNull() & same_value(F.col("value"), F.col("_value"))
+    both = both.withColumns({"_ends": takes_part & F.col("_stored").isNotNull() & ~same, "_opens": takes_part & F.col("_new").isNotNull() & ~same})
+
+    def row(columns: dict[str, Column]) -> Column:
+        return F.struct(*[columns.get(c, F.col(c)).cast(cur.schema[c].dataType).alias(c) for c in cur.columns])
+
+    left = F.when(F.col("_stored").isNotNull() & ~(F.col("_ends") & (F.col("realtime_start") == day)), row({"realtime_end": F.when(F.col("_ends"), day)}))
+    opened = F.when(F.col("_opens"), row({"value": F.col("_value"), "realtime_start": day, "realtime_end": F.lit(None), "observed_at": observed_at, "run_id": F.lit(run_id)}))
+    after = both.select(F.explode(F.array_compact(F.array(left, opened))).alias("_row")).select("_row.*")
+    return cur.where("realtime_end IS NOT NULL").unionByName(after), errors
 
 
 def upsert_vintages(cur: DataFrame, inc: DataFrame, run_id: str = "", observed_at: Column | None = None) -> DataFrame:

@@ -56,9 +56,9 @@ def resample(df: DataFrame, freq: str, to: str, how: str, group: Sequence[str] =
 
 def resample_by_concept(df: DataFrame, series: DataFrame, concepts: DataFrame, to: str) -> DataFrame:
     """Every series by its own frequency and its concept's default aggregation, in one pass; finer ``to`` leaves a series out."""
-    how = series.join(F.broadcast(concepts.select("concept_id", "default_agg")), "concept_id", "left").select("series_id", "freq", F.coalesce("default_agg", F.lit("last")).alias("how"))
+    how = series.join(concepts.select("concept_id", "default_agg"), "concept_id", "left").select("series_id", "freq", F.coalesce("default_agg", F.lit("last")).alias("how"))
     rank = _by_freq("freq", {f: F.lit(r) for f, r in RANK.items()})
-    rows = df.join(F.broadcast(how), "series_id").where(rank <= RANK[to])
+    rows = df.join(how, "series_id").where(rank <= RANK[to])
     bucket = F.when(F.col("freq") == to, F.col("period")).otherwise(period_start(F.col("period"), to))
     out = rows.groupBy("series_id", "freq", "how", bucket.alias("bucket")).agg(*[_value(a).alias(f"_{a}") for a in AGGREGATIONS], F.max("period").alias("reached"))
     choice = F.coalesce(*[F.when(F.col("how") == a, F.col(f"_{a}")) for a in AGGREGATIONS])

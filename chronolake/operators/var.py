@@ -9,11 +9,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .._spark import ship
 from .regression import _square, _triangle
 
+#: Draws of one fit that a task makes together.
+DRAWS = 100
+
 
 def _sums(panel: DataFrame, group: Sequence[str], system: Sequence[str], lags: int) -> DataFrame:
     """(group, n, cross): cross products of a constant, ``lags`` lags of the system, and the system itself; complete rows only."""
+    ship(panel.sparkSession)
     w = Window.partitionBy(*group).orderBy("period")
     names = [f"_l{p}_{c}" for p in range(1, lags + 1) for c in system]
     rows = panel.withColumns({f"_l{p}_{c}": F.lag(c, p).over(w) for p in range(1, lags + 1) for c in system}).dropna(subset=[*system, *names])
@@ -102,6 +107,8 @@ def _responses(beta: np.ndarray, impact: np.ndarray, k: int, p: int, horizon: in
 
 def var_irf(fitted: DataFrame, group: Sequence[str], horizon: int = 24) -> DataFrame:
     """(group, shock, response, h, value): responses to one standard deviation of each recursive shock."""
+    ship(fitted.sparkSession)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
@@ -129,32 +136,33 @@ def var_diagnostics(fitted: DataFrame, group: Sequence[str]) -> DataFrame:
 def sign_restricted(fitted: DataFrame, group: Sequence[str], signs: dict[str, int], draws: int, seed: int = 0, restrict_to: int = 3, horizon: int = 24) -> tuple[DataFrame, DataFrame]:
     """Median and 16 to 84 band of the responses whose signs hold up to ``restrict_to``; and the acceptance per group.
 
-    Each draw is a task's row with a generator of its own seed, so results do not depend on how draws are dealt.
+    Each fit is repeated for runs of ``DRAWS`` draws, which are dealt over the tasks. Every draw has a generator of its
+    own seed, so results do not depend on how they are dealt.
     """
-    spark = fitted.sparkSession
-    tries = spark.range(draws).withColumnRenamed("id", "draw").repartition("draw")
     few = fitted.select(*group, "system", "lags", "beta", "sigma")
-    rows = tries.join(F.broadcast(few))  # draws x groups: a row for each fit to make
+    rows = few.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1), F.lit(DRAWS)))).repartition(*group, "draw")
+    ship(fitted.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for _, r in pdf.iterrows():
-                names, p = list(r["system"]), int(r["lags"])
-                k = len(names)
-                q, tri = np.linalg.qr(np.random.default_rng([seed, int(r["draw"])]).standard_normal((k, k)))
-                q = q * np.sign(np.diag(tri))
-                found = _responses(np.asarray(r["beta"]).reshape(-1, k), np.linalg.cholesky(np.asarray(r["sigma"]).reshape(k, k)) @ q, k, p, horizon)
-                for c in range(k):
-                    for side in (1, -1):
-                        own = side * found[:, :, c]
-                        if all((own[: restrict_to + 1, names.index(v)] * s > 0).all() for v, s in signs.items()):
-                            out.append([*[r[g] for g in group], int(r["draw"]), c, side, own.ravel().tolist()])
-            yield pd.DataFrame(out, columns=[*group, "draw", "shock_column", "side", "path"])
-
-    kept = rows.mapInPandas(run, f"{_types(fitted, group)}, draw long, shock_column int, side int, path array<double>")
+                names, p, first = list(r["system"]), int(r["lags"]), int(r["draw"])
+                k, many = len(names), range(first, min(first + DRAWS, draws))
+                q, tri = np.linalg.qr(np.stack([np.random.default_rng([seed, d]).standard_normal((k, k)) for d in many]))
+                q = q * np.sign(np.diagonal(tri, axis1=1, axis2=2))[:, None, :]
+                moving = _responses(np.asarray(r["beta"]).reshape(-1, k), np.linalg.cholesky(np.asarray(r["sigma"]).reshape(k, k)), k, p, horizon)
+                found = np.einsum("hvi,dis->dhvs", moving, q)  # draw, h, response, shock
+                for side in (1, -1):
+                    held = np.ones((len(many), k), bool)
+                    for v, s in signs.items():
+                        held &= (side * s * found[:, : restrict_to + 1, names.index(v)] > 0).all(1)
+                    out += [[*[r[g] for g in group], many[d], int(c), side, names, (side * found[d, :, :, c]).ravel().tolist()] for d, c in np.argwhere(held).tolist()]
+            yield pd.DataFrame(out, columns=[*group, "draw", "shock_column", "side", "system", "path"])
+
+    kept = rows.mapInPandas(run, f"{_types(fitted, group)}, draw long, shock_column int, side int, system array<string>, path array<double>")
     sizes = few.select(*group, "system")
-    long = kept.join(F.broadcast(sizes), list(group)).select(*group, "system", F.posexplode("path").alias("i", "value"))
+    long = kept.select(*group, "system", F.posexplode("path").alias("i", "value"))
     k = F.size("system")
     bands = long.groupBy(*group, F.get("system", F.col("i") % k).alias("response"), F.floor(F.col("i") / k).cast("int").alias("h")).agg(F.percentile("value", F.array(F.lit(0.16), F.lit(0.5), F.lit(0.84))).alias("b"), F.count(F.lit(1)).alias("n_accepted"))
     bands = bands.select(*group, "response", "h", F.col("b")[0].alias("low"), F.col("b")[1].alias("median"), F.col("b")[2].alias("high"), "n_accepted")

@@ -6,13 +6,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import published_at
 
-#: More dates than this are matched by year of validity instead of a plain range join.
-MANY_DATES = 1000
+#: A calendar of so many days is still broadcast; a longer one is joined like any other table.
+MANY_DAYS = 400_000
 
 
 def _date(day: str | dt.date | Column) -> Column:
@@ -36,17 +36,28 @@ def as_of(obs: DataFrame, day: str | dt.date) -> DataFrame:
 def as_of_grid(obs: DataFrame, dates: DataFrame) -> DataFrame:
     """``as_of`` for every ``asof`` of ``dates`` in one pass; rows gain the column ``asof``.
 
-    Few dates are broadcast; of many, each row meets only those of the years it was valid in.
+    Dates are numbered, and a calendar says how many come before each day. So a row's first and last date follow
+    from its interval by equi-joins, and the row is repeated for the dates it was known on, however many there are.
+    Dates and calendar have no more rows than days from the first to the last date; up to ``MANY_DAYS`` of them are
+    broadcast.
     """
-    dates = dates.select(F.col("asof").cast("date").alias("asof")).distinct()
-    n = dates.limit(MANY_DATES + 1).count()
-    if n <= MANY_DATES:
-        return obs.join(F.broadcast(dates), known_on(F.col("asof")))
-    ends = dates.agg(F.year(F.min("asof")), F.year(F.max("asof"))).first()
-    first = F.greatest(F.year("realtime_start"), F.lit(ends[0]))
-    last = F.least(F.coalesce(F.year("realtime_end"), F.lit(ends[1])), F.lit(ends[1]))
-    spread = obs.where(first <= last).withColumn("_year", F.explode(F.sequence(first, last)))
-    return spread.join(dates.withColumn("_year", F.year("asof")), "_year").where(known_on(F.col("asof"))).drop("_year")
+    spark = obs.sparkSession
+    dates = dates.select(F.col("asof").cast("date").alias("asof")).where("asof IS NOT NULL").distinct()
+    first, last = dates.agg(F.min("asof"), F.max("asof")).first()
+    if first is None:
+        return obs.withColumn("asof", F.lit(None).cast("date")).where("false")
+    small = F.broadcast if (last - first).days <= MANY_DAYS else lambda df: df
+    ordered = Window.orderBy("asof")
+    ranked = dates.select("asof", F.row_number().over(ordered).alias("_rank"))
+    day, behind = _date(first), F.date_add(_date(last), 1)
+    days = spark.range(1).select(F.explode(F.sequence(day, behind)).alias("_day"))
+    seen = F.count("asof").over(Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1))
+    calendar = days.join(dates, F.col("_day") == F.col("asof"), "left").select("_day", seen.alias("_before"))
+    opens, ends = F.greatest(F.col("realtime_start"), day), F.least(F.coalesce("realtime_end", behind), behind)
+    rows = obs.where((F.col("realtime_start") <= _date(last)) & (F.col("realtime_end").isNull() | (F.col("realtime_end") > day))).withColumns({"_opens": opens, "_ends": ends})
+    rows = rows.join(small(calendar.select(F.col("_day").alias("_opens"), F.col("_before").alias("_from"))), "_opens").join(small(calendar.select(F.col("_day").alias("_ends"), F.col("_before").alias("_to"))), "_ends")
+    rows = rows.where("_from < _to").withColumn("_rank", F.explode(F.sequence(F.col("_from") + 1, F.col("_to"))))
+    return rows.join(small(ranked), "_rank").select(*obs.columns, "asof")
 
 
 def first_release(obs: DataFrame) -> DataFrame:
