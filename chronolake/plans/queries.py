@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .._spark import new_path
 from ..functions import calendar, values
 from ..operators import audits, catalog, macro, panels, regression, results, scd, transforms, var, vintages
 from ..sources import archive, payloads, tables
 from . import adapters as A
+from . import oracles as O
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,6 +73,11 @@ def obs_history(spark, d):
     return vintages.vintages(A.bitemporal(spark, d), ["ev:click", "ev:view", "ev:purchase"])
 
 
+@query(_with(A.OBS) + f"SELECT * FROM obs WHERE series_id IN ('ev:click', 'ev:view') AND {KNOWN}")
+def obs_of_series(spark, d):
+    return vintages.observations(A.bitemporal(spark, d), ["ev:click", "ev:view"], DAY)
+
+
 @query(_with(A.OBS) + """
 SELECT series_id, CAST(sum(n - n_open) AS BIGINT) AS n_revisions, round(avg(abs(now - first)), 6) AS mean_abs_revision
 FROM (SELECT series_id, period, count(*) AS n, count(*) FILTER (realtime_end IS NULL) AS n_open, arg_min(value, realtime_start) AS first, max(value) FILTER (realtime_end IS NULL) AS now FROM obs GROUP BY ALL)
@@ -129,6 +136,12 @@ def pseudo_asof(spark, d):
     return vintages.pseudo_as_of(obs, A.dimension(obs), DAY)[0]
 
 
+@query(_with(A.OBS, A.dimension_sql("obs")) + "SELECT series_id, 'expected_lag_days is not known' AS error FROM dim WHERE expected_lag_days IS NULL")
+def pseudo_asof_errors(spark, d):
+    obs = A.bitemporal(spark, d)
+    return vintages.pseudo_as_of(obs, A.dimension(obs), DAY)[1]
+
+
 def _mixed(spark, d) -> tuple[DataFrame, DataFrame]:
     obs = A.bitemporal(spark, d)
     series = A.dimension(obs).withColumn("has_vintages", F.length("series_id") % 2 == 0)
@@ -216,11 +229,13 @@ def yoy(spark, d):
     return _r(transforms.transform(A.monthly(spark, d), "yoy", "M"))
 
 
-@query(_with(A.MON) + "SELECT series_id, period, round(ln(1.001 + v / 100), 4) AS value FROM (SELECT series_id, period, (pow(1 + r / 100, 12.0) - 1) * 100 AS v FROM (SELECT series_id, period, (value / lag(value) OVER (PARTITION BY series_id ORDER BY period) - 1) * 100 AS r FROM mon))")
+@query(_with(A.MON) + """, r AS (SELECT series_id, period, (pow(value / lag(value) OVER (PARTITION BY series_id ORDER BY period), 12.0) - 1) * 100 AS v FROM mon),
+e AS (SELECT *, CASE WHEN v <> 0 THEN CAST(floor(log10(abs(v))) AS BIGINT) END AS exponent FROM r) SELECT series_id, period, round(v / pow(10.0, exponent), 6) AS mantissa, exponent FROM e""")
 def mom_ann(spark, d):
-    """Annualised monthly rates, as logs of a bit more than their factor: the rates span many orders of magnitude."""
+    """Annualised monthly rates span many orders of magnitude: six digits behind the first one, and the power of ten."""
     rows = transforms.transform(A.monthly(spark, d), "mom_ann", "M")
-    return _r(rows.withColumn("value", F.ln(1.001 + F.col("value") / 100)), 4)
+    exponent = F.when(F.col("value") != 0, F.floor(F.log10(F.abs("value"))).cast("long"))
+    return rows.withColumn("exponent", exponent).select("series_id", "period", F.round(F.col("value") / F.pow(F.lit(10.0), F.col("exponent")), 6).alias("mantissa"), "exponent")
 
 
 @query(_window_sql("(ln(value) - ln(lag(value) OVER w)) * 100"))
@@ -316,11 +331,21 @@ def describe(spark, d):
     return catalog.describe(A.dimension(obs), obs).select("series_id", "title", "first_open", "last_open", "n_values")
 
 
-@query(_with(A.NAT, A.dimension_sql("nat")) + """SELECT 'concept mapped twice' AS violation, concept_id || '@' || entity_id AS subject FROM dim GROUP BY concept_id, entity_id HAVING count(*) > 1
-UNION ALL SELECT 'undefined concept', series_id FROM dim WHERE concept_id NOT IN ('c0', 'c1')
-UNION ALL SELECT 'undefined entity', series_id FROM dim WHERE entity_id <> 'north'""")
+_ALIASES = "CASE WHEN series_id = 'nat:2' THEN 'nat:3' WHEN series_id IN ('nat:4', 'nat:5') THEN 'shared' ELSE split_part(series_id, ':', 1) || '-' || split_part(series_id, ':', 2) END"
+
+
+@query(_with(A.NAT, A.dimension_sql("nat")) + f""", cat AS (SELECT series_id, entity_id, concept_id, {_ALIASES} AS al FROM dim UNION ALL SELECT series_id, entity_id, concept_id, {_ALIASES} FROM dim WHERE series_id = 'nat:6' UNION ALL SELECT 'Bad id', entity_id, concept_id, 'nat-1' FROM dim WHERE series_id = 'nat:1')
+SELECT 'repeated id' AS violation, series_id AS subject FROM cat GROUP BY series_id HAVING count(*) > 1
+UNION ALL SELECT 'malformed id', series_id FROM cat WHERE NOT regexp_matches(series_id, '^[a-z][a-z0-9_]*:')
+UNION ALL SELECT 'alias is an id', al FROM cat WHERE al IN (SELECT series_id FROM cat)
+UNION ALL SELECT 'alias of several series', al FROM cat GROUP BY al HAVING count(DISTINCT series_id) > 1
+UNION ALL SELECT 'undefined concept', series_id FROM cat WHERE concept_id NOT IN ('c0', 'c1')
+UNION ALL SELECT 'undefined entity', series_id FROM cat WHERE entity_id <> 'north'
+UNION ALL SELECT 'concept mapped twice', concept_id || '@' || entity_id FROM cat GROUP BY concept_id, entity_id HAVING count(*) > 1""")
 def catalog_violations(spark, d):
-    series = A.dimension(A.monthly_nations(spark, d))
+    """Every kind: an id twice, a malformed one, an alias that is an id, one of two series, and what the ids make up themselves."""
+    series = A.dimension(A.monthly_nations(spark, d)).withColumn("aliases", F.array(F.expr(_ALIASES)))
+    series = series.unionAll(series.where("series_id = 'nat:6'")).unionAll(series.where("series_id = 'nat:1'").withColumn("series_id", F.lit("Bad id")))
     entities = series.where("entity_id = 'north'").select("entity_id").distinct()
     return catalog.catalog_violations(series, A.concepts(spark).where("concept_id <> 'c2'"), entities)
 
@@ -332,9 +357,13 @@ def missing_ids(spark, d):
     return catalog.missing_ids(baseline, A.dimension(rows))
 
 
-@query()
+@query("""WITH t AS (SELECT sha256('{"r_comment":"' || r_name || '","r_name":"' || r_name || '","r_regionkey":' || r_regionkey || '}') AS d FROM (SELECT o_orderpriority AS r_name, o_orderkey AS r_regionkey FROM orders)),
+h AS (SELECT CAST('0x' || substring(d, 1, 15) AS BIGINT) AS a, CAST('0x' || substring(d, 16, 15) AS BIGINT) AS b FROM t)
+SELECT count(*) AS n_rows, CAST(sum(CAST(a AS HUGEINT)) AS VARCHAR) AS sum_a, CAST(sum(CAST(b AS HUGEINT)) AS VARCHAR) AS sum_b FROM h""")
 def fingerprint(spark, d):
-    return catalog.fingerprint(A.table(spark, d, "orders"))
+    """Of texts and whole numbers, which JSON writes alike everywhere."""
+    rows = A.table(spark, d, "orders").select(F.col("o_orderkey").alias("r_regionkey"), F.col("o_orderpriority").alias("r_name"), F.col("o_orderpriority").alias("r_comment"))
+    return catalog.fingerprint(rows).withColumns({c: F.col(c).cast("string") for c in ("sum_a", "sum_b")})
 
 
 @query("SELECT url, replace(replace(url, ':', '__'), '/', '__') AS safe FROM pages")
@@ -354,6 +383,26 @@ def get_yoy_trim_last(spark, d):
     return _r(panels.get(rows, series, A.concepts(spark), series.select("series_id"), "1997-01-01", "1998-06-01", transform="yoy"))
 
 
+def _current(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"realtime_start": F.lit("2024-01-01").cast("date"), "realtime_end": F.lit(None).cast("date")})
+
+
+@query(_with(A.MON) + """SELECT series_id, period, value FROM (
+SELECT series_id, CAST(date_trunc('quarter', period) AS DATE) AS period, round(avg(value), 2) AS value, max(max(period)) OVER (PARTITION BY series_id) AS last
+FROM mon GROUP BY 1, 2) WHERE last_day(period + INTERVAL 2 MONTH) <= last_day(last)""")
+def get_mean_of_quarters(spark, d):
+    rows = _current(A.monthly(spark, d))
+    series = A.dimension(rows)
+    return _r(panels.get(rows, series, A.concepts(spark), series.select("series_id"), freq="Q", agg="mean"), 2)
+
+
+@query(_with(A.MON) + "SELECT series_id, period, round(value, 2) AS value, CASE series_id WHEN 'ord:BUILDING' THEN 'c0_building@north' ELSE 'ord:FURNITURE' END AS label FROM mon WHERE series_id IN ('ord:BUILDING', 'ord:FURNITURE')")
+def panel_labels(spark, d):
+    """A (concept, entity) pair and a series id, found in the catalog."""
+    keys = panels.panel_keys([("c0_building", "north"), "ord:FURNITURE"])
+    return _r(panels.label_rows(A.monthly(spark, d), keys, _keys(spark, d)[1]), 2)
+
+
 _LABELS = ["AUTOMOBILE", "BUILDING", "FURNITURE"]
 
 
@@ -447,6 +496,39 @@ def snapshot_guards(spark, d):
     return scd.snapshot_guards(_stored(spark, d), inc, RUN)
 
 
+@query(_with(A.OBS) + f"SELECT series_id, 'every value is missing' AS error FROM obs WHERE realtime_start <= DATE '{RUN}' AND (realtime_end IS NULL OR realtime_end > DATE '{RUN}') AND length(series_id) % 2 = 1 GROUP BY 1 HAVING count(*) >= 12")
+def snapshot_guard_missing(spark, d):
+    inc = vintages.as_of(A.bitemporal(spark, d), RUN).select("series_id", "period", F.when(F.length("series_id") % 2 == 0, F.col("value")).alias("value"))
+    return scd.snapshot_guards(_stored(spark, d), inc, RUN)
+
+
+@query(_with(A.OBS) + f"SELECT series_id, 'run date before a stored vintage' AS error FROM obs GROUP BY 1 HAVING greatest(max(realtime_start), max(realtime_end)) > DATE '{DAY}'")
+def snapshot_guard_late(spark, d):
+    obs = A.bitemporal(spark, d)
+    return scd.snapshot_guards(obs, vintages.latest(obs).select("series_id", "period", "value"), DAY)
+
+
+@query("SELECT 'ev:' || event_type AS series_id, CAST(ts AS DATE) - CAST(event_id % 10 AS INTEGER) AS period, value FROM events QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) - CAST(event_id % 10 AS INTEGER) ORDER BY ts DESC, event_id DESC) = 1")
+def normalize_snapshot(spark, d):
+    return scd.normalize_snapshot(A.readings(spark, d))
+
+
+def _published(spark, d) -> DataFrame:
+    """Vintages as published: open ends are the last day of the calendar, and some intervals are empty."""
+    end = F.when(F.dayofyear("period") % 7 == 3, F.col("realtime_start")).otherwise(F.coalesce("realtime_end", F.lit("9999-12-31").cast("date")))
+    return A.bitemporal(spark, d).withColumns({"realtime_end": end, "arrival": F.lit(1)})
+
+
+@query(_with(A.OBS) + "SELECT * FROM obs WHERE dayofyear(period) % 7 <> 3")
+def normalize_vintages(spark, d):
+    return scd.normalize_vintages(_published(spark, d))[0]
+
+
+@query(_with(A.OBS) + "SELECT series_id, period, realtime_start, 'empty validity interval' AS error FROM obs WHERE dayofyear(period) % 7 = 3")
+def refused_vintages(spark, d):
+    return scd.normalize_vintages(_published(spark, d))[1].select("series_id", "period", "realtime_start", "error")
+
+
 @query(_with(A.OBS, _STORED) + "SELECT series_id, count(*) FILTER (class <> 'vanished') AS rows_fetched, count(*) FILTER (class = 'new') AS rows_new, count(*) FILTER (class = 'changed') AS rows_revised, count(*) FILTER (class IN ('changed', 'vanished')) AS rows_closed FROM cl GROUP BY 1")
 def diff_counts(spark, d):
     return scd.diff_counts(scd.classify(_stored(spark, d), _snapshot(spark, d)))
@@ -488,10 +570,13 @@ def series_coverage(spark, d):
     return scd.series_coverage(obs, before, before.where("series_id = 'ev:click'"), F.lit("2024-02-01").cast("date"))
 
 
-@query(_with(A.OBS, _STORED) + "SELECT count(DISTINCT series_id) AS n_series, CAST(0 AS BIGINT) AS n_errors, count(*) FILTER (class <> 'vanished') AS rows_fetched, count(*) FILTER (class = 'new') AS rows_new, count(*) FILTER (class = 'changed') AS rows_revised, count(*) FILTER (class IN ('changed', 'vanished')) AS rows_closed, 'ok' AS status FROM cl")
+@query(_with(A.OBS, _STORED) + """SELECT count(DISTINCT series_id) AS n_series, count(DISTINCT series_id) FILTER (length(series_id) % 2 = 1) AS n_errors, count(*) FILTER (class <> 'vanished' AND length(series_id) % 2 = 0) AS rows_fetched, count(*) FILTER (class = 'new' AND length(series_id) % 2 = 0) AS rows_new,
+count(*) FILTER (class = 'changed' AND length(series_id) % 2 = 0) AS rows_revised, count(*) FILTER (class IN ('changed', 'vanished') AND length(series_id) % 2 = 0) AS rows_closed, CASE count(DISTINCT series_id) FILTER (length(series_id) % 2 = 1) WHEN 0 THEN 'ok' WHEN count(DISTINCT series_id) THEN 'failed' ELSE 'partial' END AS status FROM cl""")
 def run_summary(spark, d):
+    """A run in which some series failed."""
     counts = scd.diff_counts(scd.classify(_stored(spark, d), _snapshot(spark, d)))
-    return scd.run_summary(counts, counts.select("series_id", F.lit("").alias("error")).where("false"))
+    odd = F.length("series_id") % 2 == 1
+    return scd.run_summary(counts.where(~odd), counts.where(odd).select("series_id", F.lit("unread").alias("error")))
 
 
 @query(_with(A.OBS, A.MON, "every AS (SELECT series_id FROM obs UNION SELECT series_id FROM mon)", A.dimension_sql("every")) + "SELECT series_id, source FROM dim WHERE (alias IN ('ord-BUILDING', 'ev-click') OR series_id = 'ev:view') AND source = 'ev'")
@@ -550,6 +635,12 @@ def audit_null(spark, d):
     return audits.all_null(A.monthly(spark, d).withColumn("value", F.when(F.length("series_id") % 2 == 0, F.col("value"))))
 
 
+@query(_with(A.NAT) + "SELECT DISTINCT series_id, 'no_data' AS finding, 'high' AS severity, 'no rows' AS detail FROM nat WHERE length(series_id) % 2 = 1")
+def audit_no_data(spark, d):
+    rows = A.monthly_nations(spark, d)
+    return audits.no_data(rows.where(F.length("series_id") % 2 == 0), A.dimension(rows))
+
+
 def _audited(spark, d) -> tuple[DataFrame, DataFrame]:
     rows = A.monthly_nations(spark, d)
     return rows, A.dimension(rows)
@@ -557,10 +648,38 @@ def _audited(spark, d) -> tuple[DataFrame, DataFrame]:
 
 _LATE = f"late AS (SELECT series_id FROM nat JOIN dim USING (series_id) WHERE expected_lag_days IS NOT NULL GROUP BY series_id, expected_lag_days HAVING DATE '{TODAY}' > last_day(max(period) + INTERVAL 1 MONTH) + expected_lag_days)"
 
-
-@query(_with(A.NAT, A.dimension_sql("nat"), _LATE) + "SELECT count(*) AS n_stale FROM late")
+# a series without rows, one without values, one with a spike, one that ends flat, and gaps in all
+_FAULTY = "series_id <> 'nat:3' AND (year(period) * 12 + month(period)) % (length(series_id) * 3) <> 1"
+_FAULTS = "CASE WHEN series_id = 'nat:7' THEN NULL WHEN series_id = 'nat:8' AND period >= DATE'2000-01-01' THEN 1.0 WHEN series_id = 'nat:9' AND period = DATE'1997-05-01' THEN value * 60 ELSE value END"
+_FINDINGS = f"""v AS (SELECT series_id, period, {_FAULTS} AS value FROM nat WHERE {_FAULTY}),
+rest AS (SELECT * FROM v WHERE series_id <> 'nat:7'),
+m AS (SELECT *, value - lag(value) OVER (PARTITION BY series_id ORDER BY period) AS d FROM rest),
+bk AS (SELECT *, lead(d) OVER (PARTITION BY series_id ORDER BY period) AS back FROM m),
+z AS (SELECT series_id, period, CASE WHEN sign(d) * sign(back) < 0 THEN least(abs(d), abs(back)) ELSE 0 END AS size FROM bk WHERE d IS NOT NULL AND back IS NOT NULL),
+sc AS (SELECT series_id, median(abs(d)) FILTER (k > 2) AS scale FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY abs(d) DESC) AS k FROM m WHERE d IS NOT NULL) GROUP BY 1 HAVING count(*) >= 23),
+found AS (
+SELECT DISTINCT series_id, 'no_data' AS finding, 'high' AS severity, 'no rows' AS detail FROM nat WHERE series_id NOT IN (SELECT series_id FROM v)
+UNION ALL SELECT series_id, 'all_null', 'high', count(*) || ' rows without a value' FROM v WHERE series_id = 'nat:7' GROUP BY 1
+UNION ALL SELECT series_id, 'stale', 'high', (DATE '{TODAY}' - due) || ' days late' FROM (SELECT series_id, last_day(max(period) + INTERVAL 1 MONTH) + any_value(expected_lag_days) AS due FROM rest JOIN dim USING (series_id) GROUP BY 1) WHERE DATE '{TODAY}' > due
+UNION ALL SELECT series_id, 'gap', CASE WHEN missing / grid > 0.05 THEN 'high' ELSE 'medium' END, CAST(missing AS VARCHAR) FROM (SELECT series_id, datediff('month', min(period), max(period)) + 1 AS grid, datediff('month', min(period), max(period)) + 1 - count(DISTINCT period) AS missing FROM rest GROUP BY 1) WHERE missing > 0
+UNION ALL SELECT series_id, 'isolated_spike', 'low', CAST(arg_max(period, size) AS VARCHAR) FROM z JOIN sc USING (series_id) GROUP BY series_id, scale HAVING max(size) > 12 * scale
+UNION ALL SELECT series_id, 'flat', 'medium', CAST(count(*) AS VARCHAR) FROM v WHERE series_id = 'nat:8' AND period >= DATE '2000-01-01' GROUP BY 1 HAVING count(*) >= 12)"""
+
+
+def _all_findings(spark, d) -> DataFrame:
+    rows, series = _audited(spark, d)
+    return audits.audit(rows.where(_FAULTY).withColumn("value", F.expr(_FAULTS)), series, TODAY)
+
+
+@query(_with(A.NAT, A.dimension_sql("nat"), _FINDINGS) + "SELECT * FROM found")
 def audit(spark, d):
-    return audits.audit(*_audited(spark, d), TODAY).agg(F.count_if(F.col("finding") == "stale").alias("n_stale"))
+    """Findings of every kind."""
+    return _all_findings(spark, d)
+
+
+@query(_with(A.NAT, A.dimension_sql("nat"), _FINDINGS) + "SELECT series_id, CASE min(CASE severity WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END) WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS severity, count(*) AS n_findings FROM found GROUP BY 1")
+def worst_of_findings(spark, d):
+    return audits.worst_severity(audits.rank_findings(_all_findings(spark, d)))
 
 
 @query(_with(A.NAT, A.dimension_sql("nat"), _LATE) + "SELECT series_id, 'high' AS severity, count(*) AS n_findings FROM late GROUP BY 1")
@@ -581,10 +700,11 @@ def thin(spark, d):
     return audits.thin(A.daily(spark, d), "D", 20)
 
 
-@query(_with(A.OBS) + "SELECT count(*) AS n_observations, count(*) FILTER (realtime_end IS NULL) AS n_open, min(period) AS earliest, max(period) AS latest, count(DISTINCT series_id) AS n_series, CAST(1 AS BIGINT) AS n_sources, CAST(0 AS BIGINT) AS n_findings, CAST(0 AS BIGINT) AS n_high, CAST(0 AS BIGINT) AS n_stale FROM obs")
+@query(_with(A.OBS, A.NAT, A.dimension_sql("nat"), _FINDINGS) + """SELECT count(*) AS n_observations, count(*) FILTER (realtime_end IS NULL) AS n_open, min(period) AS earliest, max(period) AS latest, count(DISTINCT series_id) AS n_series, CAST(1 AS BIGINT) AS n_sources,
+(SELECT count(*) FROM found) AS n_findings, (SELECT count(*) FROM found WHERE severity = 'high') AS n_high, (SELECT count(*) FROM found WHERE finding = 'stale') AS n_stale FROM obs""")
 def totals(spark, d):
     obs = A.bitemporal(spark, d)
-    return audits.totals(obs, A.dimension(obs), audits.all_null(obs))
+    return audits.totals(obs, A.dimension(obs), _all_findings(spark, d))
 
 
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS run_id, CAST(o_orderdate AS TIMESTAMP) AS started_at FROM orders ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR) LIMIT 10")
@@ -610,11 +730,12 @@ def _parsed(df: DataFrame, *more: str) -> DataFrame:
 
 
 _PARSED = "SELECT series_id, period, round(value, 2) AS value FROM mon"
+
+
 def _text():
     return F.col("value").cast("decimal(18,2)").cast("string")
 
 
-
 @query(_with(A.OBS) + "SELECT series_id, period, round(value, 2) AS value, realtime_start, realtime_end FROM obs")
 def parse_fred(spark, d):
     obs = A.bitemporal(spark, d)
@@ -665,6 +786,26 @@ def parse_csv(spark, d):
     return _parsed(payloads.parse_csv(_bodies(A.monthly(spark, d), item).select("series_id", body.alias("body")), "date", "value", 1, "MM/dd/yyyy", True))
 
 
+@query(_with(A.MON) + "SELECT series_id, period, CASE WHEN month(period) = 2 THEN NULL ELSE round(value, 2) END AS value FROM mon")
+def parse_csv_quoted(spark, d):
+    """Grouped numbers in quotes, a quoted name with separators and a line break, and footnotes for numbers."""
+    text = F.when(F.month("period") == 2, "(a)").otherwise(F.format_number(F.col("value").cast("decimal(18,2)"), 2))
+    item = F.concat(F.lit('"x, ""y""\n;",'), F.col("period").cast("string"), F.lit(',"'), text, F.lit('"'))
+    body = F.concat(F.lit('name,date,"value, total"\r\n'), F.array_join("items", "\r\n"), F.lit("\r\n"))
+    return _parsed(payloads.parse_csv(_bodies(A.monthly(spark, d), item).select("series_id", body.alias("body")), "date", "value, total"))
+
+
+@query(_with(A.MON) + "SELECT DISTINCT series_id, CASE length(series_id) % 3 WHEN 0 THEN 'bad number: oops' ELSE 'bad period' END AS error FROM mon WHERE length(series_id) % 3 <> 1")
+def parse_refused(spark, d):
+    """A bad number or a bad date refuses its whole body, and no other."""
+    k, bad = F.length("series_id") % 3, F.month("period") == 6
+    date = F.when(bad & (k == 2), "32/06/1999").otherwise(F.date_format("period", "dd/MM/yyyy"))
+    item = F.struct(date.alias("data"), F.when(bad & (k == 0), "oops").otherwise(_text()).alias("valor"))
+    parsed = payloads.parse_sgs(_bodies(A.monthly(spark, d), item).select("series_id", F.to_json("items").alias("body")))
+    lost = parsed.groupBy("series_id").agg(F.max("error").alias("error"), F.count(F.lit(1)).alias("n")).where("error IS NOT NULL AND n = 1")
+    return lost.select("series_id", "error")
+
+
 @query("SELECT o_orderkey, round(o_totalprice, 2) AS value FROM orders")
 def to_number(spark, d):
     """Order totals written in four notations, read back."""
@@ -701,15 +842,63 @@ def conform(spark, d):
     return tables.conform(obs.withColumn("value", F.col("value").cast("string")), "observations").drop("observed_at", "run_id")
 
 
+def _stored_twice(spark, d) -> str:
+    """A store with two sources, one of which was written again."""
+    root = new_path(spark)
+    own = lambda df: df.select("series_id", "period", "value", "realtime_start", "realtime_end").withColumns({"observed_at": F.lit("2024-02-01").cast("timestamp"), "run_id": F.lit("r")})
+    months = own(_current(A.monthly(spark, d)))
+    tables.replace_table(own(A.bitemporal(spark, d)).unionByName(months), root, "observations")
+    tables.replace_table(months.withColumn("value", F.col("value") + 1), root, "observations")
+    return root
+
+
+_TWO_SOURCES = "SELECT series_id, period, round(value, 2) AS value, realtime_start, realtime_end FROM obs UNION ALL SELECT series_id, period, round(value + 1, 2), DATE '2024-01-01', NULL FROM mon"
+
+
+@query(_with(A.OBS, A.MON) + _TWO_SOURCES)
+def replace_partition(spark, d):
+    return _r(tables.read_table(spark, _stored_twice(spark, d), "observations").drop("observed_at", "run_id"), 2)
+
+
+@query(_with(A.MON) + "SELECT series_id, period, round(value + 1, 2) AS value FROM mon")
+def read_partition(spark, d):
+    return _r(tables.read_table(spark, _stored_twice(spark, d), "observations", "ord").select("series_id", "period", "value"), 2)
+
+
+@query("SELECT 'n' || n_nationkey AS entity_id, 'nation' AS entity_type, n_name AS name, CAST(NULL AS VARCHAR) AS attributes FROM nation WHERE n_nationkey % 2 = 0 UNION ALL SELECT 'r' || r_regionkey, 'region', r_name, NULL FROM region")
+def replace_and_append(spark, d):
+    """A table that is replaced, and then appended to."""
+    root, nations = new_path(spark), A.table(spark, d, "nation")
+    entities = nations.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("entity_id"), F.lit("nation").alias("entity_type"), F.col("n_name").alias("name"))
+    tables.replace_table(entities, root, "entities")
+    tables.replace_table(entities.where(F.substring("entity_id", 2, 9).cast("int") % 2 == 0), root, "entities")
+    tables.append_table(A.table(spark, d, "region").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("entity_id"), F.lit("region").alias("entity_type"), F.col("r_name").alias("name")), root, "entities")
+    return tables.read_table(spark, root, "entities")
+
+
 # models -----------------------------------------------------------------------------------------------------------
 
 _Q = "q AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY period) AS ix, ln(price) AS lp, ln(output) AS lo FROM macro)"
+_CONST = {"const": "1.0"}
 
 
 def _macro(spark, d) -> DataFrame:
     return A.macro(spark, d).withColumns({"lp": F.ln("price"), "lo": F.ln("output")})
 
 
+def _terms_sql(rel: str, group: str, order: str, xs: dict[str, str], y: str, lags: str | None = None, weight: str = "1.0", only: tuple[str, ...] = (), digits: int = 4) -> str:
+    """A row for each group and term: coefficient, error, statistic, p-value, r2 and rows."""
+    parts = []
+    for name in only or xs:
+        p = O.p_student("coef / se", "dof") if lags is None else O.p_normal("coef / se")
+        parts.append(f"SELECT {group}, '{name}' AS term, round(coef, {digits}) AS coef, round(se, {digits}) AS se, round(coef / se, {digits}) AS stat, round({p}, {digits}) AS p_value, round(r2, {digits}) AS r2, CAST(n AS BIGINT) AS n FROM {O.term(rel, group, order, xs, name, y, lags, weight)}")
+    return " UNION ALL ".join(parts)
+
+
+def _terms_of(df: DataFrame, digits: int = 4) -> DataFrame:
+    return _r(df, digits, "coef", "se", "stat", "p_value", "r2").withColumn("n", F.col("n").cast("long"))
+
+
 @query(_with(A.MACRO, _Q) + "SELECT entity, 'const' AS term, round(regr_intercept(lo, lp), 5) AS coef, round(regr_r2(lo, lp), 6) AS r2, CAST(regr_count(lo, lp) AS BIGINT) AS n FROM q GROUP BY 1 UNION ALL SELECT entity, 'lp', round(regr_slope(lo, lp), 5), round(regr_r2(lo, lp), 6), regr_count(lo, lp) FROM q GROUP BY 1")
 def ols_simple(spark, d):
     out = regression.grouped_ols(_macro(spark, d), ["entity"], "lo", ["lp"])
@@ -723,6 +912,12 @@ def ols_multi(spark, d):
     return out.groupBy("entity").agg(*[F.round(F.max(F.when(F.col("term") == t, F.col("coef"))), 5).alias(f"b_{t}") for t in ("lp", "rate")])
 
 
+@query(_with(A.MACRO, _Q) + _terms_sql("q", "entity", "ix", _CONST | {"lp": "lp", "rate": "rate"}, "lo"))
+def ols_terms(spark, d):
+    """All terms with their errors and tests."""
+    return _terms_of(regression.grouped_ols(_macro(spark, d), ["entity"], "lo", ["lp", "rate"]))
+
+
 @query(_with(A.MACRO, _Q) + """, w AS (SELECT *, CASE WHEN year(period) = 1997 THEN 1.0 / 9 ELSE 1.0 END AS w FROM q), m AS (SELECT entity, sum(w * lp) / sum(w) AS mx, sum(w * lo) / sum(w) AS my FROM w GROUP BY 1)
 SELECT entity, round(sum(w * (lp - mx) * (lo - my)) / sum(w * (lp - mx) * (lp - mx)), 5) AS slope FROM w JOIN m USING (entity) GROUP BY 1""")
 def wls(spark, d):
@@ -730,6 +925,12 @@ def wls(spark, d):
     return regression.grouped_ols(rows, ["entity"], "lo", ["lp"], weight="w").where("term = 'lp'").select("entity", F.round("coef", 5).alias("slope"))
 
 
+@query(_with(A.MACRO, _Q) + _terms_sql("q", "entity", "ix", _CONST | {"lp": "lp", "rate": "rate"}, "lo", weight="CASE WHEN year(period) = 1997 THEN 1.0 / 9 ELSE 1.0 END"))
+def wls_terms(spark, d):
+    rows = _macro(spark, d).withColumn("w", F.when(F.year("period") == 1997, 1 / 9).otherwise(1.0))
+    return _terms_of(regression.grouped_ols(rows, ["entity"], "lo", ["lp", "rate"], weight="w"))
+
+
 _HAC = """, b AS (SELECT entity, regr_slope(lo, lp) AS b, regr_intercept(lo, lp) AS a, avg(lp) AS mx, regr_sxx(lo, lp) AS sxx FROM q GROUP BY 1),
 s AS (SELECT q.entity, ix, (lp - mx) * (lo - a - b * lp) AS s, sxx FROM q JOIN b USING (entity)),
 g AS (SELECT x.entity, any_value(x.sxx) AS sxx, sum(CASE WHEN x.ix = y.ix THEN 1.0 ELSE 2.0 END * (1 - (x.ix - y.ix) / 5.0) * x.s * y.s) AS meat FROM s x JOIN s y ON x.entity = y.entity AND x.ix - y.ix BETWEEN 0 AND 4 GROUP BY 1)
@@ -742,69 +943,119 @@ def hac_se(spark, d):
     return out.where("term = 'lp'").select("entity", F.round("se", 5).alias("se"))
 
 
-@query(_with(A.MACRO, _Q) + "SELECT entity, round(regr_slope(lo, lp), 5) AS estimate FROM q GROUP BY 1")
+@query(_with(A.MACRO, _Q) + _terms_sql("q", "entity", "ix", _CONST | {"lp": "lp", "rate": "rate"}, "lo", "3"))
+def hac_terms(spark, d):
+    return _terms_of(regression.grouped_ols(_macro(spark, d), ["entity"], "lo", ["lp", "rate"], order="period", lags=3))
+
+
+def _wald_sql(group: str, of: str, p) -> str:
+    return f"SELECT {group}, round(coef, 4) AS estimate, round(se, 4) AS se, round((coef - 1) / se, 4) AS stat, round({p}, 4) AS p_value FROM {of}"
+
+
+@query(_with(A.MACRO, _Q) + _wald_sql("entity", O.term("q", "entity", "ix", _CONST | {"lp": "lp"}, "lp", "lo", "4"), O.p_normal("(coef - 1) / se")))
 def wald_test(spark, d):
-    fitted = regression.fit(_macro(spark, d), ["entity"], "lo", ["lp"])
-    return regression.wald(fitted, ["entity"], {"lp": 1.0}, 1.0).select("entity", F.round("estimate", 5).alias("estimate"))
+    fitted = regression.fit(_macro(spark, d), ["entity"], "lo", ["lp"], order="period", lags=4)
+    return _r(regression.wald(fitted, ["entity"], {"lp": 1.0}, 1.0), 4, "estimate", "se", "stat", "p_value")
+
+
+@query(_with(A.MACRO, _Q) + _wald_sql("entity", O.term("q", "entity", "ix", _CONST | {"lp": "lp"}, "lp", "lo"), O.p_student("(coef - 1) / se", "dof")))
+def wald_student(spark, d):
+    return _r(regression.wald(regression.fit(_macro(spark, d), ["entity"], "lo", ["lp"]), ["entity"], {"lp": 1.0}, 1.0), 4, "estimate", "se", "stat", "p_value")
 
 
 def _pairs(spark, d) -> DataFrame:
     return A.macro(spark, d).select(F.col("entity").alias("pair"), "period", F.col("price").alias("fx"), F.col("rate").alias("home"), F.lit(5.0).alias("abroad"))
 
 
-_UIP = ", ".join(f"({h})" for h in (1, 4))
+_PARITY = "pr AS (" + " UNION ALL ".join(f"SELECT entity AS pair, {h} AS horizon, period, 100 * (ln(lead(price, {h}) OVER w) - ln(price)) AS change, rate - 5 AS differential FROM macro WINDOW w AS (PARTITION BY entity ORDER BY period)" for h in (1, 4)) + "), pc AS (SELECT * FROM pr WHERE change IS NOT NULL QUALIFY count(*) OVER (PARTITION BY pair, horizon) >= 20)"
 
 
-@query(_with(A.MACRO) + f"""SELECT pair, horizon, round(regr_slope(change, x), 4) AS slope, CAST(regr_count(change, x) AS BIGINT) AS n FROM (
-SELECT entity AS pair, 1 AS horizon, 100 * (ln(lead(price, 1) OVER w) - ln(price)) AS change, rate - 5 AS x FROM macro WINDOW w AS (PARTITION BY entity ORDER BY period)
-UNION ALL SELECT entity, 4, 100 * (ln(lead(price, 4) OVER w) - ln(price)), rate - 5 FROM macro WINDOW w AS (PARTITION BY entity ORDER BY period)) WHERE change IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= {macro.LEAST_PARITY} """.replace(f">= {macro.LEAST_PARITY}", ">= 20"))
+@query(_with(A.MACRO, _PARITY) + _terms_sql("pc", "pair, horizon", "period", _CONST | {"differential": "differential"}, "change", "horizon"))
 def uip(spark, d):
-    by = ["pair", "horizon"]
-    rows = macro.parity_rows(_pairs(spark, d), [1, 4])
-    out = regression.grouped_ols(rows, by, "change", ["differential"], order="period", lags="horizon", least_rows=20).where("term = 'differential'")
-    return out.select(*by, F.round("coef", 4).alias("slope"), F.col("n").cast("long").alias("n"))
+    """Interest parity over two horizons; the tables have too few quarters for the usual least of rows."""
+    return _terms_of(macro.uip(_pairs(spark, d), [1, 4], least_rows=20)[0])
 
 
-@query()
+_MONTHLY_PARITY = "pr AS (" + " UNION ALL ".join(f"SELECT series_id AS pair, {h} AS horizon, period, 100 * (ln(lead(value, {h}) OVER w) - ln(value)) AS change, 4.0 - month(period) / 4 AS differential FROM mon WINDOW w AS (PARTITION BY series_id ORDER BY period)" for h in (1, 12)) + f"), pc AS (SELECT * FROM pr WHERE change IS NOT NULL QUALIFY count(*) OVER (PARTITION BY pair, horizon) >= {macro.LEAST_PARITY})"
+
+
+@query(_with(A.MON, _MONTHLY_PARITY) + _wald_sql("pair, horizon", O.term("pc", "pair, horizon", "period", _CONST | {"differential": "differential"}, "differential", "change", "horizon"), O.p_normal("(coef - 1) / se")))
 def uip_test(spark, d):
     coefficients, test = macro.uip(A.monthly(spark, d).select(F.col("series_id").alias("pair"), "period", F.col("value").alias("fx"), F.lit(4.0).alias("home"), (F.month("period") / 4).alias("abroad")), [1, 12])
     return _r(test, 4, "estimate", "se", "stat", "p_value")
 
 
-@query()
+@query("WITH RECURSIVE " + A.MON + "," + O.hp("mon", "series_id") + " SELECT series_id, period, round(value / 1e6, 5) AS value, round(trend / 1e6, 5) AS trend, round((value - trend) / 1e6, 5) AS cycle FROM hp")
 def hp_filter(spark, d):
-    return _r(macro.hp_filter(A.monthly(spark, d), ["series_id"]), 2, "value", "trend", "cycle")
+    out = macro.hp_filter(A.monthly(spark, d), ["series_id"])
+    return _r(out.withColumns({c: F.col(c) / 1e6 for c in ("value", "trend", "cycle")}), 5, "value", "trend", "cycle")
 
 
-@query()
+def _hamilton(rel: str, group: str, value: str) -> str:
+    """Common tables ham_x, ham (group, period, gap)."""
+    lags = ", ".join(f"lag({value}, {8 + k}) OVER w AS l{k}" for k in range(4))
+    xs = _CONST | {f"l{k}": f"l{k}" for k in range(4)}
+    return f"""
+ham_x AS (SELECT * FROM (SELECT {group}, period, {value} AS own, {lags} FROM {rel} WINDOW w AS (PARTITION BY {group} ORDER BY period)) WHERE own IS NOT NULL AND l0 IS NOT NULL AND l1 IS NOT NULL AND l2 IS NOT NULL AND l3 IS NOT NULL QUALIFY count(*) OVER (PARTITION BY {group}) >= 9),
+ham AS (SELECT {group}, period, e_y AS gap FROM {O.residuals("ham_x", group, xs, {"y": "own"})})"""
+
+
+@query(_with(A.NAT, _hamilton("nat", "series_id", "value")) + "SELECT series_id, period, round(value, 1) AS value, round(gap, 1) AS gap FROM nat LEFT JOIN ham USING (series_id, period)")
 def hamilton_gap(spark, d):
     return _r(macro.hamilton_gap(A.monthly_nations(spark, d), ["series_id"]), 1, "value", "gap")
 
 
-@query()
+_GDP = "gdp AS (SELECT entity, period, ln(output) AS value FROM macro)"
+_HP_GAP = A.MACRO + ", " + _GDP + "," + O.hp("gdp", "entity") + ", gaps AS (SELECT entity, period, (exp(value - trend) - 1) * 100 AS gap FROM hp)"
+_HAMILTON_GAP = A.MACRO + ", " + _GDP + "," + _hamilton("gdp", "entity", "value") + ", gaps AS (SELECT entity, period, gap * 100 AS gap FROM gdp LEFT JOIN ham USING (entity, period))"
+_GAPS = "SELECT entity, period, round(gap, 4) AS gap FROM gaps"
+
+
+def _output_gap(spark, d, method: str) -> DataFrame:
+    return _r(macro.output_gap(A.macro(spark, d).select("entity", "period", F.col("output").alias("value")), ["entity"], method), 4, "gap")
+
+
+@query("WITH RECURSIVE " + _HP_GAP + _GAPS)
 def output_gap(spark, d):
-    return _r(macro.output_gap(A.macro(spark, d).select("entity", "period", F.col("output").alias("value")), ["entity"]), 4, "gap")
+    return _output_gap(spark, d, "hp")
+
 
+@query("WITH " + _HAMILTON_GAP + _GAPS)
+def output_gap_hamilton(spark, d):
+    return _output_gap(spark, d, "hamilton")
 
-def _rule(spark, d) -> DataFrame:
+
+def _rule(spark, d, method: str = "hp") -> DataFrame:
     panel = A.macro(spark, d)
     params = panel.select("entity").distinct().withColumns({"r_star": F.lit(2.0), "pi_star": F.lit(2.0), "a_pi": F.lit(0.5), "a_y": F.lit(0.5)})
-    return macro.taylor_rule(panel, params)
+    return macro.taylor_rule(panel, params, method=method)
 
 
-@query()
+_RULE = """, tr AS (SELECT entity, period, inflation, gap, rate, 2 + inflation + 0.5 * (inflation - 2) + 0.5 * gap AS prescribed
+FROM (SELECT entity, period, rate, (price / lag(price, 4) OVER (PARTITION BY entity ORDER BY period) - 1) * 100 AS inflation FROM macro) JOIN gaps USING (entity, period) WHERE inflation IS NOT NULL AND gap IS NOT NULL AND rate IS NOT NULL) """
+_RULE_ROWS = "SELECT entity, period, round(inflation, 4) AS inflation, round(gap, 4) AS gap, round(rate, 4) AS rate, round(prescribed, 4) AS prescribed, round(rate - prescribed, 4) AS deviation FROM tr"
+_RULE_SAID = "SELECT entity, round(corr(rate, prescribed), 4) AS correlation, round(avg(abs(rate - prescribed)), 4) AS mean_abs_deviation, count(*) AS n FROM tr GROUP BY 1"
+_RULE_FIT = ", tk AS (SELECT * FROM tr QUALIFY count(*) OVER (PARTITION BY entity) >= 13) " + _terms_sql("tk", "entity", "period", _CONST | {"inflation": "inflation", "gap": "gap"}, "rate")
+
+
+@query("WITH RECURSIVE " + _HP_GAP + _RULE + _RULE_ROWS)
 def taylor_rule(spark, d):
     return _r(_rule(spark, d), 4, "inflation", "gap", "rate", "prescribed", "deviation")
 
 
-@query()
+@query("WITH RECURSIVE " + _HP_GAP + _RULE + _RULE_SAID)
 def taylor_diagnostics(spark, d):
     return _r(macro.taylor_diagnostics(_rule(spark, d)), 4, "correlation", "mean_abs_deviation")
 
 
-@query()
+@query("WITH RECURSIVE " + _HP_GAP + _RULE + _RULE_FIT)
 def taylor_estimate(spark, d):
-    return _r(macro.taylor_estimate(_rule(spark, d)), 4, "coef", "se", "stat", "p_value", "r2")
+    return _terms_of(macro.taylor_estimate(_rule(spark, d)))
+
+
+@query("WITH " + _HAMILTON_GAP + _RULE + _RULE_ROWS)
+def taylor_rule_hamilton(spark, d):
+    return _r(_rule(spark, d, "hamilton"), 4, "inflation", "gap", "rate", "prescribed", "deviation")
 
 
 def _terms(spark, d) -> DataFrame:
@@ -815,6 +1066,13 @@ def _terms(spark, d) -> DataFrame:
     return macro.build_terms(long, terms)
 
 
+_SPECS = """tm AS (
+SELECT 'base' AS spec, entity, period, p AS y, lag(p) OVER w AS past, CASE WHEN lag(p, 2) OVER w IS NULL THEN lag(p, 3) OVER w WHEN lag(p, 3) OVER w IS NULL THEN lag(p, 2) OVER w ELSE (lag(p, 2) OVER w + lag(p, 3) OVER w) / 2 END AS ahead, lag(o) OVER w AS slack
+FROM (SELECT entity, period, 100 * ln(price) AS p, 100 * ln(output) AS o FROM macro) WINDOW w AS (PARTITION BY entity ORDER BY period)
+UNION ALL SELECT 'other', entity, period, p, lag(p) OVER w, lag(p, 4) OVER w, lag(rate) OVER w FROM (SELECT entity, period, 100 * ln(price) AS p, rate FROM macro) WINDOW w AS (PARTITION BY entity ORDER BY period)),
+ds AS (SELECT * FROM tm WHERE y IS NOT NULL AND past IS NOT NULL AND ahead IS NOT NULL AND slack IS NOT NULL QUALIFY count(*) OVER (PARTITION BY spec, entity) >= 12)"""
+
+
 @query(_with(A.MACRO, "p AS (SELECT entity, period, 100 * ln(price) AS v FROM macro)") + """, a AS (SELECT entity, period, lag(v, 2) OVER w AS x, lag(v, 3) OVER w AS y FROM p WINDOW w AS (PARTITION BY entity ORDER BY period))
 SELECT entity, period, round(CASE WHEN x IS NULL THEN y WHEN y IS NULL THEN x ELSE (x + y) / 2 END, 5) AS value FROM a""")
 def build_terms(spark, d):
@@ -825,6 +1083,11 @@ def _design(spark, d) -> DataFrame:
     return macro.design(_terms(spark, d), ["y", "past", "ahead", "slack"], ["spec", "entity"])
 
 
+@query(_with(A.MACRO, _SPECS) + "SELECT spec, entity, period, round(y, 5) AS y, round(past, 5) AS past, round(ahead, 5) AS ahead, round(slack, 5) AS slack FROM ds")
+def term_design(spark, d):
+    return _r(_design(spark, d).select("spec", "entity", "period", "y", "past", "ahead", "slack"), 5, "y", "past", "ahead", "slack")
+
+
 @query(_with(A.MACRO, _Q) + """, z AS (SELECT entity, 100 * lp - ahead AS y, past - ahead AS x FROM (SELECT entity, lp, 100 * lag(lp, 1) OVER w AS past, (100 * lag(lp, 2) OVER w + 100 * lag(lp, 3) OVER w) / 2 AS ahead FROM q WINDOW w AS (PARTITION BY entity ORDER BY ix)) WHERE ahead IS NOT NULL)
 SELECT entity, round(regr_slope(y, x), 4) AS past, round(1 - regr_slope(y, x), 4) AS ahead FROM z GROUP BY 1""")
 def restricted_ols(spark, d):
@@ -835,27 +1098,49 @@ def restricted_ols(spark, d):
     return out.groupBy("entity").agg(*[F.round(F.max(F.when(F.col("term") == t, F.col("coef"))), 4).alias(t) for t in ("past", "ahead")])
 
 
-@query()
+_MOVED = ", dm AS (SELECT spec, entity, period, y - ahead AS y, past - ahead AS past, slack FROM ds) "
+_MOVED_XS = _CONST | {"past": "past", "slack": "slack"}
+
+
+@query(_with(A.MACRO, _SPECS) + _MOVED + _terms_sql("dm", "spec, entity", "period", _MOVED_XS, "y", "4")
+       + f" UNION ALL SELECT spec, entity, 'ahead', round(1 - coef, 4), round(se, 4), round((1 - coef) / se, 4), round({O.p_normal('(1 - coef) / se')}, 4), round(r2, 4), CAST(n AS BIGINT) FROM {O.term('dm', 'spec, entity', 'period', _MOVED_XS, 'past', 'y', '4')}")
 def phillips(spark, d):
-    return _r(macro.phillips(_design(spark, d), ["spec", "entity"], ["past", "ahead"], "ahead", ["slack"], "y", 4)[0], 4, "coef", "se", "stat", "p_value", "r2")
+    return _terms_of(macro.phillips(_design(spark, d), ["spec", "entity"], ["past", "ahead"], "ahead", ["slack"], "y", 4)[0])
 
 
-@query()
+# the sum of both coefficients is the one of ahead once past enters as past - ahead
+_VERTICAL = O.term("ds", "spec, entity", "period", _CONST | {"past": "past - ahead", "slack": "slack", "both": "ahead"}, "both", "y")
+
+
+@query(_with(A.MACRO, _SPECS) + " " + _wald_sql("spec, entity", _VERTICAL, O.p_student("(coef - 1) / se", "dof")))
 def phillips_vertical(spark, d):
     return _r(macro.phillips(_design(spark, d), ["spec", "entity"], ["past", "ahead"], "ahead", ["slack"], "y")[1], 4, "estimate", "se", "stat", "p_value")
 
 
-@query()
+_OOS_XS = _CONST | {"past": "past", "slack": "slack"}
+
+
+@query(_with(A.MACRO, _SPECS) + f""", cut AS (SELECT DISTINCT period AS cutoff FROM ds WHERE period >= DATE '1999-01-01'),
+seen AS (SELECT ds.*, cutoff FROM ds JOIN cut ON period < cutoff QUALIFY count(*) OVER (PARTITION BY spec, entity, cutoff) >= 12),
+fc AS (SELECT * FROM {O.system("seen", "spec, entity, cutoff", _OOS_XS, {"y": "y"})}),
+now AS (SELECT *, lag(y) OVER (PARTITION BY spec, entity ORDER BY period) AS before FROM ds),
+er AS (SELECT spec, entity, y, b_y_const + b_y_past * past + b_y_slack * slack AS model, ahead AS survey, before FROM now JOIN fc USING (spec, entity) WHERE period = cutoff AND before IS NOT NULL)
+SELECT spec, entity, round(sqrt(avg((y - model) * (y - model))), 4) AS rmse_model, round(sqrt(avg((y - survey) * (y - survey))), 4) AS rmse_survey, round(sqrt(avg((y - before) * (y - before))), 4) AS rmse_random_walk, count(*) AS n FROM er GROUP BY 1, 2""")
 def expanding_oos(spark, d):
     rows = _design(spark, d)
     cutoffs = rows.select(F.col("period").alias("cutoff")).where("period >= DATE '1999-01-01'").distinct()
     return _r(macro.expanding_oos(rows, cutoffs, ["spec", "entity"], "y", ["past", "slack"], "ahead")[1], 4, "rmse_model", "rmse_survey", "rmse_random_walk")
 
 
-@query()
+_LP = "lpx AS (SELECT * FROM (SELECT series_id AS entity, period, ln(value) AS output, CAST(month(period) % 5 AS DOUBLE) AS shock FROM nat))," + O.lagged("lpx", "entity", ["output", "shock"], 2, "lpl") + ", lpm AS (" + " UNION ALL ".join(f"SELECT l.entity, l.period, {h} AS h, m.moved, l.shock, l1_output, l2_output, l1_shock, l2_shock FROM lpl l JOIN (SELECT entity, period, lead(output, {h}) OVER (PARTITION BY entity ORDER BY period) - output AS moved FROM lpx) m USING (entity, period) WHERE moved IS NOT NULL" for h in range(9)) + ")"
+_LP_XS = _CONST | {c: c for c in ("l1_output", "l2_output", "l1_shock", "l2_shock")} | {"shock": "shock"}
+
+
+@query(_with(A.NAT, _LP) + f" SELECT entity, 'output' AS response, h, round(coef, 5) + 0.0 AS coef, round(se, 5) AS se, round(coef - 1.96 * se, 5) + 0.0 AS low, round(coef + 1.96 * se, 5) + 0.0 AS high, CAST(n AS BIGINT) AS n FROM {O.term('lpm', 'entity, h', 'period', _LP_XS, 'shock', 'moved', 'greatest(h, 1)')}")
 def local_projections(spark, d):
     panel = A.monthly_nations(spark, d).select(F.col("series_id").alias("entity"), "period", F.ln("value").alias("output"), (F.month("period") % 5).cast("double").alias("shock"))
-    return _r(macro.local_projections(panel, ["entity"], ["output"], "shock", ["output", "shock"], horizon=8, lags=2), 5, "coef", "se", "low", "high")
+    out = _r(macro.local_projections(panel, ["entity"], ["output"], "shock", ["output", "shock"], horizon=8, lags=2), 5, "coef", "se", "low", "high")
+    return out.withColumns({c: F.col(c) + 0.0 for c in ("coef", "low", "high")})
 
 
 def _var(spark, d) -> DataFrame:
@@ -866,6 +1151,16 @@ def _fitted(spark, d) -> DataFrame:
     return var.var_fit(_var(spark, d), ["entity"], ["lp", "lo", "rate"], 2)
 
 
+_THREE, _TWO = ["lp", "lo", "rate"], ["lp", "rate"]
+_VAR3 = _with(A.MACRO, _Q, O.lagged("q", "entity", _THREE, 2, "vl"), f"vf AS (SELECT * FROM {O.var_system('vl', 'entity', _THREE, 2)})")
+_VAR2 = _with(A.MACRO, _Q, O.lagged("q", "entity", _TWO, 1, "vl"), f"vf AS (SELECT * FROM {O.var_system('vl', 'entity', _TWO, 1)})")
+
+
+def _var_terms_sql(columns: list[str], lags: int) -> str:
+    names = {"const": "const"} | {f"l{p}_{c}": f"L{p}.{c}" for p in range(1, lags + 1) for c in columns}
+    return " UNION ALL ".join(f"SELECT entity, '{y}' AS equation, '{shown}' AS term, round(b_{y}_{x}, 4) AS coef FROM vf" for y in columns for x, shown in names.items())
+
+
 @query(_with(A.MACRO, _Q) + "SELECT entity, 'lp' AS equation, round(regr_slope(lp, p), 5) AS coef FROM (SELECT entity, lp, lag(lp) OVER (PARTITION BY entity ORDER BY ix) AS p FROM q) WHERE p IS NOT NULL GROUP BY 1")
 def var_one(spark, d):
     """A system of one variable and one lag is a plain regression."""
@@ -873,24 +1168,48 @@ def var_one(spark, d):
     return out.where("term = 'L1.lp'").select("entity", "equation", F.round("coef", 5).alias("coef"))
 
 
-@query()
+@query(_VAR3 + _var_terms_sql(_THREE, 2))
 def var_coefficients(spark, d):
     return _r(var.var_coefficients(_fitted(spark, d), ["entity"]), 4, "coef")
 
 
 @query()
 def var_diagnostics(spark, d):
+    """Six roots have no SQL; ``var_two_diagnostics`` has it for two."""
     return _r(var.var_diagnostics(_fitted(spark, d), ["entity"]), 4, "max_root", "log_likelihood")
 
 
-@query()
+@query(_VAR2 + """SELECT entity, CAST(n AS BIGINT) AS n, 1 AS lags, 'lp,rate' AS recursive_order, round(CASE WHEN tr * tr / 4 >= de THEN greatest(abs(tr / 2 + sqrt(greatest(tr * tr / 4 - de, 0))), abs(tr / 2 - sqrt(greatest(tr * tr / 4 - de, 0)))) ELSE sqrt(de) END, 4) AS max_root,
+round(-n / 2.0 * (2 * ln(2 * pi()) + ln((ssr_lp_lp * ssr_rate_rate - ssr_lp_rate * ssr_lp_rate) / n / n) + 2), 4) AS log_likelihood
+FROM (SELECT *, b_lp_l1_lp + b_rate_l1_rate AS tr, b_lp_l1_lp * b_rate_l1_rate - b_lp_l1_rate * b_rate_l1_lp AS de FROM vf)""")
+def var_two_diagnostics(spark, d):
+    return _r(var.var_diagnostics(var.var_fit(_var(spark, d), ["entity"], _TWO, 1), ["entity"]), 4, "max_root", "log_likelihood")
+
+
+def _criteria_sql(lags: int) -> str:
+    xs = _CONST | {f"l{p}_{c}": f"l{p}_{c}" for p in range(1, lags + 1) for c in _THREE}
+    free = 9 * lags + 3
+    det = O.determinant([[f"ssr_{a}_{b} / n" for b in _THREE] for a in _THREE])
+    return f"SELECT entity, {lags} AS lags, ln({det}) + 2.0 * {free} / n AS aic, ln({det}) + ln(n) * {free} / n AS bic, ln({det}) + 2 * ln(ln(n)) * {free} / n AS hqic FROM {O.system('vl', 'entity', xs, {c: c for c in _THREE})}"
+
+
+@query(_with(A.MACRO, _Q, O.lagged("q", "entity", _THREE, 3, "vl"), "cr AS (" + " UNION ALL ".join(map(_criteria_sql, (1, 2, 3))) + ")") + "SELECT entity, lags, round(aic, 4) AS aic, round(bic, 4) AS bic, round(hqic, 4) AS hqic, row_number() OVER (PARTITION BY entity ORDER BY aic, lags) = 1 AS chosen FROM cr")
 def var_select(spark, d):
     return _r(var.var_select(_var(spark, d), ["entity"], ["lp", "lo", "rate"], 3), 4, "aic", "bic", "hqic")
 
 
-@query()
+_IRF = _VAR3.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + "," + O.irf("vf", "entity", _THREE, 2, 12)
+
+
+@query(_IRF + " SELECT entity, shock, response, h, round(value, 5) + 0.0 AS value FROM irf_long")
 def var_irf(spark, d):
-    return _r(var.var_irf(_fitted(spark, d), ["entity"], 12), 5)
+    return _r(var.var_irf(_fitted(spark, d), ["entity"], 12), 5).withColumn("value", F.col("value") + 0.0)
+
+
+@query(_IRF + """, cum AS (SELECT *, sum(value * value) OVER (PARTITION BY entity, response, shock ORDER BY h) AS v FROM irf_long)
+SELECT entity, shock, response, h, round(v / sum(v) OVER (PARTITION BY entity, response, h), 5) AS share FROM cum""")
+def var_fevd(spark, d):
+    return _r(var.var_fevd(var.var_irf(_fitted(spark, d), ["entity"], 12), ["entity"]), 5, "share")
 
 
 @query(_with(A.MACRO) + "SELECT entity, response, h, 1.0::DOUBLE AS share FROM (SELECT DISTINCT entity FROM macro), (VALUES ('lp'), ('lo'), ('rate')) r(response), (SELECT unnest(range(13))::INTEGER AS h)")
@@ -901,7 +1220,8 @@ def var_fevd_sums(spark, d):
 
 @query()
 def sign_restricted(spark, d):
-    return _r(var.sign_restricted(_fitted(spark, d), ["entity"], {"lp": -1, "rate": 1}, 50, 1, 1, 8)[0], 4, "low", "median", "high")
+    """Random draws have no SQL; tests hold them against a plain version."""
+    return _r(var.sign_restricted(_fitted(spark, d), ["entity"], {"lp": -1, "rate": 1}, 2000, 1, 3, 20)[0], 4, "low", "median", "high")
 
 
 # results ----------------------------------------------------------------------------------------------------------
@@ -924,6 +1244,15 @@ def unmelt(spark, d):
     return results.unmelt(_melted(spark, d), ["c_custkey", "c_acctbal", "c_mktsegment"], ["c_custkey", "c_acctbal"])
 
 
+@query("SELECT CAST(c_custkey AS DOUBLE) AS c_custkey, c_acctbal, c_mktsegment, CAST(row_number() OVER (ORDER BY c_custkey) - 1 AS INTEGER) AS row_ix FROM customer")
+def saved_result(spark, d):
+    """A run's table, saved and loaded."""
+    root = new_path(spark)
+    run = {"model_run_id": "r", "model_id": "m", "model_version": "1", "asof": "2024-01-01", "seed": 1, "vintage_kind": "true", "created_at": "2024-01-02 00:00:00", "params": {"a": 1}}
+    results.save_result(root, run, {"customers": (A.table(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment"), ["c_custkey"])})
+    return results.load_result(tables.read_table(spark, root, "model_outputs"), "r", "customers", ["c_custkey", "c_acctbal", "c_mktsegment"], ["c_custkey", "c_acctbal"])
+
+
 def _runs(spark, d) -> DataFrame:
     return A.table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("model_run_id"), F.col("o_orderpriority").alias("model_id"), F.col("o_orderstatus").alias("spec_id"), F.to_date("o_orderdate").alias("asof"), F.to_date("o_orderdate").alias("created_at"))
 
