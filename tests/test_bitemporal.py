@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronolake.functions import calendar
-from chronolake.operators import catalog, panels, scd, vintages
+from chronolake.operators import catalog, panels, regression, scd, vintages
 from chronolake.sources import tables
 
 OBS = "series_id string, period date, value double, realtime_start date, realtime_end date"
@@ -53,13 +53,18 @@ def test_reads(obs):
     assert {r.series_id: r.n_revisions for r in vintages.revisions(o).collect()} == {"a": 1, "b": 0}
 
 
-def test_many_dates_equal_few(spark, obs, monkeypatch):
-    o = obs(BASE)
-    dates = spark.sql("SELECT explode(sequence(DATE'2023-12-01', DATE'2025-02-01', INTERVAL 9 DAY)) AS asof")
-    few = sorted(map(str, vintages.as_of_grid(o, dates).collect()))
-    monkeypatch.setattr(vintages, "MANY_DATES", 3)
-    assert sorted(map(str, vintages.as_of_grid(o, dates).collect())) == few
+def test_grids_equal_single_reads(spark, obs, monkeypatch):
+    o = obs(BASE + [("d", "2024-01-01", 1.0, "2020-01-01", "2020-02-01"), ("d", "2024-01-01", 2.0, "2030-01-01", None), ("d", "2023-01-01", 3.0, "2023-12-05", "2023-12-06")])
+    dates = spark.sql("SELECT explode(sequence(DATE'2023-12-01', DATE'2025-02-01', INTERVAL 9 DAY)) AS asof UNION ALL SELECT DATE'2023-12-01' UNION ALL SELECT NULL")
+    days = [r.asof for r in dates.where("asof IS NOT NULL").distinct().collect()]
+    want = sorted(str((*r, day)) for day in days for r in vintages.as_of(o, day).collect())
+    for most in (vintages.MANY_DAYS, 3):
+        monkeypatch.setattr(vintages, "MANY_DAYS", most)
+        grid = vintages.as_of_grid(o, dates)
+        assert grid.columns == [*o.columns, "asof"]
+        assert sorted(str(tuple(r)) for r in grid.collect()) == want
     assert vintages.leakage(vintages.as_of_grid(o, dates), F.col("asof")).count() == 0
+    assert vintages.as_of_grid(o, dates.limit(0)).count() == 0
 
 
 def test_kinds_of_vintage(spark, obs):
@@ -100,6 +105,29 @@ def test_snapshot(obs, snap):
     assert sorted(map(str, same.collect())) == sorted(map(str, again.collect()))
 
 
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), plan.count("Join")
+
+
+def test_plans(spark, obs, snap):
+    o, inc = obs(BASE * 3), snap([("a", "2024-01-01", 2.0), ("b", "2024-01-01", 6.0)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        # one join of stored and incoming values, and one with what is known of each series
+        shuffles, joins = exchanges(scd.apply_snapshot(o, inc, "2024-04-01", guarded=False)[0])
+        assert joins <= 3 and shuffles <= 6
+        plan = vintages.as_of_grid(o, spark.sql("SELECT explode(sequence(DATE'2020-01-01', DATE'2024-02-01', INTERVAL 1 DAY)) AS asof"))._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+        rows = spark.range(50).selectExpr("CAST(id % 2 AS STRING) AS g", "DATE'2020-01-01' + CAST(id AS INT) AS period", "CAST(id % 7 AS DOUBLE) AS x", "CAST(id % 5 AS DOUBLE) AS y")
+        robust = regression.fit(rows, ["g"], "y", ["x"], order="period", lags=6)
+        assert exchanges(robust)[1] == 2 and "explode(" not in robust._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_vanished_and_covered(spark, obs, snap):
     cur = obs([("a", f"2024-{m:02}-01", float(m), "2024-12-31", None) for m in range(1, 13)])
     inc = snap([("a", f"2024-{m:02}-01", float(m)) for m in range(2, 13)])
@@ -205,6 +233,10 @@ def test_tables(spark, tmp_path):
     with pytest.raises(ValueError):
         tables.conform(one.drop("run_id"), "observations")
     assert "value: not double" in tables.rejected(one.withColumn("value", F.lit("x")), "observations").first().reason
+    for bad in (one.withColumn("value", F.lit("x")), one.withColumn("period", F.lit(None).cast("date"))):
+        with pytest.raises(Exception, match="observations"):
+            tables.replace_table(bad, root, "observations")  # and the table is as it was
+    assert {(r.series_id, r.value) for r in tables.read_table(spark, root, "observations").collect()} == {("x:1", 9.0), ("y:1", 2.0)}
     tables.install_views(tables.read_table(spark, root, "observations"))
     assert tables.query(spark, "SELECT * FROM obs_asof(CAST(:d AS DATE))", d="2024-02-01").count() == 2
     assert spark.table("obs_latest").count() == spark.table("obs_first_release").count() == 2

@@ -3,6 +3,9 @@
 import datetime as dt
 import json
 import math
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -105,6 +108,45 @@ def test_parsers(spark):
     assert payloads.parse_csv(raw(spark, text), "no", "v", 2).first().error
 
 
+def test_bodies_are_read_whole_or_not_at_all(spark):
+    def one(df):
+        rows = df.collect()
+        assert len(rows) == 1 and rows[0].value is None and rows[0].period is None
+        return rows[0].ordinal, rows[0].error
+
+    good = {"data": "02/01/2024", "valor": "0,21"}
+    assert one(payloads.parse_sgs(raw(spark, [good, {"data": "03/01/2024", "valor": "oops"}, good]))) == (1, "bad number: oops")
+    assert one(payloads.parse_sgs(raw(spark, [good, {"data": "31/02/2024", "valor": "1"}]))) == (1, "bad period")
+    page = {"observations": [{"date": "2024-01-01", "value": "1"}, {"date": "2024-01-02", "value": "1.2.3"}]}
+    assert one(payloads.parse_fred(raw(spark, page, vintaged=False)))[1] == "bad number: 1.2.3"
+    assert one(payloads.parse_ipea(raw(spark, {"value": [{"VALDATA": "x", "VALVALOR": 1}]}))) == (0, "bad period")
+    assert payloads.parse_sgs(raw(spark, [])).count() == 0
+    both = raw(spark, [good, {"data": "x", "valor": "1"}]).unionByName(raw(spark, [good]).withColumn("series_id", F.lit("t")))
+    assert {(r.series_id, r.value, r.error) for r in payloads.parse_sgs(both).collect()} == {("s", None, "bad period"), ("t", 0.21, None)}
+
+
+def test_quoted_csv(spark):
+    text = '﻿"when","how, much",note\r\n2024-01-01,"1,234.50","a ""b"", c"\r\n2024-02-01,n/a,"two\nlines"\r\n"2024-03-01",2.5 ,\r\n,9,\r\n2024-04-01,(b),x\r\n'
+    assert parsed(payloads.parse_csv(raw(spark, text), "when", "how, much")) == [("2024-01-01", 1234.5, None), ("2024-02-01", None, None), ("2024-03-01", 2.5, None), ("2024-04-01", None, None)]
+    assert parsed(payloads.parse_csv(raw(spark, '"x;y";2024-01-01;"1"'), 1, 2, separator=";")) == [("2024-01-01", 1.0, None)]
+    assert parsed(payloads.parse_csv(raw(spark, "a|2024-01-01|7"), 1, 2, separator="|")) == [("2024-01-01", 7.0, None)]
+    assert one_error(payloads.parse_csv(raw(spark, "2024-13-01,7"))) == "bad period"
+
+
+def one_error(df):
+    (row,) = df.collect()
+    return row.error
+
+
+def test_parsers_compile(spark, capfd):
+    """No stage is too large for generated code, and numbers are not pasted into it."""
+    page = {"observations": [{"date": f"2024-01-{k:02}", "value": "1,5"} for k in range(1, 29)]}
+    plan = payloads.parse_fred(raw(spark, page, vintaged=False))._jdf.queryExecution()
+    assert plan.executedPlan().toString().count("rlike") + plan.executedPlan().toString().count("RLIKE") <= 12
+    assert payloads.parse_fred(raw(spark, page, vintaged=False)).agg(F.sum("value")).first()[0] == 42
+    assert "grows beyond 64 KB" not in capfd.readouterr().err
+
+
 def test_raw_index(spark):
     rows = spark.createDataFrame([("x", "x:a/1", "r1", dt.datetime(2024, 1, d), "u?key=1", b) for d, b in ((1, "p"), (2, "p"), (3, "q"))], "source string, series_id string, run_id string, fetched_at timestamp, url string, body string")
     index = archive.raw_index(rows).orderBy("fetched_at")
@@ -305,4 +347,57 @@ def test_intake(spark, tmp_path):
     drop("1.json", "2024-03-01", {1: 1.0, 2: 2.0})
     assert run() == [("2024-01-01", 1.0, "2024-03-01", "None"), ("2024-02-01", 2.0, "2024-03-01", "None")]
     drop("2.json", "2024-04-01", {1: 1.0, 2: 2.5, 3: 3.0})
-    assert run() == [("2024-01-01", 1.0, "2024-03-01", "None"), ("2024-02-01", 2.0, "2024-03-01", "2024-04-01"), ("2024-02-01", 2.5, "2024-04-01", "None"), ("2024-03-01", 3.0, "2024-04-01", "None")]
+    after = [("2024-01-01", 1.0, "2024-03-01", "None"), ("2024-02-01", 2.0, "2024-03-01", "2024-04-01"), ("2024-02-01", 2.5, "2024-04-01", "None"), ("2024-03-01", 3.0, "2024-04-01", "None")]
+    assert run() == after
+    drop("3.json", "2024-05-01", {1: 1.0, 2: "oops", 3: 3.0})  # nothing of it is applied
+    assert run() == after
+    said = {r.run_id: (r.rows_fetched, r.rows_new, r.rows_revised, r.rows_closed, r.error) for r in tables.read_table(spark, root, "run_series").collect()}
+    assert [said[k] for k in sorted(said)] == [(2, 2, 0, 0, None), (3, 1, 1, 1, None), (0, 0, 0, 0, "bad number: oops")]
+    assert [r.status for r in tables.read_table(spark, root, "runs").orderBy("run_id").collect()] == ["ok", "ok", "failed"]
+    assert [r.stored for r in tables.read_table(spark, root, "raw_index").orderBy("run_id").collect()] == [True, True, True]
+    assert not any((tmp_path / "store" / "_staged").iterdir())
+
+
+def test_intake_of_published_vintages(spark, tmp_path):
+    """By the flag of the body: vintages are upserted, snapshots diffed; and a batch that is run again changes nothing."""
+    root = str(tmp_path / "store")
+    early = {"realtime_start": "2024-02-01", "realtime_end": "2024-02-29"}
+    vintage = [{"date": "2024-01-01", "value": "1"} | early, {"date": "2024-01-01", "value": "2", "realtime_start": "2024-03-01", "realtime_end": "9999-12-31"}]
+    bad = [{"date": "2024-01-01", "value": "1", "realtime_start": "2024-03-02", "realtime_end": "2024-03-01"}, {"date": "2024-01-01", "value": "1", "realtime_start": "2024-05-02", "realtime_end": "2024-03-01"}]
+    missing = [{"date": f"20{k}-01-01", "value": "."} | early for k in range(10, 25)]
+    bodies = {"fred:v": (True, vintage), "fred:s": (False, [{"date": "2024-01-01", "value": "7"}]), "fred:bad": (True, bad), "fred:none": (True, []), "fred:missing": (True, missing), "fred:page": (False, None)}
+    batch = spark.createDataFrame([("fred", s, "M", v, dt.datetime(2024, 6, 1, 12), "<html>" if x is None else json.dumps({"observations": x})) for s, (v, x) in bodies.items()], intake.RAW)
+    for _ in range(2):
+        intake.apply_batch(root, payloads.parse_fred)(batch, 4)
+        rows = sorted((r.series_id, r.value, str(r.realtime_start), str(r.realtime_end)) for r in tables.read_table(spark, root, "observations").collect())
+        assert rows == [("fred:s", 7.0, "2024-06-01", "None"), ("fred:v", 1.0, "2024-02-01", "2024-03-01"), ("fred:v", 2.0, "2024-03-01", "None")]
+        said = {r.series_id: (r.rows_new, r.error) for r in tables.read_table(spark, root, "run_series").collect()}
+        assert said == {"fred:v": (2, None), "fred:s": (1, None), "fred:bad": (0, "empty validity interval"), "fred:none": (0, "empty response; no changes applied"), "fred:missing": (0, "every value is missing"), "fred:page": (0, "body is not JSON")}
+        run = tables.read_table(spark, root, "runs").collect()
+        assert [(r.run_id, r.status, r.n_series, r.n_errors) for r in run] == [("batch-4-2024-06-01", "partial", 6, 4)]
+
+
+def test_workers_do_not_need_the_folder(tmp_path):
+    """Spark started elsewhere: the package comes with the tasks."""
+    script = tmp_path / "elsewhere.py"
+    script.write_text(f"""
+import sys
+sys.path.append({os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate()
+from chronolake.operators import macro
+rows = spark.range(80).selectExpr("'e' AS entity", "add_months(DATE'2000-01-01', CAST(id AS INT)) AS period", "CAST(id % 7 AS DOUBLE) AS y", "CAST(id % 5 AS DOUBLE) AS shock")
+assert macro.local_projections(rows, ["entity"], ["y"], "shock", ["y"], 2, 1).count() == 3
+try:
+    from chronolake.llm import language_id
+except ImportError:
+    language_id = None
+if language_id:
+    docs = spark.range(40).selectExpr("id AS doc_id", "CASE WHEN id % 2 = 0 THEN 'the ship of the line' ELSE 'das Schiff der Linie' END AS text", "CASE WHEN id % 2 = 0 THEN 'en' ELSE 'de' END AS lang")
+    assert language_id.predict(docs, language_id.fit(docs)).where("lang_pred = 'en'").count() == 20
+print("all right")
+""")
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH" and not k.startswith("PYSPARK_GATEWAY")} | {"PYSPARK_PYTHON": sys.executable}
+    ran = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300)
+    assert "all right" in ran.stdout, ran.stderr[-3000:]
