@@ -216,7 +216,7 @@ def local_projections(panel: DataFrame, group: Sequence[str], responses: Sequenc
     long = rows.withColumn("_moved", moved).select(*group, "period", shock, *controls, F.explode("_moved").alias("_m"))
     long = long.select(*group, "period", shock, *controls, "_m.response", "_m.h", "_m.moved").withColumn("_lags", F.greatest("h", F.lit(1)))
     by = [*group, "response", "h"]
-    fitted = R.fit(long, by, "moved", [shock, *controls], order="period", lags="_lags", most_lags=max(horizon, 1), least_rows=LEAST_PROJECTION)
+    fitted = R.fit(long, by, "moved", [shock, *controls], order="period", lags="_lags", most_lags=max(horizon, 1), least_rows=LEAST_PROJECTION, only=shock)
     own = R.coefficients(fitted, by).where(F.col("term") == shock)
     return own.select(*by, "coef", "se", (F.col("coef") - 1.96 * F.col("se")).alias("low"), (F.col("coef") + 1.96 * F.col("se")).alias("high"), "n")
 

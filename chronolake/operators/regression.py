@@ -71,12 +71,13 @@ def _packed(sums: Sequence[Column], k: int) -> list[Column]:
     return [F.array(*sums[:m]).alias("_xx"), F.array(*sums[m : m + k]).alias("_xy"), *[s.alias(n) for s, n in zip(sums[m + k :], ("_yy", "_y", "_w", "n"), strict=True)]]
 
 
-def fit(df: DataFrame, group: Sequence[str], y: str, xs: Sequence[str], weight: str | None = None, order: str | None = None, lags: int | str | None = None, constant: bool = True, least_rows: int = 0, most_lags: int | None = None) -> DataFrame:
+def fit(df: DataFrame, group: Sequence[str], y: str, xs: Sequence[str], weight: str | None = None, order: str | None = None, lags: int | str | None = None, constant: bool = True, least_rows: int = 0, most_lags: int | None = None, only: str | None = None) -> DataFrame:
     """One row per group: ``terms``, ``beta``, ``cov`` (row by row), ``n``, ``dof``, ``r2``, ``ssr``.
 
     With ``lags`` (a number, or a column that is constant in a group, with ``most_lags`` at most) the covariance is
     Newey-West over rows in the order of ``order``, and ``dof`` is null, which means normal p-values. Rows with a null
-    are left out, and groups of fewer than ``least_rows`` rows or with a singular design.
+    are left out, and groups of fewer than ``least_rows`` rows or with a singular design. With ``only`` one term's
+    Newey-West variance is computed, from one number a row instead of one for each term; the others are null.
     """
     names = ([CONSTANT] if constant else []) + list(xs)
     k = len(names)
@@ -90,7 +91,7 @@ def fit(df: DataFrame, group: Sequence[str], y: str, xs: Sequence[str], weight:
     if lags is not None:
         if isinstance(lags, str) and most_lags is None:
             most_lags = rows.agg(F.max(lags)).first()[0] or 0
-        fitted = _newey_west(rows, fitted, group, out_y, ins, w, order, lags, most_lags if isinstance(lags, str) else int(lags))
+        fitted = _newey_west(rows, fitted, group, out_y, ins, w, order, lags, most_lags if isinstance(lags, str) else int(lags), None if only is None else names.index(only))
     terms = F.array(*[F.lit(n) for n in names])
     return fitted.withColumn("terms", terms).select(*group, "terms", "beta", "cov", "n", "dof", "r2", "ssr")
 
@@ -144,21 +145,29 @@ def _same(group: Sequence[str], left: str, right: str) -> Column:
     return out
 
 
-def _newey_west(rows: DataFrame, fitted: DataFrame, group: Sequence[str], y: Column, ins: list[Column], w: Column, order: str, lags: int | str, most: int) -> DataFrame:
+def _newey_west(rows: DataFrame, fitted: DataFrame, group: Sequence[str], y: Column, ins: list[Column], w: Column, order: str, lags: int | str, most: int, only: int | None) -> DataFrame:
     """``fitted`` with the Bartlett-weighted covariance of the scores.
 
     The window gives each score its ``most`` forerunners. Their weighted sum, with half of the score itself, times the
-    score is the row's share of the covariance's upper half.
+    score is the row's share of the covariance's upper half. For one term the score is what the row adds to its
+    coefficient's error, a number.
     """
     k = len(ins)
     residual = y - sum((F.col("beta")[i] * x for i, x in enumerate(ins)), F.lit(0.0))
-    own = rows.alias("a").join(fitted.select(*group, "beta").alias("b"), _same(group, "a", "b")).select("a.*", "b.beta")
+    own = rows.alias("a").join(fitted.select(*group, "beta", "_inv").alias("b"), _same(group, "a", "b")).select("a.*", "b.beta", "b._inv")
     depth = F.col(lags).cast("int") if isinstance(lags, str) else F.lit(most)
-    scores = own.select(*group, F.col(order).alias("_order"), depth.alias("_lags"), F.array(*[w * x * residual for x in ins]).alias("s"))
+    score = F.array(*[w * x * residual for x in ins]) if only is None else w * residual * sum((F.col("_inv")[only * k + i] * x for i, x in enumerate(ins)), F.lit(0.0))
+    scores = own.select(*group, F.col(order).alias("_order"), depth.alias("_lags"), score.alias("s"))
     span = Window.partitionBy(*group).orderBy("_order").rowsBetween(-most, 0)
     scores = scores.withColumn("_past", F.collect_list("s").over(span))  # most + 1 scores at the most
     back = lambda i: F.size("_past") - 1 - i
     weight = lambda i: F.when(back(i) == 0, 0.5).otherwise(F.greatest(1 - back(i) / (F.col("_lags") + 1), F.lit(0.0)))
+    if only is not None:
+        summed = F.aggregate(F.transform("_past", lambda s, i: s * weight(i)), F.lit(0.0), lambda a, s: a + s)
+        variance = scores.groupBy(*group).agg(F.sum(2 * F.col("s") * summed).alias("_variance"))
+        cov = F.array(*[F.col("m._variance") if i == only * k + only else F.lit(None).cast("double") for i in range(k * k)])
+        kept = [F.col(f"f.{c}") for c in fitted.columns if c not in ("cov", "dof")]
+        return fitted.alias("f").join(variance.alias("m"), _same(group, "f", "m")).select(*kept, cov.alias("cov"), F.lit(None).cast("double").alias("dof"))
     weighted = F.transform("_past", lambda s, i: F.transform(s, lambda x: x * weight(i)))
     summed = F.aggregate(weighted, F.array(*[F.lit(0.0)] * k), lambda a, s: F.zip_with(a, s, lambda p, q: p + q))
     scores = scores.withColumn("_v", summed)

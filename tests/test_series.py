@@ -209,6 +209,8 @@ def test_least_squares_and_newey_west(spark):
         for k, t in enumerate(("const", "x1", "x2")):
             assert plain[g, t].coef == pytest.approx(beta[k]) and plain[g, t].se == pytest.approx(math.sqrt((inv * (u @ u) / (len(y) - 3))[k, k]))
             assert robust[g, t].se == pytest.approx(math.sqrt((inv @ meat @ inv)[k, k])) and robust[g, t].coef == pytest.approx(beta[k])
+    one = {r.g: r for r in regression.grouped_ols(df, ["g"], "y", ["x1", "x2"], order="period", lags=3, only="x2").collect() if r.term == "x2"}
+    assert all(one[g].se == pytest.approx(robust[g, "x2"].se) and one[g].coef == pytest.approx(robust[g, "x2"].coef) for g in one)
     assert plain["g0", "x1"].p_value < 1e-10 and plain["g0", "x1"].n == 120
     assert regression.grouped_ols(df.withColumn("x2", F.col("x1") * 2), ["g"], "y", ["x1", "x2"]).count() == 0  # singular
 
