@@ -32,14 +32,16 @@ def smallest_hashes(df: DataFrame, key: Column, n: int, by: str | None = None) -
     Rows are counted first and only hashes in a range that holds about 4 n rows are ranked, so what is sorted
     does not grow with the table. Few rows are all kept.
     """
-    part = by or "_part"
-    rows = (df if by else df.withColumn(part, F.lit(0))).withColumn("_hash", F.xxhash64(key))
-    counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
+    rows = df.withColumn("_hash", F.xxhash64(key))
     share = F.pmod("_hash", F.lit(1 << 32)) / F.lit(float(1 << 32))
-    if counts.limit(FEW + 1).count() <= FEW:  # else both sides are shuffled
-        counts = F.broadcast(counts)
-    near = rows.join(counts, part).where(share * F.col("_rows") < 4 * n + 100)
-    ranked = near.withColumn("_k", F.row_number().over(Window.partitionBy(part).orderBy(share, "_hash", key)))
+    if by is None:
+        near, own = rows.where(share * df.count() < 4 * n + 100), Window.partitionBy(F.lit(0))
+    else:
+        counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
+        if counts.limit(FEW + 1).count() <= FEW:  # else both sides are shuffled
+            counts = F.broadcast(counts)
+        near, own = rows.join(counts, by).where(share * F.col("_rows") < 4 * n + 100), Window.partitionBy(by)
+    ranked = near.withColumn("_k", F.row_number().over(own.orderBy(share, "_hash", key)))
     return ranked.where(F.col("_k") <= n).select(*df.columns)
 
 

@@ -153,20 +153,22 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from edges(keys, fps)
 
 
-def _posted(rows: DataFrame, masks: DataFrame) -> DataFrame:
-    """(mask, key, fp): ``rows`` in each list of their ``masks``."""
-    return rows.join(F.broadcast(masks), "was").select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")  # at most 8 x 4^6 masks
+def _posted(rows: DataFrame, step: dict[int, list[int]] | None) -> DataFrame:
+    """(mask, key, fp): ``rows`` in each list to begin with, or in those that narrow the list they ``was`` in."""
+    if step is None:
+        posted = rows.select(F.explode(F.array(*[F.lit(_signed(_of_bytes(t))) for t in TRIPLES])).alias("mask"), "fp")
+    else:
+        masks = rows.sparkSession.createDataFrame([(_signed(was), _signed(m)) for was, own in step.items() for m in own], "was long, mask long")
+        posted = rows.join(F.broadcast(masks), "was")  # at most 8 x 4^6 masks
+    return posted.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
 
 
 def links(distinct: DataFrame, longest: int = LIST) -> DataFrame:
     """Edges (a, b) that connect exactly the fingerprints that links within 3 bits connect. ``distinct`` has a column fp without repeats."""
-    spark = distinct.sparkSession
-    ship(spark)
-    step = {0: [_of_bytes(t) for t in TRIPLES]}
-    rows, found = distinct.select(F.lit(0).cast("long").alias("was"), "fp"), None
+    ship(distinct.sparkSession)
+    step, own, rows, found = None, [_of_bytes(t) for t in TRIPLES], distinct, None
     while True:
-        masks = spark.createDataFrame([(_signed(was), _signed(m)) for was, own in step.items() for m in own], "was long, mask long")
-        posted = _posted(rows, masks)
+        posted = _posted(rows, step)
         # lists that are too long, found by partial counts: no task sees their members together
         long = checkpoint(posted.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > longest).select("mask", "key"))
         n_long = long.limit(FEW + 1).count()
@@ -175,11 +177,12 @@ def links(distinct: DataFrame, longest: int = LIST) -> DataFrame:
             short, again = posted.join(side, ["mask", "key"], "left_anti"), posted.join(side, ["mask", "key"], "left_semi")
         else:
             short = posted
-        own = short.repartition("mask", "key").sortWithinPartitions("mask", "key").mapInArrow(_links, "a long, b long")
-        found = own if found is None else found.unionAll(own)
+        edges = short.repartition("mask", "key").sortWithinPartitions("mask", "key").mapInArrow(_links, "a long, b long")
+        found = edges if found is None else found.unionAll(edges)
         if not n_long:
             return found
-        step = {m: narrower(m) for m in sorted({x for own in step.values() for x in own}) if m != _ALL}
+        step = {m: narrower(m) for m in own if m != _ALL}
+        own = sorted({m for masks in step.values() for m in masks})
         rows = checkpoint(again.select(F.col("mask").alias("was"), "fp"))
 
 
