@@ -1132,11 +1132,11 @@ def expanding_oos(spark, d):
     return _r(macro.expanding_oos(rows, cutoffs, ["spec", "entity"], "y", ["past", "slack"], "ahead")[1], 4, "rmse_model", "rmse_survey", "rmse_random_walk")
 
 
-_LP = "lpx AS (SELECT * FROM (SELECT series_id AS entity, period, ln(value) AS output, CAST(month(period) % 5 AS DOUBLE) AS shock FROM nat))," + O.lagged("lpx", "entity", ["output", "shock"], 2, "lpl") + ", lpm AS (" + " UNION ALL ".join(f"SELECT l.entity, l.period, {h} AS h, m.moved, l.shock, l1_output, l2_output, l1_shock, l2_shock FROM lpl l JOIN (SELECT entity, period, lead(output, {h}) OVER (PARTITION BY entity ORDER BY period) - output AS moved FROM lpx) m USING (entity, period) WHERE moved IS NOT NULL" for h in range(9)) + ")"
+_LP = "lpx AS (SELECT * FROM (SELECT series_id AS entity, period, ln(value) AS output, CAST(month(period) % 5 AS DOUBLE) AS shock FROM nat))," + O.lagged("lpx", "entity", ["output", "shock"], 2, "lpl") + ", lpm AS (" + " UNION ALL ".join(f"SELECT l.entity, l.period, {h} AS h, m.moved, l.shock, l1_output, l2_output, l1_shock, l2_shock FROM lpl l JOIN (SELECT entity, period, lead(output, {h}) OVER (PARTITION BY entity ORDER BY period) - output AS moved FROM lpx) m USING (entity, period) WHERE moved IS NOT NULL" for h in range(9)) + f"), lpk AS (SELECT * FROM lpm QUALIFY count(*) OVER (PARTITION BY entity, h) >= {macro.LEAST_PROJECTION})"
 _LP_XS = _CONST | {c: c for c in ("l1_output", "l2_output", "l1_shock", "l2_shock")} | {"shock": "shock"}
 
 
-@query(_with(A.NAT, _LP) + f" SELECT entity, 'output' AS response, h, round(coef, 5) + 0.0 AS coef, round(se, 5) AS se, round(coef - 1.96 * se, 5) + 0.0 AS low, round(coef + 1.96 * se, 5) + 0.0 AS high, CAST(n AS BIGINT) AS n FROM {O.term('lpm', 'entity, h', 'period', _LP_XS, 'shock', 'moved', 'greatest(h, 1)')}")
+@query(_with(A.NAT, _LP) + f" SELECT entity, 'output' AS response, h, round(coef, 5) + 0.0 AS coef, round(se, 5) AS se, round(coef - 1.96 * se, 5) + 0.0 AS low, round(coef + 1.96 * se, 5) + 0.0 AS high, CAST(n AS BIGINT) AS n FROM {O.term('lpk', 'entity, h', 'period', _LP_XS, 'shock', 'moved', 'greatest(h, 1)')}")
 def local_projections(spark, d):
     panel = A.monthly_nations(spark, d).select(F.col("series_id").alias("entity"), "period", F.ln("value").alias("output"), (F.month("period") % 5).cast("double").alias("shock"))
     out = _r(macro.local_projections(panel, ["entity"], ["output"], "shock", ["output", "shock"], horizon=8, lags=2), 5, "coef", "se", "low", "high")
