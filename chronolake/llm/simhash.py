@@ -252,8 +252,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     own = F.struct(name.alias("name"), F.xxhash64(text).alias("text"))
     prints = checkpoint(fingerprints(docs.select(F.struct(F.col(f"`{id_col}`").alias("id"), own.alias("own")).alias("id"), text.alias("text")), "id", "text", shingle))
     order = F.struct(F.col("id.id").isNull(), F.col("id.id"), F.col("id.own.text"))
-    kept = prints.join(_roots(prints), "fp").groupBy("root").agg(F.min_by("id", order).alias("id")).select(F.col("id.own.name").alias("_name"), F.col("id.own.text").alias("_text")).distinct()
-    rows = whole_rows(docs).select("row", F.coalesce(F.col(f"row.{id_col}").cast("string"), F.lit("\0")).alias("_name"), F.xxhash64(F.col(f"row.{text_col}").cast("string")).alias("_text"))
-    others = [F.col(f"row.{c}").alias(c) for c in docs.columns if c != text_col]
+    first = prints.groupBy("fp").agg(F.min_by("id", order).alias("id"))  # of exact copies, before anything is joined
+    kept = first.join(_roots(prints), "fp").groupBy("root").agg(F.min_by("id", order).alias("id")).select(F.col("id.own.name").alias("_name"), F.col("id.own.text").alias("_text")).distinct()
+    rows = whole_rows(docs).select("row", F.coalesce(F.col("row")[id_col].cast("string"), F.lit("\0")).alias("_name"), F.xxhash64(F.col("row")[text_col].cast("string")).alias("_text"))
+    others = [F.col("row")[c].alias(c) for c in docs.columns if c != text_col]
     found = rows.join(kept, ["_name", "_text"], "left_semi").groupBy("_name", "_text").agg(F.min_by("row", F.to_json(F.struct(*others))).alias("row"))
     return found.select("row.*")
