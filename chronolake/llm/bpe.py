@@ -197,17 +197,17 @@ class Merges:
     def stream(self, symbols: Iterable[int]) -> Iterator[int]:
         """Tokens of a run of symbols, each emitted once it is stable; memory follows the lookahead, not the run."""
         size = sys.maxsize if self.lookahead is None else self.lookahead + self.longest + AHEAD
-        window: list[int] = []
-        for s in symbols:
-            window.append(s)
-            if len(window) >= size:
-                at, most = 0, len(window) - self.lookahead
-                for token in self.apply(window):
-                    if at + self.length[token] > most:
-                        break
-                    at += self.length[token]
-                    yield token
-                window = window[at:]
+        symbols = iter(symbols)
+        window = list(islice(symbols, size))
+        while len(window) == size:  # a token is stable in front of the lookahead, so the window moves on
+            at, most = 0, size - self.lookahead
+            for token in self.apply(window):
+                if at + self.length[token] > most:
+                    break
+                at += self.length[token]
+                yield token
+            del window[:at]
+            window += islice(symbols, at)
         yield from self.apply(window)
 
 
@@ -258,8 +258,7 @@ class _Known(dict):
         self.merges, self.inner, self.final = merges, inner, final
 
     def symbols(self, data: bytes) -> Iterator[int]:
-        yield from map(self.inner.__getitem__, memoryview(data)[:-1])
-        yield self.final[data[-1]]
+        return chain(map(self.inner.__getitem__, memoryview(data)[:-1]), (self.final[data[-1]],))
 
     def __missing__(self, word: str) -> bytes:
         data = word.encode("utf-8", "surrogatepass")
@@ -326,6 +325,8 @@ class Tokenizer:
                 if not text.isascii() and _TO_LOWER.search(text):  # letter by letter: no final sigma
                     text = text.translate(_LOWER)
                 text = text.lower()
+            elif tuple(args) == (r"\s+", " ") and not any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space of Python's but not of Unicode
+                text = f"{' ' if text[:1].isspace() else ''}{' '.join(text.split())}{' ' if text[-1:].isspace() and not text.isspace() else ''}"
             else:
                 text = _expression(args[0]).sub(args[1].replace("\\", r"\\"), text)
         return text
@@ -337,7 +338,11 @@ class Tokenizer:
             cut = _SPACES.search(text, at + PIECE) if len(text) - at > PIECE else None
             piece = self.normalize(text[at : cut.start() + 1] if cut else text[at:])
             at = cut.start() + 1 if cut else len(text)
-            found = _expression(self.expression, plane(piece)).finditer(piece)
+            expression = _expression(self.expression, plane(piece))
+            if len(piece) <= 2 * PIECE and not expression.groups:
+                yield expression.findall(piece)
+                continue
+            found = expression.finditer(piece)
             while run := [m[0] for m in islice(found, RUN)]:
                 yield run
 

@@ -53,6 +53,15 @@ def test_pieces_of_a_text_change_nothing(both, monkeypatch):
         assert own.encode_decode(t) == (array("I", ids), library.decode(ids, skip_special_tokens=False))
 
 
+def test_white_space_is_folded_alike(both):
+    _, own = both
+    plain = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+    r = random.Random(12)
+    for _ in range(500):
+        text = "".join(r.choices(["a", "b", " ", "\n", "\t", "\x85", "\u3000", "\x1c", "\x1f", "\x0b"] if r.random() < 0.3 else ["a", " ", "\n", "\u2009"], k=r.randint(0, 9)))
+        assert own.normalize(text) == plain.sub(" ", text)
+
+
 def test_memory_does_not_follow_the_text(both):
     import tracemalloc
 
