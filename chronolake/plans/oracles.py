@@ -125,3 +125,20 @@ irf_steps AS (
   UNION ALL SELECT t.{group}, t.h + 1, {", ".join(step)} FROM irf_steps t JOIN irf_fit c ON t.{group} = c.{group} WHERE t.h < {horizon}
 ),
 irf_long AS ({long})"""
+
+
+def spectral_radius(fit: str, group: str, columns: list[str], lags: int, doublings: int = 30) -> str:
+    """Common tables up to radius (group, max_root): norms of the companion matrix squared again and again. Goes into WITH RECURSIVE."""
+    k = len(columns)
+    m = k * lags
+    at = [(i, j) for i in range(m) for j in range(m)]
+    begin = [f"CAST({f'b_{columns[i]}_l{j // k + 1}_{columns[j % k]}' if i < k else int(j == i - k)} AS DOUBLE) AS m{i}_{j}" for i, j in at]
+    square = [f"{' + '.join(f'm{i}_{h} * m{h}_{j}' for h in range(m))} AS m{i}_{j}" for i, j in at]
+    size = f"greatest({', '.join(f'abs(m{i}_{j})' for i, j in at)})"
+    scaled = ", ".join(f"m{i}_{j} / size_ AS m{i}_{j}" for i, j in at)
+    return f"""
+powers AS (
+  SELECT {group}, 0 AS step, CAST(0 AS DOUBLE) AS log_, {", ".join(begin)} FROM {fit}
+  UNION ALL SELECT {group}, step + 1, 2 * log_ + ln(size_), {scaled} FROM (SELECT *, {size} AS size_ FROM (SELECT {group}, step, log_, {", ".join(square)} FROM powers WHERE step < {doublings}))
+),
+radius AS (SELECT {group}, exp((log_ + ln({size})) / pow(2.0, step)) AS max_root FROM powers WHERE step = {doublings})"""

@@ -1173,9 +1173,11 @@ def var_coefficients(spark, d):
     return _r(var.var_coefficients(_fitted(spark, d), ["entity"]), 4, "coef")
 
 
-@query()
+_DET3 = O.determinant([[f"ssr_{a}_{b} / n" for b in _THREE] for a in _THREE])
+
+
+@query(_VAR3.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + "," + O.spectral_radius("vf", "entity", _THREE, 2) + f" SELECT entity, CAST(n AS BIGINT) AS n, 2 AS lags, 'lp,lo,rate' AS recursive_order, round(max_root, 4) AS max_root, round(-n / 2.0 * (3 * ln(2 * pi()) + ln({_DET3}) + 3), 4) AS log_likelihood FROM vf JOIN radius USING (entity)")
 def var_diagnostics(spark, d):
-    """Six roots have no SQL; ``var_two_diagnostics`` has it for two."""
     return _r(var.var_diagnostics(_fitted(spark, d), ["entity"]), 4, "max_root", "log_likelihood")
 
 
