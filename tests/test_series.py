@@ -301,6 +301,21 @@ def test_var(spark):
     again, _ = var.sign_restricted(fitted, ["entity"], {"u": 1, "v": -1}, 40, 7, 1, 4)
     key = lambda r: (r.response, r.h)
     assert sorted(bands.collect(), key=key) == sorted(again.collect(), key=key)  # the seed decides
+    fit, kept = fitted.first(), []
+    beta, chol = np.array(fit.beta).reshape(-1, 2), np.linalg.cholesky(np.array(fit.sigma).reshape(2, 2))
+    for draw in range(40):  # one draw at a time
+        q, tri = np.linalg.qr(np.random.default_rng([7, draw]).standard_normal((2, 2)))
+        impact, path = chol @ (q * np.sign(np.diag(tri))), []
+        for _ in range(5):
+            path.append(impact)
+            impact = beta[1:].T @ impact
+        for c, side in ((c, side) for c in (0, 1) for side in (1, -1)):
+            own = side * np.stack(path)[:, :, c]
+            if (own[:2, 0] > 0).all() and (own[:2, 1] < 0).all():
+                kept.append(own)
+    assert rate.first().accepted == len(kept)
+    for b in bands.collect():
+        assert (b.low, b["median"], b.high) == pytest.approx(np.quantile(np.stack(kept)[:, b.h, ["u", "v"].index(b.response)], [0.16, 0.5, 0.84]))
     assert rate.first().tried == 160 and 0 < rate.first().accepted <= 160
     assert all(b.low <= b["median"] <= b.high and (b.h > 1 or (b.low > 0) == (b.response == "u")) for b in bands.collect())
 
