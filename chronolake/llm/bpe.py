@@ -22,7 +22,8 @@ expression whose matches are kept and never go on from other characters into whi
 an end-of-word suffix, and added tokens that are found in the raw text. Anything else is refused.
 
 Defined cases: null counts as the empty text, which has no tokens and decodes to the empty text;
-repeated rows are encoded one by one; other columns are ignored; an empty table gives an empty result.
+repeated rows are encoded one by one; null ids are passed through; other columns are ignored; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
