@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A batch of texts is worked on in slices of about this many bytes, so a task's memory follows the slice, not the batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: Groups whose counts are broadcast, at most.
 FEW = 10_000

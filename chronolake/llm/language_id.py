@@ -42,7 +42,7 @@ HASHES = 3
 #: A text of a known language has this share of grams of it at least.
 LEAST_SCORE = 0.3
 #: Code points worked on at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 def gram_hashes(text: str, sizes: tuple[int, ...] = SIZES) -> Iterator[np.ndarray]:
