@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontaminate, language_id, license_scan, line_dedup, quality_classifier, quality_rules, secret_scan, simhash
+from . import alignment, bpe, byte_bpe, chat_format, decontaminate, language_id, lexical_search, license_scan, line_dedup, quality_classifier, quality_rules, secret_scan, simhash
 from ._common import crc_mod
 
 
@@ -178,6 +178,33 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality_classifier.CUT).cast("int").alias("predicted"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer, pieces = byte_bpe.ByteBPE.from_json(tokenizer_path("byte_bpe_50k.json")), alignment.Pieces.from_file(tokenizer_path("piece_bpe_32k.model"))
+    return alignment.alignment_counts(_table(spark, sf_dir, "documents"), tokenizer, pieces)
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.ByteBPE.from_ranks(tokenizer_path("byte_bpe_multi_50k.tiktoken"))
+    out = byte_bpe.decode(byte_bpe.encode(_table(spark, sf_dir, "documents"), ranks), ranks)
+    told = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(told.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
+size AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d),
+q AS (SELECT k, any_value(item_id) AS item_id, t, count(*) AS often FROM (SELECT row_number() OVER () AS k, item_id, unnest({_WORDS}) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY k, t),
+own AS (SELECT row, t, count(*) AS tf FROM (SELECT row, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM own, size GROUP BY t),
+length AS (SELECT row, doc_id, 100 - 25 + ((25 * len(w) * n_docs) // n_terms) AS m FROM d, size),
+scores AS (SELECT k, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id, row, CAST(sum(often * weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score FROM q JOIN own USING (t) JOIN weights USING (t) JOIN length USING (row) GROUP BY k, row)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= {lexical_search.TOP}"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -190,6 +217,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_format": op8_chat_format,
         "op9_license_scan": op9_license_scan,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_alignment": op11_alignment,
+        "op12_byte_bpe": op12_byte_bpe,
+        "op13_lexical_search": op13_lexical_search,
     }
 
 
@@ -200,4 +230,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_dedup": OP5_SQL,
         "op8_chat_format": OP8_SQL,
         "op9_license_scan": _op9_sql(),
+        "op13_lexical_search": OP13_SQL,
     }
