@@ -22,16 +22,20 @@ def ship(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_chronolake_shipped", False) or not os.path.isdir(_PACKAGE):
         return
-    folder = tempfile.mkdtemp(prefix="chronolake-")  # the package's own folder may be read-only
+    sc.addPyFile(archive(tempfile.mkdtemp(prefix="chronolake-")))  # the driver serves it; executors keep it in their own work folder
+    sc._chronolake_shipped = True
+
+
+def archive(folder: str) -> str:
+    """The package, compiled, as a zip in ``folder``: its own folder may be read-only."""
     path = os.path.join(folder, "chronolake.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as packed:
         for top, _, names in os.walk(_PACKAGE):
             for name in sorted(n for n in names if n.endswith(".py")):
                 inside = os.path.relpath(os.path.join(top, name), os.path.dirname(_PACKAGE))
                 compiled = py_compile.compile(os.path.join(top, name), cfile=os.path.join(folder, "one.pyc"), dfile=inside, doraise=True)
-                archive.write(compiled, f"{inside}c")
-    sc.addPyFile(path)  # the driver serves it; executors keep it in their own work folder
-    sc._chronolake_shipped = True
+                packed.write(compiled, f"{inside}c")
+    return path
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .._spark import ship
+from ..functions.values import annualize_quarterly
 from . import regression as R
+from . import transforms as T
 
 # Smoothing of the two-sided filter, horizon and lags of the one-sided one, and the least rows of each fit.
 SMOOTHING = 1600.0
@@ -144,18 +146,46 @@ def uip(panel: DataFrame, horizons: Sequence[int], group: Sequence[str] = ("pair
     return R.coefficients(fitted, by), R.wald(fitted, by, {"differential": 1.0}, 1.0)
 
 
-def build_terms(long: DataFrame, terms: DataFrame, group: Sequence[str] = ("spec", "entity")) -> DataFrame:
-    """(group, period, term, value) of specification terms: one row per (spec, term, source, lag); several lags are averaged.
+#: What a term of a specification may be of its source, before it is lagged.
+TERM_TRANSFORMS = (*T.TRANSFORMS, "annualised_quarterly", "hamilton_gap", "hp_gap")
 
-    ``long`` has entity, source, period, value; missing lags are left out of the mean.
+
+def _transformed(long: DataFrame, name: str | None, freq: str) -> DataFrame:
+    by = ["entity", "source"]
+    if name is None:
+        return long
+    if name == "annualised_quarterly":
+        return long.withColumn("value", annualize_quarterly(F.col("value")))
+    if name == "hamilton_gap":
+        return hamilton_gap(log_or_level(long, by), by).select(*by, "period", F.col("gap").alias("value"))
+    if name == "hp_gap":
+        return long.select(*by, "period").join(hp_filter(log_or_level(long, by), by).select(*by, "period", F.col("cycle").alias("value")), [*by, "period"], "left")
+    return T.transform(long, name, freq, by)
+
+
+def build_terms(long: DataFrame, terms: DataFrame, group: Sequence[str] = ("spec", "entity"), freq: str = "Q") -> DataFrame:
+    """(group, period, term, value) of specification terms: one row per (spec, term, source, lag) and maybe transform.
+
+    ``long`` has entity, source, period, value, a row each. A source is transformed first (``TERM_TRANSFORMS``; a null
+    leaves it as it is), then lagged by rows; several lags of a term are averaged, missing ones left out of the mean.
+    All lags of a row come from one window.
     """
-    others = [g for g in group if g != "spec"]
-    w = Window.partitionBy("spec", "term", *others, "lag").orderBy("period")
-    rows = long.join(terms, "source").withColumn("_at", F.row_number().over(w))
-    shifted = rows.select("spec", "term", *others, "lag", (F.col("_at") + F.col("lag")).alias("_at"), "value")
-    at = rows.select("spec", "term", *others, "lag", "_at", "period")
-    joined = at.join(shifted, ["spec", "term", *others, "lag", "_at"], "left")
-    return joined.groupBy(*group, "period", "term").agg(F.avg("value").alias("value"))
+    if "transform" not in terms.columns:
+        terms = terms.withColumn("transform", F.lit(None).cast("string"))
+    names = sorted({r[0] for r in terms.select("transform").distinct().limit(len(TERM_TRANSFORMS) + 2).collect()}, key=str)
+    if unknown := [n for n in names if n is not None and n not in TERM_TRANSFORMS]:
+        raise ValueError(f"unknown transform {unknown[0]}; there are {TERM_TRANSFORMS}")
+    lags = sorted(r[0] for r in terms.select("lag").distinct().collect())
+    w = Window.partitionBy("entity", "source").orderBy("period")
+    at = F.create_map(*[x for k in lags for x in (F.lit(k), F.lag("value", k).over(w))])
+    out = None
+    for name in names:
+        wanted = terms.where(F.col("transform").eqNullSafe(F.lit(name)))
+        long_of = long.select("entity", "source", "period", "value").join(wanted.select("source").distinct(), "source", "left_semi")
+        one = _transformed(long_of, name, freq).select("entity", "source", "period", at.alias("_at")).join(wanted, "source")
+        one = one.select(*group, "period", "term", F.try_element_at("_at", F.col("lag")).alias("value"))
+        out = one if out is None else out.unionAll(one)
+    return out.groupBy(*group, "period", "term").agg(F.avg("value").alias("value"))
 
 
 def design(terms: DataFrame, names: Sequence[str], group: Sequence[str], start: str | None = None, end: str | None = None, least_rows: int = LEAST_PRICE) -> DataFrame:
@@ -180,28 +210,25 @@ def phillips(rows: DataFrame, group: Sequence[str], over: Sequence[str], anchor:
     return R.restricted(weighted, group, y, over, anchor, others, **options), R.verticality(weighted, group, y, over, others, **options)
 
 
-def expanding_oos(rows: DataFrame, cutoffs: DataFrame, group: Sequence[str], y: str, xs: Sequence[str], survey: str, prepare=None) -> tuple[DataFrame, DataFrame]:
+def expanding_oos(rows: DataFrame, cutoffs: DataFrame, group: Sequence[str], y: str, xs: Sequence[str], survey: str) -> tuple[DataFrame, DataFrame]:
     """One-step forecasts at every cut-off from the rows before it, and their errors against a survey and the last value.
 
     ``cutoffs`` has the column ``cutoff``. Fits are running sums over the periods, so each cut-off costs a row of a
-    group. With ``prepare``, which recomputes what depends on the sample, such as a filter, with ``cutoff`` as one more
-    group, every cut-off is a group with its own copy of the rows before it: quadratic in the sample, as such
-    backtests are.
+    group. Regressors that depend on the sample, such as a filter's gap, go through ``backtest.filtered_oos``.
     """
     by = [*group, "cutoff"]
     days = cutoffs.select(F.col("cutoff").cast("date").alias("cutoff")).distinct()
-    if prepare is None:
-        at = rows.withColumns({"cutoff": F.col("period"), "_before": F.lag(y).over(_w(group))})
-        fitted = R.fit_before(at, group, y, xs, "cutoff", days, LEAST_PRICE)
-        now = at.join(days, "cutoff", "left_semi")
-    else:
-        seen = prepare(rows.join(days, F.col("period") <= F.col("cutoff")), by).withColumn("_before", F.lag(y).over(_w(by)))
-        fitted = R.fit(seen.where("period < cutoff"), by, y, xs, least_rows=LEAST_PRICE)
-        now = seen.where("period = cutoff")
-    now = now.dropna(subset=[*xs, y, survey, "_before"])
+    at = rows.withColumns({"cutoff": F.col("period"), "_before": F.lag(y).over(_w(group))})
+    fitted = R.fit_before(at, group, y, xs, "cutoff", days, LEAST_PRICE)
+    now = at.join(days, "cutoff", "left_semi").dropna(subset=[*xs, y, survey, "_before"])
     out = R.predict(now, fitted, by, xs, name="model").select(*by, F.col(y).alias("actual"), "model", F.col(survey).alias("survey"), F.col("_before").alias("random_walk"))
-    rmse = out.groupBy(*group).agg(*[F.sqrt(F.avg(F.pow(F.col("actual") - F.col(c), 2))).alias(f"rmse_{c}") for c in ("model", "survey", "random_walk")], F.count(F.lit(1)).alias("n"))
-    return out, rmse
+    return out, oos_errors(out, group)
+
+
+def oos_errors(out: DataFrame, group: Sequence[str]) -> DataFrame:
+    """(group, rmse_model, rmse_survey, rmse_random_walk, n) of forecasts."""
+    rmse = [F.sqrt(F.avg(F.pow(F.col("actual") - F.col(c), 2))).alias(f"rmse_{c}") for c in ("model", "survey", "random_walk")]
+    return out.groupBy(*group).agg(*rmse, F.count(F.lit(1)).alias("n"))
 
 
 def local_projections(panel: DataFrame, group: Sequence[str], responses: Sequence[str], shock: str, system: Sequence[str], horizon: int = 20, lags: int = 4) -> DataFrame:

@@ -115,3 +115,12 @@ def grid_violations(df: DataFrame, freq: str, group: Sequence[str] = ("series_id
     full = span.select(*group, F.explode(F.sequence("a", "b", _step(freq))).alias("period"))
     holes = full.join(rows.select(*group, start.alias("period")).distinct(), [*group, "period"], "left_anti")
     return off.unionByName(holes.select(*group, "period", F.lit("hole").alias("violation")))
+
+
+def regular(df: DataFrame, freq: str, group: Sequence[str] = ("series_id",)) -> tuple[DataFrame, DataFrame]:
+    """The rows of the groups on their grid, and (group, error) of the others: models shift by rows, so a hole would shift every lag."""
+    first = grid_violations(df, freq, group).groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("period", "violation")).alias("_v"))
+    told = F.concat(F.lit(f"not regular at {freq}: "), F.col("_n").cast("string"), F.lit(" periods, first "), F.col("_v.period").cast("string"), F.lit(" "), F.col("_v.violation"))
+    bad = first.select(*group, told.alias("error"))
+    same = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group]
+    return df.alias("a").join(bad.alias("b"), same, "left_anti"), bad

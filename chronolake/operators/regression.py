@@ -60,6 +60,13 @@ def _square(upper: Sequence[float], n: int) -> np.ndarray:
     return out
 
 
+def solvable(xx: np.ndarray) -> np.ndarray | None:
+    """The scale that brings the diagonal of cross products to one; None if they are singular all the same."""
+    scale = np.sqrt(np.maximum(np.diag(xx), 1e-300))
+    scaled = xx / np.outer(scale, scale)
+    return None if not np.isfinite(scaled).all() or np.linalg.cond(scaled) > 1e13 else scale
+
+
 def _products(ins: list[Column], y: Column, w: Column) -> list[Column]:
     """What is summed over rows: products of regressors with each other and with y, squares of y, y, weights, rows."""
     return [*[w * ins[i] * ins[j] for i, j in _triangle(len(ins))], *[w * x * y for x in ins], w * y * y, w * y, w, F.lit(1).cast("long")]
@@ -96,6 +103,19 @@ def fit(df: DataFrame, group: Sequence[str], y: str, xs: Sequence[str], weight:
     return fitted.withColumn("terms", terms).select(*group, "terms", "beta", "cov", "n", "dof", "r2", "ssr")
 
 
+def fit_errors(df: DataFrame, group: Sequence[str], y: str, xs: Sequence[str], weight: str | None = None, constant: bool = True, least_rows: int = 0, **_) -> DataFrame:
+    """(group, error) of the groups that ``fit`` leaves out with the same arguments: too few complete rows, or a singular design."""
+    least = max(least_rows, len(xs) + constant)
+    complete = F.lit(True)
+    for c in [y, *xs, *([weight] if weight else [])]:
+        complete = complete & F.col(c).isNotNull()
+    counts = df.groupBy(*group).agg(F.count_if(complete).alias("_n"))
+    fits = fit(df, group, y, xs, weight, constant=constant, least_rows=least_rows).select(*group, F.lit(True).alias("_fits"))
+    out = counts.alias("a").join(fits.alias("b"), _same(group, "a", "b"), "left").where("_fits IS NULL")
+    said = F.when(F.col("_n") < least, F.concat(F.col("_n").cast("string"), F.lit(f" complete rows, {least} are needed"))).otherwise("singular")
+    return out.select(*[F.col(f"a.{g}").alias(g) for g in group], said.alias("error"))
+
+
 def fit_before(df: DataFrame, group: Sequence[str], y: str, xs: Sequence[str], order: str, at: DataFrame, least_rows: int = 0) -> DataFrame:
     """(group, order, beta, n) for each value of ``order`` in ``at``: the fit on a group's rows that come before it.
 
@@ -121,10 +141,10 @@ def _solved(sums: DataFrame, group: Sequence[str], k: int, constant: bool) -> Da
             out = []
             for _, r in pdf.iterrows():
                 xx, xy = _square(r["_xx"], k), np.asarray(r["_xy"], float)
-                scale = np.sqrt(np.maximum(np.diag(xx), 1e-300))
-                scaled = xx / np.outer(scale, scale)
-                if not np.isfinite(scaled).all() or np.linalg.cond(scaled) > 1e13:
+                scale = solvable(xx)
+                if scale is None:
                     continue
+                scaled = xx / np.outer(scale, scale)
                 inv = np.linalg.inv(scaled) / np.outer(scale, scale)
                 beta = np.linalg.solve(scaled, xy / scale) / scale
                 ssr = max(float(r["_yy"] - beta @ xy), 0.0)

@@ -1,4 +1,8 @@
-"""Vector autoregressions for every group: one sum of cross products each, everything else on k x k rows."""
+"""Vector autoregressions for every group: one sum of cross products each, everything else on k x k rows.
+
+A group that cannot be fitted ends no job: it has no fit, and ``var_errors`` says why. With ``freq`` groups off the grid
+or with holes in it are refused as well, since lags count rows.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .._spark import ship
-from .regression import _square, _triangle
+from . import panels
+from .regression import _same, _square, _triangle, solvable
 
 #: Draws of one fit that a task makes together.
 DRAWS = 100
@@ -30,16 +35,42 @@ def _types(df: DataFrame, group: Sequence[str]) -> str:
     return ", ".join(f"`{g}` {df.schema[g].dataType.simpleString()}" for g in group)
 
 
-def _solve(cross: np.ndarray, n: int, k: int, p: int) -> tuple[np.ndarray, np.ndarray]:
-    """Coefficients (1 + kp, k) and the sum of squared residuals (k, k)."""
+def _solve(cross: np.ndarray, n: int, k: int, p: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Coefficients (1 + kp, k) and the sum of squared residuals (k, k); None for a singular design or singular residuals."""
     m = 1 + k * p
     xx, xy, yy = cross[:m, :m], cross[:m, -k:], cross[-k:, -k:]
-    beta = np.linalg.solve(xx, xy)
-    return beta, yy - beta.T @ xy
+    scale = solvable(xx)
+    if scale is None:
+        return None
+    beta = np.linalg.solve(xx / np.outer(scale, scale), xy / scale[:, None]) / scale[:, None]
+    ssr = yy - beta.T @ xy
+    ssr = (ssr + ssr.T) / 2
+    own = np.diag(ssr)
+    if (own <= 1e-12 * np.maximum(np.diag(yy), 1e-300)).any() or solvable(ssr) is None or np.linalg.eigvalsh(ssr / np.sqrt(np.outer(own, own)))[0] <= 1e-12:
+        return None
+    return beta, ssr
+
+
+def var_fit(panel: DataFrame, group: Sequence[str], system: Sequence[str], lags: int = 4, freq: str | None = None) -> DataFrame:
+    """(group, n, beta, sigma, max_root, log_likelihood); the order of ``system`` is the recursive order."""
+    if freq is not None:
+        panel = panels.regular(panel, freq, group)[0]
+    return _fitted(_sums(panel, group, system, lags), group, system, lags)
 
 
-def var_fit(panel: DataFrame, group: Sequence[str], system: Sequence[str], lags: int = 4) -> DataFrame:
-    """(group, n, beta, sigma, max_root, log_likelihood); the order of ``system`` is the recursive order."""
+def var_errors(panel: DataFrame, group: Sequence[str], system: Sequence[str], lags: int = 4, freq: str | None = None) -> DataFrame:
+    """(group, error) of the groups that ``var_fit`` leaves out."""
+    rows, errors = panels.regular(panel, freq, group) if freq is not None else (panel, None)
+    sums = _sums(rows, group, system, lags)
+    known = sums.select(*group, "n").alias("s").join(_fitted(sums, group, system, lags).select(*group, F.lit(True).alias("fits")).alias("f"), _same(group, "s", "f"), "left").select("s.*", "f.fits")
+    every = rows.select(*group).distinct().alias("a").join(known.alias("k"), _same(group, "a", "k"), "left").select("a.*", "k.n", "k.fits").where("fits IS NULL")
+    least = len(system) * (lags + 1) + 1
+    said = F.when(F.coalesce("n", F.lit(0)) < least, F.concat(F.coalesce("n", F.lit(0)).cast("string"), F.lit(f" complete rows, {least} are needed"))).otherwise("singular")
+    out = every.select(*group, said.alias("error"))
+    return out if errors is None else out.unionByName(errors)
+
+
+def _fitted(sums: DataFrame, group: Sequence[str], system: Sequence[str], lags: int) -> DataFrame:
     k = len(system)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -49,15 +80,16 @@ def var_fit(panel: DataFrame, group: Sequence[str], system: Sequence[str], lags:
                 n, dof = int(r["n"]), int(r["n"]) - k * lags - 1
                 if dof < k:
                     continue
-                beta, ssr = _solve(_square(r["cross"], 1 + k * lags + k), n, k, lags)
+                if (solved := _solve(_square(r["cross"], 1 + k * lags + k), n, k, lags)) is None:
+                    continue
+                beta, ssr = solved
                 companion = np.eye(k * lags, k=-k)
                 companion[:k] = beta[1:].T
                 sign, log_det = np.linalg.slogdet(ssr / n)
                 out.append([*[r[g] for g in group], n, beta.ravel().tolist(), (ssr / dof).ravel().tolist(), float(np.abs(np.linalg.eigvals(companion)).max()), float(-n / 2 * (k * np.log(2 * np.pi) + log_det + k)) if sign > 0 else None])
             yield pd.DataFrame(out, columns=[*group, "n", "beta", "sigma", "max_root", "log_likelihood"])
 
-    sums = _sums(panel, group, system, lags)
-    fitted = sums.mapInPandas(run, f"{_types(panel, group)}, n long, beta array<double>, sigma array<double>, max_root double, log_likelihood double")
+    fitted = sums.mapInPandas(run, f"{_types(sums, group)}, n long, beta array<double>, sigma array<double>, max_root double, log_likelihood double")
     return fitted.withColumn("lags", F.lit(lags)).withColumn("system", F.array(*map(F.lit, system)))
 
 
@@ -71,8 +103,10 @@ def var_coefficients(fitted: DataFrame, group: Sequence[str]) -> DataFrame:
     return rows.select(*group, F.get("system", F.col("i") % F.col("k")).alias("equation"), F.when(at == 0, "const").otherwise(F.concat(F.lit("L"), lag, F.lit("."), source)).alias("term"), "coef")
 
 
-def var_select(panel: DataFrame, group: Sequence[str], system: Sequence[str], max_lags: int, criterion: str = "aic") -> DataFrame:
-    """(group, lags, aic, bic, hqic, chosen) for 1 to ``max_lags`` lags on their common sample."""
+def var_select(panel: DataFrame, group: Sequence[str], system: Sequence[str], max_lags: int, criterion: str = "aic", freq: str | None = None) -> DataFrame:
+    """(group, lags, aic, bic, hqic, chosen) for 1 to ``max_lags`` lags on their common sample; singular ones are left out."""
+    if freq is not None:
+        panel = panels.regular(panel, freq, group)[0]
     if criterion not in ("aic", "bic", "hqic"):
         raise ValueError(f"unknown criterion {criterion}")
     k = len(system)
@@ -86,7 +120,9 @@ def var_select(panel: DataFrame, group: Sequence[str], system: Sequence[str], ma
                     if n <= 1 + k * p:
                         continue
                     own = [*range(1 + k * p), *range(1 + k * max_lags, 1 + k * max_lags + k)]
-                    _, ssr = _solve(cross[np.ix_(own, own)], n, k, p)
+                    if (solved := _solve(cross[np.ix_(own, own)], n, k, p)) is None:
+                        continue
+                    ssr = solved[1]
                     log_det, free = np.linalg.slogdet(ssr / n)[1], k * k * p + k
                     out.append([*[r[g] for g in group], p, log_det + 2 * free / n, log_det + np.log(n) * free / n, log_det + 2 * np.log(np.log(n)) * free / n])
             yield pd.DataFrame(out, columns=[*group, "lags", "aic", "bic", "hqic"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .._spark import new_path
 from ..functions import calendar, values
-from ..operators import audits, catalog, macro, panels, regression, results, scd, transforms, var, vintages
+from ..operators import audits, backtest, catalog, macro, panels, regression, results, scd, transforms, var, vintages
 from ..sources import archive, payloads, tables
 from . import adapters as A
 from . import oracles as O
@@ -1079,6 +1079,20 @@ def build_terms(spark, d):
     return _r(_terms(spark, d).where("spec = 'base' AND term = 'ahead'").select("entity", "period", "value"), 5)
 
 
+@query(_with(A.MACRO) + """SELECT spec, entity, period, term, round(value, 4) AS value FROM (
+SELECT 'a' AS spec, entity, period, 'year' AS term, lag((price / lag4 - 1) * 100, 1) OVER w AS value FROM (SELECT *, lag(price, 4) OVER w AS lag4 FROM macro WINDOW w AS (PARTITION BY entity ORDER BY period)) WINDOW w AS (PARTITION BY entity ORDER BY period)
+UNION ALL SELECT 'a', entity, period, 'moved', CASE WHEN y IS NULL THEN x WHEN x IS NULL THEN y ELSE (x + y) / 2 END FROM (SELECT *, lag(moved, 1) OVER w AS x, lag(moved, 2) OVER w AS y FROM (SELECT entity, period, rate - lag(rate) OVER w AS moved FROM macro WINDOW w AS (PARTITION BY entity ORDER BY period)) WINDOW w AS (PARTITION BY entity ORDER BY period))
+UNION ALL SELECT 'a', entity, period, 'level', rate FROM macro
+UNION ALL SELECT 'b', entity, period, 'growth', 100 * (ln(output) - ln(lag(output) OVER w)) FROM macro WINDOW w AS (PARTITION BY entity ORDER BY period)
+UNION ALL SELECT 'b', entity, period, 'yearly', (pow(1 + lag(rate, 3) OVER w / 100, 4) - 1) * 100 FROM macro WINDOW w AS (PARTITION BY entity ORDER BY period))""")
+def term_transforms(spark, d):
+    """Terms that transform their source before they lag it."""
+    panel = A.macro(spark, d)
+    long = panel.select("entity", "period", F.explode(F.array(*[F.struct(F.lit(s).alias("source"), F.col(s).alias("value")) for s in ("price", "output", "rate")])).alias("x")).select("entity", "period", "x.*")
+    spec = [("a", "year", "price", 1, "yoy"), ("a", "moved", "rate", 1, "diff"), ("a", "moved", "rate", 2, "diff"), ("a", "level", "rate", 0, None), ("b", "growth", "output", 0, "log_diff"), ("b", "yearly", "rate", 3, "annualised_quarterly")]
+    return _r(macro.build_terms(long, spark.createDataFrame(spec, "spec string, term string, source string, lag int, transform string")), 4)
+
+
 def _design(spark, d) -> DataFrame:
     return macro.design(_terms(spark, d), ["y", "past", "ahead", "slack"], ["spec", "entity"])
 
@@ -1132,6 +1146,38 @@ def expanding_oos(spark, d):
     return _r(macro.expanding_oos(rows, cutoffs, ["spec", "entity"], "y", ["past", "slack"], "ahead")[1], 4, "rmse_model", "rmse_survey", "rmse_random_walk")
 
 
+def _oos_sql(gaps: str) -> str:
+    """Backtests with a filter on every truncated sample, each spelt out as a series of its own."""
+    return f"""WITH RECURSIVE {A.NAT},
+pr AS (SELECT *, lag(y) OVER w AS past, lag(y, 2) OVER w AS survey FROM (SELECT *, 100 * (ln(value) - ln(lag(value) OVER w)) AS y FROM nat WINDOW w AS (PARTITION BY series_id ORDER BY period)) WINDOW w AS (PARTITION BY series_id ORDER BY period)),
+grid AS (SELECT series_id || '#' || CAST(cutoff AS VARCHAR) AS key, series_id, cutoff, period, 100 * ln(value) AS value FROM nat JOIN (SELECT series_id, period AS cutoff FROM nat WHERE period >= DATE '1997-07-01') USING (series_id) WHERE period <= cutoff),
+{gaps},
+tr AS (SELECT grid.key, grid.series_id, cutoff, period, lag(gap) OVER (PARTITION BY grid.key ORDER BY period) AS slack FROM grid LEFT JOIN gaps USING (key, period)),
+whole AS (SELECT tr.*, y, past, survey FROM tr JOIN pr USING (series_id, period) WHERE y IS NOT NULL AND past IS NOT NULL AND slack IS NOT NULL),
+seen AS (SELECT * FROM whole WHERE period < cutoff QUALIFY count(*) OVER (PARTITION BY key) >= 12),
+fc AS (SELECT * FROM {O.system("seen", "key", _OOS_XS, {"y": "y"})}),
+er AS (SELECT series_id, y, b_y_const + b_y_past * past + b_y_slack * slack AS model, survey, past AS before FROM whole JOIN fc USING (key) WHERE period = cutoff AND survey IS NOT NULL)
+SELECT series_id, round(sqrt(avg((y - model) * (y - model))), 3) AS rmse_model, round(sqrt(avg((y - survey) * (y - survey))), 3) AS rmse_survey, round(sqrt(avg((y - before) * (y - before))), 3) AS rmse_random_walk, count(*) AS n FROM er GROUP BY 1"""
+
+
+def _oos(spark, d, method: str) -> DataFrame:
+    w = Window.partitionBy("series_id").orderBy("period")
+    rows = A.monthly_nations(spark, d).withColumn("y", 100 * (F.ln("value") - F.ln(F.lag("value").over(w))))
+    rows = rows.withColumns({"past": F.lag("y").over(w), "survey": F.lag("y", 2).over(w)})
+    cutoffs = rows.select(F.col("period").alias("cutoff")).where("cutoff >= DATE'1997-07-01'")
+    return _r(backtest.filtered_oos(rows, cutoffs, ["series_id"], "y", ["past"], "survey", "value", 1, method)[1], 3, "rmse_model", "rmse_survey", "rmse_random_walk")
+
+
+@query(_oos_sql(O.hp("grid", "key").lstrip() + ", gaps AS (SELECT key, period, value - trend AS gap FROM hp)"))
+def oos_two_sided(spark, d):
+    return _oos(spark, d, "hp")
+
+
+@query(_oos_sql(_hamilton("grid", "key", "value").lstrip() + ", gaps AS (SELECT key, period, gap FROM ham)"))
+def oos_one_sided(spark, d):
+    return _oos(spark, d, "hamilton")
+
+
 _LP = "lpx AS (SELECT * FROM (SELECT series_id AS entity, period, ln(value) AS output, CAST(month(period) % 5 AS DOUBLE) AS shock FROM nat))," + O.lagged("lpx", "entity", ["output", "shock"], 2, "lpl") + ", lpm AS (" + " UNION ALL ".join(f"SELECT l.entity, l.period, {h} AS h, m.moved, l.shock, l1_output, l2_output, l1_shock, l2_shock FROM lpl l JOIN (SELECT entity, period, lead(output, {h}) OVER (PARTITION BY entity ORDER BY period) - output AS moved FROM lpx) m USING (entity, period) WHERE moved IS NOT NULL" for h in range(9)) + f"), lpk AS (SELECT * FROM lpm QUALIFY count(*) OVER (PARTITION BY entity, h) >= {macro.LEAST_PROJECTION})"
 _LP_XS = _CONST | {c: c for c in ("l1_output", "l2_output", "l1_shock", "l2_shock")} | {"shock": "shock"}
 
@@ -1200,6 +1246,27 @@ def var_select(spark, d):
     return _r(var.var_select(_var(spark, d), ["entity"], ["lp", "lo", "rate"], 3), 4, "aic", "bic", "hqic")
 
 
+def _troubled(spark, d) -> DataFrame:
+    """The system with one entity whose rate never moves and one that lacks a quarter."""
+    return _var(spark, d).withColumn("rate", F.when(F.col("entity") == "n1", 5.0).otherwise(F.col("rate"))).where("NOT (entity = 'n2' AND period = DATE'1995-04-01')")
+
+
+_TROUBLED = """, tb AS (SELECT entity, period, lp, lo, CASE WHEN entity = 'n1' THEN 5.0 ELSE rate END AS rate FROM q WHERE NOT (entity = 'n2' AND period = DATE '1995-04-01')),
+ho AS (SELECT entity, count(*) AS k, min(period) AS first FROM (SELECT entity, CAST(unnest(generate_series(a, b, INTERVAL 3 MONTH)) AS DATE) AS period FROM (SELECT entity, min(period) AS a, max(period) AS b FROM tb GROUP BY 1)) ANTI JOIN tb USING (entity, period) GROUP BY 1)"""
+
+
+@query(_with(A.MACRO, _Q) + _TROUBLED + """ SELECT entity, 'not regular at Q: ' || k || ' periods, first ' || first || ' hole' AS error FROM ho
+UNION ALL SELECT entity, CASE WHEN count(*) < 12 THEN CAST(greatest(count(*) - 2, 0) AS VARCHAR) || ' complete rows, 10 are needed' ELSE 'singular' END FROM tb ANTI JOIN ho USING (entity) GROUP BY 1 HAVING count(*) < 12 OR any_value(entity) = 'n1'""")
+def var_refused(spark, d):
+    """One singular, one short or one gappy group ends no job: each has its row."""
+    return var.var_errors(_troubled(spark, d), ["entity"], _THREE, 2, "Q")
+
+
+@query(_with(A.MACRO, _Q) + _TROUBLED + ", sound AS (SELECT * FROM tb ANTI JOIN ho USING (entity) WHERE entity <> 'n1'), " + O.lagged("sound", "entity", _THREE, 2, "vl") + f", vf AS (SELECT * FROM {O.var_system('vl', 'entity', _THREE, 2)} WHERE n >= 10) " + _var_terms_sql(_THREE, 2))
+def var_of_the_sound(spark, d):
+    return _r(var.var_coefficients(var.var_fit(_troubled(spark, d), ["entity"], _THREE, 2, "Q"), ["entity"]), 4, "coef")
+
+
 _IRF = _VAR3.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + "," + O.irf("vf", "entity", _THREE, 2, 12)
 
 

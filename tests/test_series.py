@@ -394,27 +394,29 @@ def test_intake_of_published_vintages(spark, tmp_path):
         assert [(r.run_id, r.status, r.n_series, r.n_errors) for r in run] == [("batch-4-2024-06-01", "partial", 6, 4)]
 
 
-def test_workers_do_not_need_the_folder(tmp_path):
-    """Spark started elsewhere: the package comes with the tasks."""
-    script = tmp_path / "elsewhere.py"
-    script.write_text(f"""
-import sys
-sys.path.append({os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate()
-from chronolake.operators import macro
-rows = spark.range(80).selectExpr("'e' AS entity", "add_months(DATE'2000-01-01', CAST(id AS INT)) AS period", "CAST(id % 7 AS DOUBLE) AS y", "CAST(id % 5 AS DOUBLE) AS shock")
-assert macro.local_projections(rows, ["entity"], ["y"], "shock", ["y"], 2, 1).count() == 3
-try:
-    from chronolake.llm import language_id
-except ImportError:
-    language_id = None
-if language_id:
-    docs = spark.range(40).selectExpr("id AS doc_id", "CASE WHEN id % 2 = 0 THEN 'the ship of the line' ELSE 'das Schiff der Linie' END AS text", "CASE WHEN id % 2 = 0 THEN 'en' ELSE 'de' END AS lang")
-    assert language_id.predict(docs, language_id.fit(docs)).where("lang_pred = 'en'").count() == 20
+def test_workers_do_not_need_the_folder(spark, tmp_path):
+    """A Python worker that has the shipped archive alone finds the functions that tasks run."""
+    from pyspark import cloudpickle
+
+    from chronolake._spark import archive, ship
+
+    ship(spark)
+    assert any(f.endswith("chronolake.zip") for f in spark.sparkContext.listFiles)
+
+    def task():
+        return macro.__file__, macro.hp_trend(np.arange(20.0)).tolist()
+
+    (tmp_path / "task").write_bytes(cloudpickle.dumps(task))
+    (tmp_path / "worker").mkdir()
+    path = archive(str(tmp_path / "worker"))
+    worker = f"""
+import pickle, sys
+sys.path[:] = [{path!r}, *(p for p in sys.path if 'site-packages' in p or p.startswith((sys.prefix, sys.base_prefix)))]
+where, trend = pickle.load(open({str(tmp_path / "task")!r}, "rb"))()
+assert where.startswith({path!r}), where
+assert max(abs(x - i) for i, x in enumerate(trend)) < 1e-6
 print("all right")
-""")
-    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH" and not k.startswith("PYSPARK_GATEWAY")} | {"PYSPARK_PYTHON": sys.executable}
-    ran = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300)
+"""
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    ran = subprocess.run([sys.executable, "-c", worker], cwd=tmp_path / "worker", env=environment, capture_output=True, text=True, timeout=120)
     assert "all right" in ran.stdout, ran.stderr[-3000:]
