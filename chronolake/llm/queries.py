@@ -91,9 +91,12 @@ WITH d AS (SELECT doc_id, {_LOWER} AS t, {_WORDS} AS w FROM documents),
 p AS (SELECT string_split(phrase, ' ') AS x, label FROM (VALUES {phrases}) v(phrase, label)),
 places AS (SELECT doc_id, i - 1 AS place, label FROM (SELECT doc_id, w, x, label, unnest(range(1, len(w) - len(x) + 2)) AS i FROM d, p) WHERE w[i:i + len(x) - 1] = x),
 base AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY 1),
-tm AS (SELECT k, label, names, list_distinct({_WORDS}) AS x FROM (VALUES {templates}) v(k, label, text, names)),
-blocks AS (SELECT DISTINCT doc_id, text FROM (SELECT doc_id, unnest(string_split(t, chr(10)) || string_split(t, chr(10) || chr(10))) AS text FROM d)),
-found AS (SELECT doc_id, label, CAST(len(list_intersect(b.x, tm.x)) AS DOUBLE) / len(tm.x) AS share FROM (SELECT doc_id, list_distinct({_WORDS}) AS x FROM blocks) b, tm WHERE len(list_intersect(b.x, tm.x)) >= {license_scan.THRESHOLD} * len(tm.x) AND len([n FOR n IN names IF NOT list_has_any(b.x, n)]) = 0),
+tw AS (SELECT k, label, names, {_WORDS} AS y FROM (VALUES {templates}) v(k, label, text, names)),
+tm AS (SELECT k, label, names, list_distinct(y) AS x, len(y) + len(list_distinct(y)) - CAST(ceil({license_scan.THRESHOLD} * len(list_distinct(y)) - 1e-9) AS BIGINT) AS reach FROM tw),
+parts AS (SELECT doc_id, {_WORDS} AS y FROM (SELECT doc_id, unnest(string_split(t, chr(10) || chr(10))) AS text FROM d)),
+near AS (SELECT doc_id, y, tm.* FROM parts, tm WHERE len(list_intersect(list_distinct(y), x)) >= {license_scan.THRESHOLD} * len(x)),
+runs AS (SELECT doc_id, label, names, x, list_distinct(y[i:i + reach - 1]) AS own FROM (SELECT *, unnest(range(1, greatest(len(y) - reach, 0) + 2)) AS i FROM near)),
+found AS (SELECT doc_id, label, CAST(len(list_intersect(own, x)) AS DOUBLE) / len(x) AS share FROM runs WHERE len(list_intersect(own, x)) >= {license_scan.THRESHOLD} * len(x) AND len([n FOR n IN names IF NOT list_has_any(own, n)]) = 0),
 every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM found) GROUP BY 1),
 best AS (SELECT doc_id, max(share) AS share FROM found GROUP BY 1)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,

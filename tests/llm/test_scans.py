@@ -1,10 +1,13 @@
 """Secrets, contamination and licenses against plain searches."""
 
 import hashlib
+import math
 import random
 import re
+import time
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from chronolake.llm import decontaminate, license_scan, secret_scan
@@ -132,13 +135,15 @@ def test_licenses(spark, docs):
         places = [(k, label) for phrase, label in license_scan.PHRASES for k in range(len(w)) if w[k : k + len(phrase.split())] == phrase.split()]
         labels = {x for _, x in places}
         best = 1.0 if places else 0.0
-        for block in {*(text or "").split("\n"), *re.split("\n\n", text or "")}:
-            own = set(words(block))
+        for part in re.split("\n\n", text or ""):
+            own = words(part)
             for label, template, names in license_scan.TEMPLATES:
-                t = set(words(template))
-                if (share := len(own & t) / len(t)) >= license_scan.THRESHOLD and all(own & set(n.split("|")) for n in names.split()):
-                    labels.add(label)
-                    best = max(best, share)
+                tokens, t = words(template), set(words(template))
+                reach = len(tokens) + len(t) - math.ceil(license_scan.THRESHOLD * len(t) - 1e-9)
+                for block in (set(own[k : k + reach]) for k in range(max(1, len(own) - reach + 1))) if len(t & set(own)) >= license_scan.THRESHOLD * len(t) else ():
+                    if (share := len(block & t) / len(t)) >= license_scan.THRESHOLD and all(block & set(n.split("|")) for n in names.split()):
+                        labels.add(label)
+                        best = max(best, share)
         return len(w), len(places), min((k for k, _ in places), default=None), max((k for k, _ in places), default=None), sorted({x for _, x in places}), sorted(labels), round(best, 9)
 
     got = [(g.doc_id, g.n_words, g.n_base, g.first_word, g.last_word, list(g.base_labels), list(g.labels), round(g.score, 9)) for g in license_scan.license_labels(docs(rows)).collect()]
@@ -158,14 +163,37 @@ def test_kindred_notices_name_only_their_own_license(spark, docs):
     assert got == {0: [], 1: [], 2: [], 3: ["cc-by-nc"], 4: ["mit"], 5: ["mit"], 6: ["apache-2"], 7: ["cc-by-nc"], 8: [], 9: [], 10: [], 11: []}
 
 
-def test_templates_of_a_frame(spark, docs, monkeypatch):
+def test_templates_of_a_frame(spark, docs):
     frame = spark.createDataFrame([("own", "One two three four five", "three"), ("own", "One two three four five", "three"), ("none", " -- ", None), (None, "x", ""), ("plain", "Nine ten", None)], "label string, text string, names string")
     rows = [(1, "one two three four", None), (2, "one two four five", None), (3, "ten, nine", None), (None, None, None)]
     got = {g.doc_id: list(g.labels) for g in license_scan.license_labels(docs(rows), templates=frame).collect()}
     assert got == {1: ["own"], 2: [], 3: ["plain"], None: []}
-    monkeypatch.setattr(license_scan, "TEMPLATE_BYTES", 10)
-    with pytest.raises(ValueError):
-        license_scan.license_labels(docs(rows), templates=frame)
+    whole = {g.doc_id: g for g in license_scan.license_labels(docs([*rows, *rows]), templates=frame).collect()}
+    dealt = license_scan.license_labels(docs([*rows, *rows]), templates=frame, block_bytes=10)
+    assert dealt.count() == 8 and {g.doc_id: g for g in dealt.collect()} == whole
+
+
+def test_words_that_lie_scattered_are_no_notice(spark, docs):
+    rows = [
+        (0, "The students released their notes under the stars; MIT was near, and so was the library.", None), (1, "Released, said they, under the MIT License.", None),
+        (2, "x " * 30 + "released under the new MIT rule" + " x" * 30, None), (3, " ".join(f"{w} and then also" for w in NOTICE.split()), None),
+    ]
+    got = {g.doc_id: [(m.label, m.first, m.last) for m in g.matches] for g in license_scan.license_labels(docs(rows)).collect()}
+    assert got == {0: [], 1: [("mit", 0, 7)], 2: [("mit", 30, 35)], 3: []}
+
+
+def test_long_texts_take_linear_time():
+    """Texts without a blank line, full of words that templates have, millions of bytes long."""
+    templates = license_scan.TEMPLATES
+    vocabulary = license_scan.block_words(templates)
+    index = license_scan.TemplateIndex(templates, vocabulary, np.zeros(len(vocabulary), np.int64), license_scan.THRESHOLD)
+    for text in ("mit filler word " * 500_000, "mit filler\nword " * 500_000, "released under mit " * 400_000, (NOTICE + " ") * 20_000):
+        data = np.frombuffer(text.encode(), np.uint8)
+        began = time.process_time()
+        found, _, n_words = license_scan.judged(index, license_scan.PHRASES, data, np.array([0, len(data)]), 1)
+        assert time.process_time() - began < 40
+        assert n_words == [len(text.split())] or "(" in text
+        assert bool(found) == ("hereby" in text)
 
 
 def test_digest_of_no_spans():
