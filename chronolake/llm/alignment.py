@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,7 @@ class Pieces:
 
     def __init__(self, model: bytes) -> None:
         self.model = model
+        self.sizes: np.ndarray | None = None
         self._ready: tuple | None = None
 
     @classmethod
@@ -56,10 +58,10 @@ class Pieces:
             return cls(f.read())
 
     def __getstate__(self) -> dict:
-        return {"model": self.model, "_ready": None}
+        return {"model": self.model, "_ready": None, "sizes": None}
 
     def ready(self) -> tuple:
-        """The processor, the bytes of each id, and the words met."""
+        """The processor, the bytes of each id, and the packed ids of the words met; None where they stand for something else."""
         if self._ready is None:
             from sentencepiece import SentencePieceProcessor
 
@@ -68,28 +70,46 @@ class Pieces:
             if any(_SPACE in name.lstrip(_SPACE) for name in names):
                 raise ValueError("pieces that go on into a space are not supported")
             tokens = [bytes([int(name[3:5], 16)]) if processor.is_byte(i) else name.replace(_SPACE, " ").encode() for i, name in enumerate(names)]
-            self._ready = processor, tokens, _Words(processor)
+            self.sizes = np.array(list(map(len, tokens)), np.int64)
+            self._ready = processor, tokens, {" ": array("I", [processor.piece_to_id(_SPACE)]).tobytes()}
         return self._ready
 
-    def encode(self, spaced: str) -> np.ndarray:
-        """Ids of a text with its leading space."""
-        words = self.ready()[2]
-        return np.frombuffer(b"".join(map(words.__getitem__, _WORD.findall(spaced))), np.uint32).astype(np.int64)
-
-
-class _Words(dict):
-    """Words with their leading spaces and their packed ids."""
-
-    def __init__(self, processor) -> None:
-        self.encode, self.space = processor.encode, processor.piece_to_id(_SPACE)
-
-    def __missing__(self, word: str) -> bytes:
-        ids = array("I", self.encode(word[1:]) if len(word) > 1 else [self.space]).tobytes()  # the model puts a space in front
-        if len(word) <= SHORT:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = ids
-        return ids
+    def encode_many(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of texts with their leading space; None where they do not stand for the text. New words are encoded together."""
+        processor, tokens, known = self.ready()
+        runs = [_WORD.findall(t) for t in texts]
+        words = {w for run in runs for w in run}
+        if new := [w for w in words if w not in known]:
+            if len(known) + len(new) > REMEMBERED:
+                space = known[" "]
+                known.clear()
+                known[" "] = space
+                new = [w for w in words if w != " "]
+            found = processor.encode([w[1:] for w in new], num_threads=1)  # the model puts a space in front
+            known.update(zip(new, self._packed(new, found), strict=True))
+        out: list[np.ndarray | None] = []
+        for run in runs:
+            try:
+                out.append(np.frombuffer(b"".join(map(known.__getitem__, run)), np.uint32).astype(np.int64))
+            except TypeError:  # None among them
+                out.append(None)
+        for w in new:
+            if len(w) > SHORT:
+                known.pop(w, None)
+        return out
+
+
+    def _packed(self, words: list[str], found: list[list[int]]) -> list[bytes | None]:
+        """Packed ids of each word; None where their bytes are not the word's."""
+        tokens = self.ready()[1]
+        data, ids = [w.encode() for w in words], np.fromiter(chain.from_iterable(found), np.int64)
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64))
+        packed, at = ids.astype(np.uint32).tobytes(), [0, *(4 * ends).tolist()]
+        out: list[bytes | None] = [packed[a:b] for a, b in zip(at, at[1:], strict=False)]
+        told = np.append(0, np.cumsum(self.sizes[ids]))[ends]  # bytes up to each word's end, by its tokens
+        if b"".join(map(tokens.__getitem__, ids.tolist())) != b"".join(data) or (told != np.cumsum(np.fromiter(map(len, data), np.int64))).any():
+            out = [p if b"".join(map(tokens.__getitem__, i)) == d else None for p, i, d in zip(out, found, data, strict=True)]
+        return out
 
 
 def shared_cuts(a: np.ndarray, b: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -120,9 +140,10 @@ def _nearest(a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np
         m, left, right = middle[open_], lo[open_], hi[open_] - 2
         most = np.maximum(m - left, right - m)
         reach = np.minimum(far, most + 1) - near  # distances of this ring
-        which = np.repeat(np.arange(len(open_)), 2 * reach)
-        place = np.arange(len(which)) - np.repeat(np.cumsum(2 * reach) - 2 * reach, 2 * reach)
-        distance = near + place // 2
+        sides = 2 if near else 1  # the middle itself is one place
+        which = np.repeat(np.arange(len(open_)), sides * reach)
+        place = np.arange(len(which)) - np.repeat(sides * (np.cumsum(reach) - reach), sides * reach)
+        distance = near + place // sides
         at = m[which] + np.where(place % 2 == 0, distance, -distance)
         inside = (at >= left[which]) & (at <= right[which])
         which, at = which[inside], at[inside]
@@ -170,33 +191,29 @@ def token_links(first: np.ndarray, second: np.ndarray, a: np.ndarray, b: np.ndar
 
 def _counted(row: np.ndarray, pair: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (row, pair) in order, and how often each stands."""
+    bits = int(pair.max(initial=0)).bit_length()
+    if times is None and int(row.max(initial=0)) < 1 << (62 - bits):  # both in one number
+        key, n = np.unique(row << bits | pair, return_counts=True)
+        return key >> bits, key & ((1 << bits) - 1), n
     order = np.lexsort((pair, row))
     row, pair = row[order], pair[order]
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (pair[1:] != pair[:-1])
-    starts = np.flatnonzero(new)
-    if times is None:
-        return row[starts], pair[starts], np.diff(np.append(starts, len(row)))
-    return row[starts], pair[starts], np.add.reduceat(times[order], starts) if len(starts) else times
+    times = np.ones(len(row), np.int64) if times is None else times[order]
+    starts = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (pair[1:] != pair[:-1]))) if len(row) else np.zeros(0, np.int64)
+    return row[starts], pair[starts], np.add.reduceat(times, starts) if len(starts) else times
 
 
 class _Aligned:
     """Tokens, groups and links of some texts; each array over all of them."""
 
-    def __init__(self, texts: list[str | None], tokenizer: ByteBPE, pieces: Pieces, bytes_a: list[bytes], size_a: np.ndarray, size_b: np.ndarray) -> None:
+    def __init__(self, texts: list[str | None], tokenizer: ByteBPE, pieces: Pieces, size_a: np.ndarray, size_b: np.ndarray) -> None:
         self.n = len(texts)
-        ids_a, ids_b = [], []
-        bytes_b = pieces.ready()[1]
         none = np.zeros(0, np.int64)
-        for text in texts:
-            spaced = " " + (text or "")
-            x = np.frombuffer(tokenizer.encode(spaced), np.uint32).astype(np.int64) if text else none
-            y = pieces.encode(spaced) if text else none
-            data = spaced.encode()
-            if not text or b"".join(map(bytes_a.__getitem__, x.tolist())) != data or b"".join(map(bytes_b.__getitem__, y.tolist())) != data:
-                x = y = none
-            ids_a.append(x)
-            ids_b.append(y)
+        ids_a, ids_b = [none] * self.n, [none] * self.n
+        own = [i for i, text in enumerate(texts) if text]
+        found = dict(zip(own, pieces.encode_many([" " + texts[i] for i in own]), strict=True))
+        own = [i for i in own if found[i] is not None]
+        for i, packed in zip(own, tokenizer.encode_many([" " + texts[i] for i in own]), strict=True):  # A's pieces cover every text
+            ids_a[i], ids_b[i] = np.frombuffer(packed, np.uint32).astype(np.int64), found[i]
         self.a, self.b = np.concatenate([none, *ids_a]), np.concatenate([none, *ids_b])
         self.n_a, self.n_b = np.array([len(x) for x in ids_a], np.int64), np.array([len(x) for x in ids_b], np.int64)
         self.row_a = np.repeat(np.arange(self.n), self.n_a)
@@ -206,19 +223,24 @@ class _Aligned:
         self.second = np.concatenate([[0], np.searchsorted(end_b, end_a[self.cuts]) + 1])
         self.row_group = self.row_a[self.cuts]
 
-    def groups(self) -> list[str]:
-        """a1,a2|b1;a3|b2 of each text."""
-        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
-        i, j = self.first.tolist(), self.second.tolist()
-        own = [f"{','.join(a[i[g] : i[g + 1]])}|{','.join(b[j[g] : j[g + 1]])}" for g in range(len(i) - 1)]
-        at = np.searchsorted(self.row_group, np.arange(self.n + 1)).tolist()
-        return [";".join(own[at[r] : at[r + 1]]) for r in range(self.n)]
+    def groups(self, told: list[str], size_a: int) -> list[str]:
+        """a1,a2|b1;a3|b2 of each text; ``told`` has each id of A and then of B with what may follow it."""
+        n_a, n_b = np.diff(self.first), np.diff(self.second)
+        codes = np.zeros(len(self.a) + len(self.b), np.int64)
+        at_a = np.arange(len(self.a)) + np.repeat(self.second[:-1], n_a)
+        at_b = np.arange(len(self.b)) + np.repeat(self.first[1:], n_b)
+        codes[at_a], codes[at_b] = 2 * self.a, 2 * (size_a + self.b)
+        codes[at_a[self.first[1:] - 1]] += 1
+        codes[at_b[self.second[1:] - 1]] += 1
+        parts = list(map(told.__getitem__, codes.tolist()))
+        ends = np.cumsum(self.n_a + self.n_b).tolist()
+        return ["".join(parts[a:b])[:-1] for a, b in zip([0, *ends], ends, strict=False)]
 
     def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, pair, times) of distinct pairs, by row."""
         runs = list(token_links(self.first, self.second, self.a, self.b, self.row_a))
-        if not runs:
-            return (np.zeros(0, np.int64),) * 3
+        if len(runs) < 2:
+            return runs[0] if runs else (np.zeros(0, np.int64),) * 3
         return _counted(*(np.concatenate([r[k] for r in runs]) for k in range(3)))
 
 
@@ -235,18 +257,18 @@ def align(docs: DataFrame, tokenizer: ByteBPE, pieces: Pieces, id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, pieces = held.value
-        bytes_a = [b""] * (max(tokenizer.tokens.values()) + 1)
-        for token, i in tokenizer.tokens.items():
-            bytes_a[i] = token
-        size_a, size_b = (np.array([len(t) for t in own], np.int64) for own in (bytes_a, pieces.ready()[1]))
+        size_a = np.zeros(max(tokenizer.tokens.values()) + 1, np.int64)
+        size_a[list(tokenizer.tokens.values())] = list(map(len, tokenizer.tokens))
+        size_b = pieces.ready() and pieces.sizes
+        told = [f"{i}{end}" for size, last in ((len(size_a), "|"), (len(size_b), ";")) for i in range(size) for end in (",", last)]
         for batch in sliced(batches, "text"):
-            found = _Aligned(batch.column(1).to_pylist(), tokenizer, pieces, bytes_a, size_a, size_b)
+            found = _Aligned(batch.column(1).to_pylist(), tokenizer, pieces, size_a, size_b)
             row, pair, times = found.links()
             offsets = pa.array(np.searchsorted(row, np.arange(found.n + 1)), pa.int32())
             links = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(pair, pa.int64()), pa.array(times, pa.int64())], ["pair", "times"]))
             n_links = np.bincount(row, times, minlength=found.n)[: found.n].astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.n_a), pa.array(found.n_b), pa.array(np.bincount(found.row_group, minlength=found.n)[: found.n]), pa.array(n_links), pa.array(found.groups(), pa.string()), links],
+                [batch.column(0), pa.array(found.n_a), pa.array(found.n_b), pa.array(np.bincount(found.row_group, minlength=found.n)[: found.n]), pa.array(n_links), pa.array(found.groups(told, len(size_a)), pa.string()), links],
                 ["id", "n_a", "n_b", "n_groups", "n_links", "groups", "links"],
             )
 

@@ -28,12 +28,13 @@ import json
 import re
 from array import array
 from bisect import bisect_left
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +64,7 @@ class ByteBPE:
             raise ValueError("every byte needs a token")
         self.tokens, self.pattern, self.merges = tokens, pattern.replace(r"\S", r"[^\s]"), merges
         self._known: dict[str, bytes] | None = None
+        self._pairs: Pairs | None = None
 
     @classmethod
     def from_ranks(cls, path: str, pattern: str = PATTERN) -> ByteBPE:
@@ -85,14 +87,25 @@ class ByteBPE:
         return cls({bytes(symbol[c] for c in t): i for t, i in vocab.items()}, pattern, merges)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_known": None}
+        return self.__dict__ | {"_known": None, "_pairs": None}
 
     @property
     def known(self) -> dict[str, bytes]:
+        """Pieces that were met and their packed ids."""
         if self._known is None:
-            self._known = _Known(self)
+            self._known = {}
         return self._known
 
+    @property
+    def pairs(self) -> Pairs:
+        if self._pairs is None:
+            if self.merges is not None:
+                found = [(a, b, r, whole) for (a, b), (r, whole) in self.merges.rank.items()]
+            else:  # any two tokens that make a token
+                found = [(a, b, i, i) for token, i in self.tokens.items() for k in range(1, len(token)) if (a := self.tokens.get(token[:k])) is not None and (b := self.tokens.get(token[k:])) is not None]
+            self._pairs = Pairs(found, [self.tokens[bytes([b])] for b in range(256)])
+        return self._pairs
+
     def expression(self, text: str) -> re.Pattern:
         return spelt(self.pattern, plane(text))
 
@@ -138,30 +151,40 @@ class ByteBPE:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, 32 bits each in the machine's order."""
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text; the pieces that are new to the worker are merged together."""
+        runs = [[piece for run in self.pieces(text) for piece in run] for text in texts]
+        look = self.learned({piece for run in runs for piece in run})
+        return [b"".join(map(look, run)) for run in runs]
+
+    def learned(self, pieces: set[str]) -> Callable[[str], bytes]:
+        """What gives the packed ids of these pieces."""
         known = self.known
-        return b"".join([b"".join(map(known.__getitem__, run)) for run in self.pieces(text)])
+        if not (new := [p for p in pieces if p not in known]):
+            return known.__getitem__
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = list(pieces)
+        data = [p.encode() for p in new]
+        short = [k for k, d in enumerate(data) if len(d) <= SHORT]
+        packed = self.pairs.merged([data[k] for k in short])
+        if self.merges is None:  # a piece that is a token is one, whatever the merges make of it
+            whole = self.tokens.get
+            packed = [p if (i := whole(data[k])) is None else array("I", [i]).tobytes() for k, p in zip(short, packed, strict=True)]
+        known.update(zip([new[k] for k in short], packed, strict=True))
+        if len(short) == len(new):
+            return known.__getitem__
+        long = {new[k]: array("I", self.merged(d)).tobytes() for k, d in enumerate(data) if len(d) > SHORT}  # not remembered
+        return lambda piece: long[piece] if piece in long else known[piece]
 
     def merged(self, data: bytes) -> list[int]:
         """Ids of one piece."""
         if self.merges is not None:
             tokens = self.tokens
             return self.merges.apply([tokens[data[i : i + 1]] for i in range(len(data))])
-        if (whole := self.tokens.get(data)) is not None:
-            return [whole]
-        return self._merged_long(data) if len(data) > 64 else self._merged_short(data)
-
-    def _merged_short(self, data: bytes) -> list[int]:
-        get, parts = self.tokens.get, [data[i : i + 1] for i in range(len(data))]
-        ranks = [get(a + b, _LAST) for a, b in zip(parts, parts[1:], strict=False)]
-        while ranks and (best := min(ranks)) != _LAST:
-            i = ranks.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = get(parts[i - 1] + parts[i], _LAST)
-            if i < len(ranks):
-                ranks[i] = get(parts[i] + parts[i + 1], _LAST)
-        return [self.tokens[p] for p in parts]
+        return [whole] if (whole := self.tokens.get(data)) is not None else self._merged_long(data)
 
     def _merged_long(self, data: bytes) -> list[int]:
         get, n = self.tokens.get, len(data)
@@ -184,20 +207,64 @@ class ByteBPE:
         return [self.tokens[p] for p in parts if p]
 
 
-class _Known(dict):
-    """Pieces and the packed ids they merge to."""
-
-    def __init__(self, bpe: ByteBPE) -> None:
-        self.bpe = bpe
-
-    def __missing__(self, piece: str) -> bytes:
-        data = piece.encode()
-        ids = array("I", self.bpe.merged(data)).tobytes()
-        if len(data) <= SHORT:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = ids
-        return ids
+class Pairs:
+    """Merges as arrays, for many short pieces at once: every round merges each piece's lowest pair, the leftmost of them."""
+
+    def __init__(self, pairs: list[tuple[int, int, int, int]], bytes_: list[int]) -> None:
+        table = np.array(pairs, np.int64).reshape(-1, 4)
+        keys = table[:, 0] << 32 | table[:, 1]
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], _LAST)  # never looked for
+        self.order = np.append(table[order, 2] << 32 | table[order, 3], _LAST)  # rank, and the token it makes
+        self.bytes = np.array(bytes_, np.int64)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a << 32 | b
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.order[at], _LAST)
+
+    def merged(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of each piece."""
+        sizes = np.array(list(map(len, pieces)), np.int64)
+        piece = np.repeat(np.arange(len(pieces)), sizes)
+        ids = self.bytes[np.frombuffer(b"".join(pieces), np.uint8)]
+        order = np.full(len(ids), _LAST, np.int64)  # of a symbol and the next one of its piece
+        inside = np.flatnonzero(piece[1:] == piece[:-1])
+        order[inside] = self.find(ids[inside], ids[inside + 1])
+        done_ids, done_pieces = [], []
+        while len(ids):
+            starts = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
+            best = np.minimum.reduceat(order, starts)
+            spans = np.diff(np.append(starts, len(ids)))
+            if (best == _LAST).any():  # nothing left to merge in these
+                over = np.repeat(best == _LAST, spans)
+                done_ids.append(ids[over])
+                done_pieces.append(piece[over])
+                ids, piece, order = ids[~over], piece[~over], order[~over]
+                best, spans = best[best != _LAST], spans[best != _LAST]
+                if not len(ids):
+                    break
+            at = np.flatnonzero(order == np.repeat(best, spans))
+            at = at[np.append(True, piece[at[1:]] != piece[at[:-1]])]  # the leftmost
+            ids[at] = order[at] & 0xFFFFFFFF
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            ids, piece, order = ids[keep], piece[keep], order[keep]
+            at = at - np.arange(len(at))
+            order[at] = _LAST
+            right = at[at + 1 < len(ids)]
+            right = right[piece[right] == piece[right + 1]]
+            left = at[at > 0] - 1
+            left = left[piece[left] == piece[left + 1]]
+            both = np.concatenate([right, left])
+            order[both] = self.find(ids[both], ids[both + 1])
+        if not done_ids:
+            return [b""] * len(pieces)
+        every, whose = np.concatenate(done_ids), np.concatenate(done_pieces)
+        rank = np.argsort(whose, kind="stable")
+        packed = every[rank].astype(np.uint32).tobytes()
+        ends = (4 * np.cumsum(np.bincount(whose, minlength=len(pieces)))).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 def _covering(pieces: list[str], length: int) -> list[str]:
@@ -225,7 +292,7 @@ def encode(docs: DataFrame, bpe: ByteBPE, id_col: str = "doc_id", text_col: str
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists([held.value.encode(t) for t in batch.column(1).to_pylist()])], ["id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(held.value.encode_many(batch.column(1).to_pylist()))], ["id", "ids"])
 
     schema = f"id {id_type}, ids array<int>"
     short = rows.where(~is_long).mapInArrow(whole, schema)
@@ -280,13 +347,14 @@ _MARKS = pa.list_(pa.struct([("place", pa.int32()), ("token", pa.int32())]))
 
 def part_tokens(bpe: ByteBPE, text: str, deal: int, first: bool, last: bool) -> tuple[bytes, list[dict], list[dict]]:
     """Packed ids of a part, and the boundaries in its first and beyond its last characters with the ids before them."""
-    known, place, token, out, head, tail = bpe.known, 0, 0, [], [], []
+    runs = list(bpe.pieces(text))
+    look, place, token, out, head, tail = bpe.learned({piece for run in runs for piece in run}), 0, 0, [], [], []
     trusted = len(text) if last or len(text) < deal + OVERLAP else len(text) - MARGIN
     if not first:
         head.append({"place": 0, "token": 0})
-    for run in bpe.pieces(text):
+    for run in runs:
         for piece in run:
-            ids = known[piece]
+            ids = look(piece)
             out.append(ids)
             place += len(piece)
             token += len(ids) // 4
@@ -313,21 +381,39 @@ def joined_up(parts: list[dict]) -> bytes | None:
     return b"".join(out)
 
 
+class TokenBytes:
+    """The bytes of every token, one after the other."""
+
+    def __init__(self, tokens: dict[bytes, int]) -> None:
+        known = {i: t for t, i in tokens.items()}
+        every = [known.get(i, b"") for i in range(max(known, default=-1) + 1)]
+        self.sizes = np.array(list(map(len, every)), np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(every), np.uint8)
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of runs of ids, and where each run's begin."""
+        sizes = self.sizes[ids]
+        ends = np.append(0, np.cumsum(sizes))
+        place = np.arange(int(ends[-1])) + np.repeat(self.starts[ids] - ends[:-1], sizes)
+        return self.data[place], ends[offsets]
+
+
 def decode(encoded: DataFrame, bpe: ByteBPE, ids_col: str = "ids", into: str = "decoded") -> DataFrame:
-    """``encoded`` with the bytes that its ids stand for, one after the other."""
+    """``encoded`` with the bytes that its ids stand for, one after the other; null has none."""
     ship(encoded.sparkSession)
-    held = encoded.sparkSession.sparkContext.broadcast({i: t for t, i in bpe.tokens.items()})
+    held = encoded.sparkSession.sparkContext.broadcast(TokenBytes(bpe.tokens))
     at = encoded.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 own = batch.slice(a, 256)
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.array([token_bytes(held.value, ids) for ids in own.column(at).to_pylist()], pa.binary())], [*own.schema.names, into])
+                lists = own.column(at)
+                sizes = np.append(0, pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+                data, starts = held.value.decode(lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes))
+                decoded = pa.Array.from_buffers(pa.large_binary(), own.num_rows, [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([*own.columns, decoded.cast(pa.binary())], [*own.schema.names, into])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(run, f"{types}, `{into}` binary")
-
-
-def token_bytes(tokens: dict[int, bytes], ids: Iterable[int] | None) -> bytes:
-    return b"".join(map(tokens.__getitem__, ids or ()))
