@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .._spark import new_path
 from ..functions import calendar, values
-from ..operators import audits, backtest, catalog, macro, panels, regression, results, scd, transforms, var, vintages
+from ..operators import audits, backtest, catalog, macro, panels, regression, results, scd, sweeps, transforms, var, vintages
 from ..sources import archive, payloads, tables
 from . import adapters as A
 from . import oracles as O
@@ -1267,6 +1267,54 @@ def var_of_the_sound(spark, d):
     return _r(var.var_coefficients(var.var_fit(_troubled(spark, d), ["entity"], _THREE, 2, "Q"), ["entity"]), 4, "coef")
 
 
+# what was known on each day, spelt out: every observation once for each day
+_KNOWN = A.OBS + """, days AS (SELECT DISTINCT CAST(ts AS DATE) AS "asof" FROM events),
+grid AS (SELECT "asof", series_id, period, value / 100 AS value FROM obs JOIN days ON realtime_start <= "asof" AND (realtime_end IS NULL OR realtime_end > "asof") WHERE value IS NOT NULL)"""
+_LAG = lambda k: f"""lg{k} AS (SELECT "asof", series_id, period + {k} AS period, value AS l{k} FROM grid)"""
+
+
+def _versions(spark, d) -> DataFrame:
+    return A.bitemporal(spark, d).where("value IS NOT NULL").withColumn("value", F.col("value") / 100)
+
+
+def _on_days(spark, d, fits: DataFrame) -> DataFrame:
+    return vintages.as_of_grid(fits, _days(spark, d)).drop("realtime_start", "realtime_end")
+
+
+@query(_with(_KNOWN, _LAG(1)) + """SELECT "asof", series_id, count(*) AS n, round(regr_intercept(value, l1), 4) AS const, round(regr_slope(value, l1), 4) AS slope, round(regr_r2(value, l1), 4) AS r2
+FROM grid JOIN lg1 USING ("asof", series_id, period) GROUP BY 1, 2 HAVING count(*) >= 8""")
+def ols_every_asof(spark, d):
+    """A series on its value of the day before, as it would have been fitted on each day."""
+    fits = sweeps.fit_over_time(sweeps.lagged_vintages(_versions(spark, d), "D", [1]), ["series_id"], "value", ["value_l1"], least_rows=8)
+    out = _on_days(spark, d, fits).select("asof", "series_id", "n", F.col("beta")[0].alias("const"), F.col("beta")[1].alias("slope"), "r2")
+    return _r(out, 4, "const", "slope", "r2")
+
+
+@query(_with(_KNOWN, _LAG(1), _LAG(2)) + """, rs AS (SELECT "asof", series_id, value - l2 AS y, l1 - l2 AS x FROM grid JOIN lg1 USING ("asof", series_id, period) JOIN lg2 USING ("asof", series_id, period)),
+rf AS (SELECT "asof", series_id, count(*) AS n, regr_slope(y, x) AS b FROM rs GROUP BY 1, 2 HAVING count(*) >= 8)
+SELECT "asof", series_id, n, 'value_l1' AS term, round(b, 4) AS coef FROM rf UNION ALL SELECT "asof", series_id, n, 'value_l2', round(1 - b, 4) FROM rf""")
+def restricted_every_asof(spark, d):
+    """Two lags whose coefficients sum to one, on each day."""
+    rows = sweeps.lagged_vintages(_versions(spark, d), "D", [1, 2])
+    fits = sweeps.restricted_over_time(rows, ["series_id"], "value", ["value_l1", "value_l2"], "value_l2", least_rows=8)
+    return _r(_on_days(spark, d, fits).where("term <> 'const'"), 4, "coef").select("asof", "series_id", "n", "term", "coef")
+
+
+_VAR_DAYS = O.system("vr", '"asof"', {"const": "1.0", "l1_a": "l1_a", "l1_b": "l1_b"}, {"a": "a", "b": "b"})
+
+
+@query(_with(_KNOWN) + """, ab AS (SELECT "asof", period, a.value AS a, b.value AS b FROM (SELECT * FROM grid WHERE series_id = 'ev:click') a JOIN (SELECT * FROM grid WHERE series_id = 'ev:view') b USING ("asof", period)),
+vr AS (SELECT ab.*, z.a AS l1_a, z.b AS l1_b FROM ab JOIN ab z ON ab."asof" = z."asof" AND ab.period = z.period + 1 QUALIFY count(*) OVER (PARTITION BY ab."asof") >= 8)
+SELECT "asof", CAST(n AS BIGINT) AS n, equation, term, round(coef, 4) AS coef FROM (""" + " UNION ALL ".join(f"""SELECT "asof", n, '{y}' AS equation, '{t}' AS term, b_{y}_{x} AS coef FROM {_VAR_DAYS}""" for y in "ab" for x, t in (("const", "const"), ("l1_a", "L1.a"), ("l1_b", "L1.b"))) + ")")
+def var_every_asof(spark, d):
+    """An autoregression of two revised series, on each day."""
+    obs = _versions(spark, d)
+    panel = sweeps.joined_vintages({name: obs.where(F.col("series_id") == s) for name, s in (("a", "ev:click"), ("b", "ev:view"))}).withColumn("pair", F.lit("click, view"))
+    fits = sweeps.var_over_time(panel, ["pair"], ["a", "b"], "D").where("n >= 8")
+    terms = var.var_coefficients(fits, ["pair", "realtime_start", "realtime_end", "n"])
+    return _r(_on_days(spark, d, terms).select("asof", "n", "equation", "term", "coef"), 4, "coef")
+
+
 _IRF = _VAR3.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + "," + O.irf("vf", "entity", _THREE, 2, 12)
 
 
