@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .._spark import checkpoint
 from ..functions.calendar import grid_size, next_period, published_at
-from . import transforms
+from . import ranges, transforms
 
 # Thresholds of the findings.
 MOST_POINTS = 600
@@ -60,37 +62,55 @@ def gaps(obs: DataFrame, series: DataFrame) -> DataFrame:
     return _finding(rows, "gap", F.when(F.col("missing") / F.col("grid") > GAP_SHARE, "high").otherwise("medium"), F.col("missing"))
 
 
-def spikes(obs: DataFrame) -> DataFrame:
+def _moves(values: DataFrame, group: Sequence[str] = ("series_id",)) -> DataFrame:
+    """Values with the move to each (``d``), and the size of those that came straight back."""
+    w = Window.partitionBy(*group).orderBy("period")
+    moved, back = F.col("value") - F.lag("value").over(w), F.lead("value").over(w) - F.col("value")
+    moves = values.withColumns({"d": moved, "back": back})
+    size = F.when(F.signum("d") * F.signum("back") < 0, F.least(F.abs("d"), F.abs("back"))).otherwise(0.0)
+    return moves.withColumn("size", F.when(F.col("back").isNotNull(), size))
+
+
+def spikes(obs: DataFrame, in_ranges: int | None = None, held: int = ranges.HELD) -> DataFrame:
     """(series_id, period, size, scale) of the largest move that came straight back, where it stands out.
 
-    The scale is the median of all moves but the two largest; with a scale of 0 any such move stands out. Moves are
-    sorted by size once per series, which spills, and the median is read at its place: no task holds a series.
+    The scale is the median of all moves but the two largest; with a scale of 0 any such move stands out. Series of up
+    to ``held`` moves are sorted by size; of longer ones the median is selected by rounds of counts, without a sort.
+    With ``in_ranges`` moves are taken in so many ranges of (series, period), so a long series is no task's own.
     """
-    w = Window.partitionBy("series_id").orderBy("period")
     values = _open(obs).where("value IS NOT NULL").select("series_id", "period", "value")
-    moves = values.withColumn("d", F.col("value") - F.lag("value").over(w))
-    moves = moves.withColumn("back", F.lead("d").over(w))
-    size = F.when(F.signum("d") * F.signum("back") < 0, F.least(F.abs("d"), F.abs("back"))).otherwise(0.0)
-    moves = moves.where("d IS NOT NULL").withColumns({"size": F.when(F.col("back").isNotNull(), size), "d": F.abs("d")})
+    moves = _moves(values) if in_ranges is None else checkpoint(ranges.in_ranges(values, _moves, 1, 1, ranges=in_ranges))
+    moves = moves.where("d IS NOT NULL").withColumn("d", F.abs("d"))
     both = moves.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("size").isNotNull(), F.struct("size", (-F.unix_date("period")).alias("early")))).alias("w"))
     both = both.where(F.col("n") + 1 >= LEAST_FOR_SPIKE)  # so that moves are left without the two largest
-    k = F.row_number().over(Window.partitionBy("series_id").orderBy(F.col("d").desc()))
-    ranked = moves.select("series_id", "d", k.alias("k")).join(both, "series_id")
-    # of the moves numbered 3 to n, the middle one or the mean of the middle two
-    middle = (F.col("k") == F.floor((F.col("n") + 3) / 2)) | (F.col("k") == F.ceil((F.col("n") + 3) / 2))
-    rows = ranked.where(middle).groupBy("series_id").agg(F.avg("d").alias("scale"), F.first("w").alias("w"))
+    # of the moves numbered 3 to n by falling size, the middle one or the mean of the middle two
+    lower, upper = F.floor((F.col("n") + 3) / 2), F.ceil((F.col("n") + 3) / 2)
+    if in_ranges is None:
+        k = F.row_number().over(Window.partitionBy("series_id").orderBy(F.col("d").desc()))
+        ranked = moves.select("series_id", "d", k.alias("k")).join(both, "series_id").where((F.col("k") == lower) | (F.col("k") == upper))
+    else:
+        both = checkpoint(both)
+        wanted = both.select("series_id", F.explode(F.array_distinct(F.array(F.col("n") + 1 - lower, F.col("n") + 1 - upper))).alias("k"))
+        ranked = ranges.ranked_values(moves.select("series_id", "d"), wanted, value="d", held=held).select("series_id", F.col("value").alias("d")).join(both, "series_id")
+    rows = ranked.groupBy("series_id").agg(F.avg("d").alias("scale"), F.first("w").alias("w"))
     rows = rows.select("series_id", F.date_from_unix_date((-F.col("w.early")).cast("int")).alias("period"), F.col("w.size").alias("size"), "scale")
     return rows.where(F.when(F.col("scale") > 0, F.col("size") > SPIKE_FACTOR * F.col("scale")).otherwise(F.col("size") > 0))
 
 
-def flat_runs(obs: DataFrame) -> DataFrame:
-    """(series_id, run, before): series whose last values are one long run, longer than any run up to the one before the last."""
-    w = Window.partitionBy("series_id").orderBy("period")
+def flat_runs(obs: DataFrame, in_ranges: int | None = None) -> DataFrame:
+    """(series_id, run, before): series whose last values are one long run, longer than any run up to the one before the last.
+
+    With ``in_ranges`` runs are found in so many ranges of (series, period), and the ranges' summaries joined up.
+    """
     values = _open(obs).where("value IS NOT NULL").select("series_id", "period", "value")
-    values = values.withColumn("moved", F.coalesce((F.col("value") != F.lag("value").over(w)).cast("int"), F.lit(0)))
-    runs = values.withColumn("k", F.sum("moved").over(w)).groupBy("series_id", "k").agg(F.count(F.lit(1)).alias("n"))
-    lengths = runs.withColumn("last", F.max("k").over(Window.partitionBy("series_id")))
-    rows = lengths.groupBy("series_id").agg(F.max(F.when(F.col("k") == F.col("last"), F.col("n"))).alias("run"), F.coalesce(F.max(F.when(F.col("k") < F.col("last") - 1, F.col("n"))), F.lit(0)).alias("before"))
+    if in_ranges is not None:
+        rows = ranges.last_runs(values, ranges=in_ranges)
+    else:
+        w = Window.partitionBy("series_id").orderBy("period")
+        values = values.withColumn("moved", F.coalesce((F.col("value") != F.lag("value").over(w)).cast("int"), F.lit(0)))
+        runs = values.withColumn("k", F.sum("moved").over(w)).groupBy("series_id", "k").agg(F.count(F.lit(1)).alias("n"))
+        lengths = runs.withColumn("last", F.max("k").over(Window.partitionBy("series_id")))
+        rows = lengths.groupBy("series_id").agg(F.max(F.when(F.col("k") == F.col("last"), F.col("n"))).alias("run"), F.coalesce(F.max(F.when(F.col("k") < F.col("last") - 1, F.col("n"))), F.lit(0)).alias("before"))
     return rows.where((F.col("run") >= FLAT_RUN) & (F.col("run") > F.greatest("before", F.lit(FLAT_RUN - 1))))
 
 

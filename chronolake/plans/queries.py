@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .._spark import new_path
 from ..functions import calendar, values
-from ..operators import audits, backtest, catalog, macro, panels, regression, results, scd, sweeps, transforms, var, vintages
+from ..operators import audits, backtest, catalog, macro, panels, ranges, regression, results, scd, sweeps, transforms, var, vintages
 from ..sources import archive, payloads, tables
 from . import adapters as A
 from . import oracles as O
@@ -274,6 +274,17 @@ def rolling_compound(spark, d):
     return _r(transforms.rolling_compound(A.monthly(spark, d).withColumn("value", F.col("value") / 1e8), 12))
 
 
+@query(SQL["rolling_compound"])
+def rolling_compound_in_ranges(spark, d):
+    rates = A.monthly(spark, d).withColumn("value", F.col("value") / 1e8)
+    return _r(ranges.in_ranges(rates, lambda rows, group: transforms.rolling_compound(rows, 12, group), 11, ranges=64))
+
+
+@query(SQL["yoy"])
+def yoy_in_ranges(spark, d):
+    return _r(ranges.in_ranges(A.monthly(spark, d), lambda rows, group: transforms.transform(rows, "yoy", "M", group), 12, ranges=16))
+
+
 @query(_with(A.MON) + "SELECT series_id, period, round((pow(1 + value / 1e8 / 100, 4.0) - 1) * 100, 6) AS value FROM mon")
 def annualised_quarterly(spark, d):
     return _r(A.monthly(spark, d).withColumn("value", values.annualize_quarterly(F.col("value") / 1e8)))
@@ -622,6 +633,13 @@ def audit_spike(spark, d):
     return _r(audits.spikes(A.monthly(spark, d).withColumn("value", F.col("value") * factor)), 2, "size", "scale")
 
 
+@query(SQL["audit_spike"])
+def audit_spike_in_ranges(spark, d):
+    """Moves by ranges with a halo, the median by rounds of counts: no task has a series, none is sorted by size."""
+    factor = F.when((F.year("period") == 1997) & (F.month("period") == 5) & (F.length("series_id") % 2 == 0), 60).otherwise(1)
+    return _r(audits.spikes(A.monthly(spark, d).withColumn("value", F.col("value") * factor), 16, 8), 2, "size", "scale")
+
+
 _FLAT = "CASE WHEN period >= DATE '2000-01-01' THEN 1.0 WHEN period < DATE '1995-10-01' AND length(series_id) % 2 = 0 THEN 2.0 ELSE value END"
 
 
@@ -630,6 +648,11 @@ def audit_flat(spark, d):
     return audits.flat_runs(A.monthly(spark, d).withColumn("value", F.expr(_FLAT)))
 
 
+@query(SQL["audit_flat"])
+def audit_flat_in_ranges(spark, d):
+    return audits.flat_runs(A.monthly(spark, d).withColumn("value", F.expr(_FLAT)), 16)
+
+
 @query(_with(A.MON) + "SELECT series_id, 'all_null' AS finding, 'high' AS severity, count(*) || ' rows without a value' AS detail FROM mon WHERE length(series_id) % 2 = 1 GROUP BY 1")
 def audit_null(spark, d):
     return audits.all_null(A.monthly(spark, d).withColumn("value", F.when(F.length("series_id") % 2 == 0, F.col("value"))))
