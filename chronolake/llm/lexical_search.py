@@ -4,10 +4,10 @@ The corpus is cut by documents: every task turns a block of its texts into posti
 impact of a term in a document and the largest impact of each term. For pairs of terms that stand in a query together
 the block has intersection lists: the documents of both, with the largest joint impact. A pair's bound is the largest of
 the joint one and the two single ones, which is less than the sum of the two where no document has both at their best.
-A query's terms are taken in pairs, in falling order of their weight; its units (pairs, and terms left over) go by
-falling bound. Once the bounds of the units that are left cannot lift a document above the score to beat (the k-th best
-so far, of this block and those before it in the task), no new document is looked at, and those at hand are completed by
-bisection of the remaining lists, and dropped as soon as they cannot get there.
+A query's terms are taken in pairs, in falling order of their weight, and read by falling impact; what is left to read
+is bounded by the pairs that are left whole and the single terms beside them. Once that cannot lift a document to the
+score to beat (the k-th best so far, of this block and those before it in the task), no new document is looked at, and
+those at hand are completed by bisection of the remaining lists, and dropped as soon as they cannot get there.
 
 Two passes over the texts, no text is moved: one counts documents, terms and document frequencies, the other searches.
 A task returns k rows a query at most, which are ranked in two steps. Queries are not trusted to be few: they are dealt
@@ -48,7 +48,7 @@ SCALE, IMPACT, DAMPING, LENGTH = 1000, 1_000_000_000, 12, 25
 
 
 def term_list(text: str | None) -> list[bytes]:
-    data = LOWER[np.frombuffer((text or "").encode(), np.uint8)]
+    data = LOWER[np.frombuffer((text or " ").encode(), np.uint8)]
     starts, ends, _ = words_of(data, np.array([0, len(data)]), ALNUM)
     raw = data.tobytes()
     return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
@@ -62,7 +62,7 @@ class Vocabulary:
     """Given words, found among many at once by their hashes; each hit is verified on the bytes."""
 
     def __init__(self, words: Sequence[bytes]) -> None:
-        data = np.frombuffer(b" ".join(words), np.uint8)
+        data = np.frombuffer(b" ".join(words) or b" ", np.uint8)
         starts, ends, _ = words_of(data, np.array([0, len(data)]), ALNUM)
         hashes = hash_words(data, starts, ends)
         order = np.argsort(hashes)
@@ -160,32 +160,40 @@ class BlockIndex:
 
         ``beat`` is a score that k documents elsewhere have reached; one that is equal may still win by its id.
         """
-        ordered = sorted(((b, u) for u in units if (b := self.bound(u)) > 0), key=lambda x: (-x[0], x[1]))
-        left, beat, read = sum(b for b, _ in ordered), max(beat, 1), 0
+        partner = {a[0]: b[0] for u in units if u in self.joint for a, b in (u, u[::-1])}
+        pair = {t: self.joint[u][2] for u in units if u in self.joint for t, _ in u}
+        most = {t: int(self.largest[t]) * often for u in units for t, often in u}
+        ordered = sorted(((most[t], t, often) for u in units for t, often in u if most[t] > 0), key=lambda x: (-x[0], x[1]))
+        left, beat, read = sum(self.bound(u) for u in units), max(beat, 1), 0
+        lefts = []  # what the terms from each one on can add; a pair's bound holds while both are left
+        open_ = {t for _, t, _ in ordered}
+        for _, t, _ in ordered:
+            lefts.append(left)
+            open_.discard(t)
+            other = partner.get(t)
+            left -= max(pair[t], most[t], most[other]) - most[other] if other in open_ else most[t]
         scores, done = np.zeros(self.n, np.int64), 0
-        for b, unit in ordered:
-            if left < beat:
+        for rest, (_, term, often) in zip(lefts, ordered, strict=True):
+            if rest < beat:
                 break
-            for term, often in unit:
-                docs, impacts = self.postings(term)
-                scores[docs] += often * impacts
-                read += len(docs)
-            left, done = left - b, done + 1
+            docs, impacts = self.postings(term)
+            scores[docs] += often * impacts
+            read, done = read + len(docs), done + 1
             if self.n >= k:
                 beat = max(beat, int(np.partition(scores, self.n - k)[self.n - k]))
-        found = np.flatnonzero((scores > 0) & (scores + left >= beat))
+        lefts.append(0)
+        found = np.flatnonzero((scores > 0) & (scores + lefts[done] >= beat))
         own = scores[found]
-        for b, unit in ordered[done:]:
+        for rest, (_, term, often) in zip(lefts[done + 1 :], ordered[done:], strict=True):
             if not len(found):
                 break
-            for term, often in unit:
-                docs, impacts = self.postings(term)
-                if len(docs):
-                    at = np.minimum(np.searchsorted(docs, found), len(docs) - 1)
-                    own = own + np.where(docs[at] == found, often * impacts[at], 0)
-                    read += min(len(found), len(docs))
-            left -= b
-            keep = own + left >= beat
+            docs, impacts = self.postings(term)
+            at = np.minimum(np.searchsorted(docs, found), len(docs) - 1)
+            own = own + np.where(docs[at] == found, often * impacts[at], 0)
+            read += min(len(found), len(docs))
+            if len(found) >= k:
+                beat = max(beat, int(np.partition(own, len(own) - k)[len(own) - k]))
+            keep = own + rest >= beat
             found, own = found[keep], own[keep]
         keep = own >= beat
         return found[keep], own[keep], read
