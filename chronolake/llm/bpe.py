@@ -3,10 +3,11 @@
 The merge list decides how far a symbol can feel what follows it. A token ending somewhere is settled by
 the merges that can take a part of it away first, each of a lower rank than the merge it prevents; such
 a chain has falling ranks, so its longest reach can be summed rank by rank. That reach is the merge
-list's sufficient lookahead. A transducer then keeps a window of lookahead and a few tokens: it merges
-the window, emits every token that ends a lookahead before the window's end, and goes on behind it. Every
-word goes through it, symbol by symbol, and the end of a word empties the window; what came out for words of
-up to ``SHORT`` bytes is remembered, at most ``REMEMBERED`` of them.
+list's sufficient lookahead, and every token has a reach of its own, which is mostly shorter. A transducer takes
+``STEP`` symbols at a time (as many as wait already, if these are more), merges what waits, emits the tokens
+whose reach lies within it, and goes on behind them; no more than the lookahead and the longest token can wait for
+long. Every word goes through it, and the end of a word empties the window; what came out for words of up to
+``SHORT`` bytes is remembered, at most ``REMEMBERED`` of them.
 
 A text streams as well: it is cut before runs of white space into pieces of ``PIECE`` characters or more,
 each is normalised and matched word by word, and ids leave in runs of ``RUN``. So beside the text itself and
@@ -49,8 +50,8 @@ from ._common import sliced
 REMEMBERED, SHORT = 400_000, 256
 #: Characters of a piece of text, and ids that are emitted at a time.
 PIECE, RUN = 1 << 16, 4096
-#: Tokens that a transducer's window holds beyond its lookahead.
-AHEAD = 256
+#: Symbols that a transducer takes in at a time.
+STEP = 12
 
 
 def byte_symbols() -> list[str]:
@@ -140,6 +141,7 @@ class Merges:
         self.order = {p: r << 32 | whole for p, (r, whole) in self.rank.items()}
         self.length = {i: len(t.removesuffix(suffix) if suffix else t) for t, i in vocab.items()}
         self.longest = max(self.length.values(), default=1)
+        self.reach: dict[int, int] = {}  # symbols behind a token that it can feel; none for the others
         self.lookahead = self._reach()
 
     def _reach(self) -> int | None:
@@ -157,7 +159,8 @@ class Merges:
             behind = max(inner.get(b, 0), outer.get(b, 0))
             inner[whole] = behind
             outer[a] = max(outer.get(a, 0), self.length[b] + behind)
-        return max([0, *inner.values(), *outer.values()])
+        self.reach = {token: max(inner.get(token, 0), outer.get(token, 0)) for token in {*inner, *outer}}
+        return max([0, *self.reach.values()])
 
     def apply(self, ids: list[int]) -> list[int]:
         """All merges of a run of symbols: lowest rank first, then leftmost."""
@@ -197,19 +200,24 @@ class Merges:
 
     def stream(self, symbols: Iterable[int]) -> Iterator[int]:
         """Tokens of a run of symbols, each emitted once it is stable; memory follows the lookahead, not the run."""
-        size = sys.maxsize if self.lookahead is None else self.lookahead + self.longest + AHEAD
-        symbols = iter(symbols)
-        window = list(islice(symbols, size))
-        while len(window) == size:  # a token is stable in front of the lookahead, so the window moves on
-            at, most = 0, size - self.lookahead
+        if self.lookahead is None:
+            yield from self.apply(list(symbols))
+            return
+        symbols, window, length, reach = iter(symbols), [], self.length, self.reach.get
+        while True:
+            step = max(STEP, len(window))
+            more = list(islice(symbols, step))
+            window += more
+            if len(more) < step:
+                yield from self.apply(window)
+                return
+            at, size = 0, len(window)
             for token in self.apply(window):
-                if at + self.length[token] > most:
+                if at + length[token] + reach(token, 0) > size:
                     break
-                at += self.length[token]
+                at += length[token]
                 yield token
             del window[:at]
-            window += islice(symbols, at)
-        yield from self.apply(window)
 
 
 class Decoder:

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 import random
 import re
 from array import array
@@ -15,6 +16,9 @@ from chronolake.llm import bpe, chat_format, language_id, quality_classifier, qu
 from chronolake.llm.queries import tokenizer_path
 
 
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
 @pytest.fixture(scope="module")
 def both():
     library = pytest.importorskip("tokenizers").Tokenizer.from_file(tokenizer_path())
@@ -97,9 +101,9 @@ def plain(merges, ids):
 
 
 def test_transducer_needs_no_more_than_its_lookahead(monkeypatch):
-    monkeypatch.setattr(bpe, "AHEAD", 1)
     for seed in range(150):
         r = random.Random(seed)
+        monkeypatch.setattr(bpe, "STEP", 1 + seed % 9)
         merges, vocab = random_merges(r, n=r.choice([5, 20, 60]))
         assert merges.lookahead is not None
         for _ in range(10):
@@ -109,6 +113,34 @@ def test_transducer_needs_no_more_than_its_lookahead(monkeypatch):
             assert merges.apply(ids) == merges._apply_long(ids) == expected
 
 
+def test_tokens_leave_before_their_word_has_ended(both):
+    """Over the given texts, words of a few symbols stream: some tokens are emitted while symbols are still to come."""
+    import duckdb
+
+    if not os.path.isdir(SF):
+        pytest.skip("no tables")
+    _, own = both
+    merges, (_, _, known) = own.merges, own.prepare()
+    words = {w for (t,) in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet' WHERE text IS NOT NULL").fetchall() for run in own.words(t) for w in run}
+    early = 0
+    for word in words:
+        symbols = list(known.symbols(word.encode()))
+        taken = 0
+
+        def counted():
+            nonlocal taken
+            for x in symbols:
+                taken += 1
+                yield x
+
+        out = []
+        for token in merges.stream(counted()):
+            out.append(token)
+            early += taken < len(symbols)
+        assert out == merges.apply(symbols)
+    assert early > 0
+
+
 def test_unordered_merges_have_no_lookahead():
     merges = bpe.Merges({"a": 0, "b": 1, "ab": 2, "aba": 3}, [("ab", "a"), ("a", "b")], "")
     assert merges.lookahead is None and list(merges.stream([0, 1, 0])) == [3]
