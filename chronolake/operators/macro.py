@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .._spark import ship
 from ..functions.values import annualize_quarterly
+from . import projections
 from . import regression as R
 from . import transforms as T
 
@@ -237,15 +238,8 @@ def local_projections(panel: DataFrame, group: Sequence[str], responses: Sequenc
     The left side is the change since the shock, so h = 0 of a variable that moves with it is its own change of 0;
     controls are ``lags`` lags of the whole system; Newey-West over h.
     """
-    controls = {f"{c}_l{k}": F.lag(c, k).over(_w(group)) for c in system for k in range(1, lags + 1)}
-    rows = panel.withColumns(controls)
-    moved = F.array(*[F.struct(F.lit(r).alias("response"), F.lit(h).alias("h"), (F.lead(r, h).over(_w(group)) - F.col(r)).alias("moved")) for r in responses for h in range(horizon + 1)])
-    long = rows.withColumn("_moved", moved).select(*group, "period", shock, *controls, F.explode("_moved").alias("_m"))
-    long = long.select(*group, "period", shock, *controls, "_m.response", "_m.h", "_m.moved").withColumn("_lags", F.greatest("h", F.lit(1)))
-    by = [*group, "response", "h"]
-    fitted = R.fit(long, by, "moved", [shock, *controls], order="period", lags="_lags", most_lags=max(horizon, 1), least_rows=LEAST_PROJECTION, only=shock)
-    own = R.coefficients(fitted, by).where(F.col("term") == shock)
-    return own.select(*by, "coef", "se", (F.col("coef") - 1.96 * F.col("se")).alias("low"), (F.col("coef") + 1.96 * F.col("se")).alias("high"), "n")
+    own = projections.local_projections(panel, group, responses, shock, system, horizon, lags, LEAST_PROJECTION)
+    return own.select(*group, "response", "h", "coef", "se", (F.col("coef") - 1.96 * F.col("se")).alias("low"), (F.col("coef") + 1.96 * F.col("se")).alias("high"), "n")
 
 
 def compare_specs(model_runs: DataFrame, model_outputs: DataFrame, table: str = "coefficients") -> DataFrame:

@@ -37,6 +37,15 @@ def check_conversion(freq: str, to: str, how: str | None = None) -> None:
         raise ValueError(f"unknown aggregation {how}")
 
 
+def conversion_error(freq: Column | str, to: Column | str) -> Column:
+    """Why a series of one frequency cannot become one of another, row by row; null where it can."""
+    freq, to = (F.col(c) if isinstance(c, str) else c for c in (freq, to))
+    rank = lambda c: _by_freq(c, {f: F.lit(r) for f, r in RANK.items()})
+    known = F.coalesce(freq.isin(*RANK), F.lit(False)) & F.coalesce(to.isin(*RANK), F.lit(False))
+    name = lambda c: F.coalesce(c, F.lit("null"))
+    return F.when(~known, F.concat(F.lit("unknown frequency in "), name(freq), F.lit(" -> "), name(to))).when(rank(to) < rank(freq), F.concat(freq, F.lit(" can't become "), to, F.lit(": values would have to be invented")))
+
+
 def resample(df: DataFrame, freq: str, to: str, how: str, group: Sequence[str] = GROUP, drop_incomplete: bool = True) -> DataFrame:
     """One value per coarser period; empty periods are left out, never filled.
 

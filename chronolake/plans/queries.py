@@ -1201,6 +1201,16 @@ def oos_one_sided(spark, d):
     return _oos(spark, d, "hamilton")
 
 
+@query(_with(A.OBS, A.MON, "every AS (SELECT series_id FROM obs UNION ALL SELECT series_id FROM mon)", A.dimension_sql("every")) + """, r AS (SELECT * FROM (VALUES ('D', 0), ('B', 1), ('W', 2), ('M', 3), ('Q', 4), ('A', 5)) v(f, k)),
+t AS (SELECT series_id, freq, "to", a.k AS have, b.k AS want FROM dim, (VALUES ('D'), ('B'), ('W'), ('M'), ('Q'), ('A'), ('Z')) v("to") LEFT JOIN r a ON a.f = freq LEFT JOIN r b ON b.f = "to")
+SELECT series_id, freq, "to", CASE WHEN want IS NULL THEN 'unknown frequency in ' || freq || ' -> ' || "to" ELSE freq || ' can''t become ' || "to" || ': values would have to be invented' END AS error FROM t WHERE want IS NULL OR want < have""")
+def refused_conversions(spark, d):
+    """Conversions of every series to every frequency that would invent values, or that nobody knows."""
+    every = A.dimension(A.bitemporal(spark, d).select("series_id").union(A.monthly(spark, d).select("series_id")))
+    pairs = every.select("series_id", "freq", F.explode(F.array(*map(F.lit, [*calendar.RANK, "Z"]))).alias("to"))
+    return pairs.withColumn("error", transforms.conversion_error("freq", "to")).where("error IS NOT NULL")
+
+
 _LP = "lpx AS (SELECT * FROM (SELECT series_id AS entity, period, ln(value) AS output, CAST(month(period) % 5 AS DOUBLE) AS shock FROM nat))," + O.lagged("lpx", "entity", ["output", "shock"], 2, "lpl") + ", lpm AS (" + " UNION ALL ".join(f"SELECT l.entity, l.period, {h} AS h, m.moved, l.shock, l1_output, l2_output, l1_shock, l2_shock FROM lpl l JOIN (SELECT entity, period, lead(output, {h}) OVER (PARTITION BY entity ORDER BY period) - output AS moved FROM lpx) m USING (entity, period) WHERE moved IS NOT NULL" for h in range(9)) + f"), lpk AS (SELECT * FROM lpm QUALIFY count(*) OVER (PARTITION BY entity, h) >= {macro.LEAST_PROJECTION})"
 _LP_XS = _CONST | {c: c for c in ("l1_output", "l2_output", "l1_shock", "l2_shock")} | {"shock": "shock"}
 

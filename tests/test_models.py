@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronolake.operators import backtest, macro, panels, regression, sweeps, var, vintages
@@ -135,3 +136,28 @@ def test_fits_of_every_day(spark):
     assert seen > 60
     sums = sweeps.swept(obs, ["series_id"], [F.lit(1).cast("long")])
     assert sums.count() <= 2 * len(versions)  # whatever days are asked for
+
+
+def test_projections_equal_separate_fits(spark):
+    """Sliding products against a regression of its own for each horizon, on rows repeated for all of them."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for g, n in (("a", 90), ("b", 60), (None, 50), ("short", 12)):
+        for d in quarters(n):
+            y, z, s = (None if rng.random() < 0.03 else float(v) for v in rng.normal(size=3))
+            rows.append((g, d, y, z, s))
+    rng.shuffle(rows)
+    panel = spark.createDataFrame([tuple(r) for r in rows], "g string, period date, y double, z double, s double")
+    horizon, lags = 5, 2
+    w = Window.partitionBy("g").orderBy("period")
+    controls = {f"{c}_{k}": F.lag(c, k).over(w) for c in ("y", "s") for k in (1, 2)}
+    wide = panel.withColumns(controls)
+    moved = F.array(*[F.struct(F.lit(r).alias("response"), F.lit(h).alias("h"), (F.lead(r, h).over(w) - F.col(r)).alias("moved")) for r in ("y", "z") for h in range(horizon + 1)])
+    long = wide.withColumn("moves", moved).withColumn("m", F.explode("moves")).select("g", "period", "s", *controls, "m.*").withColumn("depth", F.greatest("h", F.lit(1)))
+    by = ["g", "response", "h"]
+    fitted = regression.fit(long, by, "moved", ["s", *controls], order="period", lags="depth", most_lags=horizon, least_rows=macro.LEAST_PROJECTION, only="s")
+    want = {(r.g, r.response, r.h): (r.n, r.coef, r.se) for r in regression.coefficients(fitted, by).where("term = 's'").collect()}
+    out = macro.local_projections(panel, ["g"], ["y", "z"], "s", ["y", "s"], horizon, lags)
+    got = {(r.g, r.response, r.h): (r.n, r.coef, r.se) for r in out.collect()}
+    assert got.keys() == want.keys() and len(want) == 36
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
