@@ -14,7 +14,7 @@ assistant's texts: that is the loss mask, and all segments together are the form
 Defined cases: null texts and roles are empty; a parent that is null or missing makes a root; of repeated
 message ids one stays, the smallest row; messages on a cycle of parents, or below one, have no root and
 are left out; rows without conversation id are one conversation; ties in score go to the smaller leaf;
-an empty table gives an empty result; other columns are ignored. A conversation is one value of the
+an empty table gives an empty result; other columns are ignored; very long texts stay whole. A conversation is one value of the
 result, so its own size, not the table's, has to fit a task.
 """
 

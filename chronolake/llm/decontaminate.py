@@ -6,10 +6,10 @@ The windows' hashes are broadcast, every task hashes the windows of its document
 verifies each hit on the words themselves.
 
 The benchmark is not trusted to be small: its windows are computed once, weighed, and dealt into blocks of
-about ``block_bytes`` by hash of the window. One block is the usual case: documents are judged, dropped or cut
+about ``block_bytes`` by hash of window and item, so a window of very many items is dealt as well. One block is the usual case: documents are judged, dropped or cut
 in the scan itself, and nothing is shuffled. With more, each block is broadcast in a scan of its own, whose
 hits are written before the next one takes its place; then the hits of a document are merged by one shuffle of
-hit ranges. No window is ever dropped. A window names all its items, as the result has to.
+hit ranges and items. No window is ever dropped.
 
 Defined cases: a null or empty text has no words and is clean; a null item id counts as the empty id;
 repeated documents are judged one by one, repeated items count once; an empty benchmark leaves every
@@ -38,7 +38,7 @@ SHARE = 20
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
-    """(window, items): each distinct window, its words joined by spaces, and the sorted ids of its items."""
+    """(window, item): each distinct window, its words joined by spaces, with each item that has it."""
     ship(benchmark.sparkSession)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,7 +58,7 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(items, pa.string())], ["window", "item"])
 
     rows = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(windows, "window string, item string").groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return rows.mapInArrow(windows, "window string, item string").distinct()
 
 
 class WindowSet:
@@ -147,14 +147,17 @@ def _merged(ranges) -> list[dict]:
 def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, size: int, block_bytes: int) -> list[DataFrame]:
     """The benchmark's windows in blocks of about ``block_bytes``."""
     windows = checkpoint(benchmark_windows(benchmark, item_col, item_text_col, size))
-    weight = windows.agg(F.sum(F.octet_length("window") + F.coalesce(F.aggregate("items", F.lit(0), lambda a, x: a + F.octet_length(x) + 8), F.lit(0)))).first()[0] or 0
+    weight = windows.agg(F.sum(F.octet_length("window") + F.octet_length("item") + 8)).first()[0] or 0
     n = max(1, -(-int(weight) // block_bytes))
-    return [windows] if n == 1 else [windows.where(F.pmod(F.xxhash64("window"), F.lit(n)) == b) for b in range(n)]
+    return [windows] if n == 1 else [windows.where(F.pmod(F.xxhash64("window", "item"), F.lit(n)) == b) for b in range(n)]
 
 
 def _held(block: DataFrame):
-    """A block's windows, broadcast: about ``block_bytes`` of them."""
-    return block.sparkSession.sparkContext.broadcast([(w, list(items)) for w, items in block.toLocalIterator()])
+    """A block's windows and their items, broadcast: about ``block_bytes`` of them."""
+    items: dict[str, list[str]] = {}
+    for window, item in block.toLocalIterator():
+        items.setdefault(window, []).append(item)
+    return block.sparkSession.sparkContext.broadcast([(w, sorted(own)) for w, own in items.items()])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = SIZE, block_bytes: int = BLOCK_BYTES, share: int = SHARE) -> DataFrame:

@@ -15,8 +15,8 @@ n-grams, and bounds the filters: ``slots`` masks. Prediction is one pass over wh
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every text when
 nothing could be learned (``keep_known`` then keeps texts with letters); null ids neither take places of
 the sample nor are left out of it, they are told apart by their texts; ties go to the first language in
-alphabetical order; repeated rows are judged one by one; very long texts are read whole, in chunks; other
-columns are ignored.
+alphabetical order; repeated rows are judged one by one; very long texts are read whole, in chunks; an
+empty table gives an empty result and teaches nothing; other columns are ignored.
 """
 
 from __future__ import annotations

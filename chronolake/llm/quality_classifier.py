@@ -14,7 +14,9 @@ are not read, of several labels of an id the smallest counts; of several rows of
 one, the text with the smallest hash, a null only where there is no text, so repeated documents weigh no
 more than others; null ids have no label and teach nothing; labels of one kind only give every text the
 same score near it, without labels every score is 0.5; repeated documents are scored one by one; an empty
-table gives an empty result; very long texts are read whole; other columns are ignored.
+table gives an empty result; very long texts are read whole; ties among the hashes of ids go to the smaller id, as text;
+other columns are ignored. The driver holds ``sample`` times ``buckets`` pairs of numbers at the very most (2 GB with
+both as they stand, had every text a feature in every bucket).
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ languages, about a kilobyte each, and unpacked block by block. Judging is one pa
 Defined cases: a null or empty text has no words and fails the base rules; rows without language teach
 nothing but are judged by all references; a text whose own language has no reference is not compared;
 without any reference only the base rules decide; repeated rows count as often as they stand there; null ids
-are passed through; very long texts are read whole; an empty table gives an empty result; other columns are
+are passed through; ties among the common words go to the smaller word; very long texts are read whole; an empty table gives an empty result; other columns are
 ignored.
 """
 

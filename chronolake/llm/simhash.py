@@ -19,7 +19,8 @@ on distributed edges.
 
 Defined cases: a null or empty text, or one of white space, has fingerprint 0 and is linked like any
 other; a null id takes part but never names a component (a component of null ids only has a null one);
-repeated rows are all returned; an empty table gives an empty result; other columns are ignored.
+repeated rows are all returned; very long texts are read whole, slice by slice; ties need no rule, as the
+smallest id names a component; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

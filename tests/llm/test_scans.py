@@ -118,6 +118,15 @@ def test_span_positions(spark, docs):
     assert [(x["first"], x["last"], x["start"], x["end"]) for x in row.ranges] == [(1, 4, 3, 17)]
 
 
+def test_a_window_of_very_many_items_is_dealt(spark, docs):
+    passage = " ".join(f"w{k}" for k in range(13))
+    benchmark = spark.createDataFrame([(f"i{k:04}", passage if k % 2 else f"own{k} {passage}") for k in range(600)], "item_id string, text string")
+    rows = docs([(1, "before " + passage + " after", None), (2, "nothing", None)])
+    assert len(decontaminate._blocks(benchmark, "item_id", "text", 13, 4000)) > 10
+    whole, dealt = ({r.doc_id: r for r in decontaminate.contamination(rows, benchmark, block_bytes=n).collect()} for n in (64 << 20, 4000))
+    assert whole == dealt and list(whole[1]["items"]) == [f"i{k:04}" for k in range(600)] and whole[1].n_hit == 13 and not whole[2].contaminated
+
+
 NOTICE = max((t[1] for t in license_scan.TEMPLATES if t[0] == "mit"), key=len)
 
 

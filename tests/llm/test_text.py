@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import os
 import random
 import re
@@ -314,6 +315,80 @@ def test_quality_classifier(spark, docs, prose):
     assert {g.score for g in quality_classifier.score(docs(rows), quality_classifier.fit(docs(rows), labels.limit(0))).collect()} == {0.5}
 
 
+def plain_features(text, buckets):
+    """Buckets of words and of n-grams of characters without white space, with repeats."""
+    full = 1 << 64
+
+    def mixed(h):
+        h ^= h >> 31
+        h = h * 0xBF58476D1CE4E5B9 % full
+        return h ^ h >> 29
+
+    out = []
+    for word in re.findall(r"[^\x20\x09-\x0D]+", text or ""):
+        points = [ord(c) for c in word]
+        out.append(mixed(sum((c + 1) * pow(0x9E3779B97F4A7C15, k + 1, full) for k, c in enumerate(points)) % full) % buckets)
+        for n in quality_classifier.GRAMS:
+            for at in range(len(points) - n + 1):
+                h = n
+                for c in points[at : at + n]:
+                    h = (h * 0x100000001B3 + c) % full
+                out.append(mixed(h) % buckets)
+    return out
+
+
+def plain_training(labelled, buckets):
+    """Vectors and layer trained example by example; the log odds that each bucket adds, and the bias."""
+    d, rng = quality_classifier.DIMENSIONS, np.random.default_rng(quality_classifier.SEED)
+    vectors = rng.uniform(-1 / d, 1 / d, (buckets, d)).tolist()
+    layer, bias = [[0.0, 0.0] for _ in range(d)], [0.0, 0.0]
+    counted = [(label, Counter(plain_features(text, buckets))) for text, label in labelled]
+    pack = lambda values: array("i", values).tobytes()
+    counted.sort(key=lambda e: (e[0], len(e[1]), pack(sorted(e[1])), pack(e[1][b] for b in sorted(e[1]))))
+    size, step = quality_classifier.BATCH, 0
+    steps = quality_classifier.EPOCHS * -(-len(counted) // size)
+    for _ in range(quality_classifier.EPOCHS):
+        order = rng.permutation(len(counted)).tolist()
+        for at in range(0, len(order), size):
+            rate, batch = quality_classifier.RATE * (1 - step / steps), [counted[i] for i in order[at : at + size]]
+            step += 1
+            layer_moves, bias_moves, vector_moves = [[0.0, 0.0] for _ in range(d)], [0.0, 0.0], {}
+            for label, features in batch:
+                total = max(sum(features.values()), 1)
+                hidden = [sum(n / total * vectors[b][k] for b, n in features.items()) for k in range(d)]
+                logits = [sum(hidden[k] * layer[k][c] for k in range(d)) + bias[c] for c in (0, 1)]
+                odds = [math.exp(x - max(logits)) for x in logits]
+                error = [odds[c] / sum(odds) - (label == c) for c in (0, 1)]
+                for c in (0, 1):
+                    bias_moves[c] += error[c] / len(batch)
+                    for k in range(d):
+                        layer_moves[k][c] += hidden[k] * error[c] / len(batch)
+                for b, n in features.items():
+                    for k in range(d):
+                        own = vector_moves.setdefault(b, [0.0] * d)
+                        own[k] += n / total * sum(error[c] * layer[k][c] for c in (0, 1))
+            for c in (0, 1):
+                bias[c] -= rate * bias_moves[c]
+                for k in range(d):
+                    layer[k][c] -= rate * layer_moves[k][c]
+            for b, move in vector_moves.items():
+                vectors[b] = [v - rate * m for v, m in zip(vectors[b], move, strict=True)]
+    return [sum(v[k] * (layer[k][1] - layer[k][0]) for k in range(d)) for v in vectors], bias[1] - bias[0]
+
+
+def test_quality_classifier_equals_plain_training(spark, docs, prose):
+    rows = [(k, prose(("en", "de")[k % 2], k, 6 + k % 5), None) for k in range(40)] + [(40, "", None), (41, None, None), (42, "é 日本 日本", None)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(38)] + [(40, 1), (42, 0)], "doc_id long, quality int")
+    buckets = 97
+    model = quality_classifier.fit(docs(rows), labels, buckets=buckets)
+    known = dict((k, k % 2) for k in range(38)) | {40: 1, 42: 0}
+    odds, bias = plain_training([(t, known[i]) for i, t, _ in rows if i in known], buckets)
+    for r in quality_classifier.score(docs(rows), model).collect():
+        found = plain_features(rows[r.doc_id][1], buckets)
+        want = 1 / (1 + math.exp(-(sum(odds[b] for b in found) / max(len(found), 1) + bias)))
+        assert r.score == pytest.approx(want, abs=2e-4)
+
+
 def test_features_are_of_characters():
     import pyarrow as pa
 
