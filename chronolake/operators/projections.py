@@ -1,7 +1,7 @@
 """Local projections by sliding cross products: rows are never repeated for horizons.
 
-The rows of a group stream in order past a window of the last ``horizon`` ones. A row that comes in closes a pair with
-each of them: with the one h rows before, the change that the regression of horizon h explains. So one pass over the
+The rows of a group stream in order, run by run, past the last ``horizon`` ones. A row that comes in closes a pair with
+each of those: with the one h rows before, the change that the regression of horizon h explains. So one pass over the
 panel adds up the cross products of all horizons, and a second one, with the coefficients at its head, the Newey-West
 sums of their scores. Each pass moves the panel's rows once, by group; memory follows the horizon, not the series.
 """
@@ -21,23 +21,23 @@ from .regression import solvable
 
 
 class Pairs:
-    """The last ``horizon`` + 1 rows of a group: regressors (k of them) and responses, nearest first."""
+    """Runs of a group's rows with the ``horizon`` rows before them: regressors (k of them) and responses."""
 
     def __init__(self, k: int, responses: int, horizon: int) -> None:
-        size = horizon + 1
-        self.at, self.steps = -1, np.arange(size)
-        self.x, self.y = np.full((size, k), np.nan), np.full((size, responses), np.nan)
-
-    def push(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Regressors by horizon, changes since then by (response, horizon), and which of them are complete."""
-        size = len(self.steps)
-        self.at = (self.at + 1) % size
-        self.x[self.at], self.y[self.at] = x, y
-        order = (self.at - self.steps) % size
-        own = self.x[order]
-        moved = (y - self.y[order]).T
-        whole = np.isfinite(moved) & np.isfinite(own).all(1)
-        return np.where(np.isfinite(own), own, 0.0), np.where(whole, moved, 0.0), whole
+        self.horizon = horizon
+        self.x, self.y = np.full((horizon, k), np.nan), np.full((horizon, responses), np.nan)
+
+    def push(self, x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(response, h, regressors, changes) of the complete pairs that a run of rows closes, in order."""
+        self.x, self.y = np.concatenate([self.x, x]), np.concatenate([self.y, y])
+        known = np.isfinite(self.x).all(1)
+        for h in range(self.horizon + 1):
+            at = slice(self.horizon - h, len(self.x) - h)
+            own, moved = self.x[at], y - self.y[at]
+            whole = known[at, None] & np.isfinite(moved)
+            for r in range(y.shape[1]):
+                yield r, h, own[whole[:, r]], moved[whole[:, r], r]
+        self.x, self.y = self.x[len(x) :], self.y[len(y) :]
 
 
 class Sums:
@@ -49,11 +49,10 @@ class Sums:
         self.n = np.zeros((responses, horizon + 1), np.int64)
 
     def push(self, x: np.ndarray, y: np.ndarray) -> None:
-        own, moved, whole = self.pairs.push(x, y)
-        products = own[:, :, None] * own[:, None, :]
-        self.xx += whole[:, :, None, None] * products
-        self.xy += moved[:, :, None] * own
-        self.n += whole
+        for r, h, own, moved in self.pairs.push(x, y):
+            self.xx[r, h] += own.T @ own
+            self.xy[r, h] += moved @ own
+            self.n[r, h] += len(own)
 
     def solved(self, of: int, least: int) -> tuple[np.ndarray, np.ndarray]:
         """Coefficients, and the row of the inverse that gives the one of term ``of``; not numbers where there is no fit."""
@@ -71,16 +70,17 @@ class Scores:
     def __init__(self, beta: np.ndarray, row: np.ndarray) -> None:
         responses, size, k = beta.shape
         self.pairs, self.beta, self.row = Pairs(k, responses, size - 1), np.nan_to_num(beta), np.nan_to_num(row)
-        lags = np.maximum(np.arange(size), 1)[:, None]
-        self.weights = np.maximum(1 - np.arange(1, max(size - 1, 1) + 1) / (lags + 1), 0.0)
-        self.past = np.zeros((responses, size, self.weights.shape[1]))  # nearest first
+        self.past = {(r, h): np.zeros(max(h, 1)) for r in range(responses) for h in range(size)}
         self.variance = np.zeros((responses, size))
 
     def push(self, x: np.ndarray, y: np.ndarray) -> None:
-        own, moved, whole = self.pairs.push(x, y)
-        score = np.where(whole, (self.row * own).sum(-1) * (moved - (self.beta * own).sum(-1)), 0.0)
-        self.variance += score * (score + 2 * (self.weights * self.past).sum(-1))
-        self.past[whole] = np.concatenate([score[whole][:, None], self.past[whole][:, :-1]], 1)
+        for r, h, own, moved in self.pairs.push(x, y):
+            score = (own @ self.row[r, h]) * (moved - own @ self.beta[r, h])
+            lags = max(h, 1)
+            every = np.concatenate([self.past[r, h], score])
+            crossed = np.array([score @ every[lags - k : len(every) - k] for k in range(1, lags + 1)])
+            self.variance[r, h] += score @ score + 2 * (1 - np.arange(1, lags + 1) / (lags + 1)) @ crossed
+            self.past[r, h] = every[len(every) - lags :]
 
 
 def local_projections(panel: DataFrame, group: Sequence[str], responses: Sequence[str], shock: str, system: Sequence[str], horizon: int, lags: int, least_rows: int) -> DataFrame:
@@ -101,14 +101,17 @@ def local_projections(panel: DataFrame, group: Sequence[str], responses: Sequenc
         key, state = None, None
         for batch in batches:
             out: list[tuple] = []
-            x, y = ([None if v is None else np.array(v) for v in batch.column(at + c).to_pylist()] for c in (1, 2))
-            for i, own in enumerate(zip(*(batch.column(c).to_pylist() for c in range(at)), strict=True) if at else [()] * batch.num_rows):
-                if state is None or own != key:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in range(at)), strict=True)) if at else [()] * batch.num_rows
+            x, y = (batch.column(at + c) for c in (1, 2))
+            starts = [i for i in range(batch.num_rows) if i == 0 or keys[i] != keys[i - 1]]
+            for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                if state is None or keys[a] != key:
                     if state is not None:
                         out += end(key, state)
-                    key, state = own, begin(batch, i)
-                if state is not None and x[i] is not None:
-                    state.push(x[i], y[i])
+                    key, state = keys[a], begin(batch, a)
+                own = [c.slice(a, b - a).drop_null() for c in (x, y)]  # the row of coefficients has none
+                if len(own[0]):
+                    state.push(*(c.flatten().to_numpy(zero_copy_only=False).reshape(len(c), -1) for c in own))
             yield out
         if state is not None:
             yield end(key, state)
