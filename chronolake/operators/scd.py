@@ -9,6 +9,7 @@ the other columns, and series that fail one keep their rows as they are.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -96,20 +97,104 @@ def apply_snapshot(cur: DataFrame, inc: DataFrame, run_date: str | dt.date, run_
     takes_part = F.col("_taken").isNotNull() & (F.col("covers_from").isNull() | (F.col("period") >= F.col("covers_from")))
     same = F.col("_stored").isNotNull() & F.col("_new").isNotNull() & same_value(F.col("value"), F.col("_value"))
     both = both.withColumns({"_ends": takes_part & F.col("_stored").isNotNull() & ~same, "_opens": takes_part & F.col("_new").isNotNull() & ~same})
+    return cur.where("realtime_end IS NOT NULL").unionByName(_moved(both, cur, day, run_id, observed_at)), errors
+
+
+def _moved(both: DataFrame, cur: DataFrame, day: Column, run_id: str, observed_at: Column) -> DataFrame:
+    """Open rows (``_stored``) that stay or end (``_ends``) on a day, and the values (``_value``) that open (``_opens``)."""
 
     def row(columns: dict[str, Column]) -> Column:
         return F.struct(*[columns.get(c, F.col(c)).cast(cur.schema[c].dataType).alias(c) for c in cur.columns])
 
     left = F.when(F.col("_stored").isNotNull() & ~(F.col("_ends") & (F.col("realtime_start") == day)), row({"realtime_end": F.when(F.col("_ends"), day)}))
     opened = F.when(F.col("_opens"), row({"value": F.col("_value"), "realtime_start": day, "realtime_end": F.lit(None), "observed_at": observed_at, "run_id": F.lit(run_id)}))
-    after = both.select(F.explode(F.array_compact(F.array(left, opened))).alias("_row")).select("_row.*")
-    return cur.where("realtime_end IS NOT NULL").unionByName(after), errors
+    return both.select(F.explode(F.array_compact(F.array(left, opened))).alias("_row")).select("_row.*")
+
+
+def apply_changes(cur: DataFrame, changes: DataFrame, run_date: str | dt.date, run_id: str = "", observed_at: Column | None = None, block: Sequence[str] = ()) -> DataFrame:
+    """The stored rows after classified changes (``classify``) that have been let through; ``block`` are more join keys of both."""
+    observed_at = observed_at if observed_at is not None else F.lit(None).cast("timestamp")
+    stored = cur.where("realtime_end IS NULL").withColumn("_stored", F.lit(True))
+    new = changes.select(*KEYS, *block, F.col("new").alias("_value"), "class")
+    both = stored.join(new, [*KEYS, *block], "full_outer")
+    both = both.withColumns({"_ends": F.coalesce(F.col("class").isin("changed", "vanished"), F.lit(False)), "_opens": F.coalesce(F.col("class").isin("changed", "new"), F.lit(False))})
+    return cur.where("realtime_end IS NOT NULL").unionByName(_moved(both, cur, _date(run_date), run_id, observed_at))
+
+
+def _digests(rows: DataFrame, value: str = "value", when: Column | None = None) -> list[Column]:
+    """A count and two 64-bit digests of (period, value), whatever the order of rows; NaN and null, -0 and 0 are one."""
+    same = F.coalesce(no_nan(F.col(value)) + F.lit(0.0), F.lit(float("nan")))
+    picked = lambda c: c if when is None else F.when(when, c)
+    return [
+        F.count(picked(F.lit(1))).alias("n"),
+        F.coalesce(F.bit_xor(picked(F.xxhash64("period", same))), F.lit(0).cast("long")).alias("d1"),
+        F.coalesce(F.bit_xor(picked(F.xxhash64(F.lit("second"), same, "period"))), F.lit(0).cast("long")).alias("d2"),
+    ]
+
+
+def compare_blocks(cur: DataFrame, inc: DataFrame) -> DataFrame:
+    """Digests of the open stored rows and of a snapshot by (series, year of the period), for the snapshot's series.
+
+    (series_id, year, n_stored, latest, n_fetched, n_values, last, differs). A block that doesn't differ has the same
+    periods and values on both sides (128 bits of digest and a count agree), so only others need a diff. One pass over
+    the stored rows also gives what the guards ask of them. ``cur`` has ``year`` or gets it.
+    """
+    cur = cur if "year" in cur.columns else cur.withColumn("year", F.year("period"))
+    late = F.greatest(F.max("realtime_start"), F.max("realtime_end")).alias("latest")
+    # the snapshot's digests are a few rows a series; stored rows are summed up where they lie
+    new = inc.withColumn("year", F.year("period")).groupBy("series_id", "year").agg(*_digests(inc), F.count("value").alias("n_values"), F.max("period").alias("last"))
+    old = cur.groupBy("series_id", "year").agg(*_digests(cur, when=F.col("realtime_end").isNull()), late)
+    old = old.join(inc.select("series_id").distinct(), "series_id", "left_semi").select("series_id", "year", F.col("n").alias("n_stored"), F.col("d1").alias("s1"), F.col("d2").alias("s2"), "latest")
+    both = old.join(new, ["series_id", "year"], "full_outer")
+    equal = (F.col("n_stored") == F.col("n")) & (F.col("s1") == F.col("d1")) & (F.col("s2") == F.col("d2"))
+    empty = (F.coalesce("n_stored", F.lit(0)) == 0) & F.col("n").isNull()
+    return both.select("series_id", "year", F.coalesce("n_stored", F.lit(0)).alias("n_stored"), "latest", F.coalesce("n", F.lit(0)).alias("n_fetched"), F.coalesce("n_values", F.lit(0)).alias("n_values"), "last", (~F.coalesce(equal, F.lit(False)) & ~empty).alias("differs"))
+
+
+def differing(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The rows of blocks that differ, with their year."""
+    rows = rows if "year" in rows.columns else rows.withColumn("year", F.year("period"))
+    return rows.join(blocks.where("differs").select("series_id", "year"), ["series_id", "year"], "left_semi")
+
+
+def block_changes(cur: DataFrame, inc: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``classify`` of the blocks that differ, without what stays: (series_id, period, year, old, new, class)."""
+    stored = differing(cur, blocks).where("realtime_end IS NULL").select(*KEYS, "year", F.col("value").alias("old"), F.lit(True).alias("is_stored"))
+    new = differing(inc, blocks).select(*KEYS, "year", F.col("value").alias("new"), F.lit(True).alias("is_new"))
+    both = stored.join(new, [*KEYS, "year"], "full_outer")
+    kind = F.when(F.col("is_new").isNull(), "vanished").when(F.col("is_stored").isNull(), "new").when(same_value(F.col("old"), F.col("new")), None).otherwise("changed")
+    return both.withColumn("class", kind).where("class IS NOT NULL").select(*KEYS, "year", "old", "new", "class")
+
+
+def block_guards(blocks: DataFrame, changes: DataFrame, run_date: str | dt.date) -> DataFrame:
+    """``snapshot_guards`` from compared blocks and their changes: no row of the table is looked at again."""
+    gone = changes.where("class = 'vanished'").groupBy("series_id").agg(F.count(F.lit(1)).alias("vanished"))
+    sums = blocks.groupBy("series_id").agg(F.sum("n_stored").alias("considered"), F.max("latest").alias("latest"), F.sum("n_fetched").alias("n"), F.sum("n_values").alias("n_values"))
+    sums = sums.join(gone, "series_id", "left")
+    many = (F.col("vanished") == F.col("considered")) | (F.col("vanished") > F.greatest(F.lit(MOST_VANISHED), MOST_VANISHED_SHARE * F.col("considered")))
+    said = F.array_min(F.array_compact(F.array(
+        F.when(F.col("latest") > _date(run_date), "run date before a stored vintage"),
+        F.when((F.col("n") >= LEAST_ALL_MISSING) & (F.col("n_values") == 0), "every value is missing"),
+        F.when((F.col("vanished") > 0) & many, "too many periods vanished"),
+    )))
+    return sums.select("series_id", said.alias("error")).where("error IS NOT NULL")
 
 
-def upsert_vintages(cur: DataFrame, inc: DataFrame, run_id: str = "", observed_at: Column | None = None) -> DataFrame:
-    """Stored rows after published vintages: incoming ones win on value and end by (series, period, start), the rest stays."""
+def block_counts(blocks: DataFrame, changes: DataFrame) -> DataFrame:
+    """``diff_counts`` from compared blocks and their changes."""
+    kind = F.col("class")
+    moved = changes.groupBy("series_id").agg(F.count_if(kind == "new").alias("rows_new"), F.count_if(kind == "changed").alias("rows_revised"), F.count_if(kind.isin("changed", "vanished")).alias("rows_closed"))
+    fetched = blocks.groupBy("series_id").agg(F.sum("n_fetched").alias("rows_fetched")).join(moved, "series_id", "left")
+    return fetched.select("series_id", "rows_fetched", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("rows_new", "rows_revised", "rows_closed")])
+
+
+def upsert_vintages(cur: DataFrame, inc: DataFrame, run_id: str = "", observed_at: Column | None = None, block: Sequence[str] = ()) -> DataFrame:
+    """Stored rows after published vintages: incoming ones win on value and end by (series, period, start), the rest stays.
+
+    ``block`` are more join keys of both.
+    """
     observed_at = observed_at if observed_at is not None else F.lit(None).cast("timestamp")
-    keys = [*KEYS, "realtime_start"]
+    keys = [*KEYS, *block, "realtime_start"]
     new = inc.select(*keys, F.col("value").alias("_value"), F.col("realtime_end").alias("_end"), F.lit(True).alias("_new"))
     both = cur.withColumn("_old", F.lit(True)).join(new, keys, "full_outer")
     touched = F.col("_new").isNotNull() & (F.col("_old").isNull() | ~same_value(F.col("value"), F.col("_value")) | ~F.col("realtime_end").eqNullSafe(F.col("_end")))
@@ -141,18 +226,26 @@ def diff_counts(changes: DataFrame) -> DataFrame:
     return changes.groupBy("series_id").agg(F.count_if(kind != "vanished").alias("rows_fetched"), F.count_if(kind == "new").alias("rows_new"), F.count_if(kind == "changed").alias("rows_revised"), F.count_if(kind.isin("changed", "vanished")).alias("rows_closed"))
 
 
-def vintage_counts(cur: DataFrame, inc: DataFrame) -> DataFrame:
-    """The same counts for published vintages; closed are open ends that became set."""
-    keys = [*KEYS, "realtime_start"]
+def vintage_changes(cur: DataFrame, inc: DataFrame, block: Sequence[str] = ()) -> DataFrame:
+    """Published vintages with whether they are ``new``, ``revised`` in value, and close an open end (``closes``), or move one."""
+    keys = [*KEYS, *block, "realtime_start"]
     old = cur.select(*keys, F.col("value").alias("_value"), F.col("realtime_end").alias("_end"), F.lit(True).alias("_old"))
-    both = inc.join(old, keys, "left")
-    return both.groupBy("series_id").agg(
-        F.count(F.lit(1)).alias("rows_fetched"), F.count_if(F.col("_old").isNull()).alias("rows_new"),
-        F.count_if(F.col("_old").isNotNull() & ~same_value(F.col("value"), F.col("_value"))).alias("rows_revised"),
-        F.count_if(F.col("_old").isNotNull() & F.col("_end").isNull() & F.col("realtime_end").isNotNull()).alias("rows_closed"),
+    there = F.col("_old").isNotNull()
+    return inc.join(old, keys, "left").select(
+        *inc.columns, (~there).alias("new"), (there & ~same_value(F.col("value"), F.col("_value"))).alias("revised"),
+        (there & F.col("_end").isNull() & F.col("realtime_end").isNotNull()).alias("closes"), (there & ~F.col("_end").eqNullSafe(F.col("realtime_end"))).alias("moves"),
     )
 
 
+def vintage_counts(cur: DataFrame, inc: DataFrame) -> DataFrame:
+    """The same counts for published vintages; closed are open ends that became set."""
+    return counted_vintages(vintage_changes(cur, inc))
+
+
+def counted_vintages(changes: DataFrame) -> DataFrame:
+    return changes.groupBy("series_id").agg(F.count(F.lit(1)).alias("rows_fetched"), F.count_if("new").alias("rows_new"), F.count_if("revised").alias("rows_revised"), F.count_if("closes").alias("rows_closed"))
+
+
 def run_summary(counts: DataFrame, errors: DataFrame) -> DataFrame:
     """One row: series, errors, summed counts, and ok, partial or failed."""
     both = counts.select("series_id", "rows_fetched", "rows_new", "rows_revised", "rows_closed", F.lit(0).alias("bad")).unionByName(errors.select("series_id", *[F.lit(0).cast("long").alias(c) for c in ("rows_fetched", "rows_new", "rows_revised", "rows_closed")], F.lit(1).alias("bad")))

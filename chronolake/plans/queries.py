@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .._spark import new_path
+from .._spark import checkpoint, new_path
 from ..functions import calendar, values
 from ..operators import audits, backtest, catalog, macro, panels, ranges, regression, results, scd, sweeps, transforms, var, vintages
-from ..sources import archive, payloads, tables
+from ..sources import archive, payloads, store, tables
 from . import adapters as A
 from . import oracles as O
 
@@ -556,6 +556,45 @@ def vintage_counts(spark, d):
     return scd.vintage_counts(_stored(spark, d), A.bitemporal(spark, d))
 
 
+def _monthly_store(spark, d) -> DataFrame:
+    start = F.lit("2024-01-01").cast("date")
+    return A.monthly(spark, d).select("series_id", "period", "value", start.alias("realtime_start"), F.lit(None).cast("date").alias("realtime_end"), start.cast("timestamp").alias("observed_at"), F.lit("first").alias("run_id"))
+
+
+def _revised_months(spark, d) -> DataFrame:
+    """All months, of which some of 1998 are revised and one of 1997 is gone."""
+    rows = A.monthly(spark, d).where("NOT (year(period) = 1997 AND month(period) = 6)")
+    return rows.select("series_id", "period", F.when(F.expr("year(period) = 1998 AND month(period) % 3 = 1"), F.col("value") + 1).otherwise(F.col("value")).alias("value"))
+
+
+_REVISED = "revised AS (SELECT series_id, period, CASE WHEN year(period) = 1998 AND month(period) % 3 = 1 THEN value + 1 ELSE value END AS value FROM mon WHERE NOT (year(period) = 1997 AND month(period) = 6))"
+
+
+@query(_with(A.MON, _REVISED) + """SELECT coalesce(s.series_id, n.series_id) AS series_id, CAST(year(coalesce(s.period, n.period)) AS INTEGER) AS year, count(s.period) AS n_stored, count(n.period) AS n_fetched, bool_or(s.period IS NULL OR n.period IS NULL OR s.value IS DISTINCT FROM n.value) AS differs
+FROM mon s FULL JOIN revised n ON s.series_id = n.series_id AND s.period = n.period GROUP BY 1, 2""")
+def compare_blocks(spark, d):
+    return scd.compare_blocks(_monthly_store(spark, d), _revised_months(spark, d)).select("series_id", "year", "n_stored", "n_fetched", "differs")
+
+
+@query(_with(A.MON, _REVISED) + """SELECT s.series_id, s.period, round(s.value, 2) AS value, DATE '2024-01-01' AS realtime_start, CASE WHEN n.period IS NULL OR n.value <> s.value THEN DATE '2024-02-01' END AS realtime_end FROM mon s LEFT JOIN revised n ON s.series_id = n.series_id AND s.period = n.period
+UNION ALL SELECT n.series_id, n.period, round(n.value, 2), DATE '2024-02-01', NULL FROM mon s JOIN revised n ON s.series_id = n.series_id AND s.period = n.period AND s.value <> n.value""")
+def snapshot_stored(spark, d):
+    """A snapshot applied to a bucketed store: only blocks that differ are diffed, only their buckets written."""
+    root, inc, day = new_path(spark), _revised_months(spark, d), "2024-02-01"
+    name = store.open_store(spark, root, 8)
+    places = lambda df: [tuple(r) for r in store.placed(df, 8).select("source", "bucket").distinct().collect()]
+    first = _monthly_store(spark, d)
+    sources = sorted({s for s, _ in places(first)})
+    store.replace_blocks(first, root, name, places(first), "first", 8)
+    with store.co_located(spark):
+        cur = store.read_blocks(spark, name, sources)
+        changes = checkpoint(scd.block_changes(cur, inc, checkpoint(scd.compare_blocks(cur, inc))))
+        touched = places(changes)
+        after = scd.apply_changes(store.read_blocks(spark, name, sources, touched), changes, day, "second", F.lit(day).cast("timestamp"), ["year"])
+        store.replace_blocks(after, root, name, touched, "second", 8)
+    return _r(tables.read_table(spark, root, "observations").drop("observed_at", "run_id"), 2)
+
+
 @query(_with(A.OBS) + """, m AS (SELECT * FROM (SELECT series_id, period, value, realtime_start, lag(value) OVER w AS prev, row_number() OVER w AS k FROM obs WINDOW w AS (PARTITION BY series_id, period ORDER BY realtime_start))
   WHERE k = 1 OR NOT (value IS NOT DISTINCT FROM prev OR coalesce(abs(value - prev) <= 1e-12, false)))
 SELECT series_id, period, value, realtime_start, lead(realtime_start) OVER (PARTITION BY series_id, period ORDER BY realtime_start) AS realtime_end FROM m""")
