@@ -6,11 +6,12 @@ or with holes in it are refused as well, since lags count rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .._spark import ship
@@ -169,14 +170,28 @@ def var_diagnostics(fitted: DataFrame, group: Sequence[str]) -> DataFrame:
     return fitted.select(*group, "n", "lags", F.array_join("system", ",").alias("recursive_order"), "max_root", "log_likelihood")
 
 
+def _uniform(seed: int, name: str, i: Column) -> Column:
+    """In (0, 1), from 52 bits of the digest of ``seed:name:i``; every engine that has MD5 gives the same."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{name}:"), i.cast("string")).cast("binary"))
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + 0.5) / 2.0**52
+
+
+def normal(seed: int, i: Column) -> Column:
+    """The i-th standard normal number of a seed: a function of its number, whatever was drawn before it."""
+    return F.sqrt(-2 * F.ln(_uniform(seed, "radius", i))) * F.cos(2 * math.pi * _uniform(seed, "angle", i))
+
+
 def sign_restricted(fitted: DataFrame, group: Sequence[str], signs: dict[str, int], draws: int, seed: int = 0, restrict_to: int = 3, horizon: int = 24) -> tuple[DataFrame, DataFrame]:
     """Median and 16 to 84 band of the responses whose signs hold up to ``restrict_to``; and the acceptance per group.
 
-    Each fit is repeated for runs of ``DRAWS`` draws, which are dealt over the tasks. Every draw has a generator of its
-    own seed, so results do not depend on how they are dealt.
+    Each fit is repeated for runs of ``DRAWS`` draws, which are dealt over the tasks. The numbers of a draw are functions
+    of the seed and their place (``normal``), row by row of its matrix, so results do not depend on how they are dealt.
     """
     few = fitted.select(*group, "system", "lags", "beta", "sigma")
     rows = few.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1), F.lit(DRAWS)))).repartition(*group, "draw")
+    square = F.size("system") * F.size("system")
+    own = F.sequence(F.col("draw") * square, F.least(F.col("draw") + DRAWS, F.lit(draws)) * square - 1)
+    rows = rows.withColumn("normals", F.transform(own, lambda i: normal(seed, i)))
     ship(fitted.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -185,7 +200,7 @@ def sign_restricted(fitted: DataFrame, group: Sequence[str], signs: dict[str, in
             for _, r in pdf.iterrows():
                 names, p, first = list(r["system"]), int(r["lags"]), int(r["draw"])
                 k, many = len(names), range(first, min(first + DRAWS, draws))
-                q, tri = np.linalg.qr(np.stack([np.random.default_rng([seed, d]).standard_normal((k, k)) for d in many]))
+                q, tri = np.linalg.qr(np.asarray(r["normals"]).reshape(len(many), k, k))
                 q = q * np.sign(np.diagonal(tri, axis1=1, axis2=2))[:, None, :]
                 moving = _responses(np.asarray(r["beta"]).reshape(-1, k), np.linalg.cholesky(np.asarray(r["sigma"]).reshape(k, k)), k, p, horizon)
                 found = np.einsum("hvi,dis->dhvs", moving, q)  # draw, h, response, shock

@@ -142,3 +142,21 @@ powers AS (
   UNION ALL SELECT {group}, step + 1, 2 * log_ + ln(size_), {scaled} FROM (SELECT *, {size} AS size_ FROM (SELECT {group}, step, log_, {", ".join(square)} FROM powers WHERE step < {doublings}))
 ),
 radius AS (SELECT {group}, exp((log_ + ln({size})) / pow(2.0, step)) AS max_root FROM powers WHERE step = {doublings})"""
+
+
+def rotations(columns: list[str], draws: int, seed: int, name: str = "rot") -> str:
+    """A CTE ``name`` (draw, shock, s, q): normal numbers by their place, made orthonormal column by column."""
+    k = len(columns)
+    uniform = lambda kind: f"(CAST('0x' || substr(md5('{seed}:{kind}:' || i), 1, 13) AS BIGINT) + 0.5) / 4503599627370496"
+    ctes = [
+        f"{name}_z AS (SELECT CAST(i // {k * k} AS INTEGER) AS draw, i % {k * k} AS c, sqrt(-2 * ln({uniform('radius')})) * cos(2 * pi() * {uniform('angle')}) AS z FROM range({draws * k * k}) t(i))",
+        f"{name}_0 AS (SELECT draw, " + ", ".join(f"max(z) FILTER (c = {i * k + j}) AS z{i}{j}" for i in range(k) for j in range(k)) + f" FROM {name}_z GROUP BY draw)",
+    ]
+    for j in range(k):
+        along = {p: "(" + " + ".join(f"q{i}{p} * z{i}{j}" for i in range(k)) + ")" for p in range(j)}
+        left = [f"z{i}{j}" + "".join(f" - {along[p]} * q{i}{p}" for p in range(j)) for i in range(k)]
+        ctes.append(f"{name}_r{j} AS (SELECT *, " + ", ".join(f"{x} AS r{i}{j}" for i, x in enumerate(left)) + f" FROM {name}_{j})")
+        length = "sqrt(" + " + ".join(f"r{i}{j} * r{i}{j}" for i in range(k)) + ")"
+        ctes.append(f"{name}_{j + 1} AS (SELECT *, " + ", ".join(f"r{i}{j} / {length} AS q{i}{j}" for i in range(k)) + f" FROM {name}_r{j})")
+    ctes.append(f"{name} AS (" + " UNION ALL ".join(f"SELECT draw, '{c}' AS shock, {j} AS s, q{i}{j} AS q FROM {name}_{k}" for i, c in enumerate(columns) for j in range(k)) + ")")
+    return ", ".join(ctes)

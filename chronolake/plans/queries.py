@@ -1407,10 +1407,22 @@ def var_fevd_sums(spark, d):
     return fevd.groupBy("entity", "response", "h").agg(F.round(F.sum("share"), 6).alias("share"))
 
 
-@query()
+_BAND = ("low", "median", "high")
+_PATHS = _VAR3.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + "," + O.irf("vf", "entity", _THREE, 2, 20) + "," + O.rotations(_THREE, 2000, 1) + """,
+paths AS (SELECT entity, draw, s, response, h, sum(value * q) AS v FROM irf_long JOIN rot USING (shock) GROUP BY ALL),
+held AS (SELECT entity, draw, s, side FROM paths, (VALUES (1), (-1)) t(side) WHERE h <= 3 AND response IN ('lp', 'rate') GROUP BY ALL HAVING bool_and(side * v * CASE response WHEN 'lp' THEN -1 ELSE 1 END > 0))"""
+
+
+@query(_PATHS + """
+SELECT entity, response, h, round(quantile_cont(side * v, 0.16), 4) + 0.0 AS low, round(quantile_cont(side * v, 0.5), 4) + 0.0 AS median, round(quantile_cont(side * v, 0.84), 4) + 0.0 AS high, count(*) AS n_accepted FROM paths JOIN held USING (entity, draw, s) GROUP BY ALL""")
 def sign_restricted(spark, d):
-    """Random draws have no SQL; tests hold them against a plain version."""
-    return _r(var.sign_restricted(_fitted(spark, d), ["entity"], {"lp": -1, "rate": 1}, 2000, 1, 3, 20)[0], 4, "low", "median", "high")
+    bands = var.sign_restricted(_fitted(spark, d), ["entity"], {"lp": -1, "rate": 1}, 2000, 1, 3, 20)[0]
+    return _r(bands, 4, *_BAND).withColumns({c: F.col(c) + 0.0 for c in _BAND})
+
+
+@query(_PATHS + " SELECT entity, count(draw) AS accepted, CAST(12000 AS BIGINT) AS tried, count(draw) / 12000.0 AS rate FROM (SELECT DISTINCT entity FROM irf_long) LEFT JOIN held USING (entity) GROUP BY 1")
+def sign_acceptance(spark, d):
+    return var.sign_restricted(_fitted(spark, d), ["entity"], {"lp": -1, "rate": 1}, 2000, 1, 3, 20)[1]
 
 
 # results ----------------------------------------------------------------------------------------------------------
