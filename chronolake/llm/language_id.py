@@ -41,6 +41,8 @@ SLOTS = 1 << 18
 HASHES = 3
 #: A text of a known language has this share of grams of it at least.
 LEAST_SCORE = 0.3
+#: Rows of the sample (language, id and hash) that are broadcast, at most.
+SENT_ROWS = 1 << 20
 #: Code points worked on at a time.
 CHUNK = 1 << 18
 
@@ -131,8 +133,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     texts = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     texts = texts.withColumn("hash", F.xxhash64("text")).select(F.coalesce("id", F.concat(F.lit("\0"), F.hex("hash"))).alias("id"), "lang", "hash", "text")
     distinct = checkpoint(texts.groupBy("lang", "id").agg(F.min("hash").alias("hash")))
-    sample = smallest_hashes(distinct, F.col("id"), per_language, "lang")  # at most per_language ids a language
-    chosen = texts.join(F.broadcast(sample), ["lang", "id", "hash"], "left_semi").groupBy("lang", "id").agg(F.min("text").alias("text"))
+    sample = checkpoint(smallest_hashes(distinct, F.col("id"), per_language, "lang"))  # at most per_language ids a language
+    few = sample.count() <= SENT_ROWS  # else both sides are shuffled
+    chosen = texts.join(F.broadcast(sample) if few else sample, ["lang", "id", "hash"], "left_semi").groupBy("lang", "id").agg(F.min("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
@@ -152,12 +155,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     order = (F.col("n").desc(), F.col("gram"))
     top = salted.withColumn("k", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("k") <= grams)
     top = top.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("k") <= grams)
-    held = checkpoint(top.select("lang", "gram"))
-    languages = sorted(r[0] for r in held.select("lang").distinct().collect())
+    held = checkpoint(top.groupBy("lang").agg(F.collect_list("gram").alias("grams")))  # at most `grams` of them in a row
+    languages = sorted(r[0] for r in held.select("lang").collect())
+    at = {lang: i for i, lang in enumerate(languages)}
     masks = np.zeros((slots, max(1, -(-len(languages) // 64))), np.uint64)
-    for i, lang in enumerate(languages):  # at most `grams` values of one language at a time
-        own = np.array([r[0] for r in held.where(F.col("lang") == lang).select("gram").collect()], np.int64).view(np.uint64)
-        np.bitwise_or.at(masks[:, i // 64], _slots_of(own, slots, hashes).ravel(), np.uint64(1 << (i % 64)))
+    for lang, own in held.toLocalIterator():  # by partition, whatever the number of languages
+        i = at[lang]
+        found = _slots_of(np.array(own, np.int64).view(np.uint64), slots, hashes)
+        np.bitwise_or.at(masks[:, i // 64], found.ravel(), np.uint64(1 << (i % 64)))
     return LanguageFilters(languages, masks, hashes)
 
 

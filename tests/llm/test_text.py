@@ -211,6 +211,25 @@ def test_null_ids_do_not_crowd_out_a_sample(spark, docs, prose):
     assert all(r.lang_pred == ("en", "de", "fr")[r.doc_id % 3 - 1] for r in language_id.predict(docs(new), filters).collect())
 
 
+def test_languages_by_the_hundred_in_few_jobs(spark, docs, monkeypatch):
+    """Filters of many languages are filled by partition, not by language, and are those of each language alone."""
+    word = lambda i, k: "".join(chr(0x4E00 + 40 * i + (7 * k + j) % 40) for j in range(4))
+    rows = docs([(3 * i + d, " ".join(word(i, k + d) for k in range(30)), f"x{i:03}") for i in range(150) for d in range(3)])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("languages", "languages")
+    try:
+        filters = language_id.fit(rows)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("languages")) < 60
+    assert filters.languages == [f"x{i:03}" for i in range(150)] and filters.masks.shape[1] == 3
+    found = {r.doc_id: r.lang_pred for r in language_id.predict(rows, filters).collect()}
+    assert found == {3 * i + d: f"x{i:03}" for i in range(150) for d in range(3)}
+    monkeypatch.setattr(language_id, "SENT_ROWS", 0)  # a sample too large to be broadcast
+    alone = language_id.fit(rows.where("lang = 'x070'"))
+    assert ((filters.masks[:, 1] >> np.uint64(6)) & np.uint64(1)).tolist() == alone.masks[:, 0].tolist()
+
+
 def test_language_sample_is_of_documents(spark, docs, prose):
     named = [(i, prose(lang, i), lang) for i, lang in enumerate(["en", "de", "fr"] * 20)]
     junk = "zq xj qz " * 5
